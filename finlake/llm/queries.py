@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, chat, exact_dedup, html_extract, langid, mixing, quality, secrets, substring_dedup
+from finlake.llm import bpe, chat, exact_dedup, html_extract, langid, mixing, ngram_join, quality, secrets, substring_dedup
 from finlake.llm.common import table
 
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
@@ -49,6 +49,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out")), model).drop("text")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY, keep_ids=False)
 
@@ -61,7 +65,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op3_mixing, op4_chat_format, op5_secret_scan, op6_language_id, op8_bpe, op9_substring_dedup, op10_html_extract)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op3_mixing, op4_chat_format, op5_secret_scan, op6_language_id, op7_ngram_join, op8_bpe, op9_substring_dedup, op10_html_extract)}
 
 ORACLE_SQL = {
     "op2_exact_dedup": """
