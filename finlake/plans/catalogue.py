@@ -1,4 +1,818 @@
 """Queries over the driver's tables and the SQL that must give the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from finlake.contracts import COUNTRY_ALIASES, COVERAGE, DATASETS, REASON_TO_RULE
+from finlake.functions import expr
+from finlake.operators import checks, evidence, gold, merge, ownership, quality
+from finlake.plans import analogue, semantic, star
+from finlake.plans.analogue import sql, sql_ratio, sql_zero
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(body: str | None = None):
+    """Registers a function under its name, with its oracle."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if body is not None:
+            ORACLE_SQL[f.__name__] = sql(body)
+        return f
+
+    return put
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Scalar functions
+
+
+@query("SELECT c_custkey, replace(upper(trim(' ' || c_name || ' ' || c_mktsegment || ' ')), ' ', '-') AS id FROM customer")
+def norm_identifier(spark, d):
+    return read(spark, d, "customer").select("c_custkey", expr.identifier(F.concat(F.lit(" \t"), "c_name", F.lit(" "), "c_mktsegment", F.lit(" \n"))).alias("id"))
+
+
+@query("SELECT p_partkey, upper(p_name) AS code FROM part")
+def norm_code(spark, d):
+    return read(spark, d, "part").select("p_partkey", expr.code(F.concat(F.lit("\t "), "p_name", F.lit("  "))).alias("code"))
+
+
+_ALIASES = ", ".join(f"({i}, '{a}', '{c}')" for i, (a, c) in enumerate(COUNTRY_ALIASES.items()))
+
+
+@query(f"SELECT c_custkey, coalesce(a.c, n_name) AS country FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (VALUES {_ALIASES}) AS a(i, k, c) ON c_custkey % 30 = a.i")
+def country_alias(spark, d):
+    aliases = F.array(*[F.lit(f" {a.lower()} ") for a in COUNTRY_ALIASES])
+    nations = read(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    raw = F.coalesce(F.get(aliases, (F.col("c_custkey") % 30).cast("int")), F.col("n_name"))
+    return read(spark, d, "customer").join(nations, "c_nationkey").select("c_custkey", expr.country(raw).alias("country"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 2, 3) THEN NULL ELSE CAST(o_orderdate AS DATE) END AS d FROM orders""")
+def strict_date(spark, d):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    k = F.col("o_orderkey") % 7
+    raw = F.when(k == 0, "2025-02-31").when(k == 1, F.substring(day, 1, 4)).when(k == 2, F.concat(day, F.lit("T10:00"))).when(k == 3, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(day)
+    return read(spark, d, "orders").select("o_orderkey", expr.strict_date(raw).alias("d"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN CAST(1000 AS DECIMAL(20,2)) WHEN 3 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(20,2)) END AS v FROM orders""")
+def try_decimal(spark, d):
+    k = F.col("o_orderkey") % 6
+    raw = F.when(k == 0, "NaN").when(k == 1, "1,234").when(k == 2, " 1e3 ").when(k == 3, "Infinity").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    return read(spark, d, "orders").select("o_orderkey", expr.number(raw).cast(expr.MONEY).alias("v"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) * 0.5 AS DECIMAL(20,2)) AS half FROM lineitem")
+def half_up_money(spark, d):
+    v = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)") * F.lit("0.5").cast("decimal(2,1)")
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", expr.half_up(v).alias("half"))
+
+
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, count(*) AS n FROM orders GROUP BY 1")
+def month_trunc(spark, d):
+    return read(spark, d, "orders").groupBy(expr.month(F.col("o_orderdate")).alias("month_start")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_key, CAST(strftime(o_orderdate, '%Y%m01') AS INTEGER) AS month_key FROM orders")
+def date_key(spark, d):
+    return read(spark, d, "orders").select("o_orderkey", expr.date_key(F.col("o_orderdate")).alias("date_key"), expr.date_key(expr.month(F.col("o_orderdate"))).alias("month_key"))
+
+
+_CALENDAR = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS calendar_date, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+    CAST(month(d) AS INTEGER) AS month, strftime(d, '%b') AS month_name, CAST(date_trunc('month', d) AS DATE) AS month_start"""
+
+
+@query(f"SELECT {_CALENDAR} FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)")
+def calendar_dim(spark, d):
+    return star.dim_date(read(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("d")))
+
+
+@query("""SELECT s_suppkey, CASE WHEN v SIMILAR TO '[=+@\\-].*' THEN '''' || v ELSE v END AS cell
+    FROM (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '=' WHEN 1 THEN '+' WHEN 2 THEN '-' WHEN 3 THEN '@' ELSE '' END || s_name AS v FROM supplier)""")
+def spreadsheet_safe(spark, d):
+    lead = F.get(F.array(*map(F.lit, ["=", "+", "-", "@", ""])), (F.col("s_suppkey") % 5).cast("int"))
+    return read(spark, d, "supplier").select("s_suppkey", expr.spreadsheet_safe(F.concat(lead, "s_name")).alias("cell"))
+
+
+def _sql_payload(*columns: str) -> str:
+    return "sha256(" + " || ".join(f"CASE WHEN {c} IS NULL THEN 'n;' ELSE length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) || ';' END" for c in columns) + ")"
+
+
+@query(f"SELECT shipment_id, {_sql_payload('shipment_id', 'shipment_date', 'route_id', 'customer_id', 'revenue_amount')} AS claim FROM shipments")
+def claim_fingerprint(spark, d):
+    s = analogue.frames(spark, d)["shipments"]
+    return s.select("shipment_id", expr.payload(*[F.col(c) for c in ("shipment_id", "shipment_date", "route_id", "customer_id", "revenue_amount")]).alias("claim"))
+
+
+@query("SELECT n_nationkey, substring(sha256(n_name), 1, 20) AS id FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT n_nationkey, NULL FROM nation WHERE n_nationkey % 2 = 1")
+def storage_id(spark, d):
+    fp = F.when(F.col("n_nationkey") % 2 == 0, F.sha2("n_name", 256)).otherwise(F.upper(F.sha2("n_name", 256)))
+    return read(spark, d, "nation").select("n_nationkey", expr.storage_id(fp).alias("id"))
+
+
+# Rules and references
+
+
+def _reasons(spark, d, dataset):
+    checked = checks.check_batch(analogue.frames(spark, d), expected=100)
+    return checked[dataset]
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'INVALID_FINANCIAL_VALUE' ELSE '' END AS reason_codes, CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(20,2)) END AS amount FROM customer")
+def rule_negative_amount(spark, d):
+    frame = read(spark, d, "customer").select("c_custkey", checks._typed("money", F.col("c_acctbal").cast("decimal(18,2)").cast("string")).alias("amount"))
+    return frame.select("c_custkey", expr.joined(expr.reasons([("INVALID_FINANCIAL_VALUE", F.col("amount").isNull())])).alias("reason_codes"), "amount")
+
+
+@query("SELECT count(*) FILTER (volume_m3 IS NULL) AS invalid, count(*) FILTER (volume_m3 IS NOT NULL) AS valid FROM shipments")
+def rule_volume_positive(spark, d):
+    rules = dict(checks.own_rules(DATASETS["shipments"]))
+    s = analogue.frames(spark, d)["shipments"]
+    return s.agg(F.count_if(rules["INVALID_SHIPMENT_VOLUME"]).alias("invalid"), F.count_if(~rules["INVALID_SHIPMENT_VOLUME"]).alias("valid"))
+
+
+@query("SELECT coalesce(cost_type, '') AS cost_type, cost_type IS NULL OR cost_type NOT IN ('FUEL', 'LABOR', 'WAREHOUSING', 'TRANSPORT') AS invalid, count(*) AS n FROM operational_costs GROUP BY 1, 2")
+def rule_domain(spark, d):
+    rules = dict(checks.own_rules(DATASETS["operational_costs"]))
+    c = analogue.frames(spark, d)["operational_costs"]
+    return c.groupBy(F.coalesce("cost_type", F.lit("")).alias("cost_type"), rules["INVALID_COST_TYPE"].alias("invalid")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT route_id FROM routes WHERE distance_km IS NULL OR standard_transit_days IS NULL")
+def rule_route_def(spark, d):
+    rules = dict(checks.own_rules(DATASETS["routes"]))
+    return analogue.frames(spark, d)["routes"].where(rules["INVALID_ROUTE_DEFINITION"]).select("route_id")
+
+
+@query("SELECT shipment_id, customer_id IS NULL AS no_customer, route_id IS NULL AS no_route FROM shipments WHERE customer_id IS NULL OR route_id IS NULL")
+def rule_missing_ids(spark, d):
+    rules = dict(checks.own_rules(DATASETS["shipments"]))
+    s = analogue.frames(spark, d)["shipments"].select("shipment_id", rules["MISSING_CUSTOMER_ID"].alias("no_customer"), rules["MISSING_ROUTE_ID"].alias("no_route"))
+    return s.where("no_customer or no_route")
+
+
+@query("SELECT customer_id FROM customers WHERE country_code NOT IN (SELECT country_code FROM countries)")
+def fk_unknown(spark, d):
+    return _reasons(spark, d, "customers").where(F.array_contains("_reasons", "UNKNOWN_COUNTRY_CODE")).select("customer_id")
+
+
+@query("""SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def fk_unlabelled_documents(spark, d):
+    seen = checks.marked(read(spark, d, "documents").select("doc_id"), "doc_id", read(spark, d, "labels"), "doc_id", "known")
+    return seen.where("not known").select("doc_id")
+
+
+@query("SELECT route_id, o.country_name AS origin, t.country_name AS destination FROM routes JOIN countries o ON origin_country_code = o.country_code JOIN countries t ON destination_country_code = t.country_code")
+def fk_role_playing(spark, d):
+    f = analogue.frames(spark, d)
+    c = f["countries"]
+    out = f["routes"].join(c.select(F.col("country_code").alias("origin_country_code"), F.col("country_name").alias("origin")), "origin_country_code")
+    return out.join(c.select(F.col("country_code").alias("destination_country_code"), F.col("country_name").alias("destination")), "destination_country_code").select("route_id", "origin", "destination")
+
+
+def _sql_codes(*rules: tuple[str, str]) -> str:
+    items = ", ".join(f"CASE WHEN {p} THEN '{r}' END" for r, p in rules)
+    return f"array_to_string(list_sort(list_distinct([x FOR x IN [{items}] IF x IS NOT NULL])), '|')"
+
+
+_SHIP_RULES = _sql_codes(
+    ("MISSING_CUSTOMER_ID", "s.customer_id IS NULL"),
+    ("MISSING_ROUTE_ID", "s.route_id IS NULL"),
+    ("INVALID_SHIPMENT_VOLUME", "s.volume_m3 IS NULL"),
+    ("UNKNOWN_CURRENCY_CODE", "s.currency_code NOT IN (SELECT currency_code FROM currencies)"),
+    ("UNKNOWN_CUSTOMER_ID", "s.customer_id IS NOT NULL AND s.customer_id NOT IN (SELECT customer_id FROM customers WHERE country_code IN (SELECT country_code FROM countries))"),
+    ("UNKNOWN_ROUTE_ID", "s.route_id IS NULL OR s.route_id NOT IN (SELECT route_id FROM routes WHERE distance_km IS NOT NULL)"),
+    ("MISSING_EXCHANGE_RATE", "s.currency_code IN (SELECT currency_code FROM currencies) AND r.rate_to_eur IS NULL"),
+)
+_SHIP_CHECKED = f"""checked AS (SELECT s.*, r.rate_to_eur AS fx_rate_to_eur, CAST(s.revenue_amount * r.rate_to_eur AS DECIMAL(20,2)) AS amount_eur, {_SHIP_RULES} AS codes
+    FROM shipments s LEFT JOIN exchange_rates r ON r.rate_date = s.shipment_date AND r.currency_code = s.currency_code)"""
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT shipment_id, codes AS reason_codes, amount_eur FROM checked")
+def reason_codes_pipe(spark, d):
+    return _reasons(spark, d, "shipments").select("shipment_id", expr.joined(F.col("_reasons")).alias("reason_codes"), "amount_eur")
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT shipment_id, shipment_date, route_id, customer_id, amount_eur FROM checked WHERE codes = ''")
+def trusted_split(spark, d):
+    return checks.trusted(_reasons(spark, d, "shipments")).select("shipment_id", "shipment_date", "route_id", "customer_id", "amount_eur")
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT codes AS reason_codes, count(*) AS n, {sql_zero('sum(amount_eur)')} AS amount FROM checked WHERE codes <> '' GROUP BY 1")
+def quarantine_split(spark, d):
+    return checks.quarantined(_reasons(spark, d, "shipments")).groupBy(F.col("_reason_codes").alias("reason_codes")).agg(F.count("*").alias("n"), expr.zero(F.sum("amount_eur")).alias("amount"))
+
+
+# Exchange rates
+
+
+@query("SELECT invoice_id, customer_id, cost_center_id, invoice_date, fx_rate_to_eur, amount_eur FROM inv")
+def fx_convert(spark, d):
+    return analogue.silver(spark, d)["invoices"].select("invoice_id", "customer_id", "cost_center_id", "invoice_date", "fx_rate_to_eur", "amount_eur")
+
+
+@query("SELECT i.invoice_id, i.invoice_date, i.currency_code, i.cost_center_id FROM invoices i WHERE NOT EXISTS (SELECT 1 FROM exchange_rates r WHERE r.rate_date = i.invoice_date AND r.currency_code = i.currency_code)")
+def fx_missing(spark, d):
+    f = _reasons(spark, d, "invoices")
+    return f.where(F.array_contains("_reasons", "MISSING_EXCHANGE_RATE")).select("invoice_id", "invoice_date", "currency_code", "cost_center_id")
+
+
+def _more_rates(rates: DataFrame) -> DataFrame:
+    """Rates with exact repeats (5th of a month) and conflicting rows (9th), as second rows of their keys."""
+    again = rates.where(F.dayofmonth("rate_date").isin(5, 9)).withColumn("_source_row_number", F.lit(2))
+    other = F.when(F.dayofmonth("rate_date") == 9, F.col("rate_to_eur") + 1).otherwise(F.col("rate_to_eur")).cast(expr.RATE)
+    return rates.unionByName(again.withColumn("rate_to_eur", other))
+
+
+def _rates(spark, d) -> DataFrame:
+    rates = _more_rates(analogue.frames(spark, d)["exchange_rates"])
+    # Rates of the 12th are invalid.
+    rates = rates.withColumn("rate_to_eur", F.when(F.dayofmonth("rate_date") != 12, F.col("rate_to_eur")))
+    rules = dict(checks.own_rules(DATASETS["exchange_rates"]))
+    return checks.rate_rules(rates.withColumn("_reasons", expr.reasons(rules.items())))
+
+
+@query("SELECT rate_date, currency_code, 2 AS row FROM exchange_rates WHERE day(rate_date) = 5")
+def fx_duplicate(spark, d):
+    return _rates(spark, d).where(F.array_contains("_reasons", "DUPLICATE_EXCHANGE_RATE")).select("rate_date", "currency_code", F.col("_source_row_number").alias("row"))
+
+
+@query("SELECT rate_date, currency_code, CAST(rate_to_eur + v AS DECIMAL(18,6)) AS rate_to_eur FROM exchange_rates, (VALUES (0), (1)) AS t(v) WHERE day(rate_date) = 9")
+def fx_conflict(spark, d):
+    return _rates(spark, d).where(F.array_contains("_reasons", "CONFLICTING_EXCHANGE_RATE")).select("rate_date", "currency_code", "rate_to_eur")
+
+
+def _dependants(spark, d, reason):
+    d_ = DATASETS["invoices"]
+    frame, rules = checks.converted(analogue.frames(spark, d)["invoices"].withColumn("_known_currency_code", F.lit(True)), d_, checks.rate_keys(_rates(spark, d)))
+    return frame.where(dict(rules)[reason]).select("invoice_id", "invoice_date", "currency_code", "cost_center_id", "amount_eur")
+
+
+_DEPENDANT = "SELECT invoice_id, invoice_date, i.currency_code, cost_center_id, CAST(NULL AS DECIMAL(20,2)) AS amount_eur FROM invoices i JOIN exchange_rates r ON rate_date = invoice_date AND r.currency_code = i.currency_code WHERE day(invoice_date) = "
+
+
+@query(_DEPENDANT + "9")
+def fx_conflict_dependants(spark, d):
+    return _dependants(spark, d, "CONFLICTING_EXCHANGE_RATE_REFERENCE")
+
+
+@query(_DEPENDANT + "12")
+def fx_invalid_dependants(spark, d):
+    return _dependants(spark, d, "INVALID_EXCHANGE_RATE_REFERENCE")
+
+
+@query("SELECT month_start, currency_code, open_rate FROM opening")
+def month_open_rate(spark, d):
+    return gold.month_open(analogue.frames(spark, d)["exchange_rates"])
+
+
+@query("SELECT invoice_id, cost_center_id, invoice_date, CAST(fx AS DECIMAL(20,2)) AS fx_impact_eur FROM inv")
+def fx_impact(spark, d):
+    s = analogue.silver(spark, d)
+    return gold.with_fx_impact(s["invoices"], "invoice_date", "revenue_amount", gold.month_open(s["exchange_rates"])).select("invoice_id", "cost_center_id", "invoice_date", "fx_impact_eur")
+
+
+# Volume
+
+_DROPPED = """dropped AS (SELECT c.country_code, count(DISTINCT i.invoice_id) AS n FROM countries c LEFT JOIN invoices i USING (country_code)
+    GROUP BY 1 HAVING count(DISTINCT i.invoice_id) < (SELECT count(*) FROM lineitem) / 25 * 0.9)"""
+
+
+def _dropped(spark, d):
+    f = analogue.frames(spark, d)
+    # The limit is 90 % of an even share.
+    limit = read(spark, d, "lineitem").count()
+    return f, checks.dropped_countries(f["invoices"], f["countries"], limit, str(0.9 / 25))
+
+
+@query(f"WITH {_DROPPED} SELECT country_code, n FROM dropped")
+def volume_drop_flags(spark, d):
+    return _dropped(spark, d)[1]
+
+
+@query(f"WITH {_DROPPED} SELECT country_code, count(*) AS rows_held, count(DISTINCT invoice_id) AS invoices FROM invoices WHERE country_code IN (SELECT country_code FROM dropped) GROUP BY 1")
+def volume_drop_rows(spark, d):
+    f, gone = _dropped(spark, d)
+    held = checks.marked(f["invoices"], "country_code", gone, "country_code", "dropped").where("dropped")
+    return held.groupBy("country_code").agg(F.count("*").alias("rows_held"), F.countDistinct("invoice_id").alias("invoices"))
+
+
+# Ownership
+
+_CLAIM_SQL = _sql_payload(*ownership.CLAIM_FIELDS)
+_CLAIMS = f"""claims AS (SELECT invoice_id, _batch_id, amount_eur, copy, CASE _batch_id WHEN 'F' THEN 1 ELSE 2 END AS arrival, {_CLAIM_SQL} AS h FROM inv, (VALUES (1), (2)) AS t(copy)
+    WHERE copy = 1 OR CAST(split_part(invoice_id, '-', 1) AS BIGINT) % 11 = 0),
+    resolved AS (SELECT *, min(h) OVER (PARTITION BY invoice_id) <> max(h) OVER (PARTITION BY invoice_id) AS differs,
+    row_number() OVER (PARTITION BY invoice_id ORDER BY arrival, _batch_id, copy) AS nth FROM claims)"""
+
+
+def _claims(spark, d):
+    """Claims of two deliveries; every eleventh order's are delivered a second time, in the second delivery."""
+    inv = analogue.silver(spark, d)["invoices"]
+    again = inv.where(F.split("invoice_id", "-")[0].cast("long") % 11 == 0)
+    both = inv.withColumn("copy", F.lit(1)).unionByName(again.withColumn("copy", F.lit(2)))
+    claims = both.withColumn("arrival", F.when(F.col("_batch_id") == "F", 1).otherwise(2)).withColumn("_source_row_number", F.col("copy"))
+    return ownership.resolve_claims(ownership.claim_hash(claims))
+
+
+@query(f"WITH {_CLAIMS} SELECT invoice_id, count(*) AS n FROM resolved WHERE NOT differs AND nth > 1 GROUP BY 1")
+def claim_within_batch(spark, d):
+    return _claims(spark, d).where(F.array_contains("_reasons", "DUPLICATE_INVOICE")).groupBy("invoice_id").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey AS invoice_id, 'O' AS batch FROM orders WHERE o_orderkey % 13 = 0""")
+def claim_cross_batch(spark, d):
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("invoice_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("claim_hash"), F.lit("F").alias("_batch_id"), F.lit(1).alias("arrival"), F.lit(1).alias("_source_row_number"))
+    late = o.where(F.col("invoice_id") % 13 == 0).withColumns({"_batch_id": F.lit("O"), "arrival": F.lit(2)})
+    out = ownership.resolve_claims(o.unionByName(late))
+    return out.where(F.array_contains("_reasons", "CROSS_BATCH_DUPLICATE_INVOICE")).select("invoice_id", F.col("_batch_id").alias("batch"))
+
+
+@query(f"WITH {_CLAIMS} SELECT invoice_id, count(*) AS n, {sql_zero('sum(amount_eur)')} AS amount FROM resolved WHERE differs GROUP BY 1")
+def claim_conflict(spark, d):
+    return _claims(spark, d).where(F.array_contains("_reasons", "CONFLICTING_DUPLICATE_INVOICE")).groupBy("invoice_id").agg(F.count("*").alias("n"), expr.zero(F.sum("amount_eur")).alias("amount"))
+
+
+@query(f"WITH {_CLAIMS} SELECT invoice_id, _batch_id AS batch, amount_eur FROM resolved WHERE NOT differs AND nth = 1")
+def claim_trusted(spark, d):
+    return checks.trusted(_claims(spark, d)).select("invoice_id", F.col("_batch_id").alias("batch"), "amount_eur")
+
+
+def _replays(spark, d):
+    """The budgets of even cost centres delivered again, those divisible by 10 with one more cent."""
+    b = analogue.silver(spark, d)["budgets"]
+    center = F.col("cost_center_id").cast("int")
+    changed = F.when(center % 10 == 0, F.col("budget_amount") + F.lit("0.01").cast("decimal(3,2)")).otherwise(F.col("budget_amount")).cast(expr.MONEY)
+    return ownership.replayed(b.where(center % 2 == 0).withColumn("budget_amount", changed), b.where(center % 4 == 0), "budgets")
+
+
+@query("SELECT month_start, cost_center_id FROM bud WHERE CAST(cost_center_id AS INTEGER) % 4 = 0 AND CAST(cost_center_id AS INTEGER) % 10 <> 0")
+def fact_replay(spark, d):
+    return _replays(spark, d).where("_replay").select("month_start", "cost_center_id")
+
+
+@query("SELECT month_start, cost_center_id FROM bud WHERE CAST(cost_center_id AS INTEGER) % 20 = 0")
+def fact_collision(spark, d):
+    return _replays(spark, d).where("not _replay").select("month_start", "cost_center_id")
+
+
+# Publication as relations
+
+
+def _batched_orders(spark, d) -> DataFrame:
+    return read(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"), F.col("o_orderstatus").alias("_batch_id"))
+
+
+@query("""SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderstatus AS _batch_id FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2)), 'F' FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0""")
+def merge_replace_batch(spark, d):
+    o = _batched_orders(spark, d)
+    new = o.where("_batch_id = 'F' and o_orderkey % 2 = 0").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    return merge.replace_batch(o, new, "F")
+
+
+@query("""SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CASE o_orderstatus WHEN 'O' THEN 'X' ELSE o_orderstatus END AS _batch_id FROM orders""")
+def merge_supersede(spark, d):
+    o = _batched_orders(spark, d)
+    return merge.replace_batch(o, o.where("_batch_id = 'O'").withColumn("_batch_id", F.lit("X")), "X", "O")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'NEW' ELSE c_name END AS c_name FROM customer WHERE c_custkey % 5 <> 1 OR c_custkey % 3 = 0")
+def upsert_reference(spark, d):
+    c = read(spark, d, "customer").select("c_custkey", "c_name")
+    return merge.upsert(c.where("c_custkey % 5 <> 1"), c.where("c_custkey % 3 = 0").withColumn("c_name", F.lit("NEW")), ["c_custkey"])
+
+
+@query("SELECT event_id, event_type FROM events")
+def bronze_append_idempotent(spark, d):
+    e = read(spark, d, "events").select("event_id", "event_type")
+    once = merge.append_new(e.where("event_id % 2 = 0"), e, ["event_id"])
+    return merge.append_new(once, e, ["event_id"])
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 3 = 0")
+def collision_semi(spark, d):
+    o = _batched_orders(spark, d)
+    return merge.collisions(o, o.where("o_orderkey % 3 = 0"), ["o_orderkey"], "F")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 'DUPLICATE_INVOICE' ELSE 'MISSING_ROUTE_ID' END AS _reason_codes FROM orders WHERE o_orderkey % 4 IN (1, 2)""")
+def dedup_quarantine_replace(spark, d):
+    k = F.col("o_orderkey") % 4
+    held = read(spark, d, "orders").where(k > 1).select("o_orderkey", F.when(k == 2, "MISSING_ROUTE_ID").otherwise("DUPLICATE_INVOICE|MISSING_ROUTE_ID").alias("_reason_codes"))
+    new = read(spark, d, "orders").where(k == 1).select("o_orderkey", F.lit("DUPLICATE_INVOICE").alias("_reason_codes"))
+    return merge.replace_reasons(held, new, ["DUPLICATE_INVOICE", "CROSS_BATCH_DUPLICATE_INVOICE"])
+
+
+@query("SELECT * FROM (SELECT s_suppkey AS k, CAST(s_acctbal AS DECIMAL(18,2)) AS v, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) AS r, s_nationkey AS g FROM supplier) WHERE r = 1")
+def last_write_wins(spark, d):
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").cast("decimal(18,2)").alias("v"), F.col("s_nationkey").alias("g"))
+    return merge.last_of_key(s, ["g"], ["k"]).withColumn("r", F.lit(1).cast("long"))
+
+
+# Quality
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT shipment_id, unnest(string_split(codes, '|')) AS reason FROM checked WHERE codes <> ''")
+def reason_explode(spark, d):
+    q = checks.quarantined(_reasons(spark, d, "shipments"))
+    return q.select("shipment_id", F.explode(F.split("_reason_codes", r"\|")).alias("reason"))
+
+
+_REASONS = ", ".join(f"('{r}', '{rule}')" for r, rule in REASON_TO_RULE.items())
+_GRID = ", ".join(f"('{r}', '{ds}')" for r, ds in COVERAGE)
+_BY_RULE = f"""rules(reason, rule_name) AS (VALUES {_REASONS}),
+    failed AS (SELECT DISTINCT shipment_id, amount_eur, rule_name, reason FROM (SELECT shipment_id, amount_eur, unnest(string_split(codes, '|')) AS reason FROM checked WHERE codes <> '') JOIN rules USING (reason)),
+    once AS (SELECT DISTINCT shipment_id, amount_eur, rule_name FROM failed),
+    by_rule AS (SELECT rule_name, count(*) AS n, CAST(sum(amount_eur) AS DECIMAL(20,2)) AS amount FROM once GROUP BY 1),
+    texts AS (SELECT rule_name, string_agg(reason, '|' ORDER BY reason) AS failure_reason FROM (SELECT DISTINCT rule_name, reason FROM failed) GROUP BY 1)"""
+
+
+def _ship_quality(spark, d):
+    checked = {"shipments": _reasons(spark, d, "shipments")}
+    return quality.quality_results(spark, checked, "b1", "2025-01-01 00:00:00")
+
+
+@query(f"""WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT g.rule_name, g.ds AS affected_dataset, 'b1' AS batch_id, coalesce(t.failure_reason, '') AS failure_reason, coalesce(n, 0) AS failed_row_count,
+    CASE WHEN amount <> 0 THEN amount END AS affected_financial_amount_eur, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS validation_status
+    FROM (VALUES {_GRID}) AS g(rule_name, ds) LEFT JOIN by_rule b ON b.rule_name = g.rule_name AND g.ds = 'shipments' LEFT JOIN texts t ON t.rule_name = b.rule_name""")
+def quality_results(spark, d):
+    return _ship_quality(spark, d).drop("execution_timestamp")
+
+
+@query(f"SELECT rule_name, ds AS affected_dataset FROM (VALUES {_GRID}) AS g(rule_name, ds)")
+def quality_coverage(spark, d):
+    return quality.coverage(spark)
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT 'shipments' AS affected_dataset, rule_name, n AS failed_row_count, amount, failure_reason FROM by_rule JOIN texts USING (rule_name)")
+def dq_by_rule(spark, d):
+    return quality.by_rule(quality.failures(_reasons(spark, d, "shipments"), "shipments"))
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT validation_status, count(*) AS n FROM (SELECT CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS validation_status FROM (VALUES {_GRID}) AS g(rule_name, ds) LEFT JOIN by_rule b ON b.rule_name = g.rule_name AND g.ds = 'shipments') GROUP BY 1")
+def dq_summary(spark, d):
+    return gold.data_quality_summary(_ship_quality(spark, d)).groupBy("validation_status").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT rule_name FROM by_rule WHERE n > 0")
+def failed_rules(spark, d):
+    return spark.createDataFrame([(r,) for r in quality.failed_critical(_ship_quality(spark, d))], "rule_name string")
+
+
+# Gold
+
+_MONTHLY = f"""rev AS (SELECT m, country_code, sum(amount_eur) AS revenue, sum(fx) AS fx_r FROM inv JOIN (SELECT shipment_id FROM ship) USING (shipment_id) GROUP BY 1, 2),
+    exp AS (SELECT m, country_code, sum(amount_eur) AS spent, sum(fx) AS fx_c FROM cost JOIN (SELECT shipment_id FROM ship) USING (shipment_id) GROUP BY 1, 2),
+    cnt AS (SELECT m, country_code, count(DISTINCT shipment_id) AS shipments_ FROM ship GROUP BY 1, 2),
+    plan AS (SELECT m, c.country_code, sum(amount_eur) AS budget FROM bud JOIN cost_centers c USING (cost_center_id) GROUP BY 1, 2),
+    ks AS (SELECT m, country_code FROM rev UNION SELECT m, country_code FROM exp UNION SELECT m, country_code FROM cnt UNION SELECT m, country_code FROM plan),
+    g AS (SELECT m, country_code, {sql_zero('revenue')} AS r, {sql_zero('spent')} AS c, coalesce(shipments_, 0) AS s, {sql_zero('budget')} AS b, {sql_zero('coalesce(fx_r, 0) - coalesce(fx_c, 0)')} AS fx
+    FROM ks LEFT JOIN rev USING (m, country_code) LEFT JOIN exp USING (m, country_code) LEFT JOIN cnt USING (m, country_code) LEFT JOIN plan USING (m, country_code))"""
+
+
+def _sql_per(n: str) -> str:
+    return sql_ratio(n, "s", 2)
+
+
+@query(f"""WITH {_MONTHLY} SELECT m AS month_start, country_code, r AS total_revenue_eur, c AS total_operational_cost_eur, CAST(r - c AS DECIMAL(20,2)) AS gross_profit_eur,
+    {sql_ratio('r - c', 'r')} AS gross_margin_pct, s AS shipment_count, {_sql_per('r')} AS revenue_per_shipment_eur, {_sql_per('c')} AS cost_per_shipment_eur, b AS budget_amount_eur,
+    CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount_eur, {sql_ratio('b - c', 'b')} AS budget_variance_pct, fx AS fx_impact_eur FROM g""")
+def monthly_country_finance(spark, d):
+    return gold.monthly_country_finance(analogue.silver(spark, d))
+
+
+def _sql_profit(key: str, revenue: str, spent: str, count: str, tail: str, extra: str) -> str:
+    return f"""WITH rev AS ({revenue}), exp AS ({spent}), cnt AS ({count}),
+    ks AS (SELECT m, {key} FROM rev UNION SELECT m, {key} FROM exp UNION SELECT m, {key} FROM cnt),
+    g AS (SELECT ks.m, ks.{key}, coalesce(n, 0) AS s, {sql_zero('r')} AS r, {sql_zero('x')} AS c {extra}
+    FROM ks LEFT JOIN rev ON rev.m = ks.m AND rev.{key} IS NOT DISTINCT FROM ks.{key} AND ks.{key} IS NOT NULL LEFT JOIN exp ON exp.m = ks.m AND exp.{key} = ks.{key} LEFT JOIN cnt ON cnt.m = ks.m AND cnt.{key} = ks.{key})
+    SELECT g.m AS month_start, g.{key}, {tail} s AS shipment_count, r AS total_revenue_eur, c AS allocated_operational_cost_eur, CAST(r - c AS DECIMAL(20,2)) AS gross_profit_eur, {sql_ratio('r - c', 'r')} AS gross_margin_pct FROM g"""
+
+
+@query(
+    _sql_profit(
+        "route_id",
+        "SELECT i.m, s.route_id, sum(i.amount_eur) AS r FROM inv i JOIN ship s USING (shipment_id) GROUP BY 1, 2",
+        "SELECT m, route_id, sum(amount_eur) AS x FROM cost GROUP BY 1, 2",
+        "SELECT m, route_id, count(DISTINCT shipment_id) AS n FROM ship GROUP BY 1, 2",
+        "origin_country_code, destination_country_code, transport_mode,",
+        "",
+    )
+    + " JOIN routes USING (route_id)"
+)
+def route_profitability(spark, d):
+    return gold.route_profitability(analogue.silver(spark, d))
+
+
+@query(
+    _sql_profit(
+        "customer_id",
+        "SELECT m, customer_id, sum(amount_eur) AS r FROM inv GROUP BY 1, 2",
+        "SELECT c.m, s.customer_id, sum(c.amount_eur) AS x FROM cost c JOIN ship s USING (shipment_id) GROUP BY 1, 2",
+        "SELECT m, customer_id, count(DISTINCT shipment_id) AS n, arg_min(country_code, shipment_id) AS cc FROM ship GROUP BY 1, 2",
+        "cc AS country_code,",
+        ", cc",
+    )
+)
+def customer_profitability(spark, d):
+    return gold.customer_profitability(analogue.silver(spark, d))
+
+
+_BVA = f"""p AS (SELECT m, cost_center_id, sum(amount_eur) AS b FROM bud GROUP BY 1, 2), a AS (SELECT m, cost_center_id, sum(amount_eur) AS x FROM cost GROUP BY 1, 2),
+    g AS (SELECT coalesce(p.m, a.m) AS m, coalesce(p.cost_center_id, a.cost_center_id) AS cost_center_id, {sql_zero('b')} AS b, {sql_zero('x')} AS c FROM p FULL JOIN a ON p.m = a.m AND p.cost_center_id = a.cost_center_id)"""
+
+
+@query(f"""WITH {_BVA} SELECT m AS month_start, cost_center_id, country_code, b AS budget_amount_eur, c AS actual_cost_eur, CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount_eur,
+    {sql_ratio('b - c', 'b')} AS budget_variance_pct FROM g JOIN cost_centers USING (cost_center_id)""")
+def budget_vs_actual(spark, d):
+    return gold.budget_vs_actual(analogue.silver(spark, d))
+
+
+@query("SELECT m AS month_start, customer_id FROM inv UNION SELECT m, customer_id FROM ship")
+def key_spine(spark, d):
+    s = analogue.silver(spark, d)
+    frames = [s["invoices"].select(expr.month(F.col("invoice_date")).alias("month_start"), "customer_id"), s["shipments"].select(expr.month(F.col("shipment_date")).alias("month_start"), "customer_id")]
+    return gold.spine([f.distinct() for f in frames], ["month_start", "customer_id"])
+
+
+@query(f"SELECT s_nationkey, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(20,2)) AS n, {sql_ratio('CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(20,2))', 'CAST(max(CAST(s_acctbal AS DECIMAL(18,2))) AS DECIMAL(20,2))')} AS pct FROM supplier GROUP BY 1")
+def gross_margin(spark, d):
+    v = F.col("s_acctbal").cast("decimal(18,2)")
+    out = read(spark, d, "supplier").groupBy("s_nationkey").agg(expr.total(v).alias("n"), F.max(v).cast(expr.MONEY).alias("m"))
+    return out.select("s_nationkey", "n", expr.ratio(F.col("n"), F.col("m")).alias("pct"))
+
+
+@query(f"SELECT o_custkey, {sql_ratio('CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(20,2))', 'count(*)', 2)} AS per_order FROM orders GROUP BY 1")
+def per_shipment(spark, d):
+    out = read(spark, d, "orders").groupBy("o_custkey").agg(expr.total(F.col("o_totalprice").cast("decimal(18,2)")).alias("t"), F.count("*").alias("n"))
+    return out.select("o_custkey", expr.per_unit(F.col("t"), F.col("n")).alias("per_order"))
+
+
+# Reconciliation
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT count(*) AS source, count(*) FILTER (codes = '') AS trusted, count(*) FILTER (codes <> '') AS quarantined, true AS matches FROM checked")
+def row_recon(spark, d):
+    frames = analogue.frames(spark, d)
+    f = _reasons(spark, d, "shipments")
+    out = frames["shipments"].agg(F.count("*").alias("source")).join(checks.trusted(f).agg(F.count("*").alias("trusted")), F.lit(True)).join(checks.quarantined(f).agg(F.count("*").alias("quarantined")), F.lit(True))
+    return out.withColumn("matches", F.col("source") == F.col("trusted") + F.col("quarantined"))
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT {sql_zero('sum(amount_eur)')} AS source_eur, {sql_zero('sum(amount_eur) FILTER (length(codes) = 0)')} AS trusted_eur, {sql_zero('sum(amount_eur) FILTER (length(codes) > 0)')} AS quarantined_eur FROM checked")
+def financial_recon(spark, d):
+    f = _reasons(spark, d, "shipments")
+    ok = F.size("_reasons") == 0
+    return f.agg(expr.zero(F.sum("amount_eur")).alias("source_eur"), expr.zero(F.sum(F.when(ok, F.col("amount_eur")))).alias("trusted_eur"), expr.zero(F.sum(F.when(~ok, F.col("amount_eur")))).alias("quarantined_eur"))
+
+
+@query(f"""WITH {_MONTHLY}, {_BVA.replace('g AS', 'g2 AS')},
+    t AS (SELECT {sql_zero('(SELECT sum(amount_eur) FROM inv)')} AS i, {sql_zero('(SELECT sum(amount_eur) FROM cost)')} AS c, {sql_zero('(SELECT sum(amount_eur) FROM bud)')} AS b,
+    {sql_zero('(SELECT sum(r) FROM g)')} AS gi, {sql_zero('(SELECT sum(c) FROM g)')} AS gc, {sql_zero('(SELECT sum(b) FROM g)')} AS gb,
+    {sql_zero('(SELECT sum(i.amount_eur) FROM inv i JOIN ship s USING (shipment_id) JOIN routes r ON r.route_id = s.route_id)')} AS ri,
+    {sql_zero('(SELECT sum(amount_eur) FROM cost JOIN routes USING (route_id))')} AS rc, {sql_zero('(SELECT sum(c) FROM g2)')} AS ac, {sql_zero('(SELECT count(*) FROM g)')} AS k),
+    v(control, expected, actual) AS (SELECT 'monthly_revenue', i, gi FROM t UNION ALL SELECT 'monthly_cost', c, gc FROM t UNION ALL SELECT 'monthly_budget', b, gb FROM t UNION ALL SELECT 'route_revenue', i, ri FROM t
+    UNION ALL SELECT 'route_cost', c, rc FROM t UNION ALL SELECT 'customer_revenue', i, i FROM t UNION ALL SELECT 'budget_actual', c, ac FROM t UNION ALL SELECT 'monthly_keys', k, k FROM t)
+    SELECT control, expected, actual, expected = actual AS matches FROM v""")
+def gold_recon(spark, d):
+    s = analogue.silver(spark, d)
+    return gold.reconcile(s, {name: f(s) for name, f in gold.PRODUCTS.items()})
+
+
+@query("SELECT count(*) - count(DISTINCT invoice_id) AS duplicates FROM invoices")
+def duplicate_keys(spark, d):
+    return analogue.frames(spark, d)["invoices"].agg((F.count("*") - F.countDistinct("invoice_id")).alias("duplicates"))
+
+
+def _sql_digest(*columns: str) -> str:
+    return f"CAST(sum(CAST(('0x' || substring({_sql_payload(*columns)}, 1, 15)) AS BIGINT)) AS VARCHAR)"
+
+
+@query(f"SELECT currency_code, count(*) AS rows, {_sql_digest('rate_date', 'rate_to_eur')} AS row_digest, {_sql_digest('rate_date')} AS key_digest FROM exchange_rates GROUP BY 1")
+def attestation(spark, d):
+    rates = analogue.frames(spark, d)["exchange_rates"].drop("_source_row_number")
+    return evidence.attest(rates, ["rate_date"], ["currency_code"])
+
+
+# Star and views
+
+
+@query(f"""SELECT {_CALENDAR} FROM (SELECT shipment_date AS d FROM shipments UNION SELECT invoice_date FROM invoices UNION SELECT posting_date FROM operational_costs UNION SELECT month_start FROM budgets UNION SELECT rate_date FROM exchange_rates)
+    WHERE year(d) >= 1998""")
+def dim_date_missing(spark, d):
+    dates = star.dim_date(star.all_dates(analogue.frames(spark, d)))
+    held = dates.where("year < 1998")
+    return dates.join(held.select("date_key"), "date_key", "left_anti")
+
+
+@query("SELECT count(*) AS n, count(DISTINCT c_custkey) AS keys, CAST(1 AS BIGINT) AS low, count(*) AS high, count(*) FILTER (c_custkey < 100) AS kept FROM customer")
+def dim_customer_keys(spark, d):
+    """Held keys stay, new ones go on after them without a gap."""
+    c = analogue.frames(spark, d)["customers"]
+    held = c.where(F.col("customer_id").cast("int") < 100).select("customer_id", (F.col("customer_id").cast("long") + 1).alias("customer_key"))
+    out = star.keyed(c, "customer_id", held).join(held.select("customer_id", F.col("customer_key").alias("was")), "customer_id", "left")
+    k = F.col("customer_key")
+    return out.agg(F.count("*").alias("n"), F.countDistinct("customer_key").alias("keys"), F.min(k).alias("low"), F.max(k).alias("high"), F.count_if(k == F.col("was")).alias("kept"))
+
+
+def _star(spark, d):
+    return star.build(analogue.silver(spark, d))
+
+
+_S = "JOIN ship s ON s.shipment_id = f.shipment_id JOIN customers cu ON cu.customer_id = "
+
+
+@query("""SELECT f.invoice_id, CAST(strftime(f.invoice_date, '%Y%m%d') AS INTEGER) AS invoice_date_key, f.country_code, s.route_id, f.customer_id, f.cost_center_id, f.amount_eur,
+    CAST(coalesce(f.open_eur, f.amount_eur) AS DECIMAL(20,2)) AS amount_at_comparison_rate_eur FROM inv f JOIN ship s USING (shipment_id) JOIN routes r ON r.route_id = s.route_id JOIN customers cu ON cu.customer_id = f.customer_id""")
+def fact_invoice_star(spark, d):
+    s = _star(spark, d)
+    out = s["fact_invoice"]
+    for n, c in (("country", "country_code"), ("route", "route_id"), ("customer", "customer_id"), ("cost_center", "cost_center_id")):
+        out = out.join(s[f"dim_{n}"].select(f"{n}_key", c), f"{n}_key")
+    return out.select("invoice_id", "invoice_date_key", "country_code", "route_id", "customer_id", "cost_center_id", "amount_eur", "amount_at_comparison_rate_eur")
+
+
+@query("""SELECT f.cost_id, CAST(strftime(f.posting_date, '%Y%m%d') AS INTEGER) AS posting_date_key, s.customer_id, f.route_id, f.cost_type, f.amount_eur
+    FROM cost f JOIN ship s USING (shipment_id) JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = f.route_id""")
+def fact_cost_star(spark, d):
+    s = _star(spark, d)
+    out = s["fact_operational_cost"].join(s["dim_customer"].select("customer_key", "customer_id"), "customer_key").join(s["dim_route"].select("route_key", "route_id"), "route_key")
+    return out.select("cost_id", "posting_date_key", "customer_id", "route_id", "cost_type", "amount_eur")
+
+
+@query("SELECT CAST(strftime(month_start, '%Y%m%d') AS INTEGER) AS month_date_key, cost_center_id, CAST(budget_amount AS DECIMAL(20,2)) AS original_amount, amount_eur FROM bud")
+def fact_budget_star(spark, d):
+    s = _star(spark, d)
+    return s["fact_budget"].join(s["dim_cost_center"].select("cost_center_key", "cost_center_id"), "cost_center_key").select("month_date_key", "cost_center_id", "original_amount", "amount_eur")
+
+
+_FI = "fi AS (SELECT f.*, s.route_id FROM inv f JOIN ship s USING (shipment_id) JOIN routes r ON r.route_id = s.route_id JOIN customers cu ON cu.customer_id = f.customer_id)"
+_FC = "fc AS (SELECT f.m, f.country_code, f.route_id, f.cost_center_id, f.cost_type, f.amount_eur, s.customer_id FROM cost f JOIN ship s USING (shipment_id) JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = f.route_id)"
+
+
+def _sql_view(key: str) -> str:
+    return f"""WITH {_FI}, {_FC}, rev AS (SELECT m, {key}, sum(amount_eur) AS r FROM fi GROUP BY 1, 2), exp AS (SELECT m, {key}, sum(amount_eur) AS x FROM fc GROUP BY 1, 2),
+    ks AS (SELECT m, {key} FROM rev UNION SELECT m, {key} FROM exp), g AS (SELECT m, {key}, {sql_zero('r')} AS r, {sql_zero('x')} AS c FROM ks LEFT JOIN rev USING (m, {key}) LEFT JOIN exp USING (m, {key}))
+    SELECT CAST(strftime(m, '%Y%m%d') AS INTEGER) AS month_key, {key}, r AS total_revenue_eur, c AS total_operational_cost_eur, CAST(r - c AS DECIMAL(20,2)) AS gross_profit_eur, {sql_ratio('r - c', 'r')} AS gross_margin_pct FROM g"""
+
+
+@query(_sql_view("country_code"))
+def view_monthly(spark, d):
+    return star.VIEWS["monthly_country_finance"](_star(spark, d))
+
+
+@query(_sql_view("route_id"))
+def view_route(spark, d):
+    return star.VIEWS["route_profitability"](_star(spark, d))
+
+
+@query(_sql_view("customer_id"))
+def view_customer(spark, d):
+    return star.VIEWS["customer_profitability"](_star(spark, d))
+
+
+@query(f"""WITH {_FC}, a AS (SELECT m, cost_center_id, sum(amount_eur) AS x FROM fc GROUP BY 1, 2), p AS (SELECT m, cost_center_id, sum(amount_eur) AS b FROM bud GROUP BY 1, 2)
+    SELECT CAST(strftime(p.m, '%Y%m%d') AS INTEGER) AS month_date_key, p.cost_center_id, CAST(b AS DECIMAL(20,2)) AS budget_amount_eur, {sql_zero('x')} AS actual_cost_eur,
+    CAST(b - coalesce(x, 0) AS DECIMAL(20,2)) AS budget_variance_amount_eur FROM p LEFT JOIN a ON a.m = p.m AND a.cost_center_id = p.cost_center_id""")
+def view_budget_left(spark, d):
+    return star.VIEWS["budget_vs_actual"](_star(spark, d))
+
+
+@query(f"""WITH {_FI} SELECT invoice_id, shipment_id, invoice_date AS calendar_date, fi.customer_id, customer_name, fi.country_code, route_id, transport_mode, amount_eur
+    FROM fi JOIN customers c ON c.customer_id = fi.customer_id JOIN routes USING (route_id)""")
+def drillthrough(spark, d):
+    return star.VIEWS["transaction_drillthrough"](_star(spark, d))
+
+
+@query("SELECT event_id, max(CASE WHEN event_type = 'click' THEN ts END) OVER () AS latest FROM events")
+def latest_refresh(spark, d):
+    e = read(spark, d, "events").select("event_id", "event_type", "ts")
+    top = e.agg(F.max(F.when(F.col("event_type") == "click", F.col("ts"))).alias("latest"))
+    return e.join(F.broadcast(top), F.lit(True)).select("event_id", "latest")
+
+
+_CONTROLS = ("invoice_count", "operational_cost_count", "revenue_eur", "operational_cost_eur", "gross_profit_eur", "budget_eur", "duplicate_invoice_ids", "duplicate_cost_ids", "duplicate_shipment_ids")
+
+
+@query(f"""WITH {_FI}, {_FC}, ids AS (SELECT f.cost_id FROM cost f JOIN ship s USING (shipment_id) JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = f.route_id),
+    a(control_name, v) AS (SELECT 'invoice_count', CAST(count(*) AS DECIMAL(38,2)) FROM fi UNION ALL SELECT 'operational_cost_count', CAST(count(*) AS DECIMAL(38,2)) FROM fc UNION ALL SELECT 'revenue_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM fi
+    UNION ALL SELECT 'operational_cost_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM fc UNION ALL SELECT 'gross_profit_eur', CAST((SELECT sum(amount_eur) FROM fi) - (SELECT sum(amount_eur) FROM fc) AS DECIMAL(38,2))
+    UNION ALL SELECT 'budget_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM bud UNION ALL SELECT 'duplicate_invoice_ids', CAST(count(*) - count(DISTINCT invoice_id) AS DECIMAL(38,2)) FROM fi
+    UNION ALL SELECT 'duplicate_cost_ids', CAST(count(*) - count(DISTINCT cost_id) AS DECIMAL(38,2)) FROM ids
+    UNION ALL SELECT 'duplicate_shipment_ids', CAST(0 AS DECIMAL(38,2)))
+    SELECT control_name, CAST(0 AS DECIMAL(38,2)) AS expected_value, v AS actual_value, v AS difference, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM a""")
+def serving_controls(spark, d):
+    return star.controls(_star(spark, d), {c: "0" for c in _CONTROLS})
+
+
+# Semantic layer
+
+_TOT = f"""tot AS (SELECT {sql_zero('(SELECT sum(amount_eur) FROM fi)')} AS r, {sql_zero('(SELECT sum(amount_eur) FROM fc)')} AS c,
+    (SELECT count(DISTINCT s.shipment_id) FROM ship s JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = s.route_id) AS s,
+    {sql_zero('(SELECT sum(amount_eur) FROM bud)')} AS b, {sql_zero('(SELECT sum(amount_eur - coalesce(open_eur, amount_eur)) FROM fi)')} AS fx)"""
+_MEASURE_SQL = {
+    "total_revenue": "r",
+    "total_operational_cost": "c",
+    "gross_profit": "CAST(r - c AS DECIMAL(20,2))",
+    "gross_margin_pct": sql_ratio("r - c", "r"),
+    "shipment_count": "s",
+    "revenue_per_shipment": sql_ratio("r", "s", 2),
+    "cost_per_shipment": sql_ratio("c", "s", 2),
+    "budget_amount": "b",
+    "actual_cost": "c",
+    "budget_variance_amount": "CAST(b - c AS DECIMAL(20,2))",
+    "budget_variance_pct": sql_ratio("b - c", "b"),
+    "fx_impact": "fx",
+}
+
+
+def _measure(name: str) -> None:
+    def run(spark, d):
+        return semantic.query(semantic.flat_facts(_star(spark, d)), [name])
+
+    run.__name__ = f"measure_{name}"
+    query(f"WITH {_FI}, {_FC}, {_TOT} SELECT {_MEASURE_SQL[name]} AS {name} FROM tot")(run)
+
+
+for _name in _MEASURE_SQL:
+    _measure(_name)
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT CAST(sum(n) AS BIGINT) AS failed_quality_rows FROM by_rule")
+def measure_failed_quality_rows(spark, d):
+    return semantic.query({"quality": _ship_quality(spark, d)}, ["failed_quality_rows"])
+
+
+@query("SELECT TIMESTAMP '2025-01-01 00:00:00' AS latest_successful_refresh")
+def measure_latest_successful_refresh(spark, d):
+    return semantic.query({"quality": _ship_quality(spark, d)}, ["latest_successful_refresh"])
+
+
+def _sql_report(key: str, columns: str, frames: str = "fi fc", where: str = "") -> str:
+    return f"""WITH {_FI}, {_FC}, rev AS (SELECT {key}, sum(amount_eur) AS r FROM fi {where} GROUP BY 1), exp AS (SELECT {key}, sum(amount_eur) AS c FROM fc {where} GROUP BY 1),
+    ks AS (SELECT {key} FROM rev UNION SELECT {key} FROM exp), g AS (SELECT {key}, {sql_zero('r')} AS r, {sql_zero('c')} AS c FROM ks LEFT JOIN rev USING ({key}) LEFT JOIN exp USING ({key})) SELECT {columns} FROM g"""
+
+
+@query(_sql_report("m", "m AS month_start, r AS total_revenue, c AS total_operational_cost"))
+def report_trend(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "total_operational_cost"], ["month_start"])
+
+
+@query(_sql_report("country_code", "country_code, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit"))
+def report_country(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"])
+
+
+@query(_sql_report("country_code", "country_code, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit", where="WHERE m = DATE '1998-05-01'"))
+def report_country_filtered(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"], F.col("month_start") == F.lit("1998-05-01").cast("date"))
+
+
+@query(_sql_report("customer_id", f"customer_id, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit, {sql_ratio('r - c', 'r')} AS gross_margin_pct") + " ORDER BY r DESC, customer_id LIMIT 20")
+def report_customer_ranked(spark, d):
+    out = semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit", "gross_margin_pct"], ["customer_id"])
+    return semantic.ranked(out, "total_revenue", ["customer_id"], 20)
+
+
+@query(f"""WITH {_FC}, x AS (SELECT route_id, sum(amount_eur) AS c FROM fc GROUP BY 1), n AS (SELECT s.route_id, count(DISTINCT shipment_id) AS s FROM ship s JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = s.route_id GROUP BY 1),
+    ks AS (SELECT route_id FROM x UNION SELECT route_id FROM n) SELECT route_id, {sql_zero('c')} AS total_operational_cost, coalesce(s, 0) AS shipment_count FROM ks LEFT JOIN x USING (route_id) LEFT JOIN n USING (route_id)""")
+def report_route(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_operational_cost", "shipment_count"], ["route_id"])
+
+
+@query(f"""WITH {_FC}, p AS (SELECT cost_center_id, sum(amount_eur) AS b FROM bud GROUP BY 1), x AS (SELECT cost_center_id, sum(amount_eur) AS c FROM fc GROUP BY 1), ks AS (SELECT cost_center_id FROM p UNION SELECT cost_center_id FROM x),
+    g AS (SELECT cost_center_id, {sql_zero('b')} AS b, {sql_zero('c')} AS c FROM ks LEFT JOIN p USING (cost_center_id) LEFT JOIN x USING (cost_center_id))
+    SELECT cost_center_id, b AS budget_amount, c AS actual_cost, CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount FROM g""")
+def report_cost_center(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["budget_amount", "actual_cost", "budget_variance_amount"], ["cost_center_id"])
+
+
+@query(f"WITH {_FC} SELECT cost_type, CAST(sum(amount_eur) AS DECIMAL(20,2)) AS total_operational_cost FROM fc GROUP BY 1")
+def report_cost_type(spark, d):
+    out = _star(spark, d)["fact_operational_cost"].groupBy("cost_type").agg(expr.total(F.col("amount_eur")).alias("total_operational_cost"))
+    return out
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT 'b1' AS batch_id, 'shipments' AS affected_dataset, rule_name, 'FAIL' AS validation_status, n AS failed_quality_rows FROM by_rule")
+def report_dq(spark, d):
+    out = semantic.query({"quality": _ship_quality(spark, d)}, ["failed_quality_rows"], ["batch_id", "affected_dataset", "rule_name", "validation_status"])
+    return out.where("validation_status = 'FAIL'")
+
+
+@query("SELECT row_number() OVER (ORDER BY c_custkey) AS row, c_custkey FROM customer")
+def source_row_numbers(spark, d):
+    """Numbers over a total order without one task for all rows: range parts, and each part's offset."""
+    from finlake.sources.delivery import numbered
+
+    return numbered(read(spark, d, "customer").select("c_custkey"), ["c_custkey"]).select(F.col("_source_row_number").alias("row"), "c_custkey")
