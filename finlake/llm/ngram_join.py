@@ -4,14 +4,17 @@ A document's set is its distinct 3-word shingles (64-bit hashes). Sets link when
 PERCENT. All steps before the search only leave out pairs that can't link:
 
 1. Equal sets are one class, which its first document stands for.
-2. Two sets that link share at least c shingles among their first 0.1 n + c in hash order. Of those first shingles,
-   the ones that no other set has come first in a second order, of which the same rule needs one shared shingle in a
-   still shorter part. So a text of whose shingles enough are its own is done, whatever passages it shares.
-3. Sets that share a shingle in that part form clusters. Clusters are cut into blocks, all of which hold the cluster's
-   leaders. In a block each set is searched by DivideSkip: its short inverted lists are merged by a heap, the sets that
-   occur often enough there are probed for in its long lists by binary search, and those that reach the overlap link.
-   Sets that are in one component already need no search.
-4. In clusters of several blocks, sets outside the largest component search all blocks for what is still apart.
+2. Two sets that link share at least c shingles among their first 0.1 n + c in hash order. A text of whose first
+   shingles too many are its own is done, whatever passages it shares.
+3. The same rule over all shingles of the sets that are left, the rarest first: two sets that link share one of their
+   first 0.1 n + 1. Sets that share such a shingle form clusters.
+4. Clusters are cut into blocks, all of which hold the cluster's leaders. In a block each set is searched by
+   DivideSkip: its short inverted lists are merged by a heap, the sets that occur often enough there are probed for in
+   its long lists by binary search, and those that reach the overlap link. Sets that are in one component already need
+   no search.
+5. In clusters of several blocks, sets outside the largest component search all blocks for what is still apart.
+
+Steps 2 and 3 compare 50 bits of the hashes; where two shingles agree in those, a set is searched for nothing.
 
 Defined results: null and blank texts have empty sets and link with nothing; with fewer than three words the sequence is
 the one shingle; null ids come last and are never a component's id unless all are null; an empty table gives no rows;
@@ -40,7 +43,6 @@ BLOCK, LEADERS, ROUTES = 512, 8, 1024
 MU = 0.02
 _WORD = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_TOKEN = np.dtype([("token", "<u8"), ("doc", "<u4")])
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -70,57 +72,80 @@ def first_part(n: int, percent: int = PERCENT) -> int:
     return min(n, 2 * slack(n, percent) + 1)
 
 
-def short_part(n: int, percent: int = PERCENT) -> int:
-    """Of those, own ones first, the number among which one is shared."""
-    return first_part(n, percent) - slack(-(-percent * n // 100), percent)
-
-
 def linked(overlap, a, b, percent: int = PERCENT):
     return 100 * overlap >= percent * (a + b - overlap)
 
 
+def packed(tokens: list[np.ndarray], ids: np.ndarray) -> pd.DataFrame:
+    """(route, base, packed): 10 bits of each token choose the route, 40 more stand above 24 bits of the id."""
+    out = []
+    for high in np.unique(ids >> 24):
+        here = [i for i in np.flatnonzero(ids >> 24 == high) if len(tokens[i])]
+        if not here:
+            continue
+        mixed = np.concatenate([tokens[i] for i in here]) * _M1
+        low = np.repeat((ids[here] & ((1 << 24) - 1)).astype(np.uint64), [len(tokens[i]) for i in here])
+        route = (mixed >> np.uint64(54)).astype(np.int64)
+        word = ((mixed >> np.uint64(14)) << np.uint64(24)) | low
+        order = np.argsort(route, kind="stable")
+        bounds = np.searchsorted(route[order], np.arange(ROUTES + 1))
+        word = word[order]
+        out += [(r, int(high) << 24, word[bounds[r] : bounds[r + 1]].tobytes()) for r in range(ROUTES) if bounds[r] < bounds[r + 1]]
+    return pd.DataFrame(out, columns=["route", "base", "packed"])
+
+
 def _sets(batches: Iterator[pd.DataFrame], percent: int, words: int) -> Iterator[pd.DataFrame]:
+    """Step 2: size and digest of each set, and its first shingles, packed."""
+    for batch in batches:
+        sets = [shingles(t, words) for t in batch["text"]]
+        digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+        yield batch[["row", "doc_id"]].assign(n=[len(s) for s in sets], digest=digests, route=-1, base=0, packed=None)
+        made = packed([s[: first_part(len(s), percent)] for s in sets], batch["row"].to_numpy())
+        yield made.assign(row=0, doc_id=0, n=0, digest=None)[["row", "doc_id", "n", "digest", "route", "base", "packed"]]
+
+
+def _all_tokens(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows, ids = batch["row"].to_numpy(), batch["doc_id"].to_numpy()
-        base, docs, parts, meta = int(rows.min()), [], [], []
-        for row, doc_id, text in zip(rows, ids, batch["text"], strict=True):
-            s = shingles(text, words)
-            meta.append((row, doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None))
-            if len(s):
-                parts.append(s[: first_part(len(s), percent)])
-                docs.append(row - base)
-        yield pd.DataFrame(meta, columns=["row", "doc_id", "n", "digest"]).assign(route=-1, base=0, packed=None)
-        if parts:
-            every = np.zeros(sum(map(len, parts)), dtype=_TOKEN)
-            every["token"], every["doc"] = np.concatenate(parts), np.repeat(docs, [len(p) for p in parts])
-            route = ((every["token"] * _M1) >> np.uint64(40)).astype(np.int64) % ROUTES
-            order = np.argsort(route, kind="stable")
-            bounds = np.searchsorted(route[order], np.arange(ROUTES + 1))
-            every = every[order]
-            made = [(r, base, every[bounds[r] : bounds[r + 1]].tobytes()) for r in range(ROUTES) if bounds[r] < bounds[r + 1]]
-            yield pd.DataFrame(made, columns=["route", "base", "packed"]).assign(row=0, doc_id=0, n=0, digest=None)[["row", "doc_id", "n", "digest", "route", "base", "packed"]]
-
-
-def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(row, token) of tokens that two or more sets hold in their first part."""
-    held, bases = [], []
+        yield packed([shingles(t, words) for t in batch["text"]], batch["id"].to_numpy())
+
+
+def _gathered(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, id, sets that hold the token) of tokens that two or more hold, from whole routes."""
+    held, bases, routes = [], [], []
     for batch in batches:
-        for base, packed in zip(batch["base"], batch["packed"], strict=True):
-            held.append(np.frombuffer(packed, dtype=_TOKEN))
+        for route, base, raw in zip(batch["route"], batch["base"], batch["packed"], strict=True):
+            held.append(np.frombuffer(raw, dtype="<u8"))
             bases.append(base)
+            routes.append(route)
     if not held:
-        return
-    base = np.repeat(np.array(bases, dtype=np.int64), [len(x) for x in held])
-    every = np.concatenate(held)
+        return (np.zeros(0, dtype=np.int64),) * 3
+    sizes = [len(x) for x in held]
+    word = np.concatenate(held)
     del held
-    order = np.argsort(every["token"], kind="stable")
-    token = every["token"][order]
-    same = token[1:] == token[:-1]
-    many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    order = order[many]
-    for a in range(0, len(order), 1 << 16):
-        at = order[a : a + (1 << 16)]
-        yield pd.DataFrame({"row": every["doc"][at].astype("int64") + base[at], "token": every["token"][at].astype("int64")})
+    token = (word >> np.uint64(24)).astype(np.int64) | (np.repeat(np.array(routes, dtype=np.int64), sizes) << 40)
+    ids = (word & np.uint64((1 << 24) - 1)).astype(np.int64) + np.repeat(np.array(bases, dtype=np.int64), sizes)
+    del word
+    order = np.argsort(token, kind="stable")
+    token, ids = token[order], ids[order]
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    count = np.diff(np.concatenate([first, [len(token)]]))
+    count = np.repeat(count, count)
+    many = count > 1
+    return token[many], ids[many], count[many]
+
+
+def _shared_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(row, k): k of the row's tokens here are in other sets too."""
+    _, ids, _ = _gathered(batches)
+    row, k = np.unique(ids, return_counts=True)
+    yield pd.DataFrame({"row": row, "k": k})
+
+
+def _shared_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    token, ids, count = _gathered(batches)
+    for a in range(0, len(token), 1 << 16):
+        b = a + (1 << 16)
+        yield pd.DataFrame({"id": ids[a:b], "df": count[a:b].astype("int32"), "token": token[a:b]})
 
 
 class Search:
@@ -229,18 +254,22 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     meta = made.where("route < 0").select("row", "doc_id", "n", "digest")
     classes = cut(meta.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n")).select("digest", "rep.*", "n"))
 
-    shared = made.where("route >= 0").select("route", "base", "packed").repartition("route").mapInPandas(_shared, "row long, token long")
-    f = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    small = F.ceil(F.col("n") * percent / 100)
-    rest = small - F.ceil(small * percent / 100)
-    first = F.least(F.col("n"), 2 * f + 1)
-    own = first - F.size("tokens")
-    sets = shared.groupBy("row").agg(F.sort_array(F.collect_list("token")).alias("tokens")).join(classes.select("row", "n"), "row")
-    sets = sets.withColumn("take", (first - rest - own).cast("int")).where("take > 0")
-    # The order of tokens is the same for all sets: as signed numbers.
-    parts = cut(sets.select("row", F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("token")))
+    routes = "route int, base long, packed binary"
+    shared = made.where("route >= 0").select("route", "base", "packed").repartition("route").mapInPandas(_shared_counts, "row long, k long")
+    n = F.col("n")
+    least = F.ceil(n * percent / 100)  # what a set that links with n has at least
+    lack, lack_least = n - least, least - F.ceil(least * percent / 100)
+    first = F.least(n, 2 * lack + 1)
+    # The first part less what two sets share of it, by the smaller's lack, plus one; own shingles fill it first.
+    able = shared.groupBy("row").agg(F.sum("k").alias("k")).join(classes.select("row", "n"), "row").where(first - lack_least > first - F.col("k"))
+    texts = cut(docs.join(able.select("row", "n"), "row").select("row", "n", "text", F.monotonically_increasing_id().alias("id")))
+    tokens = texts.select("id", "text").mapInPandas(lambda it: _all_tokens(it, words), routes).repartition("route").mapInPandas(_shared_tokens, "id long, df int, token long")
+    sets = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).join(texts.select("id", "row", "n"), "id")
+    sets = sets.withColumn("take", (lack + 1 - (n - F.size("tokens"))).cast("int")).where("take > 0")
+    parts = cut(sets.select("row", F.explode(F.slice("tokens", F.lit(1), F.col("take"))["token"]).alias("token")))
     pivots = cut(parts.groupBy("token").agg(F.min("row").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("token", "pivot"))
     clusters = components(parts.join(pivots, "token").select(F.col("row").alias("a"), F.col("pivot").alias("b")))
+    texts = texts.select("row", "text")
     sizes = clusters.groupBy("label").agg(F.count("*").alias("m"))
     members = cut(clusters.join(sizes, "label").select(F.col("node").alias("row"), F.col("label").alias("cluster"), "m"))
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
@@ -249,7 +278,7 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     leader = (F.col("m") > BLOCK) & (F.pmod(F.xxhash64("row", F.lit(12)), F.col("m")) < LEADERS)
     dealt = members.withColumn("block", F.explode(F.when(leader, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(spread))))
     schema = "a long, b long"
-    with_text = dealt.join(docs.select("row", "text"), "row").select("cluster", "block", "row", "text", F.lit(-1).cast("long").alias("label"), F.lit(True).alias("query"))
+    with_text = dealt.join(texts, "row").select("cluster", "block", "row", "text", F.lit(-1).cast("long").alias("label"), F.lit(True).alias("query"))
     links = cut(with_text.groupBy("cluster", "block").applyInPandas(_links(percent, words), schema))
 
     large = members.where(F.col("m") > BLOCK)
@@ -264,7 +293,7 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
         at_query, at_all = F.pmod(F.xxhash64("row", F.lit(13)), n_query).cast("int"), F.pmod(F.xxhash64("row", F.lit(14)), n_all).cast("int")
         as_query = left.where("query").select("cluster", "row", "label", "query", at_query.alias("block"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("other"))
         as_set = left.select("cluster", "row", "label", F.lit(False).alias("query"), F.explode(F.sequence(F.lit(0), n_query - 1)).alias("block"), at_all.alias("other"))
-        again = as_query.unionByName(as_set).join(docs.select("row", "text"), "row").select("cluster", "block", "other", "row", "text", "label", "query")
+        again = as_query.unionByName(as_set).join(texts, "row").select("cluster", "block", "other", "row", "text", "label", "query")
         links = cut(links.unionByName(again.groupBy("cluster", "block", "other").applyInPandas(_links(percent, words), schema)))
 
     labels = components(links)

@@ -4,6 +4,7 @@ A byte goes if a window of LENGTH bytes around it also starts earlier (smaller d
 start). Every window names an anchor: the least hashed GRAM-byte gram inside it. Equal windows have equal anchors at
 equal places, so windows need comparing only where an anchor occurs twice. The stages:
 
+0. Of equal whole texts only the first is searched; the others go entirely.
 1. Each batch cuts its texts into fragments (the windows that share an anchor occurrence), settles fragments that the
    batch itself repeats, and sends packed anchors by their hash.
 2. Anchors that occur twice or more anywhere make their fragments candidates. An anchor with many candidates is dealt
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import small_batches
+from finlake.llm.common import cut, small_batches
 
 LENGTH, GRAM = 100, 24
 WIDE = LENGTH - GRAM + 1
@@ -361,19 +362,23 @@ def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def dedup_substrings(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_bytes: bool = True) -> DataFrame:
     """One row per row of `df`: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay)."""
     small_batches(df.sparkSession, 8192)
-    docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
-    packed = ordered.mapInPandas(_cut_batches, "route int, base long, anchors boolean, packed binary").repartition("route")
+    docs = df.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc_id"), F.col(text).alias("text"))
+    # Of equal texts all but the first go as a whole, and needn't be searched.
+    whole = docs.select("row", "doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("digest"), F.octet_length("text").alias("end")).where(F.col("end") >= LENGTH)
+    firsts = cut(whole.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first.row"))
+    copies = cut(whole.join(firsts.withColumnRenamed("row", "first"), "digest").where("row != first").select("row", F.lit(0).alias("start"), "end"))
+
+    packed = docs.mapInPandas(_cut_batches, "route int, base long, anchors boolean, packed binary").repartition("route")
     found = packed.mapInPandas(_candidates, "row long, start int, end int, anchor long, salt int")
     found = found.groupBy("row").agg(F.collect_list(F.struct("start", "end", "anchor", "salt")).alias("found"))
-    loaded = ordered.join(found, "row").select("row", "doc_id", "text", "found")
+    loaded = docs.join(found.join(copies.select("row"), "row", "left_anti"), "row").select("row", "doc_id", "text", "found")
     shipped = loaded.mapInPandas(_with_bytes, "row long, doc_id long, start int, end int, anchor long, salt int, raw binary")
     grouped = shipped.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "doc_id", "row", "start")
     spans = grouped.mapInPandas(_groups, "row long, doc_id long, start int, end int, digest binary")
     meet = Window.partitionBy(F.coalesce("digest", F.col("row").cast("string").cast("binary"))).orderBy("doc_id", "row", "start")
-    spans = spans.withColumn("nth", F.row_number().over(meet)).where("digest is null or nth > 1")
-    spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    out = docs.join(spans, "row", "left").select("doc_id", "text", "spans")
+    spans = spans.withColumn("nth", F.row_number().over(meet)).where("digest is null or nth > 1").select("row", "start", "end")
+    spans = spans.unionByName(copies).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    out = docs.join(spans, "row", "left").select(F.when(F.col("doc_id") != _LAST, F.col("doc_id")).alias("doc_id"), "text", "spans")
     kept = ", kept binary" if keep_bytes else ""
     run = _removed if keep_bytes else lambda it: (x.drop(columns="kept") for x in _removed(it))
     return out.mapInPandas(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string{kept}")
