@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -57,6 +58,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """`df` if its rows come in the same order whenever and with whatever columns they are read, as from files; else
+    written and read back. Row numbers by monotonically_increasing_id name the same rows only then."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for m in re.finditer(r"(?m)^[\s:+\-]*([A-Z]\w*)", plan)}
+    return df if nodes <= {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD"} else cut(df)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds what one Arrow batch holds, so that Python workers stay small on long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

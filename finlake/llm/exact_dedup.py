@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut
+from finlake.llm.common import cut, settled
 
 #: Counters of a Misra-Gries summary, and so the most rows that are ever broadcast.
 COUNTERS = 1000
@@ -59,6 +59,7 @@ def winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
 def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS) -> DataFrame:
     """One row for each row of `df`: doc_id, keep_id, group_size, kept, text_sha256."""
+    df = settled(df)
     digests = cut(df.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_sha256"), F.monotonically_increasing_id().alias("row")))
     top = winners(digests, counters)
     frequent = digests.join(F.broadcast(top), "text_sha256")
@@ -76,6 +77,7 @@ def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", count
 
 def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS) -> DataFrame:
     """The rows of `df` that stay, with its columns. Copies of frequent texts go before the shuffle."""
+    df = settled(df)
     marked = df.withColumn("text_sha256_", digest(F.col(text)))
     digests = cut(marked.select(F.col(doc_id).alias("doc_id"), F.col("text_sha256_").alias("text_sha256"), F.monotonically_increasing_id().alias("row")))
     top = winners(digests, counters).select(F.col("text_sha256").alias("text_sha256_"), F.col("top.doc_id").alias("keep_"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, no_clash, small_batches
+from finlake.llm.common import cut, no_clash, settled, small_batches
 
 #: A subtree is a template on this many pages of a host, and on this share of them.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -137,6 +137,7 @@ def blocks_of(page: str) -> list[tuple[str, list[int]]]:
 
 def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Every row's other columns with row, host and blocks (text, around: hashes of subtrees)."""
+    df = settled(df)
     small_batches(df.sparkSession, 256)
     rest = no_clash(df, "row", "host", "blocks", "text", "n_chars", html)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, n_words_of, words_of
+from finlake.llm.common import cut, n_words_of, settled, words_of
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -91,6 +91,7 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(texts, pieces). texts: row, doc_id, size, source_size, target for each row of `df`. pieces: row, first word,
     words and times for each part of a text that one block covers and the mix takes."""
+    df = settled(df)
     spark = df.sparkSession
     name = F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
     part = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(PARTS))
@@ -133,6 +134,7 @@ def mix_counts(df: DataFrame, **names: str) -> DataFrame:
 def mix_texts(df: DataFrame, text: str = "text", **names: str) -> DataFrame:
     """The mix itself, with the columns of `df`: a row for each taking of a run of words that is taken equally often.
     A run that is a whole text keeps that text; others are their words with single spaces."""
+    df = settled(df)
     texts, pieces = mixture(df, text=text, **names)
     runs = F.sort_array(F.collect_list(F.struct("first", "words", "times")))
     last = lambda acc: F.element_at(acc, -1)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import WORD, cut, small_batches
+from finlake.llm.common import WORD, cut, settled, small_batches
 from finlake.llm.components import components
 
 PERCENT, WORDS = 90, 3
@@ -242,6 +242,7 @@ def _links(percent: int, words: int):
 
 def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """One row per row of `df`: row, doc_id, n_shingles, component_id and first (whether it is its component's first row)."""
+    df = settled(df)
     spark = df.sparkSession
     small_batches(spark, 4096)
     docs = df.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -309,6 +310,7 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
 
 def one_of_each(df: DataFrame, **names) -> DataFrame:
     """The rows of `df` that are their component's first, with its columns."""
+    df = settled(df)
     first = link_components(df, **names).where("first").select("row")
     marked = df.withColumn("row_", F.monotonically_increasing_id())
     return marked.join(first.withColumnRenamed("row", "row_"), "row_").select(*[F.col(f"`{c}`") for c in df.columns])

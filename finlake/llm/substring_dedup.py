@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, small_batches
+from finlake.llm.common import cut, settled, small_batches
 
 LENGTH, GRAM = 100, 24
 WIDE = LENGTH - GRAM + 1
@@ -361,6 +361,7 @@ def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def dedup_substrings(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_bytes: bool = True) -> DataFrame:
     """One row per row of `df`: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay)."""
+    df = settled(df)
     small_batches(df.sparkSession, 8192)
     docs = df.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("doc_id"), F.col(text).alias("text"))
     # Of equal texts all but the first go as a whole, and needn't be searched.
