@@ -20,5 +20,5 @@ def land(spark: SparkSession, inbox: str | Path, checkpoint: str | Path, process
         for row in found:
             process(Path(unquote(urlparse(row["path"]).path)).parent)
 
-    stream = spark.readStream.format("binaryFile").option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).load(str(inbox))
+    stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "manifest.json").option("recursiveFileLookup", True).load(str(inbox))
     return stream.select(F.col("path"), F.col("modificationTime")).writeStream.foreachBatch(run).option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start()
