@@ -83,28 +83,45 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) <= WINDOW, few).otherwise(let(F.transform(words, lambda w: F.xxhash64(w)), lambda each: let(windows(each), count)))
 
 
-def bad_line(line: Column, rules: LineRules) -> Column:
-    """Whether a line with a word fails a rule."""
-    dense = F.translate(line, BLANKS, "")
-    size = F.length(dense)
-    n = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
-    lower = F.lower(F.trim(line))
-    symbols = size - F.length(F.translate(dense, SYMBOLS, ""))
-    letters = size - F.length(F.regexp_replace(dense, r"\p{L}", ""))
-    separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|»›•·>/]+(?![^\x20\x09-\x0D])"))
-    punctuation = (symbols > rules.max_symbols * size) | (letters < rules.min_letters * size) | ((n >= rules.long_line) & ~line.rlike(r"[.!?…。！？]"))
-    navigation = (separators > rules.max_separators * n) | lower.rlike(MENU)
-    furniture = F.lit(False)
-    for phrase in BOILERPLATE:
-        furniture = furniture | lower.contains(phrase)
-    return punctuation | navigation | furniture
+def described(line: Column) -> Column:
+    """A line with its size (characters that aren't blank), symbols and letters."""
+
+    def counted(dense: Column) -> Column:
+        size = F.length(dense).cast("long")
+        return F.struct(
+            line.alias("line"),
+            size.alias("size"),
+            (size - F.length(F.translate(dense, SYMBOLS, ""))).alias("symbols"),
+            F.length(F.regexp_replace(dense, r"\P{L}+", "")).cast("long").alias("letters"),
+        )
+
+    return let(F.translate(line, BLANKS, ""), counted)
+
+
+def bad_line(x: Column, rules: LineRules) -> Column:
+    """Whether a described line with a word fails a rule. Its words are counted by its blanks."""
+    line, size = x["line"], x["size"]
+    n = F.length(line) - size + 1
+    punctuation = (x["symbols"] > rules.max_symbols * size) | (x["letters"] < rules.min_letters * size) | ((n >= rules.long_line) & ~line.rlike(r"[.!?…。！？]"))
+    marks = F.lit(False)
+    for mark in "|»›•·":
+        marks = marks | line.contains(mark)
+    marks = marks | line.contains(" > ") | line.contains(" / ")
+    navigation = marks & (F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|»›•·>/]+(?![^\x20\x09-\x0D])")) > rules.max_separators * n)
+
+    def furniture(lower: Column) -> Column:
+        out = (size < 20) & F.trim(lower).rlike(MENU)
+        for phrase in BOILERPLATE:
+            out = out | lower.contains(phrase)
+        return out
+
+    return punctuation | navigation | let(F.lower(line), furniture)
 
 
 def quality_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
     """`df` with n_words, the base counts, base_failed, n_lines, n_bad_lines, lost_chars, clean_text and kept."""
     body = F.coalesce(F.col(text), F.lit(""))
-    size = lambda c: F.length(F.translate(c, BLANKS, ""))
-    total = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc + size(x))
+    total = lambda lines, of: F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc + x[of])
 
     def by_word(words: Column) -> Column:
         return F.struct(F.size(words).cast("long").alias("n_words"), repeated_words(words).alias("n_repeat_words"))
@@ -113,20 +130,23 @@ def quality_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRule
         def judged(bad: Column) -> Column:
             return F.struct(
                 F.size(lines).cast("long").alias("n_lines"),
-                (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+                (F.size(lines) - F.size(F.array_distinct(F.transform(lines, lambda x: x["line"])))).cast("long").alias("n_dup_lines"),
+                total(lines, "size").alias("word_chars"),
+                total(lines, "symbols").alias("n_symbols"),
                 F.size(bad).cast("long").alias("n_bad_lines"),
-                total(bad).alias("lost_chars"),
+                total(bad, "size").alias("lost_chars"),
             )
 
         return let(F.filter(lines, lambda x: bad_line(x, rules)), judged)
 
-    filled = F.filter(F.split(body, "\n"), lambda x: size(x) > 0)
+    lines = F.transform(F.split(body, "\n"), described)
+    filled = F.filter(lines, lambda x: x["size"] > 0)
     out = df.withColumns({"_w": let(words_of(body), by_word), "_l": let(filled, by_line)})
     out = no_clash(out, *ADDED).select(
         "*",
         F.col("_w.n_words"),
-        size(body).cast("long").alias("word_chars"),
-        (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.col("_l.word_chars"),
+        F.col("_l.n_symbols"),
         F.col("_l.n_dup_lines"),
         F.col("_w.n_repeat_words"),
         ((F.col("_w.n_words") < rules.min_words) | (100 * F.col("_w.n_repeat_words") > rules.max_repeat * F.col("_w.n_words"))).alias("base_failed"),
@@ -134,5 +154,5 @@ def quality_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRule
         F.col("_l.n_bad_lines"),
         F.col("_l.lost_chars"),
     )
-    clean = F.array_join(F.filter(F.split(body, "\n"), lambda x: (size(x) == 0) | ~bad_line(x, rules)), "\n")
+    clean = F.array_join(F.transform(F.filter(lines, lambda x: (x["size"] == 0) | ~bad_line(x, rules)), lambda x: x["line"]), "\n")
     return out.withColumns({"clean_text": clean, "kept": ~F.col("base_failed") & (F.col("lost_chars") <= rules.max_lost * F.col("word_chars"))}).drop("_w", "_l")
