@@ -810,6 +810,24 @@ def report_dq(spark, d):
     return out.where("validation_status = 'FAIL'")
 
 
+@query(f"WITH {_FI}, {_FC}, {_TOT} SELECT " + ", ".join(f"{_MEASURE_SQL[m]} AS {m}" for m in ("total_revenue", "total_operational_cost", "gross_profit", "gross_margin_pct", "shipment_count")) + " FROM tot")
+def report_executive_card(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "total_operational_cost", "gross_profit", "gross_margin_pct", "shipment_count"])
+
+
+@query(f"""WITH {_SHIP_CHECKED}, {_BY_RULE}, {_FC}, x AS (SELECT {sql_zero('(SELECT sum(amount_eur) FROM bud)')} AS b, {sql_zero('(SELECT sum(amount_eur) FROM fc)')} AS c)
+    SELECT CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount, (SELECT CAST(sum(n) AS BIGINT) FROM by_rule) AS failed_quality_rows, TIMESTAMP '2025-01-01 00:00:00' AS latest_successful_refresh FROM x""")
+def report_status_card(spark, d):
+    return semantic.query(semantic.flat_facts(_star(spark, d), _ship_quality(spark, d)), ["budget_variance_amount", "failed_quality_rows", "latest_successful_refresh"])
+
+
+@query(f"""WITH {_FI} SELECT invoice_id, shipment_id, invoice_date AS calendar_date, fi.customer_id, fi.country_code, route_id, amount_eur FROM fi WHERE invoice_id = '7-1' OR (fi.country_code = 'N3' AND m = DATE '1998-05-01')""")
+def report_drillthrough(spark, d):
+    out = star.VIEWS["transaction_drillthrough"](_star(spark, d))
+    chosen = (F.col("invoice_id") == "7-1") | ((F.col("country_code") == "N3") & (expr.month(F.col("calendar_date")) == F.lit("1998-05-01").cast("date")))
+    return out.where(chosen).select("invoice_id", "shipment_id", "calendar_date", "customer_id", "country_code", "route_id", "amount_eur")
+
+
 @query("SELECT row_number() OVER (ORDER BY c_custkey) AS row, c_custkey FROM customer")
 def source_row_numbers(spark, d):
     """Numbers over a total order without one task for all rows: range parts, and each part's offset."""
