@@ -135,10 +135,25 @@ def _gathered(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray,
 
 
 def _shared_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(row, k): k of the row's tokens here are in other sets too."""
+    """How many of a row's tokens here are in other sets too, packed: a record for each part of the input."""
     _, ids, _ = _gathered(batches)
     row, k = np.unique(ids, return_counts=True)
-    yield pd.DataFrame({"row": row, "k": k})
+    high, first = np.unique(row >> 24, return_index=True)
+    word = (k.astype(np.uint64) << np.uint64(24)) | (row & ((1 << 24) - 1)).astype(np.uint64)
+    yield pd.DataFrame({"base": high << 24, "packed": [x.tobytes() for x in np.split(word, first[1:])] if len(high) else []})
+
+
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(row, k) from the packed counts of whole parts of the input."""
+    rows, counts = [], []
+    for batch in batches:
+        for base, raw in zip(batch["base"], batch["packed"], strict=True):
+            word = np.frombuffer(raw, dtype="<u8")
+            rows.append((word & np.uint64((1 << 24) - 1)).astype(np.int64) + base)
+            counts.append((word >> np.uint64(24)).astype(np.int64))
+    if rows:
+        row, at = np.unique(np.concatenate(rows), return_inverse=True)
+        yield pd.DataFrame({"row": row, "k": np.bincount(at, weights=np.concatenate(counts)).astype("int64")})
 
 
 def _shared_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -256,13 +271,14 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     classes = cut(meta.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n")).select("digest", "rep.*", "n"))
 
     routes = "route int, base long, packed binary"
-    shared = made.where("route >= 0").select("route", "base", "packed").repartition("route").mapInPandas(_shared_counts, "row long, k long")
+    shared = made.where("route >= 0").select("route", "base", "packed").repartition("route").mapInPandas(_shared_counts, "base long, packed binary")
+    shared = shared.repartition("base").mapInPandas(_summed, "row long, k long")
     n = F.col("n")
     least = F.ceil(n * percent / 100)  # what a set that links with n has at least
     lack, lack_least = n - least, least - F.ceil(least * percent / 100)
     first = F.least(n, 2 * lack + 1)
     # The first part less what two sets share of it, by the smaller's lack, plus one; own shingles fill it first.
-    able = shared.groupBy("row").agg(F.sum("k").alias("k")).join(classes.select("row", "n"), "row").where(first - lack_least > first - F.col("k"))
+    able = shared.join(classes.select("row", "n"), "row").where(first - lack_least > first - F.col("k"))
     texts = cut(docs.join(able.select("row", "n"), "row").select("row", "n", "text", F.monotonically_increasing_id().alias("id")))
     tokens = texts.select("id", "text").mapInPandas(lambda it: _all_tokens(it, words), routes).repartition("route").mapInPandas(_shared_tokens, "id long, df int, token long")
     sets = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).join(texts.select("id", "row", "n"), "id")
