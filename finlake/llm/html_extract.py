@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.common import cut, no_clash, settled, small_batches
@@ -155,13 +155,22 @@ def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
 
 def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """`df` without its html, with text and n_chars."""
-    pages = cut(parsed(df, html, url))
-    trees = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    each = pages.where(F.exists("blocks", lambda b: F.size(b["around"]) > 0)).select("row", "host", F.explode(trees).alias("tree"))
+    df = settled(df)
+    pages = parsed(df, html, url)
+    # Pages are parsed again rather than stored: their subtrees are a small part of them.
+    trees = cut(pages.select("row", "host", F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"]))).alias("trees")))
+    each = trees.select("row", "host", F.explode("trees").alias("tree"))
     counts = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    totals = trees.groupBy("host").agg(F.count("*").alias("pages"))
     recurring = cut(counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "tree"))
     gone = each.join(recurring, ["host", "tree"]).groupBy("row").agg(F.collect_set("tree").alias("gone"))
+
+    def text(kept: Column) -> Column:
+        return F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
+
+    # Only pages with a block that a template may hold meet the templates in a shuffle.
+    open_ = F.exists("blocks", lambda b: F.size(b["around"]) > 0)
+    closed = pages.where(~open_).withColumn("text", text(F.col("blocks")))
     kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["around"], F.col("gone")))
-    out = pages.join(gone, "row", "left").withColumn("text", F.array_join(F.transform(kept, lambda b: b["text"]), "\n"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).drop("row", "host", "blocks", "gone")
+    rest = pages.where(open_).join(gone, "row", "left").withColumn("text", text(kept)).drop("gone")
+    return closed.unionByName(rest).withColumn("n_chars", F.length("text").cast("long")).drop("row", "host", "blocks")
