@@ -17,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.codegen.wholeStage", "false")  # compiling takes longer than these tables do
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
