@@ -15,6 +15,8 @@ from finlake.llm.queries import VOCABULARY
 
 #: Posterior share below which no language is accepted.
 MIN_SCORE = 0.3
+#: Near copies: percent of the shingles, and words in a shingle. op7_ngram_join has its own.
+NEAR, WORDS = 80, 5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +33,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the first stays."""
+    """Of each group of linked documents the first stays. Texts link from a Jaccard similarity of NEAR on WORDS-word shingles."""
     importable(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, percent=NEAR, words=WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

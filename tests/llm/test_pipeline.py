@@ -1,5 +1,6 @@
 """The stages against brute force on a small table."""
 
+import random
 import re
 
 import corpus_pipeline
@@ -36,3 +37,28 @@ def test_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         now = cut(stage(spark, now, sf))
     assert now.count() == 0
+
+
+def test_near_copies_against_brute_force(spark, sf):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = []
+    for _ in range(8):
+        base = [word() for _ in range(100)]
+        two, apart = list(base), list(base)
+        two[30], two[60] = word(), word()
+        for i in range(10, 90, 8):
+            apart[i] = word()
+        texts += [base, two, base[:40] + base[51:], base + [word() for _ in range(18)], apart]
+    texts += [["one", "two"], ["one", "two"], []]
+    sets = [frozenset(zip(*(t[i:] for i in range(5)), strict=False)) if len(t) >= 5 else frozenset([tuple(t)] if t else []) for t in texts]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a & b and 5 * len(a & b) >= 4 * len(a | b):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, sf)
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(label))
+    assert len(set(label)) == 18  # a base with its three copies, and the text with ten changes
