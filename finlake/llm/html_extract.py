@@ -1,11 +1,13 @@
 """Main text of web pages, with site templates removed.
 
-Each page is parsed once into text blocks. Page furniture goes by its element or its class and id. For the rest, element
+Each page is parsed into text blocks. Page furniture goes by its element or its class and id. For the rest, element
 subtrees that hold a block are hashed, counted per host in Spark, and a block goes if a subtree around it recurs on many
-pages of that host. Paragraphs of an article aren't such subtrees: the same article may stand on several pages.
+pages of that host whose other text differs. Never such subtrees are those that hold an article or most of a page's
+running text, and inside an article those that are or hold running text: one article may stand on many pages. On pages
+without an article the smallest element that holds most of the text stands for it.
 
 Defined results: null or empty html gives the empty text; a null url is a host of its own; pages without an article or
-main element give all blocks that no rule removes; repeated rows count as pages of their own; truncated and badly
+main element give all blocks that no rule removes; pages with the same other text count once; truncated and badly
 nested markup is read as far as it goes; an empty table gives no rows; other columns pass through.
 """
 
@@ -22,20 +24,24 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import cut, no_clash, settled, small_batches
 
-#: A subtree is a template on this many pages of a host, and on this share of them.
+#: A subtree is a template on this many pages of a host that differ outside it, and on this share of its pages.
 MIN_PAGES, MIN_SHARE = 5, 0.02
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template svg math iframe object".split())
 FURNITURE = frozenset("nav footer aside form script style noscript template svg math iframe object button select textarea menu dialog head title figure canvas audio video".split())
-#: Blocks of running text: inside an article they are never templates.
+#: Characters from which text outside elements for prose is running text too.
+LONG = 200
+#: Elements that no template begins with inside an article.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th article main body html".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 HINTS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert nav navbar navigation menu "
     "sidebar footer masthead topbar comment comments respond replies disqus discussion share sharing social related recommended newsletter subscribe signup popup modal overlay pagination pager widget toolbar skip".split()
 )
+#: What holds one of these, or is one, holds running text.
+RUNNING = PROSE - {"article", "main", "body", "html"}
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>""", re.DOTALL)
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
@@ -52,10 +58,46 @@ def furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return any(part.lower() in HINTS for m in _HINT.finditer(attributes) for part in _PART.findall(m[1] or m[2] or m[3] or "")) and not (tag in ("article", "main"))
 
 
-def blocks_of(page: str) -> list[tuple[str, list[int]]]:
-    """The page's blocks, with the hashes of the subtrees around each that may be templates."""
+TAG, START, DROPPED, ARTICLE, END, HOLDS, CHARS, RUNS = range(8)
+
+
+def candidates(found: list[list]) -> list[list[list]]:
+    """For each block the elements around it that may be templates."""
+    total = sum(len(text) for text, _, _ in found)
+    for text, _, around in found:
+        runs = len(text) >= LONG
+        for x in reversed(around):
+            runs = runs or x[TAG] in RUNNING
+            x[CHARS] += len(text)
+            x[RUNS] = x[RUNS] or runs
+
+    def most(x: list) -> bool:
+        return x[RUNS] and 2 * x[CHARS] > total
+
+    # Without an article: the last, so the smallest, element that holds most of the running text. None: the body.
+    inner = None
+    if not any(k for _, k, _ in found):
+        inner = next((x for _, _, around in found for x in reversed(around) if most(x) and x[TAG] not in ("html", "body")), None)
+    out = []
+    for _, _, around in found:
+        inside, may = False, []
+        for x in around:
+            if x[ARTICLE] or inside:
+                never = x[TAG] in PROSE or x[RUNS]
+            else:
+                never = x[TAG] in RUNNING and inner is None and not x[HOLDS] and all(y[TAG] in PROSE for y in around)
+            if not (never or x[HOLDS] or most(x) or x[TAG] in ("html", "body", "article", "main")):
+                may.append(x)
+            inside = inside or x is inner
+        out.append(may)
+    return out
+
+
+def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]]]:
+    """The page's blocks, with the hashes of the subtrees around each that may be templates; and these subtrees, each
+    with a hash of the blocks outside it."""
     found: list[list] = []  # text, article number, open elements
-    stack: list[list] = []  # tag, start in page, dropped, article number, hash
+    stack: list[list] = []  # tag, start in page, dropped, article number, end, holds an article, characters, holds running text
     run: list[str] = []
     articles = 0
     at, size = 0, len(page)
@@ -68,12 +110,12 @@ def blocks_of(page: str) -> list[tuple[str, list[int]]]:
                 text = entities.unescape(text)
             text = " ".join(text.split())
             if text:
-                found.append([text, stack[-1][3] if stack else 0, [x for x in stack if x[0] not in PROSE or not x[3]]])
+                found.append([text, stack[-1][ARTICLE] if stack else 0, list(stack)])
 
     def close(k: int, end: int) -> None:
         flush()
         for x in stack[k:]:
-            x[4] = (x[1], end)
+            x[END] = end
         del stack[k:]
 
     while at < size:
@@ -122,8 +164,10 @@ def blocks_of(page: str) -> list[tuple[str, list[int]]]:
         if tag in ("article", "main") and not inside and not dropped:
             articles += 1
             inside = articles
+            for x in stack:
+                x[HOLDS] = True
         if not m[3].endswith("/"):
-            stack.append([tag, m.start(), dropped, inside, None])
+            stack.append([tag, m.start(), dropped, inside, None, False, 0, False])
     close(0, size)
     if articles:
         chars = [0] * (articles + 1)
@@ -132,25 +176,39 @@ def blocks_of(page: str) -> list[tuple[str, list[int]]]:
         best = max(range(1, articles + 1), key=lambda k: (chars[k], -k))
         if chars[best]:
             found = [x for x in found if x[1] == best]
-    return [(text, [xxhash.xxh64_intdigest(" ".join(page[x[4][0] : x[4][1]].split()), 0) - (1 << 63) for x in around if x[0] not in ("html", "body", "article", "main")]) for text, _, around in found]
+    hashes: dict[int, int] = {}  # by where the element starts
+    blocks, trees, everything = [], {}, 0
+    for (text, _, _), may in zip(found, candidates(found), strict=True):
+        for x in may:
+            if x[START] not in hashes:
+                hashes[x[START]] = xxhash.xxh64_intdigest(" ".join(page[x[START] : x[END]].split()), 0) - (1 << 63)
+        around = [hashes[x[START]] for x in may]
+        mine = xxhash.xxh64_intdigest(text, 2)
+        everything += mine
+        for h in set(around):
+            trees[h] = trees.get(h, 0) + mine
+        blocks.append((text, around))
+    return blocks, [(h, (everything - inside) % (1 << 64) - (1 << 63)) for h, inside in trees.items()]
 
 
 def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Every row's other columns with row, host and blocks (text, around: hashes of subtrees)."""
+    """Every row's other columns with row, host, blocks (text, around: hashes of subtrees) and trees (tree: such a hash, others: of the
+    page's text outside it)."""
     df = settled(df)
     small_batches(df.sparkSession, 256)
-    rest = no_clash(df, "row", "host", "blocks", "text", "n_chars", html)
+    rest = no_clash(df, "row", "host", "blocks", "trees", "text", "n_chars", html)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     marked = df.select(*[F.col(f"`{c}`") for c in rest.columns], F.monotonically_increasing_id().alias("row"), host.alias("host"), F.col(html).alias("_html"))
     names = marked.columns[:-1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [[{"text": t, "around": a} for t, a in blocks_of(x or "")] for x in batch["_html"]]
-            yield batch[names].assign(blocks=made)
+            made = [blocks_of(x or "") for x in batch["_html"]]
+            blocks = [[{"text": t, "around": a} for t, a in b] for b, _ in made]
+            yield batch[names].assign(blocks=blocks, trees=[[{"tree": h, "others": o} for h, o in t] for _, t in made])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name in names)
-    return marked.mapInPandas(run, f"{fields}, blocks array<struct<text: string, around: array<long>>>")
+    return marked.mapInPandas(run, f"{fields}, blocks array<struct<text: string, around: array<long>>>, trees array<struct<tree: long, others: long>>")
 
 
 def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -158,9 +216,9 @@ def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages:
     df = settled(df)
     pages = parsed(df, html, url)
     # Pages are parsed again rather than stored: their subtrees are a small part of them.
-    trees = cut(pages.select("row", "host", F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"]))).alias("trees")))
-    each = trees.select("row", "host", F.explode("trees").alias("tree"))
-    counts = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    trees = cut(pages.select("row", "host", "trees"))
+    each = trees.select("row", "host", F.inline("trees"))
+    counts = each.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = trees.groupBy("host").agg(F.count("*").alias("pages"))
     recurring = cut(counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "tree"))
     gone = each.join(recurring, ["host", "tree"]).groupBy("row").agg(F.collect_set("tree").alias("gone"))
@@ -173,4 +231,4 @@ def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages:
     closed = pages.where(~open_).withColumn("text", text(F.col("blocks")))
     kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["around"], F.col("gone")))
     rest = pages.where(open_).join(gone, "row", "left").withColumn("text", text(kept)).drop("gone")
-    return closed.unionByName(rest).withColumn("n_chars", F.length("text").cast("long")).drop("row", "host", "blocks")
+    return closed.unionByName(rest).withColumn("n_chars", F.length("text").cast("long")).drop("row", "host", "blocks", "trees")

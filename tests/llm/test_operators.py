@@ -400,6 +400,39 @@ def test_html(spark):
     assert html_extract.extract_text(frame.limit(0)).count() == 0
 
 
+def extracted(spark, pages):
+    frame = spark.createDataFrame([(i, f"http://h.example/{i}", x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    return {k: r["text"] for k, r in as_dict(html_extract.extract_text(frame), "page_id").items()}
+
+
+def test_html_copies_of_an_article_keep_it(spark):
+    rng = random.Random(6)
+    parts = [prose(rng, 40) for _ in range(3)]
+    body = "".join(f"<p>{t}</p>" for t in parts)
+    wanted = "\n".join(parts)
+    shapes = [
+        "<body><div id=wrap><article>{}</article></div></body>",
+        "<body><article><div class=body>{}</div></article></body>",
+        "<body><div class=body>{}</div></body>",
+        "<body>{}</body>",
+        "<body><main><section><div>{}</div></section></main></body>",
+    ]
+    for shape in shapes:
+        for own in ("", "<div><p>seen {} times</p></div>"):  # copies as they are, and copies that differ elsewhere
+            page = shape.format(body).replace("</body>", own + "</body>")
+            found = extracted(spark, [page.replace("{}", str(i)) for i in range(12)])
+            assert all(t.startswith(wanted) for t in found.values()), shape
+
+
+def test_html_counts_pages_that_differ(spark):
+    rng = random.Random(7)
+    box = "<div class=z>Welcome to this site</div>"
+    few = [f"<body>{box}<section><p>{prose(rng, 30)}</p></section></body>" for _ in range(4)]
+    assert all("Welcome" in t for t in extracted(spark, few * 3).values())
+    many = [f"<body>{box}<section><p>{prose(rng, 30)}</p></section></body>" for _ in range(5)]
+    assert not any("Welcome" in t for t in extracted(spark, many).values())
+
+
 def test_fractions_stay_exact():
     assert isinstance(mixing.targets([1], [1])[0], Fraction)
 
