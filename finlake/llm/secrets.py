@@ -1,7 +1,8 @@
 """Secret scans (DataFrame functions only): fixed patterns, and a battery of randomness tests on other tokens.
 
 A token of 20 characters or more with letters and digits is read in the encoding that its characters allow (hex, base
-32, base 36 or base 64). Three tests ask if its symbol values are uniform and independent: chi-squared over equally
+32, base 36 or base 64; dashes between groups of the first three are left out, if half of the groups hold a digit or all
+is hex, and 20 characters remain). Three tests ask if its symbol values are uniform and independent: chi-squared over equally
 likely bins, runs above and below the middle, and lag-1 serial correlation. The least of the three p-values, times
 three, is the token's. Benjamini-Hochberg over a document's tokens, with weights that rise with length, says which
 tokens are certainly not random; the others are reported. Longer tokens carry more evidence and so get more of the
@@ -24,7 +25,7 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
 FDR = 0.01
 _SPANS = "cast(array() as array<struct<start: int, end: int, kind: int, token: string>>)"
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -88,15 +89,20 @@ def p_value(values: Column, symbols: int, per_bin: int) -> Column:
 
 
 def token_p(token: Column) -> Column:
+    bare = F.translate(token, "-", "")
+    groups = F.split(token, "-")
+    grouped = (F.length(bare) >= 20) & (2 * F.size(F.filter(groups, lambda g: g.rlike("[0-9]"))) >= F.size(groups))
+
     def scored(symbols: str, per_bin: int) -> Column:
-        plain = F.translate(token, "_-", "/+")
+        plain = F.translate(token, "_-", "/+") if len(symbols) == 64 else bare
         letters = F.split(F.lower(plain) if symbols.lower() == symbols else plain, "")
         values = F.transform(F.filter(letters, lambda c: F.length(c) > 0), lambda c: F.instr(F.lit(symbols), c).cast("double") - 1.0)
         return let(values, lambda v: p_value(v, len(symbols), per_bin))
 
     out = F.lit(0.0)
-    for allowed, symbols, per_bin in reversed(ENCODINGS.values()):
-        out = F.when(token.rlike(allowed), scored(symbols, per_bin)).otherwise(out)
+    for name, (allowed, symbols, per_bin) in reversed(ENCODINGS.items()):
+        fits = token.rlike(allowed) if name == "base64" else bare.rlike(allowed) & (F.length(bare) >= 20 if name == "hex" else grouped)
+        out = F.when(fits, scored(symbols, per_bin)).otherwise(out)
     return out
 
 

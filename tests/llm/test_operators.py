@@ -232,6 +232,30 @@ def test_random_tokens_are_told_from_words(spark):
     assert sum(bool(found[i]["secrets"]) for i, _ in plain) <= 10
 
 
+def test_random_tokens_after_names_and_with_dashes(spark):
+    rng = random.Random(10)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    value = lambda: "".join(rng.choices(alphabet, k=44))
+    groups = lambda letters, *sizes: "-".join("".join(rng.choices(letters, k=n)) for n in sizes)
+    hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    made = {
+        "name": lambda: f"PRIVATE_KEY={value()}",
+        "query": lambda: f"https://a.example/b?sig={value()}&x=1",
+        "padded": lambda: f"auth={value()}==",
+        "uuid": lambda: "id " + groups(hexes, 8, 4, 4, 4, 12),
+        "upper uuid": lambda: "id=" + groups(hexes, 8, 4, 4, 4, 12).upper(),
+        "product key": lambda: "key " + groups(upper, 5, 5, 5, 5, 5),
+    }
+    plain = ["how-to-make-a-good-cake-in-2023-for-all", "name=thisIsAPlainIdentifierName0001AndMoreOfIt", "class=the-main-page-content-area-1"]
+    true = [(k, i, f()) for k, f in made.items() for i in range(40)]
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate([t for *_, t in true] + plain)], "doc_id long, text string")
+    found = as_dict(secrets.scan_secrets(frame))
+    for k in made:
+        hits = [[x["token"] for x in found[n]["secrets"] if x["kind"] == "random"] for n, (name, _, _) in enumerate(true) if name == k]
+        assert sum(len(x) == 1 for x in hits) >= 36, (k, hits[:5])
+    assert not any(found[len(true) + n]["secrets"] for n in range(len(plain)))
+
+
 # 6
 
 
