@@ -14,6 +14,9 @@ PERCENT. All steps before the search only leave out pairs that can't link:
    no search.
 5. In clusters of several blocks, sets outside the largest component search all blocks for what is still apart.
 
+Where links are counted, steps 4 and 5 are one: all pairs of a cluster's blocks are searched for every link, so the work
+in a cluster of m sets grows with m squared.
+
 Steps 2 and 3 compare 50 bits of the hashes; where two shingles agree in those, a set is searched for nothing.
 
 Defined results: null and blank texts have empty sets and link with nothing; with fewer than three words the sequence is
@@ -243,6 +246,39 @@ def forest(sets: list[np.ndarray], queries: list[int], label: list[int] | None =
     return out
 
 
+def all_links(sets: list[np.ndarray], weight: np.ndarray, far: np.ndarray | None = None, percent: int = PERCENT) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A forest of the links, and the weight of each set's partners. `far`: only links between its sets and the others."""
+    parent = list(range(len(sets)))
+    out, counts, search = [], np.zeros(len(sets), dtype=np.int64), Search(sets, percent)
+    at = np.arange(len(sets))
+    for q in range(len(sets)):
+        if far is not None and far[q]:
+            continue
+        found = search.partners(q, at > q if far is None else far)
+        counts[q] += weight[found].sum()
+        counts[found] += weight[q]
+        for p in found.tolist():
+            if (a := find(parent, p)) != (b := find(parent, q)):
+                out.append((q, p))
+                parent[max(a, b)] = min(a, b)
+    return out, counts
+
+
+def _counted(percent: int, words: int):
+    """Links, and for each row with partners (row, row, k): how many documents its partners stand for."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [shingles(t, words) for t in rows["text"]]
+        ids, far = rows["row"].to_numpy(), None
+        if rows["block"].iloc[0] != rows["other"].iloc[0]:
+            far = (rows["at"] == rows["other"]).to_numpy()
+        pairs, counts = all_links(sets, rows["size"].to_numpy(), far, percent)
+        made = [(ids[a], ids[b], 0) for a, b in pairs] + [(ids[i], ids[i], counts[i]) for i in np.flatnonzero(counts)]
+        return pd.DataFrame(made, columns=["a", "b", "k"], dtype="int64")
+
+    return run
+
+
 def _links(percent: int, words: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["query", "row"], ascending=[False, True]).drop_duplicates("row")
@@ -255,8 +291,9 @@ def _links(percent: int, words: int):
     return run
 
 
-def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """One row per row of `df`: row, doc_id, n_shingles, component_id and first (whether it is its component's first row)."""
+def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT, words: int = WORDS, count: bool = True) -> DataFrame:
+    """One row per row of `df`: row, doc_id, n_shingles, component_id and first (whether it is its component's first row);
+    with `count`, n_links: how many other rows link with it."""
     df = settled(df)
     spark = df.sparkSession
     small_batches(spark, 4096)
@@ -268,7 +305,7 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
         )
     )
     meta = made.where("route < 0").select("row", "doc_id", "n", "digest")
-    classes = cut(meta.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n")).select("digest", "rep.*", "n"))
+    classes = cut(meta.where("n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n"), F.count("*").alias("size")).select("digest", "rep.*", "n", "size"))
 
     routes = "route int, base long, packed binary"
     shared = made.where("route >= 0").select("route", "base", "packed").repartition("route").mapInPandas(_shared_counts, "base long, packed binary")
@@ -278,55 +315,67 @@ def link_components(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     lack, lack_least = n - least, least - F.ceil(least * percent / 100)
     first = F.least(n, 2 * lack + 1)
     # The first part less what two sets share of it, by the smaller's lack, plus one; own shingles fill it first.
-    able = shared.join(classes.select("row", "n"), "row").where(first - lack_least > first - F.col("k"))
-    texts = cut(docs.join(able.select("row", "n"), "row").select("row", "n", "text", F.monotonically_increasing_id().alias("id")))
+    able = shared.join(classes.select("row", "n", "size"), "row").where(first - lack_least > first - F.col("k"))
+    texts = cut(docs.join(able.select("row", "n", "size"), "row").select("row", "n", "size", "text", F.monotonically_increasing_id().alias("id")))
     tokens = texts.select("id", "text").mapInPandas(lambda it: _all_tokens(it, words), routes).repartition("route").mapInPandas(_shared_tokens, "id long, df int, token long")
     sets = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).join(texts.select("id", "row", "n"), "id")
     sets = sets.withColumn("take", (lack + 1 - (n - F.size("tokens"))).cast("int")).where("take > 0")
     parts = cut(sets.select("row", F.explode(F.slice("tokens", F.lit(1), F.col("take"))["token"]).alias("token")))
     pivots = cut(parts.groupBy("token").agg(F.min("row").alias("pivot"), F.count("*").alias("m")).where("m > 1").select("token", "pivot"))
     clusters = components(parts.join(pivots, "token").select(F.col("row").alias("a"), F.col("pivot").alias("b")))
-    texts = texts.select("row", "text")
+    sized, texts = texts.select("row", "size", "text"), texts.select("row", "text")
     sizes = clusters.groupBy("label").agg(F.count("*").alias("m"))
     members = cut(clusters.join(sizes, "label").select(F.col("node").alias("row"), F.col("label").alias("cluster"), "m"))
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     spread = F.pmod(F.xxhash64("row", F.lit(11)), F.greatest(blocks, F.lit(1))).cast("int")
-    # A cluster's leaders are about LEADERS of its sets, by a hash, and stand in all of its blocks.
-    leader = (F.col("m") > BLOCK) & (F.pmod(F.xxhash64("row", F.lit(12)), F.col("m")) < LEADERS)
-    dealt = members.withColumn("block", F.explode(F.when(leader, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(spread))))
-    schema = "a long, b long"
-    with_text = dealt.join(texts, "row").select("cluster", "block", "row", "text", F.lit(-1).cast("long").alias("label"), F.lit(True).alias("query"))
-    links = cut(with_text.groupBy("cluster", "block").applyInPandas(_links(percent, words), schema))
-
-    large = members.where(F.col("m") > BLOCK)
-    if large.limit(1).count():
-        known = components(links)
-        now = cut(large.join(known.select(F.col("node").alias("row"), "label"), "row", "left").withColumn("label", F.coalesce("label", "row")))
-        per = now.groupBy("cluster", "label").agg(F.count("*").alias("k"))
-        most = per.groupBy("cluster").agg(F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("parts"), F.sum("k").alias("total")).where("parts > 1")
-        most = cut(most.select("cluster", F.col("most.label").alias("main"), (F.col("total") - F.col("most.k")).alias("outside")))
-        left = now.join(most, "cluster").withColumn("query", F.col("label") != F.col("main"))
-        n_query, n_all = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("m") / BLOCK).cast("int")
-        at_query, at_all = F.pmod(F.xxhash64("row", F.lit(13)), n_query).cast("int"), F.pmod(F.xxhash64("row", F.lit(14)), n_all).cast("int")
-        as_query = left.where("query").select("cluster", "row", "label", "query", at_query.alias("block"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("other"))
-        as_set = left.select("cluster", "row", "label", F.lit(False).alias("query"), F.explode(F.sequence(F.lit(0), n_query - 1)).alias("block"), at_all.alias("other"))
-        again = as_query.unionByName(as_set).join(texts, "row").select("cluster", "block", "other", "row", "text", "label", "query")
-        links = cut(links.unionByName(again.groupBy("cluster", "block", "other").applyInPandas(_links(percent, words), schema)))
+    if count:
+        other = F.explode(F.sequence(F.lit(0), F.greatest(blocks, F.lit(1)) - 1))
+        paired = members.select("cluster", "row", spread.alias("at"), other.alias("with"))
+        paired = paired.select("cluster", "row", "at", F.least("at", "with").alias("block"), F.greatest("at", "with").alias("other"))
+        every = cut(paired.join(sized, "row").groupBy("cluster", "block", "other").applyInPandas(_counted(percent, words), "a long, b long, k long"))
+        links = every.where("a != b").select("a", "b")
+        partners = every.where("a = b").groupBy(F.col("a").alias("row")).agg(F.sum("k").alias("k"))
+    else:
+        # A cluster's leaders are about LEADERS of its sets, by a hash, and stand in all of its blocks.
+        leader = (F.col("m") > BLOCK) & (F.pmod(F.xxhash64("row", F.lit(12)), F.col("m")) < LEADERS)
+        dealt = members.withColumn("block", F.explode(F.when(leader, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(spread))))
+        schema = "a long, b long"
+        with_text = dealt.join(texts, "row").select("cluster", "block", "row", "text", F.lit(-1).cast("long").alias("label"), F.lit(True).alias("query"))
+        links = cut(with_text.groupBy("cluster", "block").applyInPandas(_links(percent, words), schema))
+
+        large = members.where(F.col("m") > BLOCK)
+        if large.limit(1).count():
+            known = components(links)
+            now = cut(large.join(known.select(F.col("node").alias("row"), "label"), "row", "left").withColumn("label", F.coalesce("label", "row")))
+            per = now.groupBy("cluster", "label").agg(F.count("*").alias("k"))
+            most = per.groupBy("cluster").agg(F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("parts"), F.sum("k").alias("total")).where("parts > 1")
+            most = cut(most.select("cluster", F.col("most.label").alias("main"), (F.col("total") - F.col("most.k")).alias("outside")))
+            left = now.join(most, "cluster").withColumn("query", F.col("label") != F.col("main"))
+            n_query, n_all = F.ceil(F.col("outside") / BLOCK).cast("int"), F.ceil(F.col("m") / BLOCK).cast("int")
+            at_query, at_all = F.pmod(F.xxhash64("row", F.lit(13)), n_query).cast("int"), F.pmod(F.xxhash64("row", F.lit(14)), n_all).cast("int")
+            as_query = left.where("query").select("cluster", "row", "label", "query", at_query.alias("block"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("other"))
+            as_set = left.select("cluster", "row", "label", F.lit(False).alias("query"), F.explode(F.sequence(F.lit(0), n_query - 1)).alias("block"), at_all.alias("other"))
+            again = as_query.unionByName(as_set).join(texts, "row").select("cluster", "block", "other", "row", "text", "label", "query")
+            links = cut(links.unionByName(again.groupBy("cluster", "block", "other").applyInPandas(_links(percent, words), schema)))
 
     labels = components(links)
     # A class's component is named by the least (id, row) among its classes' representatives.
     tied = classes.join(labels.select(F.col("node").alias("row"), "label"), "row")
     names = tied.groupBy("label").agg(F.min(F.struct("doc_id", "row")).alias("head"))
     tied = cut(tied.join(names, "label").select("digest", "head"))
-    heads = cut(classes.join(tied, "digest", "left").select("digest", F.coalesce("head", F.struct("doc_id", "row")).alias("head")))
+    named = classes.join(tied, "digest", "left")
+    if count:
+        named = named.join(partners, "row", "left").withColumn("n_links", F.col("size") - 1 + F.coalesce("k", F.lit(0)))
+    heads = cut(named.select("digest", F.coalesce("head", F.struct("doc_id", "row")).alias("head"), *["n_links"] * count))
     out = meta.join(heads, "digest", "left").withColumn("head", F.coalesce("head", F.struct("doc_id", "row")))
     back = lambda c: F.when(c != last, c)
-    return out.select("row", back(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back(F.col("head.doc_id")).alias("component_id"), (F.col("head.row") == F.col("row")).alias("first"))
+    links_of = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] * count
+    return out.select("row", back(F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), back(F.col("head.doc_id")).alias("component_id"), (F.col("head.row") == F.col("row")).alias("first"), *links_of)
 
 
 def one_of_each(df: DataFrame, **names) -> DataFrame:
     """The rows of `df` that are their component's first, with its columns."""
     df = settled(df)
-    first = link_components(df, **names).where("first").select("row")
+    first = link_components(df, count=False, **names).where("first").select("row")
     marked = df.withColumn("row_", F.monotonically_increasing_id())
     return marked.join(first.withColumnRenamed("row", "row_"), "row_").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -328,6 +328,27 @@ def test_ngram_join_of_awkward_rows(docs, rows, empty):
     assert ngram_join.link_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_ngram_join_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(12)
+    texts = [None, "", "a b", "A b"]
+    for size in (9, 5, 1):
+        words = prose(rng, 70).split()
+        for i in range(size):
+            mine = list(words)
+            if i:
+                mine[i * 7] = prose(rng, 1)
+            texts += [" ".join(mine)] * rng.randint(1, 3)
+    sets = [frozenset(zip(w, w[1:], w[2:], strict=False)) if len(w) >= 3 else frozenset([tuple(w)] if w else []) for w in (WORD.findall((t or "").lower()) for t in texts)]
+    wanted = {i: sum(i != j and bool(a & b) and 100 * len(a & b) >= 90 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in ngram_join.link_components(frame).collect()}
+    assert {k: n for k, (n, _) in found.items()} == wanted and max(wanted.values()) > 5
+    without = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(frame, count=False).collect()}
+    assert {k: c for k, (_, c) in found.items()} == without
+
+
 def test_divide_skip_finds_all_partners():
     rng = np.random.default_rng(1)
     common = rng.integers(1, 1 << 60, 200, dtype=np.uint64)
