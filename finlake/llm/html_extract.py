@@ -1,13 +1,15 @@
 """Main text of web pages, with site templates removed.
 
-Each page is parsed into text blocks. Page furniture goes by its element or its class and id. For the rest, element
+Each page is parsed into text blocks. Page furniture goes by its element or its class and id; no class or id removes the
+page's article or most of its text. Of pages whose articles hold half of the text that is left, or more, all articles
+stay and nothing else; of others all of that text. For the rest, element
 subtrees that hold a block are hashed, counted per host in Spark, and a block goes if a subtree around it recurs on many
 pages of that host whose other text differs. Never such subtrees are those that hold an article or most of a page's
 running text, and inside an article those that are or hold running text: one article may stand on many pages. On pages
 without an article the smallest element that holds most of the text stands for it.
 
-Defined results: null or empty html gives the empty text; a null url is a host of its own; pages without an article or
-main element give all blocks that no rule removes; pages with the same other text count once; truncated and badly
+Defined results: null or empty html gives the empty text; a null url is a host of its own; an article in an
+article is part of it; formulas give their symbols, without the source beside them; pages with the same other text count once; truncated and badly
 nested markup is read as far as it goes; an empty table gives no rows; other columns pass through.
 """
 
@@ -27,14 +29,17 @@ from finlake.llm.common import cut, no_clash, settled, small_batches
 #: A subtree is a template on this many pages of a host that differ outside it, and on this share of its pages.
 MIN_PAGES, MIN_SHARE = 5, 0.02
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace mpadded mphantom menclose mfenced merror mmultiscripts mprescripts semantics".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template svg math iframe object".split())
-FURNITURE = frozenset("nav footer aside form script style noscript template svg math iframe object button select textarea menu dialog head title figure canvas audio video".split())
+RAW = frozenset("script style textarea title noscript template svg iframe object annotation annotation-xml".split())
+FURNITURE = frozenset("nav footer aside form script style noscript template svg iframe object annotation annotation-xml button select textarea menu dialog head title canvas audio video".split())
 #: Characters from which text outside elements for prose is running text too.
 LONG = 200
 #: Elements that no template begins with inside an article.
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th article main body html".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th figcaption caption article main body html".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 HINTS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert nav navbar navigation menu "
@@ -42,6 +47,8 @@ HINTS = frozenset(
 )
 #: What holds one of these, or is one, holds running text.
 RUNNING = PROSE - {"article", "main", "body", "html"}
+#: After these a class or id says what an element has, not what it is.
+MODIFIERS = frozenset("has no with without".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>""", re.DOTALL)
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
@@ -51,14 +58,54 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 def furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
-    if not attributes or tag in ("html", "body"):
+    return bool(attributes) and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
+
+
+def hinted(tag: str, attributes: str) -> bool:
+    if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(part.lower() in HINTS for m in _HINT.finditer(attributes) for part in _PART.findall(m[1] or m[2] or m[3] or "")) and not (tag in ("article", "main"))
+    for m in _HINT.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").split():
+            for part in _PART.findall(name):
+                if part.lower() in MODIFIERS:
+                    break
+                if part.lower() in HINTS:
+                    return True
+    return False
+
 
+TAG, START, DROPPED, ARTICLE, END, HOLDS, CHARS, RUNS, HINT = range(9)
 
-TAG, START, DROPPED, ARTICLE, END, HOLDS, CHARS, RUNS = range(8)
+
+def main_blocks(found: list[list]) -> list[list]:
+    """The blocks that hints leave, and of these the articles' if they hold half of the text or more."""
+    chars: dict[int, int] = {}  # by where the element starts
+    articles: dict[int, int] = {}
+    for text, k, around in found:
+        articles[k] = articles.get(k, 0) + len(text)
+        for x in around:
+            chars[x[START]] = chars.get(x[START], 0) + len(text)
+    total = sum(articles.values())
+    articles.pop(0, None)
+    own = [(len(text), k) for text, k, around in found if not any(x[HINT] for x in around)]
+    free, in_free = sum(n for n, _ in own), sum(n for n, k in own if k)
+    best = max(articles, key=lambda k: (articles[k], -k), default=0)
+    # Where all articles stand under hints, the largest is the page's: if it is the only one, or holds much of the text.
+    theirs = best and not in_free and (len(articles) == 1 or 2 * articles[best] >= free)
+    for _, k, around in found:
+        for x in around:
+            if not x[HINT]:
+                continue
+            size = 2 * chars[x[START]]
+            if x[ARTICLE]:
+                x[HINT] = size <= articles[x[ARTICLE]]
+            elif size > total and not (in_free and 2 * in_free >= free):
+                x[HINT] = False
+            elif x[HOLDS] and (theirs and k == best or any(y[TAG] == "main" and y[START] > x[START] for y in around)):
+                x[HINT] = False
+    found = [b for b in found if not any(x[HINT] for x in b[2])]
+    inside = [b for b in found if b[1]]
+    return inside if inside and 2 * sum(len(b[0]) for b in inside) >= sum(len(b[0]) for b in found) else found
 
 
 def candidates(found: list[list]) -> list[list[list]]:
@@ -74,10 +121,9 @@ def candidates(found: list[list]) -> list[list[list]]:
     def most(x: list) -> bool:
         return x[RUNS] and 2 * x[CHARS] > total
 
-    # Without an article: the last, so the smallest, element that holds most of the running text. None: the body.
-    inner = None
-    if not any(k for _, k, _ in found):
-        inner = next((x for _, _, around in found for x in reversed(around) if most(x) and x[TAG] not in ("html", "body")), None)
+    # What stands for an article where there is none: the smallest element, so the last to open, that holds most of the
+    # running text. None: the body.
+    inner = max((x for _, k, around in found if not k for x in around if most(x) and x[TAG] not in ("html", "body")), key=lambda x: x[START], default=None)
     out = []
     for _, _, around in found:
         inside, may = False, []
@@ -97,7 +143,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
     """The page's blocks, with the hashes of the subtrees around each that may be templates; and these subtrees, each
     with a hash of the blocks outside it."""
     found: list[list] = []  # text, article number, open elements
-    stack: list[list] = []  # tag, start in page, dropped, article number, end, holds an article, characters, holds running text
+    stack: list[list] = []  # tag, start in page, dropped, article number, end, holds an article, characters, holds running text, hinted
     run: list[str] = []
     articles = 0
     at, size = 0, len(page)
@@ -144,6 +190,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
             at = over.end() if over else size
             continue
         if tag in INLINE:
+            if tag in ("mtr", "mtd") and not (stack and stack[-1][2]):
+                run.append(" ")
             if m[3] and not (stack and stack[-1][2]) and _HIDDEN.search(m[3]):
                 over = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
                 at = over.end() if over else at
@@ -167,15 +215,9 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
             for x in stack:
                 x[HOLDS] = True
         if not m[3].endswith("/"):
-            stack.append([tag, m.start(), dropped, inside, None, False, 0, False])
+            stack.append([tag, m.start(), dropped, inside, None, False, 0, False, not dropped and hinted(tag, m[3])])
     close(0, size)
-    if articles:
-        chars = [0] * (articles + 1)
-        for text, k, _ in found:
-            chars[k] += len(text)
-        best = max(range(1, articles + 1), key=lambda k: (chars[k], -k))
-        if chars[best]:
-            found = [x for x in found if x[1] == best]
+    found = main_blocks(found)
     hashes: dict[int, int] = {}  # by where the element starts
     blocks, trees, everything = [], {}, 0
     for (text, _, _), may in zip(found, candidates(found), strict=True):

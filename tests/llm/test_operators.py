@@ -478,6 +478,30 @@ def test_html_counts_pages_that_differ(spark):
     assert not any("Welcome" in t for t in extracted(spark, many).values())
 
 
+def test_html_keeps_the_text_of_the_page(spark):
+    rng = random.Random(13)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    cases = [
+        (f"<article><p>{a}</p><figure><img src=x><figcaption>{b}</figcaption></figure><figure><table><tr><td>{c}</td></tr></table></figure></article>", [a, b, c]),
+        ("<article><p>if <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then</p></article>", ["if x=2 then"]),
+        (f"<article><p>{a}</p></article><article><p>{b}</p></article><p>{'z' * 20}</p>", [a, b]),
+        (f"<article><p>short</p></article><div class=c><p>{a}</p><p>{b}</p></div>", ["short", a, b]),
+        (f"<div class='content has-sidebar'><article><p>{a}</p></article></div>", [a]),
+        (f"<div class='no-sidebar'><p>{a}</p></div>", [a]),
+        (f"<div class='widget-area'><main><p>{a}</p></main></div><p>more</p>", [a]),
+        (f"<div class='social page'><p>{a}</p><p>{b}</p></div><p>more</p>", [a, b, "more"]),
+        (f"<article><h1>Head</h1><div class='share box'><p>{a}</p></div><div class=ad>Buy</div></article>", ["Head", a]),
+        (f"<article><p>{a}</p></article><div class=comments><p>{b}</p><p>{c}</p></div>", [a]),
+        (f"<div><p>{a}</p><p>{b}</p></div><div class=related><article>one</article><article>two</article></div>", [a, b]),
+    ]
+    found = extracted(spark, [f"<body>{page}</body>" for page, _ in cases])
+    for i, (page, wanted) in enumerate(cases):
+        assert found[i] == "\n".join(wanted), page
+    box = "<div class=z><p>Welcome to this site</p></div>"
+    pages = [f"<body><div class=wrap>{box}<div class=c><p>{prose(rng, 60)}</p></div></div></body>" for _ in range(6)]
+    assert not any("Welcome" in t for t in extracted(spark, pages).values())
+
+
 def test_fractions_stay_exact():
     assert isinstance(mixing.targets([1], [1])[0], Fraction)
 
