@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, no_clash, settled, small_batches
+from finlake.llm.common import cut, no_clash, small_batches
 
 #: A subtree is a template on this many pages of a host that differ outside it, and on this share of its pages.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -236,11 +236,11 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
 def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Every row's other columns with row, host, blocks (text, around: hashes of subtrees) and trees (tree: such a hash, others: of the
     page's text outside it)."""
-    df = settled(df)
     small_batches(df.sparkSession, 256)
     rest = no_clash(df, "row", "host", "blocks", "trees", "text", "n_chars", html)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    marked = df.select(*[F.col(f"`{c}`") for c in rest.columns], F.monotonically_increasing_id().alias("row"), host.alias("host"), F.col(html).alias("_html"))
+    # Stored with their numbers: numbers that each pass made anew would change with how files are split.
+    marked = cut(df.select(*[F.col(f"`{c}`") for c in rest.columns], F.monotonically_increasing_id().alias("row"), host.alias("host"), F.col(html).alias("_html")))
     names = marked.columns[:-1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,9 +255,8 @@ def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
 
 def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """`df` without its html, with text and n_chars."""
-    df = settled(df)
     pages = parsed(df, html, url)
-    # Pages are parsed again rather than stored: their subtrees are a small part of them.
+    # Pages are parsed again rather than their blocks stored: their subtrees are a small part of them.
     trees = cut(pages.select("row", "host", "trees"))
     each = trees.select("row", "host", F.inline("trees"))
     counts = each.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)

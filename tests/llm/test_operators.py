@@ -502,6 +502,22 @@ def test_html_keeps_the_text_of_the_page(spark):
     assert not any("Welcome" in t for t in extracted(spark, pages).values())
 
 
+def test_html_rows_keep_their_numbers_when_splits_change(spark, tmp_path):
+    rng = random.Random(14)
+    box = "<div class=z>Welcome to this site</div>"
+    for part in range(6):
+        rows = [(k, "http://h.example/", f"<body>{box * (k % 3 == 0)}<section><p>{prose(rng, 30 + 9 * part)}</p></section></body>") for k in range(10 * part, 10 * part + 10)]
+        spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(str(tmp_path / "pages"))
+    made = html_extract.extract_text(spark.read.parquet(str(tmp_path / "pages")))
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert not any("Welcome" in r["text"] for r in made.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_fractions_stay_exact():
     assert isinstance(mixing.targets([1], [1])[0], Fraction)
 
