@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import cut, no_clash, small_batches
 
-#: A subtree is a template on this many pages of a host that differ outside it, and on this share of its pages.
-MIN_PAGES, MIN_SHARE = 5, 0.02
+#: A subtree is a template on this many pages of a host that differ outside it, however many pages the host has.
+MIN_PAGES = 5
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
@@ -253,15 +253,14 @@ def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     return marked.mapInPandas(run, f"{fields}, blocks array<struct<text: string, around: array<long>>>, trees array<struct<tree: long, others: long>>")
 
 
-def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES) -> DataFrame:
     """`df` without its html, with text and n_chars."""
     pages = parsed(df, html, url)
     # Pages are parsed again rather than their blocks stored: their subtrees are a small part of them.
     trees = cut(pages.select("row", "host", "trees"))
     each = trees.select("row", "host", F.inline("trees"))
-    counts = each.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    totals = trees.groupBy("host").agg(F.count("*").alias("pages"))
-    recurring = cut(counts.join(totals, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "tree"))
+    counts = each.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n"))
+    recurring = cut(counts.where(F.col("n") >= min_pages).select("host", "tree"))
     gone = each.join(recurring, ["host", "tree"]).groupBy("row").agg(F.collect_set("tree").alias("gone"))
 
     def text(kept: Column) -> Column:

@@ -502,6 +502,13 @@ def test_html_keeps_the_text_of_the_page(spark):
     assert not any("Welcome" in t for t in extracted(spark, pages).values())
 
 
+def test_html_templates_do_not_depend_on_the_size_of_the_host(spark):
+    rng = random.Random(15)
+    box = "<div class=z>Welcome to this site</div>"
+    pages = [f"<body>{box * (k < 5)}<section><p>{prose(rng, 12)}</p></section></body>" for k in range(400)]
+    assert not any("Welcome" in t for t in extracted(spark, pages).values())
+
+
 def test_html_rows_keep_their_numbers_when_splits_change(spark, tmp_path):
     rng = random.Random(14)
     box = "<div class=z>Welcome to this site</div>"
