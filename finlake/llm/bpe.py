@@ -3,29 +3,33 @@
 The vocabulary file is a parameter: a JSON file of a byte-level BPE with a word-end suffix (NFC, lower case, white
 space dropped). Words are cut by the file's pattern; a word's part boundaries and the ranks of its adjacent parts stand
 in two arrays, which are scanned for the least rank; that boundary goes and the two neighbouring ranks are made anew.
+The scan takes a word's length squared, so a word of more than LONG bytes (a text in a script without spaces is one)
+keeps the same ranks in a heap instead, with the same merges in the same order.
 
 Defined results: null is the empty text, which has no ids; special tokens inside a text keep their ids; rows are
-encoded alone, so ties and repeated rows need nothing; extra columns pass through the operator.
+encoded alone, so ties and repeated rows need nothing; an empty table gives no rows; a very long text is one row's work,
+in time proportional to its length (times its logarithm in one long word); extra columns pass through the operator, and
+those that have the name of an added one are replaced.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
+import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from finlake.llm.common import no_clash, small_batches
+from finlake.llm.common import added, named
 
-#: Words whose ids a worker remembers; beyond that it starts anew.
-CACHE = 400_000
+#: Words whose ids a task remembers, and the longest that it does; beyond that it starts anew.
+CACHE, CACHED = 100_000, 64
+#: Bytes from which a word's ranks are kept in a heap.
+LONG = 256
 _NONE, _ID = 1 << 60, (1 << 20) - 1
 
 
@@ -57,7 +61,7 @@ class WordBpe:
         self.last = [self.vocab[letters[b] + self.end] for b in range(256)]
         self.byte = {x: b for b, x in letters.items()}
         self.library = Tokenizer.from_file(path)
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merged(self, parts: list[int]) -> list[int]:
         """The parts of a word after all merges, least rank first, of equal ranks the leftmost."""
@@ -76,14 +80,44 @@ class WordBpe:
                 near[at] = get(parts[at] << 20 | parts[at + 1], _NONE)
         return parts
 
-    def word(self, word: str) -> list[int]:
+    def heaped(self, parts: list[int]) -> list[int]:
+        """As `merged`: boundaries are links between parts, and a heap holds (rank, place) of every adjacent pair. An
+        entry whose pair has changed since is passed over."""
+        get, n = self.ranks.get, len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        near = [get(a << 20 | b, _NONE) for a, b in zip(parts, parts[1:], strict=False)] + [_NONE]
+        heap = [(r, i) for i, r in enumerate(near) if r != _NONE]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            if near[at] != rank:
+                continue
+            gone = after[at]
+            parts[at] = rank & _ID
+            near[gone] = _NONE
+            after[at] = after[gone]
+            if after[at] < n:
+                before[after[at]] = at
+            for i in (before[at], at):
+                if i >= 0:
+                    near[i] = get(parts[i] << 20 | parts[after[i]], _NONE) if after[i] < n else _NONE
+                    if near[i] != _NONE:
+                        heapq.heappush(heap, (near[i], i))
+        out, at = [], 0
+        while at < n:
+            out.append(parts[at])
+            at = after[at]
+        return out
+
+    def word(self, word: str) -> bytes:
         raw, inner = word.encode("utf-8", "replace"), self.inner
         parts = [inner[b] for b in raw]
         parts[-1] = self.last[raw[-1]]
-        ids = self.merged(parts)
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        self.cache[word] = ids
+        ids = np.array(self.merged(parts) if len(parts) <= LONG else self.heaped(parts), dtype="<u4").tobytes()
+        if len(word) <= CACHED:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = ids
         return ids
 
     def cut(self, piece: str) -> list[str]:
@@ -96,45 +130,44 @@ class WordBpe:
         found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(piece))
         return [bytes([self.byte[x] for x in w]).decode("utf-8") for w, _ in found]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        get, word, extend = self.cache.get, self.word, out.extend
+    def packed(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = []
+        get, word = self.cache.get, self.word
         for k, piece in enumerate(self.cuts.split(text) if self.cuts else [text]):
             if k % 2:
-                out.append(self.special[piece])
-                continue
-            for w in self.cut(piece):
-                extend(get(w) or word(w))
-        return out
+                out.append(self.special[piece].to_bytes(4, "little"))
+            else:
+                out += [get(w) or word(w) for w in self.cut(piece)]
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), dtype="<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder: tokens as they stand, a space between them."""
-        names = self.names
-        return " ".join([names[i] for i in ids])
-
-
-@functools.cache
-def loaded(path: str) -> WordBpe:
-    return WordBpe(path)
+        return " ".join(map(self.names.__getitem__, ids))
 
 
 def encode_texts(df: DataFrame, path: str, text: str = "text", keep_ids: bool = True) -> DataFrame:
     """`df` without its text, with ids (if wanted), n_tokens, ids_sha256 and decoded_sha256."""
-    small_batches(df.sparkSession)
-    rest = no_clash(df, "ids", "n_tokens", "ids_sha256", "decoded_sha256", text)
-    names = rest.columns
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = loaded(path)
-        for batch in batches:
-            rows = []
-            for body in batch["_body"]:
-                ids = bpe.encode(body or "")
-                raw = np.asarray(ids, dtype="<u4").tobytes()
-                made = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
-                rows.append((*made, ids) if keep_ids else made)
-            made = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
-            yield pd.concat([batch[names].reset_index(drop=True), made], axis=1)
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema), "n_tokens long, ids_sha256 string, decoded_sha256 string", *["ids array<int>"] * keep_ids])
-    return df.select(*[df[f"`{c}`"] for c in names], df[text].alias("_body")).mapInPandas(run, schema)
+
+    def make():
+        bpe = WordBpe(path)
+
+        def run(texts: list) -> dict[str, list]:
+            out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
+            for body in texts:
+                raw = bpe.packed(body or "")
+                ids = np.frombuffer(raw, dtype="<u4").tolist()
+                out["n_tokens"].append(len(ids))
+                out["ids_sha256"].append(hashlib.sha256(raw).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
+                if keep_ids:
+                    out["ids"].append(ids)
+            return out
+
+        return run
+
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
+    return added(df, named(text), make, schema, drop=(text,))

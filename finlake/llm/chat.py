@@ -7,9 +7,13 @@ is a training target exactly once.
 A turn is written `### role: text</turn>` and a line break. In texts and roles a backslash goes before each backslash,
 `###` and `</turn>`, and in roles before each colon, so that `read_windows` gets every turn back.
 
-Defined results: null texts and roles are empty; turns go by (turn, role, text), nulls first; repeated rows are turns
-of their own; rows with a null conversation id are one conversation; a turn above the budget has a window of its own;
-an empty table gives no rows; other columns are not used.
+A conversation is cut into segments of SEGMENT tokens by distributed prefix sums, so that one that holds a third of all
+rows is many tasks' work. A segment gets the turns before it that its history may repeat, and the system turn.
+
+Defined results: null texts and roles are empty; turns go by (turn, role, text), nulls first (texts that share their first
+200 characters go by a hash); repeated rows are turns of their own; rows with a null conversation id are one conversation;
+a turn above the budget, however long, has a window of its own; an empty table gives no rows; other columns, whatever
+their names, are not used.
 """
 
 from __future__ import annotations
@@ -20,13 +24,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from finlake.llm.common import WORD
+from finlake.llm.common import WORD, cut, n_words_of, named, per_batch, placed
 
-WINDOW = "struct<text: string, history: int, loss: array<struct<start: int, end: int>>>"
+#: Tokens of a segment.
+SEGMENT = 1 << 16
 _TEXT, _ROLE = re.compile(r"\\|###|</turn>"), re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
 _TURN = re.compile(r"### ((?:[^\\:]|\\.)*+): ((?:[^\\<]|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
@@ -50,13 +57,14 @@ def unescaped(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def windows(turns: list[tuple[str, str]], budget: Budget = Budget()) -> list[dict]:
-    """Windows over (role, text) turns: text, history (how many leading turns are repeated) and loss spans."""
+def windows(turns: list[tuple[str, str]], budget: Budget = Budget(), first: int = 0) -> list[dict]:
+    """Windows over (role, text) turns from the `first` on (those before it are another segment's): text, history (how many
+    leading turns are repeated) and loss spans."""
     cost = np.array([len(_WORDS.findall(text)) + 4 for _, text in turns], dtype="int64")
     sums = np.concatenate([[0], np.cumsum(cost)])
     system = next((i for i, (role, _) in enumerate(turns) if role == "system"), None)
     fixed = int(cost[system]) if system is not None else 0
-    out, at = [], 0
+    out, at = [], first
     while at < len(turns):
         head = [system] if system is not None and system < at else []
         back = int(np.searchsorted(sums, sums[at] - budget.history, "left"))
@@ -78,23 +86,56 @@ def windows(turns: list[tuple[str, str]], budget: Budget = Budget()) -> list[dic
     return out
 
 
-def format_chat(df: DataFrame, budget: Budget = Budget()) -> DataFrame:
-    """One row per conversation: conv_id and its windows, in order."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def segments(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> DataFrame:
+    """conv_id, segment, and turns: (at, lead, role, text) in order, lead turns being those of segments before."""
+    text = F.coalesce(named("text"), F.lit(""))
+    rows = placed(df, named("conv_id").alias("conv_id"), named("turn").alias("turn"), F.coalesce(named("role"), F.lit("")).alias("role"), text.alias("text"), (n_words_of(text) + 4).alias("cost"))
+    order = ["conv_id", "turn", "role", F.substring("text", 1, 200), F.xxhash64("text"), "file", "row"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = cut(rows.select("conv_id", "role", "text", "cost", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+
+    parts = rows.groupBy("conv_id", "part").agg(F.sum("cost").alias("n"))
+    parts = parts.select("conv_id", "part", (F.sum("n").over(Window.partitionBy("conv_id").orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.sum("cost").over(Window.partitionBy("conv_id", "part").orderBy("at")) - F.col("cost")
+    here = rows.withColumn("inside", inside).alias("r")
+    same = F.col("r.conv_id").eqNullSafe(F.col("p.conv_id"))
+    begin = F.col("before") + F.col("inside")
+    dealt = cut(here.join(parts.alias("p"), same & (F.col("r.part") == F.col("p.part"))).select("r.conv_id", "at", "role", "text", begin.alias("begin"), F.floor(begin / size).alias("segment")))
+
+    # Turns that the next segment's history may repeat, and the system turn for all segments after its own.
+    tail = dealt.where(F.col("begin") >= (F.col("segment") + 1) * size - budget.history).withColumn("segment", F.col("segment") + 1)
+    system = dealt.where("role = 'system'").groupBy("conv_id").agg(F.min(F.struct("at", "segment", "role", "text", "begin")).alias("s"))
+    later = dealt.where("segment > 0").select("conv_id", "segment").distinct().alias("d")
+    lead = later.join(system.alias("t"), F.col("d.conv_id").eqNullSafe(F.col("t.conv_id"))).where("d.segment > s.segment")
+    # Not twice, where it is in the tail as well.
+    lead = lead.where((F.col("d.segment") > F.col("s.segment") + 1) | (F.col("s.begin") < F.col("d.segment") * size - budget.history))
+    lead = lead.select("d.conv_id", "d.segment", "s.at", "s.role", "s.text")
+    columns = ["conv_id", "segment", "at", "role", "text"]
+    every = dealt.select(*columns, F.lit(False).alias("lead"))
+    for more in (tail.select(*columns), lead.select(*columns)):
+        every = every.unionByName(more.withColumn("lead", F.lit(True)))
+    turns = F.sort_array(F.collect_list(F.struct("at", "lead", "role", "text")))
+    return every.groupBy("conv_id", "segment").agg(turns.alias("turns")).where(F.exists("turns", lambda x: ~x["lead"]))
+
+
+def chat_windows(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> DataFrame:
+    """One row per window: conv_id, segment and window (from 0, in order), text, history, loss."""
+    found = segments(df, budget, size)
+    schema = StructType([found.schema["conv_id"], *StructType.fromDDL("segment long, window int, text string, history int, loss array<struct<start: int, end: int>>").fields])
+    kinds = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [windows([(t["role"], t["text"]) for t in turns], budget) for turns in batch["turns"]]
-            yield pd.DataFrame({"conv_id": batch["conv_id"], "windows": made})
-
-    blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    turns = F.sort_array(F.collect_list(F.struct("turn", blank("role"), blank("text"))))
-    kind = df.schema["conv_id"].dataType.simpleString()
-    return df.groupBy("conv_id").agg(turns.alias("turns")).mapInPandas(run, f"conv_id {kind}, windows array<{WINDOW}>")
-
+            for k in range(len(batch)):
+                turns = batch.column(2)[k].as_py()
+                first = sum(t["lead"] for t in turns)
+                made = windows([(t["role"], t["text"]) for t in turns], budget, first)
+                of = pa.array([k] * len(made))
+                out = [batch.column(0).take(of), batch.column(1).take(of), pa.array(range(len(made)), pa.int32())]
+                out += [pa.array([w[c] for w in made], kinds.field(c).type) for c in ("text", "history", "loss")]
+                yield pa.RecordBatch.from_arrays(out, names=kinds.names)
 
-def chat_windows(df: DataFrame, budget: Budget = Budget()) -> DataFrame:
-    """One row per window: conv_id, window (from 0), text, history, loss."""
-    return format_chat(df, budget).select("conv_id", F.posexplode("windows").alias("window", "w")).select("conv_id", "window", "w.*")
+    return per_batch(found, run, schema)
 
 
 def read_windows(made: list[dict]) -> tuple[list[tuple[str, str]], list[str]]:
@@ -107,21 +148,49 @@ def read_windows(made: list[dict]) -> tuple[list[tuple[str, str]], list[str]]:
     return turns, learned
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the windows of `format_chat` hold."""
+class _Digests:
+    """What a conversation's windows hold, window by window."""
+
+    def __init__(self) -> None:
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n_turns = self.loss_chars = self.chars = self.n_windows = 0
+
+    def add(self, window: dict) -> None:
+        turns, learned = read_windows([window])
+        for role, text in turns:
+            self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        for text in learned:
+            self.loss.update(text.encode("utf-8", "surrogatepass"))
+            self.loss_chars += len(text)
+        self.n_turns += len(turns)
+        self.chars += len(window["text"])
+        self.n_windows += 1
+
+
+def read_back(made: DataFrame) -> DataFrame:
+    """Digests of what the windows of `chat_windows` hold, one row per conversation. A task holds one window at a time."""
+    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    schema = StructType([StructField("conv_id", made.schema["conv_id"].dataType), *StructType.fromDDL("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long").fields])
 
-    def sha(x: str) -> str:
-        return hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
+    def row(conv: pa.Array, d: _Digests) -> pa.RecordBatch:
+        values = (d.n_turns, d.turns.hexdigest(), d.loss_chars, d.loss.hexdigest(), d.chars, d.n_windows)
+        return pa.RecordBatch.from_arrays([conv, *(pa.array([v], k) for v, k in zip(values, kinds, strict=True))], names=["conv_id", *names])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, held, out = None, None, []
         for batch in batches:
-            rows = []
-            for made in batch["windows"]:
-                turns, learned = read_windows(made)
-                loss = "".join(learned)
-                rows.append((len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), sum(len(w["text"]) for w in made), len(made)))
-            out = pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows"])
-            yield pd.concat([batch[["conv_id"]].reset_index(drop=True), out], axis=1)
-
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return formatted.mapInPandas(run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+            ids = batch.column(0).to_pylist()
+            for k, i in enumerate(ids):
+                if held is None or i != conv_id:
+                    if held is not None:
+                        out.append(row(conv, held))
+                    conv_id, conv, held = i, batch.column(0).slice(k, 1), _Digests()
+                held.add({"text": batch.column(3)[k].as_py(), "history": batch.column(4)[k].as_py(), "loss": batch.column(5)[k].as_py()})
+            if out:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                out = []
+        if held is not None:
+            yield row(conv, held)
+
+    return per_batch(made.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window"), run, schema)

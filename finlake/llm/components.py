@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut
+from finlake.llm.common import cut, forget
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
-    """Every node u ties its larger (large) or its not larger neighbours to the least of its neighbourhood."""
+    """Every node u ties its larger (large) or its not larger neighbours to the least of its neighbourhood. The pairs
+    before go."""
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    out = both.join(cut(least), "a")
+    least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least")))
+    out = both.join(least, "a")
     if large:
         out = out.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
         out = out.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(least.select("a", F.col("least").alias("b")))
-    return out.where("a != b").distinct()
+    out = cut(out.where("a != b").distinct())
+    forget(pairs, least)
+    return out
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -29,6 +32,6 @@ def components(pairs: DataFrame) -> DataFrame:
         if now == state or not now[0]:
             break
         state = now
-        pairs = cut(_star(cut(_star(pairs, True)), False))
+        pairs = _star(_star(pairs, True), False)
     labels = pairs.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionByName(pairs.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

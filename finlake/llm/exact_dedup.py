@@ -2,50 +2,59 @@
 
 Misra-Gries summaries of each partition, merged, name the digests that may be frequent. One exact pass over the
 named digests verifies their counts and winners; those few rows are broadcast, and copies of frequent texts are
-settled where they are read. All other digests go through an ordinary shuffle of (id, digest) rows, in which no
+settled where they are read. All other digests go through an ordinary shuffle of (id, place, digest) rows, in which no
 group is large: a digest on more than 2 / (counters + 1) of the rows is always among the named ones.
 
+Rows are told apart by where they stand (file and place in it), so null and repeated ids need no care.
+
 Defined results: null counts as the empty text. Of equal texts the row with the largest id stays (null ids rank
-lowest; of rows with the same text and id one stays). Texts are equal when their SHA-256 digests are.
+lowest; of rows with the same text and id the last by file and place stays). Texts are equal when their SHA-256 digests
+are; a very long text is hashed where it is read. An empty table gives no rows. Extra columns pass through `drop_copies`,
+whatever their names.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, settled
+from finlake.llm.common import arrow, cut, named, per_batch, placed, whole
 
-#: Counters of a Misra-Gries summary, and so the most rows that are ever broadcast.
+#: Counters of a Misra-Gries summary, and so the most frequent digests that are ever broadcast.
 COUNTERS = 1000
+#: Copies (their places, 16 bytes each) up to which `drop_copies` broadcasts them; beyond, places are joined in a shuffle.
+FEW = 200_000
+_COUNTS = "text_sha256 string, n long"
 
 
 def digest(text: Column) -> Column:
     return F.sha2(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 256)
 
 
-def misra_gries(batches: Iterator[pd.DataFrame], counters: int = COUNTERS) -> Iterator[pd.DataFrame]:
+def misra_gries(batches: Iterator[pa.RecordBatch], counters: int = COUNTERS) -> Iterator[pa.RecordBatch]:
     """A summary of `counters` digests at most, from (text_sha256) batches of one partition.
 
     Adding a batch's counts and then taking the (counters + 1)-th largest count from all of them is the merge of
     two summaries; it keeps the bound of n / (counters + 1) on what any count lacks."""
-    held: pd.Series = pd.Series(dtype="int64")
+    held: Counter[str] = Counter()
     for batch in batches:
-        held = held.add(batch["text_sha256"].value_counts(), fill_value=0).astype("int64")
+        for x in batch.column(0).value_counts().to_pylist():
+            held[x["values"]] += x["counts"]
         if len(held) > counters:
-            held = held - held.nlargest(counters + 1).iloc[-1]
-            held = held[held > 0]
-    yield pd.DataFrame({"text_sha256": held.index.astype("object"), "n": held.to_numpy("int64")})
+            less = heapq.nlargest(counters + 1, held.values())[-1]
+            held = Counter({k: n - less for k, n in held.items() if n > less})
+    yield arrow(_COUNTS, text_sha256=list(held), n=list(held.values()))
 
 
 def winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """Verified winners of the frequent digests: text_sha256, top (id and row that stay), group_size; `counters` rows at most."""
-    named = (
-        digests.select("text_sha256")
-        .mapInPandas(lambda it: misra_gries(it, counters), "text_sha256 string, n long")
+    """Verified winners of the frequent digests: text_sha256, top (id and place that stay), group_size; `counters` rows at most."""
+    candidates = (
+        per_batch(digests.select("text_sha256"), lambda it: misra_gries(it, counters), _COUNTS)
         .groupBy("text_sha256")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "text_sha256")
@@ -53,34 +62,31 @@ def winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
         .where("n > 1")
         .select("text_sha256")
     )
-    exact = digests.join(F.broadcast(cut(named)), "text_sha256", "left_semi")
-    return cut(exact.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size")))
+    exact = digests.join(F.broadcast(cut(candidates)), "text_sha256", "left_semi")
+    return cut(exact.groupBy("text_sha256").agg(F.max(F.struct("doc_id", "file", "row")).alias("top"), F.count("*").alias("group_size")))
 
 
-def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS) -> DataFrame:
-    """One row for each row of `df`: doc_id, keep_id, group_size, kept, text_sha256."""
-    df = settled(df)
-    digests = cut(df.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_sha256"), F.monotonically_increasing_id().alias("row")))
+def decided(digests: DataFrame, counters: int) -> DataFrame:
+    """Every row of `digests` with top and group_size of its text."""
     top = winners(digests, counters)
     frequent = digests.join(F.broadcast(top), "text_sha256")
     same = Window.partitionBy("text_sha256")
     rest = digests.join(F.broadcast(top), "text_sha256", "left_anti")
-    rest = rest.withColumns({"top": F.max(F.struct("doc_id", "row")).over(same), "group_size": F.count("*").over(same)})
-    return frequent.unionByName(rest).select(
-        "doc_id",
-        F.col("top.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row") == F.col("top.row")).alias("kept"),
-        "text_sha256",
-    )
+    rest = rest.withColumns({"top": F.max(F.struct("doc_id", "file", "row")).over(same), "group_size": F.count("*").over(same)})
+    kept = (F.col("file") == F.col("top.file")) & (F.col("row") == F.col("top.row"))
+    return frequent.unionByName(rest).withColumn("kept", kept)
+
+
+def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS) -> DataFrame:
+    """One row for each row of `df`: doc_id, keep_id, group_size, kept, text_sha256."""
+    digests = cut(placed(df, named(doc_id).alias("doc_id"), digest(named(text)).alias("text_sha256")))
+    return decided(digests, counters).select("doc_id", F.col("top.doc_id").alias("keep_id"), "group_size", "kept", "text_sha256")
 
 
-def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS) -> DataFrame:
-    """The rows of `df` that stay, with its columns. Copies of frequent texts go before the shuffle."""
-    df = settled(df)
-    marked = df.withColumn("text_sha256_", digest(F.col(text)))
-    digests = cut(marked.select(F.col(doc_id).alias("doc_id"), F.col("text_sha256_").alias("text_sha256"), F.monotonically_increasing_id().alias("row")))
-    top = winners(digests, counters).select(F.col("text_sha256").alias("text_sha256_"), F.col("top.doc_id").alias("keep_"))
-    left = marked.join(F.broadcast(top), "text_sha256_", "left").where(F.col("keep_").isNull() | F.col("keep_").eqNullSafe(F.col(doc_id)))
-    first = Window.partitionBy("text_sha256_").orderBy(F.col(doc_id).desc_nulls_last())
-    return left.withColumn("nth_", F.row_number().over(first)).where("nth_ = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+def drop_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", counters: int = COUNTERS, few: int = FEW) -> DataFrame:
+    """The rows of `df` that stay, with its columns. What stays is decided on ids, places and digests alone."""
+    rows = placed(df, named(doc_id).alias("doc_id"), digest(named(text)).alias("text_sha256"), whole(df))
+    digests = cut(rows.select("file", "row", "doc_id", "text_sha256"))
+    gone = cut(decided(digests, counters).where("not kept").select("file", "row"))
+    gone = F.broadcast(gone) if gone.count() <= few else gone
+    return rows.select("file", "row", "whole").join(gone, ["file", "row"], "left_anti").select("whole.*")

@@ -1,33 +1,42 @@
 """Main text of web pages, with site templates removed.
 
-Each page is parsed into text blocks. Page furniture goes by its element or its class and id; no class or id removes the
-page's article or most of its text. Of pages whose articles hold half of the text that is left, or more, all articles
-stay and nothing else; of others all of that text. For the rest, element
-subtrees that hold a block are hashed, counted per host in Spark, and a block goes if a subtree around it recurs on many
-pages of that host whose other text differs. Never such subtrees are those that hold an article or most of a page's
-running text, and inside an article those that are or hold running text: one article may stand on many pages. On pages
-without an article the smallest element that holds most of the text stands for it.
+Each page is parsed once, into text blocks and the elements around them. Element subtrees are hashed, from their tags, texts and
+subtrees, and counted per host in Spark; a block goes if a subtree around it recurs on many pages of that host whose main
+text outside it differs. That holds for menus, headers and notices whatever they are called, and also inside articles: there, a
+subtree of running text is a template if what stands next to it differs, too, on at least half of these pages. So an
+article that stands on many pages, as it is or with changes, isn't one. No subtree is that holds an article, or most of
+a page's running text; on pages without an article the smallest element that holds most of the text stands for it.
+
+Of what is left, furniture goes by its element, or its class and id: what recurs too seldom to be counted, and what
+changes from page to page, such as adverts. No class or id removes the page's article or most of its text. Of pages whose
+articles hold half of the text that is left, or more, all articles stay and nothing else; of others all of that text.
 
 Defined results: null or empty html gives the empty text; a null url is a host of its own; an article in an
-article is part of it; formulas give their symbols, without the source beside them; pages with the same other text count once; truncated and badly
-nested markup is read as far as it goes; an empty table gives no rows; other columns pass through.
+article is part of it; formulas give their symbols, without the source beside them; repeated rows, and pages with the same
+other text, count once; truncated and badly nested markup is read as far as it goes; a very long or deeply nested page takes
+time and memory in proportion to its size; an empty table gives no rows; other columns pass through, and those that have the name
+of an added one are replaced.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, no_clash, small_batches
+from finlake.llm.common import added, cut, named, no_clash, placed
 
 #: A subtree is a template on this many pages of a host that differ outside it, however many pages the host has.
 MIN_PAGES = 5
+#: Words from which running text in an article may be a template.
+MIN_WORDS = 5
+#: Templates up to which every task gets all of them; beyond, pages and their templates meet in a shuffle.
+FEW = 200_000
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
@@ -38,7 +47,7 @@ RAW = frozenset("script style textarea title noscript template svg iframe object
 FURNITURE = frozenset("nav footer aside form script style noscript template svg iframe object annotation annotation-xml button select textarea menu dialog head title canvas audio video".split())
 #: Characters from which text outside elements for prose is running text too.
 LONG = 200
-#: Elements that no template begins with inside an article.
+#: Elements for running text, and those around it.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tr td th figcaption caption article main body html".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 HINTS = frozenset(
@@ -74,76 +83,32 @@ def hinted(tag: str, attributes: str) -> bool:
     return False
 
 
-TAG, START, DROPPED, ARTICLE, END, HOLDS, CHARS, RUNS, HINT = range(9)
+#: What a node is: a template's subtree outside running text, one of running text, hinted, or main.
+PLAIN, PROSAIC, HINTED, MAIN, HOLDING = 1, 2, 4, 8, 16
+_NODE = "array<struct<first: int, last: int, kind: int, article: int, tree: long, others: long, before: long, after: long>>"
+_BLOCK = "array<struct<text: string, article: int, dropped: boolean>>"
+_WRAP = 1 << 64
 
 
-def main_blocks(found: list[list]) -> list[list]:
-    """The blocks that hints leave, and of these the articles' if they hold half of the text or more."""
-    chars: dict[int, int] = {}  # by where the element starts
-    articles: dict[int, int] = {}
-    for text, k, around in found:
-        articles[k] = articles.get(k, 0) + len(text)
-        for x in around:
-            chars[x[START]] = chars.get(x[START], 0) + len(text)
-    total = sum(articles.values())
-    articles.pop(0, None)
-    own = [(len(text), k) for text, k, around in found if not any(x[HINT] for x in around)]
-    free, in_free = sum(n for n, _ in own), sum(n for n, k in own if k)
-    best = max(articles, key=lambda k: (articles[k], -k), default=0)
-    # Where all articles stand under hints, the largest is the page's: if it is the only one, or holds much of the text.
-    theirs = best and not in_free and (len(articles) == 1 or 2 * articles[best] >= free)
-    for _, k, around in found:
-        for x in around:
-            if not x[HINT]:
-                continue
-            size = 2 * chars[x[START]]
-            if x[ARTICLE]:
-                x[HINT] = size <= articles[x[ARTICLE]]
-            elif size > total and not (in_free and 2 * in_free >= free):
-                x[HINT] = False
-            elif x[HOLDS] and (theirs and k == best or any(y[TAG] == "main" and y[START] > x[START] for y in around)):
-                x[HINT] = False
-    found = [b for b in found if not any(x[HINT] for x in b[2])]
-    inside = [b for b in found if b[1]]
-    return inside if inside and 2 * sum(len(b[0]) for b in inside) >= sum(len(b[0]) for b in found) else found
-
-
-def candidates(found: list[list]) -> list[list[list]]:
-    """For each block the elements around it that may be templates."""
-    total = sum(len(text) for text, _, _ in found)
-    for text, _, around in found:
-        runs = len(text) >= LONG
-        for x in reversed(around):
-            runs = runs or x[TAG] in RUNNING
-            x[CHARS] += len(text)
-            x[RUNS] = x[RUNS] or runs
-
-    def most(x: list) -> bool:
-        return x[RUNS] and 2 * x[CHARS] > total
-
-    # What stands for an article where there is none: the smallest element, so the last to open, that holds most of the
-    # running text. None: the body.
-    inner = max((x for _, k, around in found if not k for x in around if most(x) and x[TAG] not in ("html", "body")), key=lambda x: x[START], default=None)
-    out = []
-    for _, _, around in found:
-        inside, may = False, []
-        for x in around:
-            if x[ARTICLE] or inside:
-                never = x[TAG] in PROSE or x[RUNS]
-            else:
-                never = x[TAG] in RUNNING and inner is None and not x[HOLDS] and all(y[TAG] in PROSE for y in around)
-            if not (never or x[HOLDS] or most(x) or x[TAG] in ("html", "body", "article", "main")):
-                may.append(x)
-            inside = inside or x is inner
-        out.append(may)
-    return out
-
-
-def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, int]]]:
-    """The page's blocks, with the hashes of the subtrees around each that may be templates; and these subtrees, each
-    with a hash of the blocks outside it."""
-    found: list[list] = []  # text, article number, open elements
-    stack: list[list] = []  # tag, start in page, dropped, article number, end, holds an article, characters, holds running text, hinted
+class Element:
+    __slots__ = ("tag", "parent", "first", "last", "dropped", "article", "holds", "hint", "chars", "runs", "sum", "kids", "hash", "inside")
+
+    def __init__(self, tag: str, parent: Element | None, first: int, dropped: bool, article: int, hint: bool):
+        self.tag, self.parent, self.first, self.last = tag, parent, first, first
+        self.dropped, self.article, self.holds, self.hint = dropped, article, False, hint
+        self.chars, self.runs, self.sum, self.kids, self.hash, self.inside = 0, False, 0, [], 0, False
+
+
+def _signed(x: int) -> int:
+    return (x % _WRAP) - (1 << 63)
+
+
+def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Element]]:
+    """The page's text blocks with the element right around each, and all elements in order of their start."""
+    blocks: list[tuple[str, Element | None]] = []
+    every: list[Element] = []
+    stack: list[Element] = []
+    open_: dict[str, int] = {}  # how many of a tag are open
     run: list[str] = []
     articles = 0
     at, size = 0, len(page)
@@ -156,18 +121,29 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
                 text = entities.unescape(text)
             text = " ".join(text.split())
             if text:
-                found.append([text, stack[-1][ARTICLE] if stack else 0, list(stack)])
+                blocks.append((text, stack[-1] if stack else None))
+                if stack:
+                    stack[-1].kids.append(xxhash.xxh64_digest(text))
 
-    def close(k: int, end: int) -> None:
+    def close(tag: str) -> None:
+        """Closes elements up to the last open one of that tag."""
         flush()
-        for x in stack[k:]:
-            x[END] = end
-        del stack[k:]
+        while stack:
+            x = stack.pop()
+            open_[x.tag] -= 1
+            x.last = len(blocks)
+            if x.kids:
+                x.hash = xxhash.xxh64_intdigest(x.tag.encode() + b"".join(x.kids))
+                if x.parent:
+                    x.parent.kids.append(x.hash.to_bytes(8, "big"))
+                x.kids = []
+            if x.tag == tag:
+                break
 
     while at < size:
         m = _TAG.search(page, at)
         end = m.start() if m else size
-        if end > at and not (stack and stack[-1][2]):
+        if end > at:
             run.append(page[at:end])
         if not m:
             break
@@ -178,97 +154,226 @@ def blocks_of(page: str) -> tuple[list[tuple[str, list[int]]], list[tuple[int, i
         if m[1]:
             if tag in INLINE:
                 continue
-            if tag == "br" or tag == "p" and all(x[0] != "p" for x in stack):
+            if tag == "br" or tag == "p" and not open_.get("p"):
                 flush() if tag == "p" else run.append(" ")
                 continue
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if k >= 0:
-                close(k, at)
+            if open_.get(tag):
+                close(tag)
             continue
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = over.end() if over else size
             continue
         if tag in INLINE:
-            if tag in ("mtr", "mtd") and not (stack and stack[-1][2]):
+            if tag in ("mtr", "mtd"):
                 run.append(" ")
-            if m[3] and not (stack and stack[-1][2]) and _HIDDEN.search(m[3]):
-                over = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                at = over.end() if over else at
+            if m[3] and _HIDDEN.search(m[3]):
+                at = _after(page, tag, at)
             continue
         if tag in VOID:
             if tag == "hr":
                 flush()
-            elif tag == "br" and not (stack and stack[-1][2]):
+            elif tag == "br":
                 run.append(" ")
             continue
         flush()
-        if tag in ENDS_P and stack and stack[-1][0] == "p":
-            close(len(stack) - 1, m.start())
-        elif tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
-            close(len(stack) - 1, m.start())
-        dropped, inside = (stack[-1][2], stack[-1][3]) if stack else (False, 0)
-        dropped = dropped or furniture(tag, m[3], bool(inside))
+        last = stack[-1] if stack else None
+        if last and (tag in ENDS_P and last.tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option") and last.tag == tag):
+            close(last.tag)
+            last = stack[-1] if stack else None
+        inside = last.article if last else 0
+        dropped = bool(last and last.dropped) or furniture(tag, m[3], bool(inside))
         if tag in ("article", "main") and not inside and not dropped:
             articles += 1
             inside = articles
-            for x in stack:
-                x[HOLDS] = True
+            for x in reversed(stack):
+                if x.holds:
+                    break
+                x.holds = True
         if not m[3].endswith("/"):
-            stack.append([tag, m.start(), dropped, inside, None, False, 0, False, not dropped and hinted(tag, m[3])])
-    close(0, size)
-    found = main_blocks(found)
-    hashes: dict[int, int] = {}  # by where the element starts
-    blocks, trees, everything = [], {}, 0
-    for (text, _, _), may in zip(found, candidates(found), strict=True):
-        for x in may:
-            if x[START] not in hashes:
-                hashes[x[START]] = xxhash.xxh64_intdigest(" ".join(page[x[START] : x[END]].split()), 0) - (1 << 63)
-        around = [hashes[x[START]] for x in may]
-        mine = xxhash.xxh64_intdigest(text, 2)
-        everything += mine
-        for h in set(around):
-            trees[h] = trees.get(h, 0) + mine
-        blocks.append((text, around))
-    return blocks, [(h, (everything - inside) % (1 << 64) - (1 << 63)) for h, inside in trees.items()]
+            x = Element(tag, last, len(blocks), dropped, inside, not dropped and hinted(tag, m[3]))
+            stack.append(x)
+            every.append(x)
+            open_[tag] = open_.get(tag, 0) + 1
+    close("")
+    return blocks, every
+
+
+def _after(page: str, tag: str, at: int) -> int:
+    """Where an inline element that opened before `at` ends."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).finditer(page, at):
+        depth += -1 if m[1] else not m[0].endswith("/>")
+        if not depth:
+            return m.end()
+    return at
+
+
+def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
+    """The page's blocks, and its nodes: elements that may be templates, that a class or id hints at, or that are main."""
+    blocks, every = elements_of(page)
+    shown = [not (x and x.dropped) for _, x in blocks]
+    has_article = any(x and x.article and s for (_, x), s in zip(blocks, shown, strict=True))
+    total, everything, in_article = 0, 0, {}
+    marks = [xxhash.xxh64_intdigest(text, 2) for text, _ in blocks]
+    for (text, x), mark, s in zip(blocks, marks, shown, strict=True):
+        k = x.article if x else 0
+        counts = s and (k or not has_article)  # what tells pages apart is their main text
+        total += len(text) * s
+        everything += mark * counts
+        in_article[k] = in_article.get(k, 0) + len(text) * s
+        if x:
+            x.chars += len(text) * s
+            x.runs = x.runs or len(text) >= LONG
+            x.sum += mark * counts
+    for x in reversed(every):
+        x.runs = x.last > x.first and (x.runs or x.tag in RUNNING)
+        if x.parent:
+            x.parent.chars += x.chars
+            x.parent.runs = x.parent.runs or x.runs
+            x.parent.sum += x.sum
+    most = lambda x: x.runs and 2 * x.chars > total
+    inner = next((x for x in reversed(every) if not x.article and not x.dropped and most(x) and not x.holds and x.tag not in ("html", "body")), None)
+    bare: set[int] = set()  # elements all of whose ancestors are for running text
+    nodes = []
+    for x in every:
+        p = x.parent
+        x.inside = p is not None and (p.inside or p is inner)
+        if p is None or id(p) in bare:
+            if x.tag in PROSE:
+                bare.add(id(x))
+        if x.last == x.first:
+            continue
+        kind = 0
+        if x.holds or x.tag in ("html", "body", "article", "main"):
+            pass
+        elif x.dropped:
+            kind = PLAIN
+        elif x.article or x.inside:
+            if x.tag in PROSE or x.runs:
+                n = sum(len(blocks[i][0].split()) for i in range(x.first, min(x.last, x.first + MIN_WORDS)))
+                if n >= MIN_WORDS and 2 * x.chars <= (in_article[x.article] if x.article else total):
+                    kind = PROSAIC
+            elif not most(x):
+                kind = PLAIN
+        elif not most(x) and not (x.tag in RUNNING and inner is None and id(x) in bare):
+            kind = PLAIN
+        node = kind | HINTED * x.hint | MAIN * (x.tag == "main") | HOLDING * x.holds
+        if node & ~HOLDING:
+            others = _signed(everything - x.sum)
+            before = after = others
+            if kind == PROSAIC:  # what stands next to it in its article
+                beside = lambda i, x=x: _signed(marks[i]) if 0 <= i < len(blocks) and (blocks[i][1].article if blocks[i][1] else 0) == x.article and shown[i] else 0
+                before, after = beside(x.first - 1), beside(x.last)
+            nodes.append({"first": x.first, "last": x.last, "kind": node, "article": x.article, "tree": _signed(x.hash), "others": others, "before": before, "after": after})
+    return [{"text": text, "article": x.article if x else 0, "dropped": not s} for (text, x), s in zip(blocks, shown, strict=True)], nodes
+
+
+def main_text(blocks: list[dict], nodes: list[dict], gone: list[bool]) -> str:
+    """The text of a page whose nodes that `gone` marks are templates."""
+    left = np.array([not b["dropped"] for b in blocks], dtype=bool)
+    for x, is_gone in zip(nodes, gone, strict=True):
+        if is_gone:
+            left[x["first"] : x["last"]] = False
+    if not left.any():
+        return ""
+    size = np.array([len(b["text"]) for b in blocks]) * left
+    article = np.array([b["article"] for b in blocks])
+    held = {int(k): int(size[article == k].sum()) for k in np.unique(article[left]) if k}
+    total = int(size.sum())
+    hints = [x for x in nodes if x["kind"] & HINTED and left[x["first"] : x["last"]].any()]
+    under = np.zeros(len(blocks), dtype=bool)
+    for x in hints:
+        under[x["first"] : x["last"]] = True
+    free, in_free = int(size[~under].sum()), int(size[~under & (article > 0)].sum())
+    best = max(held, key=lambda k: (held[k], -k), default=0)
+    # Where all articles stand under hints, the largest is the page's: if it is the only one, or holds much of the text.
+    theirs = best and not in_free and (len(held) == 1 or 2 * held[best] >= free)
+    mains = [x for x in nodes if x["kind"] & MAIN]
+    for x in hints:
+        a, b = x["first"], x["last"]
+        mine = 2 * int(size[a:b].sum())
+        if x["article"]:
+            goes = mine <= held[x["article"]]
+        elif mine > total and not (in_free and 2 * in_free >= free):
+            goes = False
+        else:
+            whole = theirs and (article[a:b][left[a:b]] == best).any() or any(a <= y["first"] and y["last"] <= b for y in mains)
+            goes = not (x["kind"] & HOLDING and whole)
+        if goes:
+            left[a:b] = False
+    inside = left & (article > 0)
+    if inside.any() and 2 * int(size[inside].sum()) >= int(size[left].sum()):
+        left = inside
+    return "\n".join(blocks[i]["text"] for i in np.flatnonzero(left))
 
 
 def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Every row's other columns with row, host, blocks (text, around: hashes of subtrees) and trees (tree: such a hash, others: of the
-    page's text outside it)."""
-    small_batches(df.sparkSession, 256)
-    rest = no_clash(df, "row", "host", "blocks", "trees", "text", "n_chars", html)
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    # Stored with their numbers: numbers that each pass made anew would change with how files are split.
-    marked = cut(df.select(*[F.col(f"`{c}`") for c in rest.columns], F.monotonically_increasing_id().alias("row"), host.alias("host"), F.col(html).alias("_html")))
-    names = marked.columns[:-1]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [blocks_of(x or "") for x in batch["_html"]]
-            blocks = [[{"text": t, "around": a} for t, a in b] for b, _ in made]
-            yield batch[names].assign(blocks=blocks, trees=[[{"tree": h, "others": o} for h, o in t] for _, t in made])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema if f.name in names)
-    return marked.mapInPandas(run, f"{fields}, blocks array<struct<text: string, around: array<long>>>, trees array<struct<tree: long, others: long>>")
-
-
-def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES) -> DataFrame:
+    """Every row's other columns with host, blocks and nodes, written once."""
+    host = F.lower(F.regexp_extract(F.coalesce(named(url), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    rest = no_clash(df, "host", "blocks", "nodes", "text", "n_chars", html)
+    pages = df.select(*[named(c) for c in rest.columns], host.alias("host"), named(html).alias("blocks"))
+
+    def make() -> Callable[[list], dict[str, list]]:
+        def run(found: list) -> dict[str, list]:
+            made = [parsed_page(x or "") for x in found]
+            return {"blocks": [b for b, _ in made], "nodes": [n for _, n in made]}
+
+        return run
+
+    return cut(added(pages, F.col("blocks"), make, f"blocks {_BLOCK}, nodes {_NODE}"))
+
+
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, tree, prosaic) of the subtrees that are templates."""
+    nodes = pages.select("host", F.inline("nodes"))
+    plain = nodes.where(F.col("kind").bitwiseAND(PLAIN) != 0).select("host", "tree", "others").distinct()
+    plain = plain.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "tree", F.lit(False).alias("prosaic"))
+    prose = nodes.where(F.col("kind").bitwiseAND(PROSAIC) != 0).groupBy("host", "tree")
+    each = lambda c: [F.count_distinct(c).alias(f"n_{c}"), F.max(F.col(c) != 0).alias(f"any_{c}")]
+    prose = prose.agg(F.count_distinct("others").alias("n"), *each("before"), *each("after"))
+    # A side that is the article's edge on all pages says nothing; the other must differ then.
+    differs = lambda c: ~F.col(f"any_{c}") | ((F.col(f"n_{c}") >= min_pages) & (2 * F.col(f"n_{c}") >= F.col("n")))
+    prose = prose.where((F.col("n") >= min_pages) & differs("before") & differs("after") & (F.col("any_before") | F.col("any_after")))
+    return cut(plain.unionByName(prose.select("host", "tree", F.lit(True).alias("prosaic"))))
+
+
+def _key(host: str, tree: int, prosaic: bool) -> int:
+    return xxhash.xxh64_intdigest(f"{host}\x00{tree}\x00{prosaic:d}") - (1 << 63)
+
+
+def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, few: int = FEW) -> DataFrame:
     """`df` without its html, with text and n_chars."""
     pages = parsed(df, html, url)
-    # Pages are parsed again rather than their blocks stored: their subtrees are a small part of them.
-    trees = cut(pages.select("row", "host", "trees"))
-    each = trees.select("row", "host", F.inline("trees"))
-    counts = each.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n"))
-    recurring = cut(counts.where(F.col("n") >= min_pages).select("host", "tree"))
-    gone = each.join(recurring, ["host", "tree"]).groupBy("row").agg(F.collect_set("tree").alias("gone"))
-
-    def text(kept: Column) -> Column:
-        return F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-
-    # Only pages with a block that a template may hold meet the templates in a shuffle.
-    open_ = F.exists("blocks", lambda b: F.size(b["around"]) > 0)
-    closed = pages.where(~open_).withColumn("text", text(F.col("blocks")))
-    kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["around"], F.col("gone")))
-    rest = pages.where(open_).join(gone, "row", "left").withColumn("text", text(kept)).drop("gone")
-    return closed.unionByName(rest).withColumn("n_chars", F.length("text").cast("long")).drop("row", "host", "blocks", "trees")
+    found = templates(pages, min_pages)
+    if found.count() <= few:
+        keys = np.sort(np.array([_key(*r) for r in found.collect()], dtype=np.int64))
+        rows = pages.withColumn("gone", F.lit(None).cast("array<int>"))
+    else:
+        keys = None
+        at = placed(pages, F.col("host"), F.posexplode("nodes").alias("place", "node")).select("file", "row", "host", "place", "node.*")
+        at = at.where(F.col("kind").bitwiseAND(PLAIN | PROSAIC) != 0).withColumn("prosaic", F.col("kind").bitwiseAND(PROSAIC) != 0)
+        gone = at.join(found, ["host", "tree", "prosaic"], "left_semi").groupBy("file", "row").agg(F.collect_list("place").alias("gone"))
+        rows = placed(pages, *[named(c) for c in pages.columns]).join(gone, ["file", "row"], "left").drop("file", "row")
+
+    def make() -> Callable[[list], dict[str, list]]:
+        def run(found: list) -> dict[str, list]:
+            texts = []
+            for r in found:
+                blocks, nodes = r["blocks"], r["nodes"]
+                gone = [False] * len(nodes)
+                for i in r["gone"] or []:
+                    gone[i] = True
+                if keys is not None and len(keys):
+                    may = [i for i, x in enumerate(nodes) if x["kind"] & (PLAIN | PROSAIC)]
+                    mine = np.array([_key(r["host"], nodes[i]["tree"], bool(nodes[i]["kind"] & PROSAIC)) for i in may], dtype=np.int64)
+                    hit = keys[np.minimum(np.searchsorted(keys, mine), len(keys) - 1)] == mine
+                    for i, h in zip(may, hit.tolist(), strict=True):
+                        gone[i] = h
+                texts.append(main_text(blocks, nodes, gone))
+            return {"text": texts, "n_chars": [len(x) for x in texts]}
+
+        return run
+
+    source = F.struct("host", "blocks", "nodes", "gone")
+    return added(rows, source, make, "text string, n_chars long", drop=("host", "blocks", "nodes", "gone"))

@@ -5,9 +5,13 @@ shards draw their source counts from a multinomial over what each source's quota
 to the quotas. A source's slots, numbered over all shards, walk through a pseudorandom permutation of its blocks,
 a new one for each pass; blocks and texts are then joined by block index.
 
+`takings` is that join: one row for each piece of a text that a slot of a shard takes. `mix_blocks` gives the shards' blocks,
+`mix_texts` the pieces with their texts' columns, shard by shard and slot by slot, and `mix_counts` what each text gave.
+
 Defined results: null texts and texts without words have size 0 and are never taken; a null source is a source of its
-own, last in order; an empty table gives no rows. Repeated rows are rows of their own. What is collected is one row
-per source, which is the size of the mixture's own definition.
+own, last in order; an empty table gives no rows. Repeated rows are rows of their own, whose place in the order goes by file
+and place in it. A very long text is cut into its blocks where it is read. Extra columns pass through `mix_texts`, whatever
+their names. What is collected is one row per source, which is the size of the mixture's own definition.
 """
 
 from __future__ import annotations
@@ -16,20 +20,24 @@ from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, n_words_of, settled, words_of
+from finlake.llm.common import arrow, cut, let, n_words_of, named, per_batch, placed, settled, whole, words_of
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 BLOCK = 128
 SHARDS = 256
 SEED = 20240607
-#: A source's order is computed in this many parts, so that a hot source isn't one task's.
-PARTS = 512
-_SLOTS = 1 << 16
+#: Rows of a part: a source's order is computed in parts, as many as the rows need, so that a hot source isn't one task's.
+PART = 50_000
+#: Sources up to which their targets are broadcast; beyond, they are joined in a shuffle.
+FEW = 20_000
+#: Slots numbered in one go, and by one row of the plan.
+_SLOTS, _RUN = 1 << 16, 1 << 20
+_PLAN, _SLOT = "shard int, source int, first long, n long, blocks long", "source int, block long, shard int, slot long"
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], most: int = MAX_REPEAT) -> list[Fraction]:
@@ -76,26 +84,28 @@ def permuted(at: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype("int64")
 
 
-def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.itertuples():
-            for at in range(row.first, row.first + row.n, _SLOTS):
-                slot = np.arange(at, min(at + _SLOTS, row.first + row.n), dtype="int64")
+        for shard, source, first, n, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for at in range(first, first + n, _SLOTS):
+                slot = np.arange(at, min(at + _SLOTS, first + n), dtype="int64")
                 block = np.empty_like(slot)
-                for turn in range(int(slot[0] // row.blocks), int(slot[-1] // row.blocks) + 1):
-                    here = slot // row.blocks == turn
-                    block[here] = permuted(slot[here] % row.blocks, row.blocks, SEED + 1000 * row.source + turn)
-                yield pd.DataFrame({"source": row.source, "block": block, "shard": row.shard, "slot": slot})
+                for turn in range(int(slot[0] // blocks), int(slot[-1] // blocks) + 1):
+                    here = slot // blocks == turn
+                    block[here] = permuted(slot[here] % blocks, blocks, SEED + 1000 * source + turn)
+                yield arrow(_SLOT, source=np.full(len(slot), source, "int32"), block=block, shard=np.full(len(slot), shard, "int32"), slot=slot)
 
 
-def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
-    """(texts, pieces). texts: row, doc_id, size, source_size, target for each row of `df`. pieces: row, first word,
-    words and times for each part of a text that one block covers and the mix takes."""
-    df = settled(df)
+def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, shards: int = SHARDS, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """(texts, takings). texts: file, row, doc_id, size, source_size, target for each row of `df`. takings: shard, slot (of
+    the source, counted over all shards), source (its number in order), block, at (where in the block), and file, row, first
+    word and words of the piece, for each piece of a text that a slot takes."""
     spark = df.sparkSession
-    name = F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    part = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(PARTS))
-    sized = cut(df.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), name.alias("name"), part.alias("part"), n_words_of(F.col(text)).alias("size")))
+    name = F.when(named(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), named(source).cast("string")))
+    key = F.xxhash64(named(doc_id), named(text), F.lit(SEED))
+    sized = cut(placed(df, named(doc_id).alias("doc_id"), name.alias("name"), key.alias("key"), n_words_of(named(text)).alias("size")))
+    parts = max(1, -(-sized.count() // part))
+    sized = sized.withColumn("part", F.pmod("key", F.lit(parts)))
     by_part = cut(sized.groupBy("name", "part").agg(F.sum("size").alias("n")))
     found = sorted(((r["name"] == "", r["name"], r["n"]) for r in by_part.groupBy("name").agg(F.sum("n").alias("n")).collect()))
     sizes = [n for *_, n in found]
@@ -104,51 +114,66 @@ def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: s
     quotas = [round(g * b / n) if n else 0 for g, b, n in zip(goal, blocks, sizes, strict=True)]
     plan = draws(quotas, shards)
     firsts = np.cumsum(plan, axis=0) - plan
-    rows = [(int(k), int(s), int(firsts[k, s]), int(plan[k, s]), blocks[s]) for k, s in zip(*np.nonzero(plan), strict=True)]
-    named = spark.createDataFrame([(nm, i, sizes[i], float(goal[i])) for i, (_, nm, _) in enumerate(found)], "name string, source int, source_size long, target double")
-    slots = spark.createDataFrame(rows, "shard int, source int, first long, n long, blocks long").repartition(min(shards, 64)).mapInPandas(_slots, "source int, block long, shard int, slot long")
-    times = slots.groupBy("source", "block").agg(F.count("*").alias("times"))
+    k, s = np.nonzero(plan)
+    rows = arrow(_PLAN, shard=k.astype("int32"), source=s.astype("int32"), first=firsts[k, s], n=plan[k, s], blocks=np.array(blocks, dtype="int64")[s])
+    dealt = spark.createDataFrame(pa.Table.from_batches([rows]), _PLAN).withColumn("begin", F.explode(F.expr(f"sequence(first, first + n - 1, {_RUN})")))
+    dealt = dealt.select("shard", "source", F.col("begin").alias("first"), F.expr(f"least(first + n - begin, {_RUN})").alias("n"), "blocks")
+    slots = per_batch(dealt.repartition("shard", "source", "first"), _slots, _SLOT)
+    each = spark.createDataFrame([(nm, i, sizes[i], float(goal[i])) for i, (_, nm, _) in enumerate(found)], "name string, source int, source_size long, target double")
+    each = F.broadcast(each) if len(found) <= FEW else each
 
     before = F.sum("n").over(Window.partitionBy("name").orderBy("part")) - F.col("n")
     starts = by_part.select("name", "part", before.alias("start"))
-    within = F.sum("size").over(Window.partitionBy("name", "part").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "row")) - F.col("size")
-    texts = sized.withColumn("within", within).join(starts, ["name", "part"]).join(F.broadcast(named), "name")
-    texts = cut(texts.select("row", "doc_id", "size", "source_size", "target", "source", (F.col("start") + F.col("within")).alias("at")))
-    ranges = texts.where("size > 0").select("row", "source", "at", "size", F.explode(F.expr(f"sequence(at div {block}, (at + size - 1) div {block})")).alias("block"))
-    pieces = ranges.join(times, ["source", "block"]).select(
+    within = F.sum("size").over(Window.partitionBy("name", "part").orderBy("key", "doc_id", "file", "row")) - F.col("size")
+    texts = sized.withColumn("within", within).join(starts, ["name", "part"]).join(each, "name")
+    texts = cut(texts.select("file", "row", "doc_id", "size", "source_size", "target", "source", (F.col("start") + F.col("within")).alias("at")))
+    ranges = texts.where("size > 0").select("file", "row", "source", "at", "size", F.explode(F.expr(f"sequence(at div {block}, (at + size - 1) div {block})")).alias("block"))
+    pieces = ranges.select(
+        "file",
         "row",
+        "source",
+        "block",
+        F.expr(f"greatest(at - block * {block}, 0)").alias("at"),
         F.expr(f"greatest(at, block * {block}) - at").alias("first"),
         F.expr(f"least(at + size, (block + 1) * {block}) - greatest(at, block * {block})").alias("words"),
-        "times",
     )
-    return texts.drop("source", "at"), pieces
+    return texts.drop("source", "at"), pieces.join(slots, ["source", "block"])
 
 
-def mix_counts(df: DataFrame, **names: str) -> DataFrame:
+def mix_counts(df: DataFrame, **names: str | int) -> DataFrame:
     """One row for each row of `df`: doc_id, size, source_size, target, taken."""
-    texts, pieces = mixture(df, **names)
-    taken = pieces.groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return texts.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    texts, takings = mixture(df, **names)
+    taken = takings.groupBy("file", "row").agg(F.sum("words").alias("taken"))
+    return texts.join(taken, ["file", "row"], "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
-def mix_texts(df: DataFrame, text: str = "text", **names: str) -> DataFrame:
-    """The mix itself, with the columns of `df`: a row for each taking of a run of words that is taken equally often.
-    A run that is a whole text keeps that text; others are their words with single spaces."""
+def _pieces(df: DataFrame, text: str, **names: str | int) -> DataFrame:
+    """The takings with whole (the columns of `df`) and piece (the words taken, with single spaces; a whole text as it is)."""
     df = settled(df)
-    texts, pieces = mixture(df, text=text, **names)
-    runs = F.sort_array(F.collect_list(F.struct("first", "words", "times")))
-    last = lambda acc: F.element_at(acc, -1)
-    joined = F.aggregate(
-        runs,
-        F.expr("cast(array() as array<struct<first: bigint, words: bigint, times: bigint>>)"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1)["times"] == x["times"]) & (F.get(acc, F.size(acc) - 1)["first"] + F.get(acc, F.size(acc) - 1)["words"] == x["first"]),
-            F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(last(acc)["first"].alias("first"), (last(acc)["words"] + x["words"]).alias("words"), x["times"].alias("times")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(x["first"].alias("first"), x["words"].alias("words"), x["times"].alias("times"))))),
-    )
-    taken = pieces.groupBy("row").agg(joined.alias("runs_")).join(texts.select("row", "size"), "row")
-    rows = df.withColumn("row", F.monotonically_increasing_id()).join(taken.withColumnRenamed("size", "size_"), "row")
-    rows = rows.select("*", F.explode("runs_").alias("run_"))
-    part = F.array_join(F.slice(words_of(F.col(text)), (F.col("run_.first") + 1).cast("int"), F.col("run_.words").cast("int")), " ")
-    rows = rows.withColumn(text, F.when(F.col("run_.words") == F.col("size_"), F.col(text)).otherwise(part))
-    return rows.select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("run_.times"))), *[F.col(f"`{c}`") for c in df.columns]).drop("col")
+    texts, takings = mixture(df, text=text, **names)
+    taken = takings.groupBy("file", "row").agg(F.collect_list(F.struct("shard", "slot", "source", "block", "at", "first", "words")).alias("taken"))
+    rows = placed(df, whole(df)).join(taken.join(texts.select("file", "row", "size"), ["file", "row"]), ["file", "row"])
+    body = F.col("whole").getField(text)
+
+    def cut_out(words):
+        part = lambda x: F.array_join(F.slice(words, (x["first"] + 1).cast("int"), x["words"].cast("int")), " ")
+        return F.transform("taken", lambda x: F.struct(x.alias("taking"), F.when(x["words"] == F.col("size"), body).otherwise(part(x)).alias("piece")))
+
+    return rows.select("whole", F.inline(let(words_of(body), cut_out))).select("whole", "taking.*", "piece")
+
+
+def mix_texts(df: DataFrame, text: str = "text", **names: str | int) -> DataFrame:
+    """The mix as rows with the columns of `df`: for each piece of a text that a slot takes, one whose text is the piece.
+    Partitions hold whole shards; in a shard, the sources' slots stand in a hashed order."""
+    made = _pieces(df, text, **names).repartition("shard").sortWithinPartitions("shard", F.xxhash64("source", "slot", F.lit(SEED)), "source", "slot", "at")
+    return made.select(*[F.col("piece").alias(c) if c == text else F.col("whole").getField(c).alias(c) for c in df.columns])
+
+
+def mix_blocks(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **names: str | int) -> DataFrame:
+    """The mix as blocks: shard, source (its number in order), slot, block, n_words (`block`, but for a source's last one), text,
+    and pieces (doc_id, first word, words)."""
+    made = _pieces(df, text, doc_id=doc_id, **names)
+    each = F.struct("at", "piece", F.col("whole").getField(doc_id).alias("doc_id"), "first", "words")
+    made = made.groupBy("shard", "source", "slot", "block").agg(F.sum("words").alias("n_words"), F.sort_array(F.collect_list(each)).alias("all"))
+    joined = F.array_join(F.transform("all", lambda x: F.array_join(words_of(x["piece"]), " ")), " ")
+    return made.select("shard", "source", "slot", "block", "n_words", joined.alias("text"), F.transform("all", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["first"].alias("first"), x["words"].alias("words"))).alias("pieces"))
