@@ -169,13 +169,10 @@ def added(df: DataFrame, source: Column, make: Callable[[], Callable[[list], dic
     columns pass as they are."""
     new = StructType.fromDDL(schema)
     rest = no_clash(df, *new.names, *drop)
-    body_name = "body"
-    while body_name in {c.lower() for c in rest.columns}:
-        body_name += "_"
     kinds = to_arrow_schema(new)
     out = StructType(rest.schema.fields + new.fields)
     names = out.names
-    frame = df.select(*[named(c) for c in rest.columns], source.alias(body_name))
+    frame = df.select(*[named(c) for c in rest.columns], source.alias(free_name(rest, "body")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = make()
@@ -196,6 +193,14 @@ def arrow(schema: str, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, names=[name for name, _ in fields])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def no_clash(df: DataFrame, *names: str) -> DataFrame:
     """`df` without columns that an operator adds under the same names (compared without case)."""
     taken = {n.lower() for n in names}

@@ -3,39 +3,41 @@
 Each line with a word is judged on its own: punctuation, navigation and boilerplate rules. Lines that fail are
 removed, and a document that loses too much of its text is rejected.
 
-Defined results: a null or blank text has no words and fails the base rules; extra columns pass through; a column
-that has the name of an added one is replaced. Every row is judged alone, so ties and repeated rows need no order.
+Defined results: a null or blank text has no words and fails the base rules; lines are split at \\n, and those without a word
+are never judged; extra columns pass through; a column that has the name of an added one is replaced. Every row is judged alone,
+so ties and repeated rows need no order; an empty table gives no rows; a very long text, or line, takes time in
+proportion to its length (its words times their logarithm, where windows of words recur).
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import BLANKS, let, no_clash, words_of
+from finlake.llm.common import BLANKS, WORD, free_name, let, named, no_clash, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
-#: Lower-case phrases of page furniture.
-BOILERPLATE = (
-    "all rights reserved",
-    "accept cookies",
-    "cookie policy",
-    "cookie settings",
-    "privacy policy",
-    "terms of service",
-    "terms of use",
-    "enable javascript",
-    "lorem ipsum",
-    "sign up for our newsletter",
-    "subscribe to our",
-    "click here to",
-    "powered by",
-)
-#: Whole lines of menus, lower case.
-MENU = r"^(home|menu|search|login|log in|sign in|sign up|register|next|previous|back to top|read more|share|tweet|contact|about|about us|contact us|faq|help|sitemap|print)[ .:>»]*$"
+#: Phrases of page furniture, lower case, by language.
+BOILERPLATE = {
+    "en": ("all rights reserved", "accept cookies", "cookie policy", "cookie settings", "privacy policy", "terms of service", "terms of use", "enable javascript", "lorem ipsum", "subscribe to our", "click here to", "powered by"),
+    "de": ("alle rechte vorbehalten", "cookies akzeptieren", "datenschutzerklärung", "nutzungsbedingungen", "newsletter abonnieren", "javascript aktivieren", "hier klicken"),
+    "fr": ("tous droits réservés", "accepter les cookies", "politique de confidentialité", "conditions d'utilisation", "mentions légales", "activer javascript", "cliquez ici"),
+    "es": ("todos los derechos reservados", "aceptar cookies", "política de privacidad", "condiciones de uso", "aviso legal", "activar javascript", "haga clic aquí"),
+}
+#: Words and phrases that are a menu entry where they are a whole line, by language.
+MENU = {
+    "en": ("home", "menu", "search", "login", "log in", "sign in", "sign up", "register", "next", "previous", "back to top", "read more", "share", "contact", "contact us", "about", "about us", "faq", "help", "sitemap", "print"),
+    "de": ("startseite", "menü", "suche", "anmelden", "registrieren", "weiter", "zurück", "nach oben", "mehr lesen", "teilen", "kontakt", "über uns", "hilfe", "impressum", "drucken"),
+    "fr": ("accueil", "rechercher", "connexion", "s'inscrire", "suivant", "précédent", "haut de page", "lire la suite", "partager", "à propos", "aide", "plan du site", "imprimer"),
+    "es": ("inicio", "buscar", "iniciar sesión", "registrarse", "siguiente", "anterior", "volver arriba", "leer más", "compartir", "contacto", "acerca de", "ayuda", "mapa del sitio", "imprimir"),
+}
+_MENU_LINE = "^(?:" + "|".join(re.escape(x) for words in MENU.values() for x in words) + r")[ .:>»]*$"
+#: What opens a line of rights, and a word that is a link.
+_RIGHTS, _LINK = r"^\s*(?:©|\(c\)|&copy;|copyright\b)", r"(?:https?://|www\.)[^\x20\x09-\x0D]+"
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_bad_lines", "lost_chars", "clean_text", "kept")
 
 
@@ -43,7 +45,7 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 class LineRules:
     """min_words: base rule. max_repeat: base rule, percent of words. max_lost: share of a text's characters
     that bad lines may take. long_line: words from which a line needs a sentence mark. max_symbols and min_letters:
-    shares of a line's characters. max_separators: share of a line's words that are menu separators."""
+    shares of a line's characters. max_separators and max_links: shares of a line's words that are menu separators, or links."""
 
     min_words: int = 20
     max_repeat: int = 30
@@ -52,6 +54,7 @@ class LineRules:
     max_symbols: float = 0.1
     min_letters: float = 0.4
     max_separators: float = 0.2
+    max_links: float = 0.5
 
 
 def repeated_words(words: Column) -> Column:
@@ -99,28 +102,30 @@ def described(line: Column) -> Column:
 
 
 def bad_line(x: Column, rules: LineRules) -> Column:
-    """Whether a described line with a word fails a rule. Its words are counted by its blanks."""
+    """Whether a described line with a word fails a rule. Words are counted only where a cheaper condition holds."""
     line, size = x["line"], x["size"]
-    n = F.length(line) - size + 1
-    punctuation = (x["symbols"] > rules.max_symbols * size) | (x["letters"] < rules.min_letters * size) | ((n >= rules.long_line) & ~line.rlike(r"[.!?…。！？]"))
+    n = F.regexp_count(line, F.lit(WORD))
+    punctuation = (x["symbols"] > rules.max_symbols * size) | (x["letters"] < rules.min_letters * size) | (~line.rlike(r"[.!?…。！？]") & (n >= rules.long_line))
     marks = F.lit(False)
     for mark in "|»›•·":
         marks = marks | line.contains(mark)
     marks = marks | line.contains(" > ") | line.contains(" / ")
     navigation = marks & (F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|»›•·>/]+(?![^\x20\x09-\x0D])")) > rules.max_separators * n)
+    links = (line.contains("://") | line.contains("www.")) & (F.regexp_count(line, F.lit(_LINK)) > rules.max_links * n)
 
     def furniture(lower: Column) -> Column:
-        out = (size < 20) & F.trim(lower).rlike(MENU)
-        for phrase in BOILERPLATE:
-            out = out | lower.contains(phrase)
+        out = ((size < 20) & F.trim(lower).rlike(_MENU_LINE)) | lower.rlike(_RIGHTS)
+        for phrases in BOILERPLATE.values():
+            for phrase in phrases:
+                out = out | lower.contains(phrase)
         return out
 
-    return punctuation | navigation | let(F.lower(line), furniture)
+    return punctuation | navigation | links | let(F.lower(line), furniture)
 
 
 def quality_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
     """`df` with n_words, the base counts, base_failed, n_lines, n_bad_lines, lost_chars, clean_text and kept."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(named(text), F.lit(""))
     total = lambda lines, of: F.aggregate(lines, F.lit(0).cast("long"), lambda acc, x: acc + x[of])
 
     def by_word(words: Column) -> Column:
@@ -141,18 +146,19 @@ def quality_rules(df: DataFrame, text: str = "text", rules: LineRules = LineRule
 
     lines = F.transform(F.split(body, "\n"), described)
     filled = F.filter(lines, lambda x: x["size"] > 0)
-    out = df.withColumns({"_w": let(words_of(body), by_word), "_l": let(filled, by_line)})
-    out = no_clash(out, *ADDED).select(
+    w, each = free_name(df, "w"), free_name(df, "each")
+    out = df.withColumns({w: let(words_of(body), by_word), each: let(filled, by_line)})
+    out = no_clash(out, *[c for c in ADDED if c not in (w, each)]).select(
         "*",
-        F.col("_w.n_words"),
-        F.col("_l.word_chars"),
-        F.col("_l.n_symbols"),
-        F.col("_l.n_dup_lines"),
-        F.col("_w.n_repeat_words"),
-        ((F.col("_w.n_words") < rules.min_words) | (100 * F.col("_w.n_repeat_words") > rules.max_repeat * F.col("_w.n_words"))).alias("base_failed"),
-        F.col("_l.n_lines"),
-        F.col("_l.n_bad_lines"),
-        F.col("_l.lost_chars"),
+        F.col(f"{w}.n_words"),
+        F.col(f"{each}.word_chars"),
+        F.col(f"{each}.n_symbols"),
+        F.col(f"{each}.n_dup_lines"),
+        F.col(f"{w}.n_repeat_words"),
+        ((F.col(f"{w}.n_words") < rules.min_words) | (100 * F.col(f"{w}.n_repeat_words") > rules.max_repeat * F.col(f"{w}.n_words"))).alias("base_failed"),
+        F.col(f"{each}.n_lines"),
+        F.col(f"{each}.n_bad_lines"),
+        F.col(f"{each}.lost_chars"),
     )
     clean = F.array_join(F.transform(F.filter(lines, lambda x: (x["size"] == 0) | ~bad_line(x, rules)), lambda x: x["line"]), "\n")
-    return out.withColumns({"clean_text": clean, "kept": ~F.col("base_failed") & (F.col("lost_chars") <= rules.max_lost * F.col("word_chars"))}).drop("_w", "_l")
+    return out.withColumns({"clean_text": clean, "kept": ~F.col("base_failed") & (F.col("lost_chars") <= rules.max_lost * F.col("word_chars"))}).drop(w, each)

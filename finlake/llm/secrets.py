@@ -3,30 +3,45 @@
 A token of 20 characters or more with letters and digits is read in the encoding that its characters allow (hex, base
 32, base 36 or base 64; dashes between groups of the first three are left out, if half of the groups hold a digit or all
 is hex, and 20 characters remain). Three tests ask if its symbol values are uniform and independent: chi-squared over equally
-likely bins, runs above and below the middle, and lag-1 serial correlation. The least of the three p-values, times
-three, is the token's. Benjamini-Hochberg over a document's tokens, with weights that rise with length, says which
-tokens are certainly not random; the others are reported. Longer tokens carry more evidence and so get more of the
-allowance; the share of true secrets among those set aside is held at FDR.
+likely bins, runs above and below the middle, and lag-1 serial correlation. A token that one of them rejects at GATE / 3 isn't
+random.
+
+A token that passes is a discovery only if it couldn't be an ordinary identifier. That null hypothesis bounds how often
+such a name (in camel case, with dashes, dates and numbers) has a letter that is rare in words (in hex: one of a to f), changes
+between words, cases and digits, and has two consonants in a row; each count has an exact binomial tail, and Fisher's method joins the
+three. Benjamini-Hochberg over all tokens of the table, with weights in proportion to length, then holds the share of
+ordinary names among the reported tokens at FDR: longer tokens carry more evidence and get more of the allowance. Its
+threshold comes from counts by evidence, of which there are LEVELS at most.
 
 Spans count code points, end exclusive. Patterns are cut out with their positions by one anchored expression: each match
 takes the gap before it along.
 
-Defined results: null is the empty text, without spans; rows are scanned alone; extra columns pass through.
+Defined results: null is the empty text, without spans; fixed patterns are matched row by row, and ties between kinds go in
+the order of KINDS; repeated rows and tokens count each time; an empty table, or one without tokens, has no threshold and
+reports fixed patterns only; a very long text or token takes time in proportion to its length; extra columns pass
+through, and one called `secrets` is replaced.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import let, no_clash
+from finlake.llm.common import let, named, no_clash
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
-FDR = 0.01
+#: Level of the three randomness tests together, share of ordinary names among the reported tokens, and steps of evidence (ten to
+#: a factor of ten) that the threshold is chosen from.
+GATE, FDR, LEVELS = 0.003, 0.01, 3000
+#: Under the null hypothesis, how often at most: a letter of a name is rare, or one of a to f; a pair of its characters is a
+#: change; a pair of letters is two consonants.
+RARE, LIKE_HEX, CHANGE, CONSONANTS = 0.09, 0.35, 0.18, 0.42
 _SPANS = "cast(array() as array<struct<start: int, end: int, kind: int, token: string>>)"
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encoding: characters allowed, symbols in order of value, symbols a bin.
@@ -58,12 +73,52 @@ def located(text: Column, pattern: str, kind: str) -> Column:
 
 
 def upper_tail(z: Column) -> Column:
-    """The normal distribution's upper tail, by the logistic curve that is within 0.0002 of it."""
-    return 1 / (1 + F.exp(F.least(F.lit(600.0), 1.5976 * z + 0.070565992 * z * z * z)))
+    """The normal distribution's upper tail, within 0.3 percent of it for z > 0."""
+    y = F.abs(z)
+    tail = F.exp(-y * y / 2) / (1.64 * y + F.sqrt(0.76 * y * y + 4))
+    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+
+def binomial_tail(k: Column, n: Column, rate: float) -> Column:
+    """The chance of `k` or more of `n`, exactly; 1 where `k` isn't above the mean."""
+    ways = F.aggregate(F.sequence(F.lit(1), F.greatest(k, F.lit(1)).cast("int")), F.lit(0.0), lambda acc, j: acc + F.log((n - j + 1) / j))
+    here = F.exp(ways + k * math.log(rate) + (n - k) * math.log(1 - rate))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def more(acc: Column, i: Column) -> Column:
+        term = acc["term"] * (n - i) / (i + 1) * (rate / (1 - rate))
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    rest = F.aggregate(F.sequence(k.cast("int"), F.greatest(n, k).cast("int")), start, more, lambda acc: acc["sum"])
+    return F.when(k <= n * rate, F.lit(1.0)).otherwise(F.least(F.lit(1.0), here * rest))
+
+
+def ordinary_p(token: Column) -> Column:
+    """How likely an ordinary identifier has at least so many rare letters, changes and pairs of consonants."""
+
+    def of(letters: Column) -> Column:
+        pairs = F.transform(F.slice(letters, 1, F.greatest(F.size(letters) - 1, F.lit(1))), lambda c, i: F.struct(c.alias("a"), F.coalesce(F.get(letters, i + 1), F.lit("-")).alias("b")))
+        return let(pairs, lambda p: tests(letters, p))
+
+    def tests(letters: Column, pairs: Column) -> Column:
+        is_, count = (lambda c, kind: c.rlike(kind)), (lambda x, f: F.size(F.filter(x, f)).cast("double"))
+        change = lambda x: (is_(x["a"], "[a-z]") & is_(x["b"], "[A-Z]")) | (is_(x["a"], "[0-9]") != is_(x["b"], "[0-9]"))
+        signs = F.filter(pairs, lambda x: is_(x["a"], "[A-Za-z0-9]") & is_(x["b"], "[A-Za-z0-9]"))
+        within = F.filter(signs, lambda x: ~change(x) & is_(x["a"], "[A-Za-z]"))
+        consonant = "(?i)[b-df-hj-np-tv-z]"
+        n_letters = count(letters, lambda c: is_(c, "[A-Za-z]"))
+        hex_ = F.translate(token, "-", "").rlike(ENCODINGS["hex"][0])
+        rare = F.when(hex_, binomial_tail(n_letters, n_letters, LIKE_HEX)).otherwise(binomial_tail(count(letters, lambda c: is_(c, "[jkqvwxyzJKQVWXYZ]")), n_letters, RARE))
+        changes = binomial_tail(count(signs, change), F.size(signs).cast("double"), CHANGE)
+        serial = F.when(hex_, F.lit(1.0)).otherwise(binomial_tail(count(within, lambda x: is_(x["a"], consonant) & is_(x["b"], consonant)), F.size(within).cast("double"), CONSONANTS))
+        joined = -(F.log(F.greatest(rare, F.lit(1e-90))) + F.log(F.greatest(changes, F.lit(1e-90))) + F.log(F.greatest(serial, F.lit(1e-90))))
+        return let(joined, lambda x: F.exp(-x) * (1 + x + x * x / 2))  # Fisher's method: chi-squared with 6 degrees
+
+    return let(F.filter(F.split(token, ""), lambda c: F.length(c) > 0), of)
 
 
 def p_value(values: Column, symbols: int, per_bin: int) -> Column:
-    """The battery's p-value for symbol values 0..symbols-1: small if they aren't uniform and independent."""
+    """The battery's p-value (three times the least of three) for symbol values 0..symbols-1: small if they aren't uniform and independent."""
     n, bins = F.size(values).cast("double"), symbols // per_bin
     expected = n / bins
     count = lambda b: F.size(F.filter(values, lambda v: F.floor(v / per_bin) == b)).cast("double")
@@ -106,37 +161,51 @@ def token_p(token: Column) -> Column:
     return out
 
 
-def random_tokens(text: Column) -> Column:
-    """Spans of tokens that the battery, under false-discovery control, can't tell from random strings."""
-
-    def judged(spans: Column) -> Column:
-        scored = F.transform(spans, lambda s: F.struct(token_p(s["token"]).alias("p"), F.length(s["token"]).cast("double").alias("n"), s.alias("s")))
-
-        def step_up(items: Column) -> Column:
-            mean = F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x["n"]) / F.size(items)
-            ranked = F.sort_array(F.transform(items, lambda x: F.struct((x["p"] * mean / x["n"]).alias("q"), x["s"].alias("s"))))
-            m = F.size(items)
-
-            def cut(rows: Column) -> Column:
-                last = F.aggregate(F.transform(rows, lambda x, i: F.when(x["q"] <= FDR * (i + 1) / m, i).otherwise(-1)), F.lit(-1), lambda acc, i: F.greatest(acc, i))
-                return let(last, lambda k: F.transform(F.filter(rows, lambda x, i: i > k), lambda x: x["s"]))
-
-            return let(ranked, cut)
-
-        return F.when(F.size(spans) == 0, spans).otherwise(let(scored, step_up))
-
+def tokens(text: Column) -> Column:
+    """Tokens as spans with p: their p-value as ordinary names over their length, or 1 for those that aren't random."""
     mixed = F.filter(located(text, TOKEN, "random"), lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]"))
-    return let(mixed, judged)
-
 
-def scan_secrets(df: DataFrame, text: str = "text") -> DataFrame:
-    """`df` with secrets: array of (start, end, kind, token) by start, then kind."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    def judged(s: Column) -> Column:
+        weighted = F.when(token_p(s["token"]) >= GATE, ordinary_p(s["token"]) / F.length(s["token"])).otherwise(F.lit(1.0))
+        return F.struct(weighted.alias("p"), s.alias("s"))
+
+    return let(mixed, lambda spans: F.transform(spans, judged))
+
+
+def threshold(df: DataFrame, text: str = "text", fdr: float = FDR) -> float:
+    """The largest p over length that Benjamini-Hochberg with weights in proportion to length reports over the whole table;
+    -1 if there is none."""
+    body = named(text)
+    each = df.where(body.rlike(TOKEN)).select(F.explode(tokens(body)).alias("x")).select("x.p", F.length("x.s.token").alias("n"))
+    level = F.least(F.floor(-10 * F.log10(F.greatest(F.col("p"), F.lit(1e-299)))), F.lit(LEVELS)).cast("int")
+    counts = each.groupBy(level.alias("level")).agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
+    m, length = sum(r["k"] for r in counts), sum(r["n"] for r in counts)
+    found, best = 0, -1.0
+    for r in sorted(counts, key=lambda r: -r["level"]):
+        found += r["k"]
+        p = 10 ** (-r["level"] / 10)  # no token of this level has more
+        if p < 1 and m * p * (length / m) <= fdr * found:
+            best = p
+    return best
+
+
+def random_tokens(text: Column, most: float) -> Column:
+    """Spans of tokens whose p over length is `most` or less."""
+    if most < 0:
+        return F.expr(_SPANS)
+    return F.transform(F.filter(tokens(text), lambda x: x["p"] <= most), lambda x: x["s"])
+
+
+def scan_secrets(df: DataFrame, text: str = "text", most: float | None = None) -> DataFrame:
+    """`df` with secrets: array of (start, end, kind, token) by start, then kind. most: the threshold, if another table's is
+    to be used."""
+    most = threshold(df, text) if most is None else most
+    body = F.coalesce(named(text), F.lit(""))
     assign = F.filter(located(body, ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= 6)
     fixed = F.concat(assign, located(body, ACCESS, "access"), located(body, HEX, "hex"))
 
     def joined(base: Column) -> Column:
-        other = F.filter(random_tokens(body), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        other = F.filter(random_tokens(body, most), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
         ordered = F.sort_array(F.transform(F.concat(base, other), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["token"].alias("token"))))
         return F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1).alias("kind"), s["token"].alias("token")))
 

@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
@@ -83,13 +85,47 @@ def test_quality_base_against_brute_force(spark, docs, rows):
         assert not (r["base_failed"] and r["kept"])
 
 
+def bad(line, rules=quality.LineRules()):
+    """The line rules, word for word, over Python strings."""
+    words, dense = WORD.findall(line), re.sub(r"[\x20\x09-\x0D]", "", line)
+    symbols, letters = sum(c in "#*$%&|<>" for c in dense), sum(c.isalpha() for c in dense)
+    if symbols > rules.max_symbols * len(dense) or letters < rules.min_letters * len(dense):
+        return True
+    if len(words) >= rules.long_line and not any(c in ".!?…。！？" for c in line):
+        return True
+    if (any(c in "|»›•·" for c in line) or " > " in line or " / " in line) and sum(not w.strip("|»›•·>/") for w in words) > rules.max_separators * len(words):
+        return True
+    if ("://" in line or "www." in line) and sum("://" in w or "www." in w for w in words) > rules.max_links * len(words):
+        return True
+    low = line.lower()
+    if len(dense) < 20 and low.strip(" ").rstrip(" .:>»") in {x for words in quality.MENU.values() for x in words}:
+        return True
+    return bool(re.match(r"\s*(©|\(c\)|&copy;|copyright\b)", low)) or any(p in low for phrases in quality.BOILERPLATE.values() for p in phrases)
+
+
+def test_quality_lines_against_brute_force(spark):
+    rng = random.Random(21)
+    bits = ["Home", "|", "»", "News", "the river runs past.", "a  b  c  d  e  f  g h", "and the road follows it", "Impressum", "Startseite", "Accueil >", "© 2024 The Site", "https://a.example/x", "#", "***", "12 34 56", "Datenschutzerklärung", "/", "•", "x", "One. Two.", "tous droits réservés", "\t", "Copyrighted works are fine here.", "(c) us"]
+    rows = [(i, "\n".join(" ".join(rng.choices(bits, k=rng.randint(0, 7))) for _ in range(rng.randint(0, 12)))) for i in range(300)]
+    found = as_dict(quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, text in rows:
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        size = lambda x: len(re.sub(r"[\x20\x09-\x0D]", "", x))
+        lost = [x for x in lines if bad(x)]
+        r = found[i]
+        assert (r["n_lines"], r["n_bad_lines"], r["lost_chars"]) == (len(lines), len(lost), sum(map(size, lost))), text
+        assert r["clean_text"] == "\n".join(x for x in text.split("\n") if not WORD.search(x) or not bad(x))
+        assert r["kept"] == (not r["base_failed"] and sum(map(size, lost)) <= 0.5 * r["word_chars"])
+
+
 def test_quality_lines(spark, empty, docs):
     clean = "The river runs past the old mill, and the road follows it. People walk there in the evening, when the air is cool and still."
     menu = "Home | News | Sport | Weather | Contact | Login | Register | Help"
-    found = as_dict(quality.quality_rules(spark.createDataFrame([(1, clean), (2, f"{menu}\n{clean}\nAll rights reserved."), (3, f"{menu}\n" * 9 + clean[:20])], "doc_id long, text string")))
+    found = as_dict(quality.quality_rules(spark.createDataFrame([(1, clean), (2, f"{menu}\n{clean}\nAll rights reserved."), (3, f"{menu}\n" * 9 + clean[:20]), (4, "a  b  c  d  e  f  g h"), (5, "word " * 400_000)], "doc_id long, text string")))
     assert found[1]["kept"] and found[1]["n_bad_lines"] == 0 and found[1]["clean_text"] == clean
     assert found[2]["kept"] and found[2]["n_bad_lines"] == 2 and found[2]["clean_text"] == clean
-    assert not found[3]["kept"]
+    assert not found[3]["kept"] and found[4]["n_bad_lines"] == 0
+    assert found[5]["n_words"] == 400_000 and found[5]["n_repeat_words"] == 400_000
     assert quality.quality_rules(empty).count() == 0
     assert dict(quality.quality_rules(docs).dtypes)["n_words"] == "bigint" and quality.quality_rules(docs).count() == docs.count()
 
@@ -130,6 +166,23 @@ def test_targets():
     assert sum(found) == 1050 and all(x <= 3 * n for x, n in zip(found, [7, 1000, 3, 40], strict=True))
 
 
+def water(sizes, weights):
+    """Targets by bisection for the level at which weight x level, at most 3 sizes, adds up to the total."""
+    total, low, high = sum(sizes), 0.0, 1e9
+    for _ in range(300):
+        level = (low + high) / 2
+        low, high = (low, level) if sum(min(w * level, 3 * n) for w, n in zip(weights, sizes, strict=True)) > total else (level, high)
+    return [min(w * low, 3 * n) for w, n in zip(weights, sizes, strict=True)]
+
+
+def test_targets_against_bisection():
+    rng = random.Random(17)
+    for _ in range(200):
+        sizes = [rng.choice([0, rng.randint(1, 50), rng.randint(1, 10_000)]) for _ in range(rng.randint(1, 9))]
+        weights = [1 + i % 3 for i in range(len(sizes))]
+        assert [float(x) for x in mixing.targets(sizes, weights)] == pytest.approx(water(sizes, weights), abs=1e-3)
+
+
 def test_permutations_and_draws():
     for n in (1, 2, 3, 100, 1000):
         assert sorted(mixing.permuted(np.arange(n), n, 5)) == list(range(n))
@@ -138,6 +191,56 @@ def test_permutations_and_draws():
     assert (mixing.draws([0, 0], 3) == 0).all()
 
 
+def test_draws_are_multinomial():
+    """Over many seeds a shard's counts have the mean and the variance of draws without return."""
+    quotas, shards = np.array([600, 300, 100]), 10
+    made = np.array([mixing.draws(quotas, shards, seed) for seed in range(400)])[:, 0]
+    n, share = made.sum(axis=1)[0], quotas / quotas.sum()
+    assert (made.sum(axis=1) == 100).all()
+    assert made.mean(axis=0) == pytest.approx(n * share, rel=0.03)
+    assert made.var(axis=0) == pytest.approx(n * share * (1 - share), rel=0.25)
+
+
+def test_shards_slots_and_blocks(docs, rows):
+    """The mix, made again from its definition: blocks of each source's stream, taken by the permutation of each pass."""
+    block, shards = 8, 5
+    texts, takings = mixing.mixture(docs, block=block, shards=shards)
+    at = {(r["file"], r["row"]): r["doc_id"] for r in texts.collect()}
+    found = takings.collect()
+    slots = collections.defaultdict(set)
+    for r in found:
+        slots[r["source"], r["slot"]].add((r["shard"], r["block"]))
+    assert all(len(x) == 1 for x in slots.values())
+    sizes = collections.Counter()
+    names = {r["doc_id"]: r["source"] for r in docs.collect()}
+    order = sorted(set(names.values()), key=lambda s: (s is None, s or ""))
+    for k, t in rows.items():
+        sizes[order.index(names[k])] += len(WORD.findall(t or ""))
+    n_blocks = {s: -(-n // block) for s, n in sizes.items()}
+    goal = water([sizes[s] for s in range(len(order))], [1 + s % 3 for s in range(len(order))])
+    plan = mixing.draws([round(g * n_blocks[s] / sizes[s]) for s, g in enumerate(goal)], shards)
+    for s in range(len(order)):
+        mine = sorted((slot, *next(iter(x))) for (source, slot), x in slots.items() if source == s)
+        assert [slot for slot, *_ in mine] == list(range(plan[:, s].sum()))
+        assert [shard for _, shard, _ in mine] == [k for k in range(shards) for _ in range(plan[k, s])]
+        for slot, _, b in mine:
+            assert b == mixing.permuted(np.array([slot % n_blocks[s]]), n_blocks[s], mixing.SEED + 1000 * s + slot // n_blocks[s])[0]
+    # A block holds the same words whenever it is taken, and as many as fit.
+    held = collections.defaultdict(set)
+    for r in found:
+        held[r["source"], r["block"], r["slot"]].add((r["at"], at[r["file"], r["row"]], r["first"], r["words"]))
+    by_block = collections.defaultdict(set)
+    for (s, b, _), x in held.items():
+        by_block[s, b].add(frozenset(x))
+        assert sum(n for *_, n in x) == min(block, sizes[s] - b * block)
+    assert all(len(x) == 1 for x in by_block.values())
+    made = {(r["shard"], r["source"], r["slot"]): r for r in mixing.mix_blocks(docs, block=block, shards=shards).collect()}
+    assert len(made) == len(slots)
+    for r in made.values():
+        assert r["text"].split(" ") == [w for p in r["pieces"] for w in WORD.findall(rows[p["doc_id"]])[p["first"] : p["first"] + p["words"]]]
+        assert r["n_words"] == len(r["text"].split(" "))
+
+
 def test_mixing(docs, rows, empty):
     found = mixing.mix_counts(docs, block=4, shards=5).collect()
     assert sorted(map(str, found)) == sorted(map(str, mixing.mix_counts(docs, block=4, shards=5).collect()))
@@ -158,7 +261,7 @@ def test_mixing(docs, rows, empty):
 
 def test_mixed_texts_hold_what_is_counted(docs, rows):
     mixed = mixing.mix_texts(docs, block=16, shards=5)
-    assert mixed.columns == docs.columns
+    assert mixed.columns == docs.columns and {(r["ROW"], r["kept"], r["n_words"]) for r in mixed.collect()} == {(1, "mine", "old")}
     words = collections.Counter()
     for r in mixed.collect():
         found = WORD.findall(r["text"])
@@ -187,13 +290,30 @@ def test_chat_windows_keep_the_system_turn_and_the_budget():
     assert sum(len(w["loss"]) for w in made) == 6 and all(w["history"] >= 2 for w in made[1:])
 
 
-def test_chat_frame(spark):
-    rows = [(1, 0, "user", None), (1, 1, "assistant", "hi"), (1, 1, "assistant", "hi"), (None, None, None, None), (2, 0, "assistant", "x")]
-    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"windows": F.lit(1), "n_turns": F.lit(2)})
-    found = as_dict(chat.read_back(chat.format_chat(frame)), "conv_id")
-    assert found[1]["n_turns"] == 3 and found[1]["loss_chars"] == 4 and found[None]["n_turns"] == 1
-    assert found[1]["turns_sha256"] == hashlib.sha256(b"user\n\nassistant\nhi\nassistant\nhi\n").hexdigest()
-    assert chat.format_chat(frame.limit(0)).count() == 0 and chat.chat_windows(frame).count() == 3
+def turns_of(rows):
+    """Digests of each conversation's turns, from (conv_id, turn, role, text) rows."""
+    out = {}
+    for c in {r[0] for r in rows}:
+        mine = sorted((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == c)
+        turns, loss = "".join(f"{role}\n{text}\n" for *_, role, text in mine), "".join(text for *_, role, text in mine if role == "assistant")
+        out[c] = (len(mine), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize(("size", "budget"), [(chat.SEGMENT, chat.Budget()), (300, chat.Budget(window=60, history=15))])
+def test_chat_frame(spark, size, budget):
+    rng = random.Random(3)
+    rows = [(1, 0, "user", None), (1, 1, "assistant", "hi"), (1, 1, "assistant", "hi"), (None, None, None, None), (2, 0, "assistant", "w " * 20_000)]
+    rows += [(None, rng.choice([None, 0, 1]), rng.choice(["user", "assistant", "system", None]), rng.choice([None, "", "a b " * 5, "\\### x: </turn>\n"])) for _ in range(800)]
+    rows += [(7, t, "user" if t % 2 else "assistant", f"turn {t} " * 9) for t in range(60)] + [(7, 3, "system", "be kind")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"window": F.lit(1), "ROW": F.lit(2), "segment": F.lit("s")}).repartition(5)
+    made = chat.chat_windows(frame, budget, size)
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(made).collect()}
+    assert found == turns_of(rows)
+    kept = sorted((r["segment"], r["window"], r["text"]) for r in made.where("conv_id = 7").collect())
+    if size == 300:
+        assert kept[-1][0] > 1 and all(text.startswith("### system: be kind</turn>") for *_, text in kept[2:])
+    assert chat.chat_windows(frame.limit(0)).count() == chat.read_back(chat.chat_windows(frame.limit(0))).count() == 0
 
 
 # 5
@@ -222,38 +342,88 @@ def test_secret_base_against_brute_force(spark, docs, rows, empty):
     assert secrets.scan_secrets(empty).count() == 0
 
 
-def test_random_tokens_are_told_from_words(spark):
-    rng = random.Random(9)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    true = [(i, "key is " + "".join(rng.choices(alphabet, k=44)) + " here") for i in range(100)]
-    plain = [(1000 + i, f"see thisIsAPlainIdentifierName{i:04}AndMoreOfIt or zzzzzzzzzzzzzzzzzzzzzzzzz{i}") for i in range(50)]
-    found = as_dict(secrets.scan_secrets(spark.createDataFrame(true + plain, "doc_id long, text string")))
-    assert sum(bool(found[i]["secrets"]) for i, _ in true) >= 90
-    assert sum(bool(found[i]["secrets"]) for i, _ in plain) <= 10
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+PARTS = "parser release order invoice backup daily report module import error account user service customer shipment tracking network packet buffer status handler request archive monthly country budget geschwindigkeit bestellung kunden rechnung voiture maison commande facture cliente pedido entrega".split()
+
+
+def identifier(rng):
+    """An ordinary name with digits, of 20 characters or more, most of the time."""
+    words, day = [rng.choice(PARTS) for _ in range(rng.randint(3, 5))], f"{rng.randint(2000, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+    shapes = ["-".join(words) + "-" + day, "".join(w.capitalize() for w in words) + str(rng.randint(1, 999)), "_".join(words) + f"_{rng.randint(1, 9999):04}"]
+    shapes += ["/".join(words) + f"/{rng.randint(1, 99)}", "-".join(w.upper() for w in words) + f"-{rng.randint(100, 99999)}", day.replace("-", "") + "".join(words)]
+    return rng.choice(shapes)
 
 
-def test_random_tokens_after_names_and_with_dashes(spark):
+def test_random_tokens_are_told_from_names(spark):
     rng = random.Random(10)
-    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-    value = lambda: "".join(rng.choices(alphabet, k=44))
     groups = lambda letters, *sizes: "-".join("".join(rng.choices(letters, k=n)) for n in sizes)
-    hexes, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     made = {
-        "name": lambda: f"PRIVATE_KEY={value()}",
-        "query": lambda: f"https://a.example/b?sig={value()}&x=1",
-        "padded": lambda: f"auth={value()}==",
-        "uuid": lambda: "id " + groups(hexes, 8, 4, 4, 4, 12),
-        "upper uuid": lambda: "id=" + groups(hexes, 8, 4, 4, 4, 12).upper(),
-        "product key": lambda: "key " + groups(upper, 5, 5, 5, 5, 5),
+        "name": lambda: "PRIVATE_KEY=" + groups(BASE64, 44),
+        "query": lambda: f"https://a.example/b?sig={groups(BASE64, 44)}&x=1",
+        "padded": lambda: f"auth={groups(BASE64, 44)}==",
+        "uuid": lambda: "id " + groups("0123456789abcdef", 8, 4, 4, 4, 12),
+        "upper uuid": lambda: "id=" + groups("0123456789ABCDEF", 8, 4, 4, 4, 12),
+        "base36": lambda: "key " + groups(BASE64[26:62], 32),
+        "product key": lambda: "key " + groups(BASE64[:26] + BASE64[52:62], 5, 5, 5, 5, 5),
     }
-    plain = ["how-to-make-a-good-cake-in-2023-for-all", "name=thisIsAPlainIdentifierName0001AndMoreOfIt", "class=the-main-page-content-area-1"]
-    true = [(k, i, f()) for k, f in made.items() for i in range(40)]
-    frame = spark.createDataFrame([(n, t) for n, t in enumerate([t for *_, t in true] + plain)], "doc_id long, text string")
+    rows = [(k, f()) for k, f in made.items() for _ in range(40)] + [("plain", f"see {identifier(rng)} or {identifier(rng)}.") for _ in range(600)]
+    rows += [("plain", "zzzzzzzzzzzzzzzzzzzzzzzzz1"), ("plain", "name=thisIsAPlainIdentifierName0001AndMoreOfIt"), (None, None)]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(3)
     found = as_dict(secrets.scan_secrets(frame))
-    for k in made:
-        hits = [[x["token"] for x in found[n]["secrets"] if x["kind"] == "random"] for n, (name, _, _) in enumerate(true) if name == k]
-        assert sum(len(x) == 1 for x in hits) >= 36, (k, hits[:5])
-    assert not any(found[len(true) + n]["secrets"] for n in range(len(plain)))
+    hits = collections.Counter(k for i, (k, _) in enumerate(rows) if any(x["kind"] == "random" for x in found[i]["secrets"]))
+    assert hits["plain"] <= 0.02 * sum(hits.values())
+    for kind, least in (("name", 34), ("query", 34), ("padded", 34), ("uuid", 32), ("upper uuid", 32), ("base36", 24), ("product key", 12)):
+        assert hits[kind] >= least, hits
+
+
+def test_battery_against_brute_force(spark):
+    """The three tests' statistics and the names' exact tails, over numpy."""
+    rng = random.Random(12)
+    plain = [identifier(rng) for _ in range(60)] + ["".join(rng.choices(BASE64, k=rng.randint(20, 60))) for _ in range(60)]
+    names = [x for x in plain if len(x) >= 20]
+    got = {r["t"]: r for r in spark.createDataFrame([(x,) for x in names], "t string").select("t", secrets.ordinary_p(F.col("t")).alias("p"), secrets.token_p(F.col("t")).alias("u")).collect()}
+
+    def tail(k, n, rate):
+        return 1.0 if k <= n * rate else float(sum(Fraction(math.comb(n, i)) * Fraction(rate) ** i * (1 - Fraction(rate)) ** (n - i) for i in range(k, n + 1)))
+
+    for t in names:
+        letters = [c for c in t if c.isalpha()]
+        pairs = [(a, b) for a, b in zip(t, t[1:], strict=False) if a.isalnum() and b.isalnum()]
+        change = lambda a, b: a.islower() and b.isupper() or a.isdigit() != b.isdigit()
+        within = [(a, b) for a, b in pairs if not change(a, b) and a.isalpha()]
+        vowels = "aeiouAEIOU"
+        if re.fullmatch("[0-9a-f]+|[0-9A-F]+", t.replace("-", "")):
+            continue
+        ps = [tail(sum(c in "jkqvwxyzJKQVWXYZ" for c in letters), len(letters), secrets.RARE), tail(sum(change(a, b) for a, b in pairs), len(pairs), secrets.CHANGE), tail(sum(a not in vowels and b not in vowels for a, b in within), len(within), secrets.CONSONANTS)]
+        x = -sum(math.log(p) for p in ps)
+        assert got[t]["p"] == pytest.approx(math.exp(-x) * (1 + x + x * x / 2), rel=1e-6), t
+    values = spark.createDataFrame([([float(rng.randrange(64)) for _ in range(rng.randint(20, 80))],) for _ in range(500)], "v array<double>")
+    for r in values.select("v", secrets.p_value(F.col("v"), 64, 8).alias("p")).limit(50).collect():
+        v = np.array(r["v"])
+        n, high = len(v), v >= 32
+        chi = ((np.bincount((v // 8).astype(int), minlength=8) - n / 8) ** 2 / (n / 8)).sum()
+        q = lambda z: math.erfc(z / math.sqrt(2)) / 2
+        chi_p = q(((chi / 7) ** (1 / 3) - (1 - 2 / 63)) / math.sqrt(2 / 63))
+        h = int(high.sum())
+        mean = 2 * h * (n - h) / n + 1
+        runs_p = 2 * q(abs(1 + int((high[1:] != high[:-1]).sum()) - mean) / math.sqrt((mean - 1) * (mean - 2) / (n - 1)))
+        d = v - v.mean()
+        serial = 2 * q(abs((d[1:] * d[:-1]).sum() / (d * d).sum() + 1 / n) * math.sqrt(n))
+        assert r["p"] == pytest.approx(min(1, 3 * min(chi_p, runs_p, serial)), rel=0.01)
+    passed = values.where(secrets.p_value(F.col("v"), 64, 8) >= secrets.GATE).count()
+    assert passed >= 0.98 * 500
+
+
+def test_threshold_is_benjamini_hochberg(spark):
+    rng = random.Random(31)
+    rows = [(i, f"{identifier(rng)} {''.join(rng.choices(BASE64, k=40)) if i % 5 == 0 else ''}") for i in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    each = [(r["x"]["p"], len(r["x"]["s"]["token"])) for r in frame.select(F.explode(secrets.tokens(F.col("text"))).alias("x")).collect()]
+    m, mean = len(each), sum(n for _, n in each) / len(each)
+    ranked = sorted(p for p, _ in each)
+    exact = max((p for i, p in enumerate(ranked, 1) if m * p * mean <= secrets.FDR * i), default=-1)
+    assert exact > 0 and exact / 10**0.11 <= secrets.threshold(frame) <= exact * 10**0.11
+    assert secrets.threshold(frame.limit(0)) == -1 and secrets.scan_secrets(frame.limit(0)).count() == 0
 
 
 # 6
@@ -272,7 +442,7 @@ def test_language_id(spark, docs, empty):
     assert sum(found[i]["lang_pred"] == made[i][2] for i in out) >= 0.95 * len(out)
     assert all(0 <= r["score"] <= 1 for r in found.values())
     mixed = [w for w, _ in zip((prose(rng, 20, "abcde") + " " + prose(rng, 20, "pqrst")).split(), range(40), strict=False)]
-    mass = model.posteriors(model.scores[model.rows(mixed)] if model.rows(mixed) is not None else None, np.array([40])).argmax(axis=1)
+    mass = model.posteriors(model.scored(mixed)[0].astype("float64"), np.array([40])).argmax(axis=1)
     assert (mass[:18] == 0).mean() > 0.8 and (mass[22:] == 2).mean() > 0.8
     odd = as_dict(langid.predict(docs, model))
     assert all(odd[r["doc_id"]]["lang_pred"] == "und" for r in docs.where("text is null or not text rlike '\\\\p{L}'").collect())
@@ -281,6 +451,70 @@ def test_language_id(spark, docs, empty):
     assert {i for i, r in held.items() if r["h"]} == set(out)
 
 
+def small_crf(rng, n_labels=3):
+    return langid.Crf([f"l{i}" for i in range(n_labels)], {"": 0}, np.zeros((1, n_labels)), rng.normal(size=(n_labels, n_labels)))
+
+
+def paths(model, scores):
+    """Every label path of a chain with its weight."""
+    k = range(len(model.labels))
+    return [(p, math.exp(sum(scores[i, y] for i, y in enumerate(p)) + sum(model.moves[a, b] for a, b in zip(p, p[1:], strict=False)))) for p in itertools.product(k, repeat=len(scores))]
+
+
+def test_forward_backward_against_all_paths():
+    rng = np.random.default_rng(5)
+    model = small_crf(rng)
+    sizes = np.array([6, 4, 4, 1])
+    scores = rng.normal(size=(sizes.sum(), 3))
+    post = model.posteriors(scores, sizes)
+    total, n = langid._pairs(scores, model.moves, sizes)
+    wanted, moves, at = np.zeros_like(scores), np.zeros((3, 3)), 0
+    for size in sizes:
+        every = paths(model, scores[at : at + size])
+        z = sum(w for _, w in every)
+        for p, w in every:
+            for i, y in enumerate(p):
+                wanted[at + i, y] += w / z
+            for a, b in zip(p, p[1:], strict=False):
+                moves[a, b] += w / z
+        at += size
+    assert np.allclose(post, wanted) and np.allclose(total, moves) and n == sizes.sum() - len(sizes)
+
+
+def test_runs_carry_the_messages(monkeypatch):
+    rng = np.random.default_rng(6)
+    model = small_crf(rng, 4)
+    monkeypatch.setattr(langid, "RUN", 1)  # runs of 16 labels' words
+    found = [(rng.normal(size=(n, 4)).astype("float32"), rng.integers(1, 9, n)) for n in (1, 63, 64, 65, 300, 5)]
+    for (scores, sizes), mass in zip(found, model.masses(found), strict=True):
+        post = model.posteriors(scores.astype("float64"), np.array([len(scores)]))
+        assert np.allclose(mass, (post * sizes[:, None]).sum(axis=0))
+
+
+def test_gradient_raises_the_likelihood():
+    """A model that is fitted gives its chains, code-switched ones among them, more than chance."""
+    rng = random.Random(4)
+    rows = [(prose(rng, 30, letters), lang) for _ in range(60) for lang, letters in (("aa", "abcde"), ("bb", "pqrst"))]
+    model = langid.fit(rows)
+    words = prose(rng, 20, "abcde").split() + prose(rng, 20, "pqrst").split() + prose(rng, 20, "abcde").split()
+    scores, _ = model.scored(words)
+    best = model.posteriors(scores.astype("float64"), np.array([60])).argmax(axis=1)
+    assert (best == np.repeat([0, 1, 0], 20)).mean() > 0.95
+    assert model.moves[0, 0] > model.moves[0, 1] and abs(model.moves[0, 1]) < 3  # switches are learned, not ruled out
+
+
+def test_long_texts_are_predicted_piece_by_piece(monkeypatch):
+    rng = random.Random(8)
+    model = langid.fit([(prose(rng, 30, letters), lang) for _ in range(60) for lang, letters in (("aa", "abcde"), ("bb", "pqrst"))])
+    texts = [prose(rng, 900, "abcde") + " " + prose(rng, 100, "pqrst"), "", "12 34", prose(rng, 5, "pqrst")]
+    whole = model.predict(texts)
+    monkeypatch.setattr(langid, "LONG", 10)
+    monkeypatch.setattr(langid, "AT_ONCE", 7)
+    pieces = model.predict(texts)
+    assert [x for x, _ in whole] == [x for x, _ in pieces] == ["aa", "und", "und", "bb"]
+    assert [s for _, s in whole] == pytest.approx([s for _, s in pieces], abs=1e-5)
+
+
 # 7
 
 
@@ -301,7 +535,6 @@ def brute_components(rows, percent=90):
 
 @pytest.mark.parametrize("block", [512, 3])
 def test_ngram_join_against_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
     monkeypatch.setattr(ngram_join, "LEADERS", 1)
     rng = random.Random(11)
     rows, k = {}, 0
@@ -315,7 +548,7 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, block):
             k += 1
     rows |= {k: None, k + 1: "", k + 2: "a b", k + 3: "A b", k + 4: "a"}
     frame = spark.createDataFrame([(i, t) for i, t in rows.items()], "doc_id long, text string").withColumn("row", F.lit(0)).repartition(4)
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(frame).collect()}
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.link_components(frame, count=False, block=block, local=3 if block == 3 else 64).collect()}
     assert found == brute_components(rows)
 
 
@@ -329,8 +562,7 @@ def test_ngram_join_of_awkward_rows(docs, rows, empty):
 
 
 @pytest.mark.parametrize("block", [512, 3])
-def test_ngram_join_counts_every_link(spark, monkeypatch, block):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+def test_ngram_join_counts_every_link(spark, block):
     rng = random.Random(12)
     texts = [None, "", "a b", "A b"]
     for size in (9, 5, 1):
@@ -343,9 +575,9 @@ def test_ngram_join_counts_every_link(spark, monkeypatch, block):
     sets = [frozenset(zip(w, w[1:], w[2:], strict=False)) if len(w) >= 3 else frozenset([tuple(w)] if w else []) for w in (WORD.findall((t or "").lower()) for t in texts)]
     wanted = {i: sum(i != j and bool(a & b) and 100 * len(a & b) >= 90 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)}
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    found = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in ngram_join.link_components(frame).collect()}
+    found = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in ngram_join.link_components(frame, block=block, local=3 if block == 3 else 64).collect()}
     assert {k: n for k, (n, _) in found.items()} == wanted and max(wanted.values()) > 5
-    without = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(frame, count=False).collect()}
+    without = {r["doc_id"]: r["component_id"] for r in ngram_join.link_components(frame, count=False, block=block).collect()}
     assert {k: c for k, (_, c) in found.items()} == without
 
 
@@ -385,6 +617,18 @@ def test_bpe_against_the_library(docs, rows, empty, tokenizer):
     assert bpe.encode_texts(empty, queries.VOCABULARY).count() == 0
 
 
+def test_bpe_of_long_words(tokenizer):
+    own, rng = bpe.WordBpe(queries.VOCABULARY), random.Random(6)
+    words = ["".join(rng.choices("abcdeinorst", k=n)) for n in (2, 3, 50, 255, 256, 257, 300, 2000)] + ["a" * 1000, "ab" * 700, "漢字" * 300]
+    for w in words:
+        raw = w.encode()
+        parts = [own.inner[b] for b in raw[:-1]] + [own.last[raw[-1]]]
+        assert own.heaped(list(parts)) == own.merged(list(parts)), w[:40]
+        assert own.encode(w) == tokenizer.encode(w, add_special_tokens=False).ids
+    long = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000))
+    assert own.encode(long) == tokenizer.encode(long, add_special_tokens=False).ids
+
+
 def test_bpe_odd_characters(tokenizer):
     own = bpe.WordBpe(queries.VOCABULARY)
     for text in [chr(i) + "a" + chr(i) for i in range(0x3000) if not 0xD800 <= i < 0xE000] + ["ΑΣ Σ", "<|startoftext|>don't<|endoftext|>!!", "İ ß ﬁ"]:
@@ -409,21 +653,56 @@ def brute_substrings(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [256, 2])
-def test_substrings_against_brute_force(docs, rows, empty, monkeypatch, hot):
-    monkeypatch.setattr(substring_dedup, "HOT", hot)
-    found = as_dict(substring_dedup.dedup_substrings(docs))
-    assert {k: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for k, r in found.items()} == brute_substrings(rows)
+@pytest.mark.parametrize("bounds", [{}, {"hot": 2, "local": 3}, {"hot": 3, "local": 1 << 20, "piece": 3000}, {"local": 2, "piece": 1000, "route": 500}])
+def test_substrings_against_brute_force(spark, docs, rows, empty, bounds):
+    rng = random.Random(15)
+    passages = [prose(rng, rng.randint(15, 60)) for _ in range(5)]
+    more = {}
+    for i in range(2000, 2060):
+        parts = [prose(rng, rng.randint(1, 30))]
+        for _ in range(rng.randint(0, 4)):
+            p = rng.choice(passages)
+            parts += [p[rng.randint(0, len(p) // 3) : rng.randint(2 * len(p) // 3, len(p))], prose(rng, rng.randint(0, 9))]
+        more[i] = " ".join(parts)
+    more |= {2100: "ab" * 700, 2101: "é" * 300 + "z" * 200, 2**53 + 1: "z" * 400, 2**63 - 1: passages[0]}
+    frame = docs.select("doc_id", "text", "row").unionByName(spark.createDataFrame([(k, v, 1) for k, v in more.items()], "doc_id long, text string, ROW int"))
+    found = as_dict(substring_dedup.dedup_substrings(frame, bounds=substring_dedup.Bounds(**bounds)))
+    assert {k: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for k, r in found.items()} == brute_substrings(rows | more)
     assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
-def test_suffix_sort():
+def test_suffix_sort_and_neighbours():
     rng = random.Random(4)
-    raw = bytes(rng.choice(b"ab") for _ in range(3000)) * 2
-    suffixes = substring_dedup.Suffixes(raw)
+    raw = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(1500)) * 2, dtype=np.uint8)
     at = np.arange(0, len(raw) - 100, 7)
-    order = suffixes.sorted(at, np.zeros(len(at), dtype=int))
-    assert [raw[a : a + 100] for a in at[order]] == sorted(raw[a : a + 100] for a in at)
+    group = np.searchsorted([100, 150], np.arange(len(at)), "right")
+    size = np.array([rng.randint(0, 100) for _ in at])
+    key = lambda i: (int(group[i]), raw[at[i] : at[i] + size[i]].tobytes())
+    wanted = sorted(range(len(at)), key=key)
+    order, shared = substring_dedup.neighbours(raw, at, size, group)
+    assert order.tolist() == wanted
+    for i, j, n in zip(order[:-1], order[1:], shared[1:], strict=True):
+        a, b = key(i), key(j)
+        assert n == (-1 if a[0] != b[0] else next((k for k, (x, y) in enumerate(zip(a[1], b[1], strict=False)) if x != y), min(len(a[1]), len(b[1]))))
+
+
+def test_wrong_hashes_are_seen(monkeypatch):
+    """With hashes that always agree the bytes still decide."""
+    monkeypatch.setattr(substring_dedup.Suffixes, "hashes", lambda self, at, size: np.zeros(len(at), dtype=np.uint64))
+    raws = [b"x" * 40 + b"anchor" + bytes([c]) * 120 for c in (1, 2, 1)]
+    gone = substring_dedup.repeats(raws, np.array([20] * 3), np.array([40] * 3), np.zeros(3, dtype=int))
+    assert not gone[0].any() and not gone[1].any() and gone[2].sum() == 20
+
+
+def test_a_text_over_several_pieces():
+    rng = random.Random(9)
+    text = bytes(rng.choice(b"abcdefgh ") for _ in range(1_300_000))
+    raw = np.frombuffer(text * 2, dtype=np.uint8)
+    anchor, doc, start, n, lead = substring_dedup.fragments(raw, np.array([len(text)] * 2))
+    assert n.sum() == 2 * (len(text) - 99) and (lead >= 0).all() and (lead < substring_dedup.WIDE).all()
+    for k in rng.sample(range(len(anchor)), 50):
+        p = len(text) * doc[k] + start[k] + lead[k]
+        assert substring_dedup.gram_hashes(raw[p : p + substring_dedup.GRAM])[0] == anchor[k]
 
 
 # 10
@@ -509,20 +788,70 @@ def test_html_templates_do_not_depend_on_the_size_of_the_host(spark):
     assert not any("Welcome" in t for t in extracted(spark, pages).values())
 
 
-def test_html_rows_keep_their_numbers_when_splits_change(spark, tmp_path):
-    rng = random.Random(14)
-    box = "<div class=z>Welcome to this site</div>"
-    for part in range(6):
-        rows = [(k, "http://h.example/", f"<body>{box * (k % 3 == 0)}<section><p>{prose(rng, 30 + 9 * part)}</p></section></body>") for k in range(10 * part, 10 * part + 10)]
-        spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(str(tmp_path / "pages"))
-    made = html_extract.extract_text(spark.read.parquet(str(tmp_path / "pages")))
-    try:
-        spark.conf.set("spark.sql.files.openCostInBytes", "1")
-        spark.conf.set("spark.sql.files.minPartitionNum", "1")
-        assert not any("Welcome" in r["text"] for r in made.collect())
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-        spark.conf.unset("spark.sql.files.minPartitionNum")
+def test_html_templates_against_brute_force(spark):
+    """Subtrees of pages built from known ones, counted one by one: what recurs on 5 pages or more that differ outside it goes."""
+    rng = random.Random(16)
+    boxes = [f"<section><div>{prose(rng, rng.randint(1, 9))}</div><ul><li>{prose(rng, 2)}</li><li>{prose(rng, 3)}</li></ul></section>" for _ in range(8)]
+    pages, used, uses = [], [], collections.defaultdict(set)
+    for k in range(60):
+        mine = [i for i in range(8) if rng.random() < (i + 1) / 30]
+        body = prose(rng, 80)
+        host = k % 3
+        for i in mine:
+            uses[host, i].add(k)
+        used.append(mine)
+        around = [boxes[i] for i in mine]
+        rng.shuffle(around)
+        pages.append((k, f"https://h{host}.example/{k}", f"<body>{''.join(around)}<div class=c><p>{body}</p></div></body>"))
+    for k in (3, 4):  # recrawled: the same page again and again counts once
+        pages += [(100 + 10 * k + j, pages[k][1], pages[k][2]) for j in range(6)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_extract.extract_text(frame).collect()}
+    text = lambda box: re.sub(r"\s*\n+\s*", "\n", re.sub("<[^>]+>", "\n", box)).strip()
+    gone = 0
+    for k, _, _ in pages:
+        source = k if k < 60 else 3 if k < 140 else 4
+        for i in used[source]:
+            template = len(uses[source % 3, i]) >= html_extract.MIN_PAGES
+            gone += template
+            assert (text(boxes[i]) in found[k]) == (not template), (k, i)
+    assert gone > 20
+    whole = {r["page_id"]: r["text"] for r in html_extract.extract_text(frame, few=0).collect()}
+    assert whole == found and html_extract.templates(html_extract.parsed(frame)).count() > 5
+
+
+def test_html_templates_inside_articles(spark):
+    rng = random.Random(17)
+    follow = "<p>Follow the paper on every channel.</p>"
+    pages = [f"<body><article><h1>{prose(rng, 5)}</h1><p>{prose(rng, 40)}</p><p>Of.</p>{follow}</article></body>" for _ in range(40)]
+    found = extracted(spark, pages)
+    assert not any("channel" in t for t in found.values()) and all(t.endswith("\nOf.") for t in found.values())
+    # Near copies of an article: one word differs on each page, at one place or at many.
+    parts = [prose(rng, 30).split() for _ in range(5)]
+    for places in ([1], [0, 2, 4]):
+        copies = []
+        for k in range(20):
+            mine = [list(p) for p in parts]
+            for i in places:
+                mine[i][k % 30] = f"own{k}"
+            copies.append("<body><article>" + "".join(f"<p>{' '.join(p)}</p>" for p in mine) + "</article></body>")
+        kept = extracted(spark, copies)
+        assert all(len(t.split("\n")) == 5 for t in kept.values())
+
+
+def test_html_class_words_and_hidden_parts(spark):
+    rng = random.Random(18)
+    body = prose(rng, 40)
+    cases = [
+        (f"<div class='post-content has-sidebar'><p>{body}</p></div>", body),
+        (f"<div class='related-work'><article><p>{body}</p></article></div>", body),
+        (f"<article><p>{body}</p><p>a<span hidden>x<span>y</span>z</span>b</p></article>", f"{body}\nab"),
+        (f"<article><p>{body}</p></article><article><p>{prose(random.Random(1), 9)}</p></article>", f"{body}\n{prose(random.Random(1), 9)}"),
+    ]
+    found = extracted(spark, [f"<body>{page}</body>" for page, _ in cases])
+    assert [found[i] for i in range(len(cases))] == [text for _, text in cases]
+    page = f"<body><div><h1>{prose(rng, 4)}</h1><p>{body}</p></div></body>"
+    assert set(extracted(spark, [page] * 6).values()) == {"\n".join(re.findall(r">([^<]+)<", page))}
 
 
 def test_fractions_stay_exact():
