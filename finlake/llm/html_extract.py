@@ -2,10 +2,9 @@
 
 Each page is parsed once, into text blocks and the elements around them. Element subtrees are hashed, from their tags, texts and
 subtrees, and counted per host in Spark; a block goes if a subtree around it recurs on many pages of that host whose main
-text outside it differs. That holds for menus, headers and notices whatever they are called, and also inside articles: there, a
-subtree of running text is a template if what stands next to it, and a sample of the rest (its least hash), differ on at
-least half of these pages, and if no more than a quarter of the article is such. So an article that stands on many pages, as it is or with changes, isn't one. No subtree is that holds an article, or most of
-a page's running text; on pages without an article the smallest element that holds most of the text stands for it.
+text outside it differs. That holds for menus, headers and notices whatever they are called. No subtree is a template that holds an
+article, or most of a page's running text, nor, inside an article, one that is or holds running text: sentences that
+many articles share are theirs. On pages without an article the smallest element that holds most of the text stands for it.
 
 Of what is left, furniture goes by its element, or its class and id: what recurs too seldom to be counted, and what
 changes from page to page, such as adverts. No class or id removes the page's article or most of its text. Of pages whose
@@ -33,10 +32,6 @@ from finlake.llm.common import added, cut, named, no_clash, placed
 
 #: A subtree is a template on this many pages of a host that differ outside it, however many pages the host has.
 MIN_PAGES = 5
-#: Words from which running text in an article may be a template.
-MIN_WORDS = 5
-#: An article of which more than one part in so many recurs is itself a copy with changes, and keeps its running text.
-MOST_REPEATED = 4
 #: Templates up to which every task gets all of them; beyond, pages and their templates meet in a shuffle.
 FEW = 200_000
 
@@ -85,9 +80,9 @@ def hinted(tag: str, attributes: str) -> bool:
     return False
 
 
-#: What a node is: a template's subtree outside running text, one of running text, hinted, or main.
-PLAIN, PROSAIC, HINTED, MAIN, HOLDING = 1, 2, 4, 8, 16
-_NODE = "array<struct<first: int, last: int, kind: int, article: int, tree: long, others: long, rest: long, before: long, after: long>>"
+#: What a node may be: a template, hinted at, a main element, or one that holds an article.
+PLAIN, HINTED, MAIN, HOLDING = 1, 2, 4, 8
+_NODE = "array<struct<first: int, last: int, kind: int, article: int, tree: long, others: long>>"
 _BLOCK = "array<struct<text: string, article: int, dropped: boolean>>"
 _WRAP = 1 << 64
 
@@ -234,17 +229,6 @@ def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
             x.parent.chars += x.chars
             x.parent.runs = x.parent.runs or x.runs
             x.parent.sum += x.sum
-    # For each block, the marks of the nearest blocks of running text before and after it in its article, and the least marks of
-    # all those (two texts with most of their blocks in common mostly have the same least one). 0: there is none.
-    earlier, later = [], []
-    for order, out in ((range(len(blocks)), earlier), (range(len(blocks) - 1, -1, -1), later)):
-        near: dict[int, tuple[int, int]] = {}
-        for i in order:
-            k = blocks[i][1].article if blocks[i][1] else 0
-            out.append(near.get(k, (0, _WRAP)))
-            if shown[i] and len(blocks[i][0].split(None, MIN_WORDS)) >= MIN_WORDS:
-                near[k] = (_signed(marks[i]), min(out[-1][1], marks[i]))
-    later.reverse()
     most = lambda x: x.runs and 2 * x.chars > total
     inner = next((x for x in reversed(every) if not x.article and not x.dropped and most(x) and not x.holds and x.tag not in ("html", "body")), None)
     bare: set[int] = set()  # elements all of whose ancestors are for running text
@@ -263,22 +247,13 @@ def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
         elif x.dropped:
             kind = PLAIN
         elif x.article or x.inside:
-            if x.tag in PROSE or x.runs:
-                n = sum(len(blocks[i][0].split()) for i in range(x.first, min(x.last, x.first + MIN_WORDS)))
-                if n >= MIN_WORDS and 2 * x.chars <= (in_article[x.article] if x.article else total):
-                    kind = PROSAIC
-            elif not most(x):
+            if x.tag not in PROSE and not x.runs and not most(x):
                 kind = PLAIN
         elif not most(x) and not (x.tag in RUNNING and inner is None and id(x) in bare):
             kind = PLAIN
         node = kind | HINTED * x.hint | MAIN * (x.tag == "main") | HOLDING * x.holds
         if node & ~HOLDING:
-            others = _signed(everything - x.sum)
-            rest = before = after = others
-            if kind == PROSAIC:
-                (before, least), (after, other) = earlier[x.first], later[x.last - 1]
-                rest = _signed(min(least, other))
-            nodes.append({"first": x.first, "last": x.last, "kind": node, "article": x.article, "tree": _signed(x.hash), "others": others, "rest": rest, "before": before, "after": after})
+            nodes.append({"first": x.first, "last": x.last, "kind": node, "article": x.article, "tree": _signed(x.hash), "others": _signed(everything - x.sum)})
     return [{"text": text, "article": x.article if x else 0, "dropped": not s} for (text, x), s in zip(blocks, shown, strict=True)], nodes
 
 
@@ -288,18 +263,12 @@ def main_text(blocks: list[dict], nodes: list[dict], gone: list[bool]) -> str:
         return ""
     left = np.array([not b["dropped"] for b in blocks], dtype=bool)
     article = np.array([b["article"] for b in blocks])
-    length = np.array([len(b["text"]) for b in blocks])
-    repeated = np.zeros(len(blocks), dtype=bool)
     for x, is_gone in zip(nodes, gone, strict=True):
         if is_gone:
-            (repeated if x["kind"] & PROSAIC else left)[x["first"] : x["last"]] = bool(x["kind"] & PROSAIC)
-    for k in np.unique(article[repeated & left]):
-        mine = left & (article == k)
-        if MOST_REPEATED * length[mine & repeated].sum() <= length[mine].sum():
-            left &= ~(mine & repeated)
+            left[x["first"] : x["last"]] = False
     if not left.any():
         return ""
-    size = length * left
+    size = np.array([len(b["text"]) for b in blocks]) * left
     held = {int(k): int(size[article == k].sum()) for k in np.unique(article[left]) if k}
     total = int(size.sum())
     hints = [x for x in nodes if x["kind"] & HINTED and left[x["first"] : x["last"]].any()]
@@ -346,21 +315,14 @@ def parsed(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, tree, prosaic) of the subtrees that are templates."""
-    nodes = pages.select("host", F.inline("nodes"))
-    plain = nodes.where(F.col("kind").bitwiseAND(PLAIN) != 0).select("host", "tree", "others").distinct()
-    plain = plain.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "tree", F.lit(False).alias("prosaic"))
-    prose = nodes.where(F.col("kind").bitwiseAND(PROSAIC) != 0).groupBy("host", "tree")
-    each = lambda c: [F.count_distinct(c).alias(f"n_{c}"), F.max(F.col(c) != 0).alias(f"any_{c}")]
-    prose = prose.agg(F.count_distinct("others").alias("n"), *each("rest"), *each("before"), *each("after"))
-    # A side that is the article's edge on all pages says nothing; the other must differ then.
-    differs = lambda c: ~F.col(f"any_{c}") | ((F.col(f"n_{c}") >= min_pages) & (2 * F.col(f"n_{c}") >= F.col("n")))
-    prose = prose.where((F.col("n") >= min_pages) & differs("rest") & differs("before") & differs("after") & (F.col("any_before") | F.col("any_after")))
-    return cut(plain.unionByName(prose.select("host", "tree", F.lit(True).alias("prosaic"))))
+    """(host, tree) of the subtrees that are templates."""
+    nodes = pages.select("host", F.inline("nodes")).where(F.col("kind").bitwiseAND(PLAIN) != 0)
+    counts = nodes.select("host", "tree", "others").distinct().groupBy("host", "tree").agg(F.count("*").alias("n"))
+    return cut(counts.where(F.col("n") >= min_pages).select("host", "tree"))
 
 
-def _key(host: str, tree: int, prosaic: bool) -> int:
-    return xxhash.xxh64_intdigest(f"{host}\x00{tree}\x00{prosaic:d}") - (1 << 63)
+def _key(host: str, tree: int) -> int:
+    return xxhash.xxh64_intdigest(f"{host}\x00{tree}") - (1 << 63)
 
 
 def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, few: int = FEW) -> DataFrame:
@@ -373,8 +335,7 @@ def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages:
     else:
         keys = None
         at = placed(pages, F.col("host"), F.posexplode("nodes").alias("place", "node")).select("file", "row", "host", "place", "node.*")
-        at = at.where(F.col("kind").bitwiseAND(PLAIN | PROSAIC) != 0).withColumn("prosaic", F.col("kind").bitwiseAND(PROSAIC) != 0)
-        gone = at.join(found, ["host", "tree", "prosaic"], "left_semi").groupBy("file", "row").agg(F.collect_list("place").alias("gone"))
+        gone = at.where(F.col("kind").bitwiseAND(PLAIN) != 0).join(found, ["host", "tree"], "left_semi").groupBy("file", "row").agg(F.collect_list("place").alias("gone"))
         rows = placed(pages, *[named(c) for c in pages.columns]).join(gone, ["file", "row"], "left").drop("file", "row")
 
     def make() -> Callable[[list], dict[str, list]]:
@@ -386,8 +347,8 @@ def extract_text(df: DataFrame, html: str = "html", url: str = "url", min_pages:
                 for i in r["gone"] or []:
                     gone[i] = True
                 if keys is not None and len(keys):
-                    may = [i for i, x in enumerate(nodes) if x["kind"] & (PLAIN | PROSAIC)]
-                    mine = np.array([_key(r["host"], nodes[i]["tree"], bool(nodes[i]["kind"] & PROSAIC)) for i in may], dtype=np.int64)
+                    may = [i for i, x in enumerate(nodes) if x["kind"] & PLAIN]
+                    mine = np.array([_key(r["host"], nodes[i]["tree"]) for i in may], dtype=np.int64)
                     hit = keys[np.minimum(np.searchsorted(keys, mine), len(keys) - 1)] == mine
                     for i, h in zip(may, hit.tolist(), strict=True):
                         gone[i] = h

@@ -821,22 +821,18 @@ def test_html_templates_against_brute_force(spark):
 
 
 def test_html_templates_inside_articles(spark):
+    """Boxes that recur inside articles go; sentences that many articles share stay, and so do copies with changes."""
     rng = random.Random(17)
-    follow = "<p>Follow the paper on every channel.</p>"
-    pages = [f"<body><article><h1>{prose(rng, 5)}</h1><p>{prose(rng, 40)}</p><p>Of.</p>{follow}</article></body>" for _ in range(40)]
-    found = extracted(spark, pages)
-    assert not any("channel" in t for t in found.values()) and all(t.endswith("\nOf.") for t in found.values())
-    # Near copies of an article: one word differs on each page, at one place or at many.
+    follow, box = "<p>Follow the paper on every channel.</p>", "<div class=z><span>Follow us</span></div>"
+    pages = [f"<body><article><h1>{prose(rng, 5)}</h1><p>{prose(rng, 40)}</p>{box}{follow}</article></body>" for _ in range(40)]
+    assert all(t.endswith("\nFollow the paper on every channel.") and "Follow us" not in t for t in extracted(spark, pages).values())
     parts = [prose(rng, 30).split() for _ in range(5)]
-    for places in ([1], [0, 2, 4]):
-        copies = []
-        for k in range(20):
-            mine = [list(p) for p in parts]
-            for i in places:
-                mine[i][k % 30] = f"own{k}"
-            copies.append("<body><article>" + "".join(f"<p>{' '.join(p)}</p>" for p in mine) + "</article></body>")
-        kept = extracted(spark, copies)
-        assert all(len(t.split("\n")) == 5 for t in kept.values())
+    copies = []
+    for k in range(20):
+        mine = [list(p) for p in parts]
+        mine[1][k] = mine[3][k] = f"own{k}"
+        copies.append("<body><article>" + "".join(f"<p>{' '.join(p)}</p>" for p in mine) + "</article></body>")
+    assert all(len(t.split("\n")) == 5 for t in extracted(spark, copies).values())
 
 
 def test_html_class_words_and_hidden_parts(spark):
