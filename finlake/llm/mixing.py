@@ -16,6 +16,7 @@ their names. What is collected is one row per source, which is the size of the m
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
@@ -31,8 +32,6 @@ MAX_REPEAT = 3
 BLOCK = 128
 SHARDS = 256
 SEED = 20240607
-#: Rows of a part: a source's order is computed in parts, as many as the rows need, so that a hot source isn't one task's.
-PART = 50_000
 #: Sources up to which their targets are broadcast; beyond, they are joined in a shuffle.
 FEW = 20_000
 #: Slots numbered in one go, and by one row of the plan.
@@ -96,7 +95,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield arrow(_SLOT, source=np.full(len(slot), source, "int32"), block=block, shard=np.full(len(slot), shard, "int32"), slot=slot)
 
 
-def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, shards: int = SHARDS, part: int = PART) -> tuple[DataFrame, DataFrame]:
+def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(texts, takings). texts: file, row, doc_id, size, source_size, target for each row of `df`. takings: shard, slot (of
     the source, counted over all shards), source (its number in order), block, at (where in the block), and file, row, first
     word and words of the piece, for each piece of a text that a slot takes."""
@@ -104,7 +103,8 @@ def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: s
     name = F.when(named(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), named(source).cast("string")))
     key = F.xxhash64(named(doc_id), named(text), F.lit(SEED))
     sized = cut(placed(df, named(doc_id).alias("doc_id"), name.alias("name"), key.alias("key"), n_words_of(named(text)).alias("size")))
-    parts = max(1, -(-sized.count() // part))
+    # A source's order is computed in parts, so that a hot source isn't one task's: as many parts as a part has rows.
+    parts = math.isqrt(sized.count()) + 1
     sized = sized.withColumn("part", F.pmod("key", F.lit(parts)))
     by_part = cut(sized.groupBy("name", "part").agg(F.sum("size").alias("n")))
     found = sorted(((r["name"] == "", r["name"], r["n"]) for r in by_part.groupBy("name").agg(F.sum("n").alias("n")).collect()))
@@ -137,7 +137,8 @@ def mixture(df: DataFrame, text: str = "text", doc_id: str = "doc_id", source: s
         F.expr(f"greatest(at, block * {block}) - at").alias("first"),
         F.expr(f"least(at + size, (block + 1) * {block}) - greatest(at, block * {block})").alias("words"),
     )
-    return texts.drop("source", "at"), pieces.join(slots, ["source", "block"])
+    # Slots are made from few rows, by which they would look small enough to broadcast; they grow with the texts.
+    return texts.drop("source", "at"), pieces.join(slots.hint("merge"), ["source", "block"])
 
 
 def mix_counts(df: DataFrame, **names: str | int) -> DataFrame:
