@@ -112,6 +112,7 @@ RULES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {  # rule: reasons,
 }
 NONCRITICAL = ("CROSS_BATCH_RECORD_OWNERSHIP",)
 RECONCILIATION_RULES = ("SOURCE_TARGET_ROW_RECONCILIATION", "SOURCE_TARGET_FINANCIAL_RECONCILIATION")
+READBACK_MISMATCH, FINANCIAL_MISMATCH = "COMMITTED_READBACK_MISMATCH", "COMMITTED_FINANCIAL_MISMATCH"
 EXPECTED_INVOICES_PER_COUNTRY, MIN_VOLUME_RATIO = 144, "0.50"
 # End of fixed values.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,5 +22,32 @@ def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None) -> Da
     return marked.groupBy(*by).agg(*sums) if by else marked.agg(*sums)
 
 
-def same_rows(a: DataFrame, b: DataFrame) -> bool:
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+def signature(frame: DataFrame, name: str, what: str, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """One row: name, what, rows, key_digest, row_digest (of `columns`) and eur, whose digests can be added up."""
+    euro = F.sum("amount_eur") if "amount_eur" in frame.columns else F.lit(None)
+    frame = frame.withColumns({"_key": _as_number(expr.payload(*[F.col(k) for k in keys])), "_row": _as_number(expr.payload(*[F.col(c) for c in columns or keys]))})
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)")
+    out = frame.agg(F.count("*").alias("rows"), zero("_key").alias("key_digest"), zero("_row").alias("row_digest"), expr.zero(euro).alias("eur"))
+    return out.select(F.lit(name).alias("name"), F.lit(what).alias("what"), "rows", "key_digest", "row_digest", "eur")
+
+
+def reconciled(found: DataFrame) -> DataFrame:
+    """Read-back against what was meant, per name, from signatures of `source`, `trusted` and `quarantine` (as committed),
+    `meant_trusted` and `meant_quarantine`, and `all` and `meant_all` over all deliveries."""
+    of = lambda what, c: F.max(F.when(F.col("what") == what, F.col(c)))
+    columns = {f"{w}_{c}": of(w, c) for w in ("source", "trusted", "quarantine", "meant_trusted", "meant_quarantine", "all", "meant_all") for c in ("rows", "key_digest", "row_digest", "eur")}
+    out = found.groupBy("name").agg(*[v.alias(k) for k, v in columns.items()])
+    same = lambda a, b, *cs: [F.col(f"{a}_{c}").eqNullSafe(F.col(f"{b}_{c}")) for c in cs]
+    both = lambda xs: reduce(lambda a, b: a & b, xs)
+    off = F.abs(F.col("source_eur") - F.col("trusted_eur") - F.col("quarantine_eur")) + F.abs(F.col("all_eur") - F.col("meant_all_eur"))
+    out = out.withColumns(
+        {
+            "source_accounted": F.col("source_rows") == F.col("trusted_rows") + F.col("quarantine_rows"),
+            "batch_keys_match": both(same("trusted", "meant_trusted", "rows", "key_digest")),
+            "global_keys_match": both(same("all", "meant_all", "rows", "key_digest")),
+            "quarantine_matches": both(same("quarantine", "meant_quarantine", "rows", "row_digest")),
+            "eur_difference": off.cast(expr.MONEY),
+        }
+    )
+    rows = both([F.col(c) for c in ("source_accounted", "batch_keys_match", "global_keys_match", "quarantine_matches")])
+    return out.withColumns({"rows_match": rows, "eur_matches": F.col("eur_difference") == 0})

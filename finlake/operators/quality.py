@@ -16,17 +16,18 @@ def rule_of(reason) -> F.Column:
 
 
 def failures(frame: DataFrame, dataset: str) -> DataFrame:
-    """(affected_dataset, rule_name, reason, row, amount_eur): one row per row and reason. `frame` has `_reasons`."""
+    """(affected_dataset, amount_eur, rule_name, reasons): one row per row and rule that it fails. `frame` has `_reasons`."""
     amount = F.col("amount_eur") if "amount_eur" in frame.columns else F.lit(None)
-    rows = frame.where(F.size("_reasons") > 0).select(F.lit(dataset).alias("affected_dataset"), F.monotonically_increasing_id().alias("row"), amount.cast(expr.MONEY).alias("amount_eur"), "_reasons")
-    out = rows.select("affected_dataset", "row", "amount_eur", F.explode(F.array_distinct("_reasons")).alias("reason"))
-    return out.withColumn("rule_name", rule_of(F.col("reason")))
+    rules = F.array_distinct(F.transform("_reasons", rule_of))
+    each = F.transform(rules, lambda rule: F.struct(rule.alias("rule_name"), F.filter("_reasons", lambda r: rule_of(r) == rule).alias("reasons")))
+    rows = frame.where(F.size("_reasons") > 0).select(F.lit(dataset).alias("affected_dataset"), amount.cast(expr.MONEY).alias("amount_eur"), F.explode(each).alias("x"))
+    return rows.select("affected_dataset", "amount_eur", "x.rule_name", "x.reasons")
 
 
 def by_rule(found: DataFrame) -> DataFrame:
-    """Failed rows, their EUR and their reasons per (dataset, rule). A row with two reasons of a rule counts once."""
-    once = found.groupBy("affected_dataset", "rule_name", "row").agg(F.first("amount_eur").alias("amount_eur"), F.collect_set("reason").alias("reasons"))
-    return once.groupBy("affected_dataset", "rule_name").agg(
+    """Failed rows, their EUR and their reasons per (dataset, rule), in one aggregation. A row with two reasons of a rule
+    counts once."""
+    return found.groupBy("affected_dataset", "rule_name").agg(
         F.count("*").alias("failed_row_count"),
         F.sum("amount_eur").cast(expr.MONEY).alias("amount"),
         F.concat_ws("|", F.array_sort(F.array_distinct(F.flatten(F.collect_set("reasons"))))).alias("failure_reason"),

@@ -5,24 +5,28 @@ from __future__ import annotations
 import copy
 import hashlib
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, MIN_VOLUME_RATIO, PIPELINE_VERSION, RULES
+from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, FINANCIAL_MISMATCH, MIN_VOLUME_RATIO, PIPELINE_VERSION, READBACK_MISMATCH, RECONCILIATION_RULES, RULES
 from finlake.functions import expr
-from finlake.operators import checks, gold, merge, ownership, quality
-from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store, write_json
+from finlake.operators import checks, evidence, gold, merge, ownership, quality
+from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store, read_json, write_json
 from finlake.sources import delivery
 
 RULES_VERSION = hashlib.sha256(json.dumps([RULES, EXPECTED_INVOICES_PER_COUNTRY, MIN_VOLUME_RATIO], sort_keys=True).encode()).hexdigest()
 VERSIONS = {"pipeline": PIPELINE_VERSION, "contract": CONTRACT_VERSION, "rules": RULES_VERSION}
 OWNED = tuple(f for f in FACTS if f != "invoices")
 REFERENCES = tuple(n for n in DATASETS if n not in FACTS)
+LAYERS = ("bronze", "silver")
+#: Changed months and countries that a correction's report lists; `correction_audit` has all of them.
+AUDITED = 1000
+GOLD_KEYS = {"gold_monthly_country_finance": ("month_start", "country_code"), "gold_route_profitability": ("month_start", "route_id"), "gold_customer_profitability": ("month_start", "customer_id"), "gold_budget_vs_actual": ("month_start", "cost_center_id")}
 
 
 class ReconciliationError(RuntimeError):
@@ -40,11 +44,30 @@ def _with_arrival(claims: DataFrame, arrivals: dict[str, int]) -> DataFrame:
     return claims.join(F.broadcast(order), "_batch_id")
 
 
-def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, expected: int = EXPECTED_INVOICES_PER_COUNTRY, ratio: str = MIN_VOLUME_RATIO, at_step: Callable[[str], None] = lambda step: None) -> dict:
-    """The run's summary. A delivery that was published already, by the same versions, is verified and left alone.
+Step = Callable[[str], None]
 
-    `at_step` is called with a name before each step that changes the store; a test may raise there. Until the state is
-    replaced, readers see the version before; running the same delivery again completes it."""
+
+def _nothing(step: str) -> None:
+    pass
+
+
+def _pending(store: Store, batch: str) -> Path:
+    return store.root / "pending" / f"{batch}.json"
+
+
+def _resume(store: Store, batch: str, layer: str) -> dict:
+    path = _pending(store, batch)
+    if not path.exists():
+        raise StateIntegrityError(f"LAYER_MISSING: {batch} has no {layer} yet")
+    found = read_json(path)
+    if found.get("base") != store.state()["version"] or LAYERS.index(found["layer"]) < LAYERS.index(layer):
+        raise StateIntegrityError(f"LAYER_MISSING: {batch} must be landed again, up to {layer}")
+    return found
+
+
+def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_step: Step = _nothing) -> dict:
+    """The first task: a delivery's rows as they are, after its manifest, header and counts were checked. Gives a summary if the
+    same versions have published the delivery already, else {"batch_id", "status": "landed"}."""
     store, folder = Store(spark, root), Path(folder)
     found = delivery.manifest(folder)
     batch, fp, replaced = found["batch_id"], found["fingerprint"], found.get("supersedes_batch_id")
@@ -57,7 +80,7 @@ def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, exp
         if wrong := store.verify(state, other) if other != batch else []:
             raise (ClaimsIntegrityError if "claims" in wrong else ArtifactIntegrityError)(f"PRIOR_ARTIFACT_INTEGRITY_FAILED: {other}: {', '.join(wrong)}")
     if held and held["fingerprint"] == fp and held["versions"] == VERSIONS and not store.verify(state, batch) and not store.verify(state, ALL):
-        return json.loads((store.root / "runs" / f"{batch}.json").read_text(encoding="utf-8")) | {"status": "already_processed"}
+        return read_json(store.root / "runs" / f"{batch}.json") | {"status": "already_processed"}
 
     new = copy.deepcopy(state)
     arrivals = _arrivals(state, batch)
@@ -68,8 +91,19 @@ def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, exp
     source = delivery.bronze(spark, folder, found)
     delivery.check_counts(source, found)
     at_step("bronze")
-    raw = {n: store.stage(new, f"bronze_{n}", batch, f, list(DATASETS[n].key)) for n, f in source.items()}
-    typed = {n: checks.typed(f, n) for n, f in raw.items()}
+    for n, f in source.items():
+        store.stage(new, f"bronze_{n}", batch, f, list(DATASETS[n].key))
+    write_json(_pending(store, batch), {"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals})
+    return {"batch_id": batch, "status": "landed"}
+
+
+def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: int = EXPECTED_INVOICES_PER_COUNTRY, ratio: str = MIN_VOLUME_RATIO, at_step: Step = _nothing) -> dict:
+    """The second task: typed and checked rows, owners of business keys, Silver and quarantine. May be run again."""
+    store = Store(spark, root)
+    run = _resume(store, batch, "bronze")
+    new, found, arrivals = run["state"], run["manifest"], run["arrivals"]
+    replaced = found.get("supersedes_batch_id")
+    typed = {n: checks.typed(store.read(new, f"bronze_{n}", among=[batch]), n) for n in DATASETS}
     checks.reject_bad_dates(typed)
     checked = checks.check_batch(typed, expected, ratio)
     for name in OWNED:
@@ -78,56 +112,91 @@ def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, exp
     # Written once; everything below reads the parts.
     at_step("checked")
     checked = {n: store.stage(new, f"checked_{n}", batch, f, list(DATASETS[n].key)) for n, f in checked.items()}
-    store.mark({"batch_id": batch, "fingerprint": fp})
+    store.mark({"batch_id": batch, "fingerprint": found["fingerprint"]})
 
     at_step("claims")
     claims = ownership.claim_hash(checks.trusted(checked["invoices"]))
     store.stage(new, "claims", batch, claims, ["invoice_id", "_source_row_number"])
-    active = [b for b in arrivals if b != replaced]
-    resolved = ownership.resolve_claims(_with_arrival(store.read(new, "claims"), arrivals)).drop("claim_hash", "arrival")
-    mine = checks.quarantined(checked["invoices"])
+    resolved = _resolved(store, new, arrivals, replaced)
     at_step("silver")
-    silver = {n: store.stage(new, f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key)) for n in DATASETS if n != "invoices"}
-    silver["invoices"] = store.stage(new, "silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"])
-    quarantine = {n: store.stage(new, f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"]) for n in DATASETS}
-    duplicates = store.stage(new, "quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])
-
-    gone = checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio)
-    of_batch = resolved.where(F.col("_batch_id") == batch)
-    graded = dict(checked)
-    graded["invoices"] = checked["invoices"].where(F.size("_reasons") > 0).unionByName(of_batch.where(F.size("_reasons") > 0).select(*checked["invoices"].columns))
-    results = quality.quality_results(spark, graded, batch, found["generated_at"], not gone.isEmpty())
-    counts = {n: {"source": raw[n].count(), "quarantined": quarantine[n].count()} for n in DATASETS}
-    owned = silver["invoices"].where(F.col("_batch_id") == batch).count()
-    counts["invoices"]["quarantined"] += duplicates.where(F.col("_batch_id") == batch).count()
     for n in DATASETS:
-        counts[n]["trusted"] = owned if n == "invoices" else silver[n].count()
-        counts[n]["matches"] = counts[n]["source"] == counts[n]["trusted"] + counts[n]["quarantined"]
-    euros = {}
-    for n in FACTS:
-        total = lambda f: f.agg(expr.zero(F.sum("amount_eur")).alias("v")).first()["v"]
-        kept = silver[n] if n != "invoices" else silver[n].where(F.col("_batch_id") == batch)
-        bad = total(quarantine[n]) + (total(duplicates.where(F.col("_batch_id") == batch)) if n == "invoices" else Decimal(0))
-        euros[n] = {"source": total(checked[n]), "trusted": total(kept), "quarantined": bad}
-        euros[n]["matches"] = euros[n]["source"] == euros[n]["trusted"] + bad
-    rows = [(rule, n, "PASS" if c["matches"] else "FAIL") for rule, each in (("SOURCE_TARGET_ROW_RECONCILIATION", counts), ("SOURCE_TARGET_FINANCIAL_RECONCILIATION", euros)) for n, c in each.items()]
-    checks_ = spark.createDataFrame(rows, "rule_name string, affected_dataset string, validation_status string").select(
-        "rule_name", "affected_dataset", F.lit(batch).alias("batch_id"), F.lit("").alias("failure_reason"), F.when(F.col("validation_status") == "FAIL", 1).otherwise(0).cast("long").alias("failed_row_count"), F.lit(None).cast(expr.MONEY).alias("affected_financial_amount_eur"), F.to_timestamp(F.lit(found["generated_at"])).alias("execution_timestamp"), "validation_status"
-    )
+        if n != "invoices":
+            store.stage(new, f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key))
+        store.stage(new, f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"])
+    store.stage(new, "silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"])
+    store.stage(new, "quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])
+    gone = not checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio).isEmpty()
+    write_json(_pending(store, batch), run | {"layer": "silver", "state": new, "countries_dropped": gone})
+    return {"batch_id": batch, "status": "checked"}
+
+
+def _resolved(store: Store, state: dict, arrivals: dict[str, int], replaced: str | None) -> DataFrame:
+    mine = {b: a for b, a in arrivals.items() if b != replaced}
+    return ownership.resolve_claims(_with_arrival(store.read(state, "claims"), mine)).drop("claim_hash", "arrival")
+
+
+def readback(store: Store, state: dict, batch: str, resolved: DataFrame) -> list[Row]:
+    """What is committed against what was meant, one row per dataset (`evidence.reconciled`): committed rows are read back
+    from the store, meant ones come from the checked rows, and other deliveries' from what was recorded for them."""
+    frames, recorded = [], []
+    for n, d in DATASETS.items():
+        keys, marks = list(d.key), [*d.key, "_batch_id", "_source_row_number", "_reason_codes"]
+        checked = store.read(state, f"checked_{n}", among=[batch])
+        meant, away = checks.trusted(checked), checks.quarantined(checked)
+        kept, gone = store.read(state, f"silver_{n}", among=[batch, ALL]), store.read(state, f"quarantine_{n}", among=[batch])
+        if n == "invoices":
+            here = F.col("_batch_id") == batch
+            meant_all, kept_all = checks.trusted(resolved), kept
+            meant, kept = meant_all.where(here), kept.where(here)
+            away = away.unionByName(checks.quarantined(resolved).where(here).select(*away.columns))
+            gone = gone.unionByName(store.read(state, "quarantine_invoice_claims").where(here).select(*gone.columns))
+        else:
+            meant_all, kept_all = meant, store.read(state, f"silver_{n}")
+            recorded.append((n, [p for name, p in state["tables"][f"silver_{n}"].items() if name != batch]))
+        frames += [evidence.signature(f, n, what, keys, marks if "quarantine" in what else None) for what, f in (("source", checked), ("trusted", kept), ("meant_trusted", meant), ("quarantine", gone), ("meant_quarantine", away), ("all", kept_all), ("meant_all", meant_all))]
+    found = reduce(DataFrame.unionByName, frames)
+    others = [(n, sum(p["rows"] for p in parts), Decimal(sum(int(p["key_digest"]) for p in parts)), sum((Decimal(p.get("eur") or 0) for p in parts), Decimal(0))) for n, parts in recorded]
+    more = found.sparkSession.createDataFrame(others, "name string, _rows long, _keys decimal(38,0), _eur decimal(20,2)")
+    is_all = F.col("what") == "meant_all"
+    found = found.join(F.broadcast(more), "name", "left")  # one row per dataset of the contract
+    add = lambda c, m: F.when(is_all, F.col(c) + F.coalesce(m, F.lit(0))).otherwise(F.col(c)).cast(dict(found.dtypes)[c]).alias(c)
+    found = found.select("name", "what", add("rows", "_rows"), add("key_digest", "_keys"), "row_digest", add("eur", "_eur"))
+    return evidence.reconciled(found).collect()
+
+
+def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, at_step: Step = _nothing) -> dict:
+    """The third task: read-back reconciliation, quality results and Gold; then all is published at once. May be run again."""
+    store = Store(spark, root)
+    run = _resume(store, batch, "silver")
+    new, found, arrivals = run["state"], run["manifest"], run["arrivals"]
+    replaced = found.get("supersedes_batch_id")
+    resolved = _resolved(store, new, arrivals, replaced)
+    graded = {n: store.read(new, f"checked_{n}", among=[batch]) for n in DATASETS}
+    columns = graded["invoices"].columns
+    graded["invoices"] = graded["invoices"].where(F.size("_reasons") > 0).unionByName(resolved.where((F.col("_batch_id") == batch) & (F.size("_reasons") > 0)).select(*columns))
+    results = quality.quality_results(spark, graded, batch, found["generated_at"], run["countries_dropped"])
+    rows = readback(store, new, batch, resolved)
+    counts = {r["name"]: {"source": r["source_rows"], "trusted": r["trusted_rows"], "quarantined": r["quarantine_rows"], "matches": r["rows_match"], **{c: r[c] for c in ("source_accounted", "batch_keys_match", "global_keys_match", "quarantine_matches")}} for r in rows}
+    euros = {r["name"]: {"source": str(r["source_eur"]), "trusted": str(r["trusted_eur"]), "quarantined": str(r["quarantine_eur"]), "matches": r["eur_matches"]} for r in rows if r["name"] in FACTS}
+    checked = [(RECONCILIATION_RULES[0], r["name"], r["rows_match"], READBACK_MISMATCH, None) for r in rows]
+    checked += [(RECONCILIATION_RULES[1], r["name"], r["eur_matches"], FINANCIAL_MISMATCH, r["eur_difference"]) for r in rows if r["name"] in FACTS]
+    made = [(rule, n, "" if ok else reason, 0 if ok else 1, None if ok else off, "PASS" if ok else "FAIL") for rule, n, ok, reason, off in checked]
+    recon = spark.createDataFrame(made, "rule_name string, affected_dataset string, failure_reason string, failed_row_count long, affected_financial_amount_eur decimal(20,2), validation_status string")
+    recon = recon.withColumns({"batch_id": F.lit(batch), "execution_timestamp": F.to_timestamp(F.lit(found["generated_at"]))}).select(*results.columns)
     at_step("quality")
-    results = store.stage(new, "quality", batch, results.unionByName(checks_), ["rule_name", "affected_dataset"])
+    results = store.stage(new, "quality", batch, results.unionByName(recon), ["rule_name", "affected_dataset"])
     failed = quality.failed_critical(results)
 
     at_step("gold")
-    tables = silver_tables(store, new, active)
-    products = {name: store.stage(new, name, ALL, f(tables), list({"gold_monthly_country_finance": ["month_start", "country_code"], "gold_route_profitability": ["month_start", "route_id"], "gold_customer_profitability": ["month_start", "customer_id"], "gold_budget_vs_actual": ["month_start", "cost_center_id"]}[name])) for name, f in gold.PRODUCTS.items()}
+    tables = silver_tables(store, new, [b for b in arrivals if b != replaced])
+    products = {name: store.stage(new, name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()}
     store.stage(new, "gold_data_quality_summary", ALL, gold.data_quality_summary(store.read(new, "quality")), ["batch_id", "affected_dataset", "rule_name"])
     if bad := [r["control"] for r in gold.reconcile(joined_facts(tables), products).where("not matches").collect()]:
         raise ReconciliationError(f"Gold and Silver differ: {', '.join(bad)}")
     revenue = products["gold_monthly_country_finance"].agg(expr.zero(F.sum("total_revenue_eur")).alias("v")).first()["v"]
     status = "quality_failed" if failed else "success"
-    summary = {"batch_id": batch, "status": status, "failed_rules": failed, "counts": counts, "euros": {n: {k: str(v) if isinstance(v, Decimal) else v for k, v in e.items()} for n, e in euros.items()}, "revenue_eur": str(revenue), "rules": len(COVERAGE)}
-    new["batches"][batch] = {"arrival": arrivals[batch], "fingerprint": fp, "versions": VERSIONS, "status": status, "supersedes": replaced}
+    summary = {"batch_id": batch, "status": status, "failed_rules": failed, "counts": counts, "euros": euros, "revenue_eur": str(revenue), "rules": len(COVERAGE)}
+    new["batches"][batch] = {"arrival": arrivals[batch], "fingerprint": found["fingerprint"], "versions": VERSIONS, "status": status, "supersedes": replaced}
     if status == "success":
         new["watermark"] = max(filter(None, [new["watermark"], found["generated_at"]]))
     at_step("summary")
@@ -135,9 +204,23 @@ def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, exp
     at_step("state")
     store.commit(new)
     store.mark(None)
+    _pending(store, batch).unlink(missing_ok=True)
     return summary
 
 
+def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, expected: int = EXPECTED_INVOICES_PER_COUNTRY, ratio: str = MIN_VOLUME_RATIO, at_step: Step = _nothing) -> dict:
+    """The three tasks in turn; the run's summary. A delivery that was published already, by the same versions, is verified and
+    left alone.
+
+    `at_step` is called with a name before each step that changes the store; a test may raise there. Until the state is
+    replaced, readers see the version before; running the same delivery again completes it."""
+    landed = land_bronze(spark, root, folder, at_step)
+    if landed["status"] != "landed":
+        return landed
+    build_silver(spark, root, landed["batch_id"], expected, ratio, at_step)
+    return build_gold_and_validate(spark, root, landed["batch_id"], at_step)
+
+
 def silver_tables(store: Store, state: dict, active: list[str] | None = None) -> dict[str, DataFrame]:
     """Silver over all active batches: facts as they are, references with each key's row of the latest arrival."""
     arrivals = {b: v["arrival"] for b, v in state["batches"].items()}
@@ -166,3 +249,29 @@ def correction_audit(before: DataFrame, after: DataFrame) -> DataFrame:
     both = old.join(new, keys, "full")
     changed = reduce(lambda a, b: a | b, [~F.col(f"{v}_before").eqNullSafe(F.col(f"{v}_after")) for v in values])
     return both.where(changed)
+
+
+def publish_gold(spark: SparkSession, root: str | Path) -> dict[str, int]:
+    """Makes Gold again from the Silver that is published, and publishes it; its rows by product."""
+    store = Store(spark, root)
+    state = store.state()
+    new = copy.deepcopy(state)
+    tables = silver_tables(store, state)
+    made = {name: store.stage(new, name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()}
+    if bad := [r["control"] for r in gold.reconcile(joined_facts(tables), made).where("not matches").collect()]:
+        raise ReconciliationError(f"Gold and Silver differ: {', '.join(bad)}")
+    store.commit(new)
+    return {n: new["tables"][n][ALL]["rows"] for n in made}
+
+
+def run_correction(spark: SparkSession, root: str | Path, folders: Sequence[str | Path], **limits) -> dict:
+    """Processes a delivery and then its correction; what the correction changed, month by month, as JSON in the store."""
+    store, summaries, products = Store(spark, root), [], []
+    for folder in folders:
+        summaries.append(process_batch(spark, root, folder, **limits))
+        products.append(store.read(store.state(), "gold_monthly_country_finance"))
+    changed = [{k: str(v) if v is not None else None for k, v in r.asDict().items()} for r in correction_audit(products[0], products[-1]).orderBy("month_start", "country_code").limit(AUDITED + 1).collect()]
+    state = store.state()
+    audit = {"batch_id": summaries[-1]["batch_id"], "arrival": state["batches"][summaries[-1]["batch_id"]]["arrival"], "before": summaries[0]["euros"], "after": summaries[-1]["euros"], "changed": changed[:AUDITED], "more_changed": len(changed) > AUDITED}
+    write_json(store.root / "corrections" / f"{summaries[-1]['batch_id']}.json", audit)
+    return audit

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 from finlake.contracts import COUNTRY_ALIASES, COVERAGE, DATASETS, REASON_TO_RULE
 from finlake.functions import expr
 from finlake.operators import checks, evidence, gold, merge, ownership, quality
-from finlake.plans import analogue, semantic, star
+from finlake.plans import analogue, semantic, serving, star
 from finlake.plans.analogue import sql, sql_ratio, sql_zero
 
+MAY = datetime.date(1998, 5, 1)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -330,11 +333,17 @@ def claim_within_batch(spark, d):
     return _claims(spark, d).where(F.array_contains("_reasons", "DUPLICATE_INVOICE")).groupBy("invoice_id").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT o_orderkey AS invoice_id, 'O' AS batch FROM orders WHERE o_orderkey % 13 = 0""")
+@query(f"""WITH one AS (SELECT invoice_id, country_code, min(amount_eur) AS a, count(*) AS n FROM inv WHERE invoice_id LIKE '%-1' GROUP BY 1, 2),
+    keys AS (SELECT invoice_id FROM one GROUP BY 1 HAVING count(*) = 1 AND max(n) = 1)
+    SELECT invoice_id, 'late' AS batch FROM keys WHERE CAST(split_part(invoice_id, '-', 1) AS INTEGER) % 13 = 0 AND CAST(split_part(invoice_id, '-', 1) AS INTEGER) % 2 = 0""")
 def claim_cross_batch(spark, d):
-    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("invoice_id"), F.sha2(F.col("o_orderkey").cast("string"), 256).alias("claim_hash"), F.lit("F").alias("_batch_id"), F.lit(1).alias("arrival"), F.lit(1).alias("_source_row_number"))
-    late = o.where(F.col("invoice_id") % 13 == 0).withColumns({"_batch_id": F.lit("O"), "arrival": F.lit(2)})
-    out = ownership.resolve_claims(o.unionByName(late))
+    """A later delivery repeats some invoices; of these every second one with another amount, which is a conflict instead."""
+    rows = analogue.silver(spark, d)["invoices"].where(F.col("invoice_id").endswith("-1"))
+    rows = rows.withColumn("n", F.count("*").over(Window.partitionBy("invoice_id"))).where("n = 1").drop("n")
+    order = F.split_part("invoice_id", F.lit("-"), F.lit(1)).cast("int")
+    early = rows.withColumns({"_batch_id": F.lit("early"), "arrival": F.lit(1), "_source_row_number": F.lit(1)})
+    late = early.where(order % 13 == 0).withColumns({"_batch_id": F.lit("late"), "arrival": F.lit(2), "revenue_amount": F.when(order % 2 == 0, F.col("revenue_amount")).otherwise(F.col("revenue_amount") + 1).cast(expr.MONEY)})
+    out = ownership.resolve_claims(ownership.claim_hash(early.unionByName(late)))
     return out.where(F.array_contains("_reasons", "CROSS_BATCH_DUPLICATE_INVOICE")).select("invoice_id", F.col("_batch_id").alias("batch"))
 
 
@@ -702,18 +711,165 @@ def latest_refresh(spark, d):
     return e.join(F.broadcast(top), F.lit(True)).select("event_id", "latest")
 
 
-_CONTROLS = ("invoice_count", "operational_cost_count", "revenue_eur", "operational_cost_eur", "gross_profit_eur", "budget_eur", "duplicate_invoice_ids", "duplicate_cost_ids", "duplicate_shipment_ids")
+_SQL_VIEWS = {
+    "monthly_country_finance": "(SELECT count(*) FROM (SELECT m, country_code FROM fi UNION SELECT m, country_code FROM fc))",
+    "route_profitability": "(SELECT count(*) FROM (SELECT m, route_id FROM fi UNION SELECT m, route_id FROM fc))",
+    "customer_profitability": "(SELECT count(*) FROM (SELECT m, customer_id FROM fi UNION SELECT m, customer_id FROM fc))",
+    "budget_vs_actual": "(SELECT count(*) FROM bud)",
+}
+_SQL_CONTROLS = {
+    "invoice_count": "(SELECT count(*) FROM fi)",
+    "operational_cost_count": "(SELECT count(*) FROM fc)",
+    "revenue_eur": "(SELECT sum(amount_eur) FROM fi)",
+    "operational_cost_eur": "(SELECT sum(amount_eur) FROM fc)",
+    "gross_profit_eur": "(SELECT sum(amount_eur) FROM fi) - (SELECT sum(amount_eur) FROM fc)",
+    "budget_eur": "(SELECT sum(amount_eur) FROM bud)",
+    **{f"{n}_count": v for n, v in _SQL_VIEWS.items()},
+    "healthy_data_quality_count": f"{len(COVERAGE)}",
+    "retained_data_quality_count": f"{2 * len(COVERAGE)}",
+    "duplicate_invoice_ids": "(SELECT count(*) - count(DISTINCT invoice_id) FROM fi)",
+    "duplicate_cost_ids": "(SELECT count(*) - count(DISTINCT cost_id) FROM ids)",
+    "duplicate_shipment_ids": "(SELECT count(*) - count(DISTINCT shipment_id) FROM shs)",
+}
+_SHS = "shs AS (SELECT s.* FROM ship s JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = s.route_id)"
+_IDS = "ids AS (SELECT f.cost_id FROM cost f JOIN ship s USING (shipment_id) JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = f.route_id)"
+
 
+def _quality_fact(spark, d):
+    """Quality results of two deliveries."""
+    rows = _ship_quality(spark, d)
+    return serving.fact_data_quality(serving.exported_quality(rows.unionByName(rows.withColumn("batch_id", F.lit("b2")))))
 
-@query(f"""WITH {_FI}, {_FC}, ids AS (SELECT f.cost_id FROM cost f JOIN ship s USING (shipment_id) JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = f.route_id),
-    a(control_name, v) AS (SELECT 'invoice_count', CAST(count(*) AS DECIMAL(38,2)) FROM fi UNION ALL SELECT 'operational_cost_count', CAST(count(*) AS DECIMAL(38,2)) FROM fc UNION ALL SELECT 'revenue_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM fi
-    UNION ALL SELECT 'operational_cost_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM fc UNION ALL SELECT 'gross_profit_eur', CAST((SELECT sum(amount_eur) FROM fi) - (SELECT sum(amount_eur) FROM fc) AS DECIMAL(38,2))
-    UNION ALL SELECT 'budget_eur', CAST(sum(amount_eur) AS DECIMAL(38,2)) FROM bud UNION ALL SELECT 'duplicate_invoice_ids', CAST(count(*) - count(DISTINCT invoice_id) AS DECIMAL(38,2)) FROM fi
-    UNION ALL SELECT 'duplicate_cost_ids', CAST(count(*) - count(DISTINCT cost_id) AS DECIMAL(38,2)) FROM ids
-    UNION ALL SELECT 'duplicate_shipment_ids', CAST(0 AS DECIMAL(38,2)))
-    SELECT control_name, CAST(0 AS DECIMAL(38,2)) AS expected_value, v AS actual_value, v AS difference, CASE WHEN v = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM a""")
+
+@query(f"""WITH {_FI}, {_FC}, {_SHS}, {_IDS}, a(control_name, v) AS ({' UNION ALL '.join(f"SELECT '{n}', CAST({v} AS DECIMAL(38,2))" for n, v in _SQL_CONTROLS.items())}),
+    e AS (SELECT control_name, v, CASE control_name WHEN 'invoice_count' THEN v + 1 WHEN 'revenue_eur' THEN v - 0.01 ELSE v END AS wanted FROM a)
+    SELECT control_name, CAST(wanted AS DECIMAL(38,2)) AS expected_value, v AS actual_value, CAST(v - wanted AS DECIMAL(38,2)) AS difference, CASE WHEN v = wanted THEN 'PASS' ELSE 'FAIL' END AS status FROM e""")
 def serving_controls(spark, d):
-    return star.controls(_star(spark, d), {c: "0" for c in _CONTROLS})
+    """All 15 controls of the star against Silver's own totals, two of which are made wrong."""
+    s = analogue.silver(spark, d)
+    ship = s["shipments"].join(s["customers"].select("customer_id"), "customer_id", "left_semi").join(s["routes"].select("route_id"), "route_id", "left_semi")
+    of_ship = s["shipments"].select("shipment_id", "route_id", F.col("customer_id").alias("ship_customer"))
+    rows = s["invoices"].join(of_ship, "shipment_id").join(s["routes"].select("route_id"), "route_id", "left_semi").join(s["customers"].select("customer_id"), "customer_id", "left_semi")
+    costs = s["operational_costs"].join(of_ship.drop("route_id"), "shipment_id").join(s["routes"].select("route_id"), "route_id", "left_semi")
+    costs = costs.withColumn("customer_id", F.col("ship_customer")).join(s["customers"].select("customer_id"), "customer_id", "left_semi")
+    months = {"r": rows.withColumn("m", expr.month(F.col("invoice_date"))), "c": costs.withColumn("m", expr.month(F.col("posting_date")))}
+    keys = {n: months["r"].select("m", k).union(months["c"].select("m", k)).distinct() for n, k in (("monthly_country_finance", "country_code"), ("route_profitability", "route_id"), ("customer_profitability", "customer_id"))}
+    one = lambda f, name, v: f.agg(v.cast("decimal(38,2)").alias("v")).select(F.lit(name).alias("n"), "v")
+    many = lambda k: F.count("*") - F.countDistinct(k)
+    parts = [one(rows, "invoice_count", F.count("*") + 1), one(costs, "operational_cost_count", F.count("*")), one(rows, "revenue_eur", F.sum("amount_eur") - F.lit("0.01").cast("decimal(3,2)")), one(costs, "operational_cost_eur", F.sum("amount_eur"))]
+    profit = rows.select("amount_eur").unionAll(costs.select((-F.col("amount_eur")).cast(expr.MONEY)))
+    parts += [one(profit, "gross_profit_eur", F.sum("amount_eur")), one(s["budgets"], "budget_eur", F.sum("amount_eur")), one(s["budgets"], "budget_vs_actual_count", F.count("*")), *(one(f, f"{n}_count", F.count("*")) for n, f in keys.items())]
+    parts += [one(rows, "duplicate_invoice_ids", many("invoice_id")), one(costs, "duplicate_cost_ids", many("cost_id")), one(ship, "duplicate_shipment_ids", many("shipment_id"))]
+    wanted = {r["n"]: str(r["v"]) for r in reduce(DataFrame.unionByName, parts).collect()}  # one row a control
+    wanted |= {"healthy_data_quality_count": str(len(COVERAGE)), "retained_data_quality_count": str(2 * len(COVERAGE))}
+    return star.controls(_star(spark, d) | {"fact_data_quality_result": _quality_fact(spark, d)}, wanted, "b1")
+
+
+@query(f"""WITH {_FI}, {_FC}, {_SHS} SELECT 'load-1' AS load_id, source_table, CAST(n AS BIGINT) AS source_row_count, CAST(v AS DECIMAL(20,2)) AS source_financial_total, CAST(tn AS BIGINT) AS target_row_count,
+    CAST(tv AS DECIMAL(20,2)) AS target_financial_total, CAST(NULL AS VARCHAR) AS sha256, 'PUBLISHED' AS status FROM (
+    SELECT 'invoices' AS source_table, (SELECT count(*) FROM inv) AS n, (SELECT sum(amount_eur) FROM inv) AS v, (SELECT count(*) FROM fi) AS tn, (SELECT sum(amount_eur) FROM fi) AS tv
+    UNION ALL SELECT 'operational_costs', (SELECT count(*) FROM cost), (SELECT sum(amount_eur) FROM cost), (SELECT count(*) FROM fc), (SELECT sum(amount_eur) FROM fc)
+    UNION ALL SELECT 'shipments', (SELECT count(*) FROM ship), (SELECT sum(amount_eur) FROM ship), (SELECT count(*) FROM shs), (SELECT sum(amount_eur) FROM shs)
+    UNION ALL SELECT 'budgets', (SELECT count(*) FROM bud), (SELECT sum(amount_eur) FROM bud), (SELECT count(*) FROM bud), (SELECT sum(amount_eur) FROM bud)
+    UNION ALL SELECT 'customers', (SELECT count(*) FROM customers), NULL, (SELECT count(*) FROM customers), NULL)""")
+def load_audit(spark, d):
+    s = analogue.silver(spark, d)
+    return serving.load_items("load-1", {n: s[n] for n in ("invoices", "operational_costs", "shipments", "budgets", "customers")}, _star(spark, d))
+
+
+@query(f"""WITH {_SHIP_CHECKED}, {_BY_RULE}, q AS (SELECT g.rule_name, g.ds, coalesce(t.failure_reason, '') AS failure_reason, coalesce(n, 0) AS n, CASE WHEN amount <> 0 THEN amount END AS amount
+    FROM (VALUES {_GRID}) AS g(rule_name, ds) LEFT JOIN by_rule b ON b.rule_name = g.rule_name AND g.ds = 'shipments' LEFT JOIN texts t ON t.rule_name = b.rule_name)
+    SELECT batch AS source_batch_id, 20250101 AS execution_date_key, ds AS affected_dataset, rule_name, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END AS validation_status, failure_reason, n AS failed_row_count,
+    amount AS affected_financial_amount_eur, sha256(batch) AS source_fingerprint FROM q, (VALUES ('b1'), ('b2')) AS b(batch)""")
+def fact_dq_star(spark, d):
+    """The quality fact of two deliveries, the second of which arrives twice."""
+    both = _quality_fact(spark, d)
+    again = both.where("source_batch_id = 'b2'")
+    return serving.fact_data_quality(serving.exported_quality(_ship_quality(spark, d).withColumn("batch_id", F.lit("b2"))), both.unionByName(again).dropDuplicates(["source_batch_id", "affected_dataset", "rule_name"])).drop("execution_timestamp", "latest_successful_refresh_timestamp")
+
+
+@query(f"""WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT 'b1' AS batch_id, 'shipments' AS affected_dataset, rule_name, 'FAIL' AS validation_status, n AS failed_row_count FROM by_rule WHERE n > 0""")
+def view_data_quality_summary(spark, d):
+    """Read through the reporting view that a report imports."""
+    names = serving.register({"fact_data_quality_result": _quality_fact(spark, d)})
+    assert "reporting_data_quality_summary" in names
+    return serving.scan(spark, "SELECT batch_id, affected_dataset, rule_name, validation_status, failed_row_count FROM reporting_data_quality_summary WHERE batch_id = 'b1' AND validation_status = 'FAIL'")
+
+
+@query("""SELECT 'load-' || n_nationkey AS load_id, '2.0' AS contract_version, sha256(n_name) AS source_fingerprint, CASE WHEN n_nationkey % 3 = 0 THEN 'FAILED' ELSE 'SUCCEEDED' END AS status FROM nation""")
+def view_refresh_status(spark, d):
+    status = F.when(F.col("n_nationkey") % 3 == 0, "FAILED").otherwise("SUCCEEDED")
+    at = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    runs = read(spark, d, "nation").select(F.concat(F.lit("load-"), "n_nationkey").alias("load_id"), F.lit("2.0").alias("contract_version"), F.sha2("n_name", 256).alias("source_fingerprint"), status.alias("status"), at.alias("started_at"), at.alias("completed_at"), F.lit(None).cast("string").alias("error_message"))
+    return serving.VIEWS["refresh_status"]({"load_run": runs}).drop("started_at", "completed_at")
+
+
+@query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+def statement_scan(spark, d):
+    """Rows of a SQL statement, as of a remote warehouse."""
+    return serving.scan(spark, "SELECT n_regionkey, count(*) AS n FROM {nation} GROUP BY 1", nation=read(spark, d, "nation"))
+
+
+@query("SELECT c_custkey, printf('%08d', c_custkey * 1000003) AS text FROM customer")
+def source_row_text(spark, d):
+    return read(spark, d, "customer").select("c_custkey", serving.row_text(F.col("c_custkey") * 1000003).alias("text"))
+
+
+@query("SELECT n_name AS batch_id, sha256(n_name) AS fingerprint FROM nation")
+def quality_lineage(spark, d):
+    return read(spark, d, "nation").select(F.col("n_name").alias("batch_id"), serving.lineage(F.col("n_name")).alias("fingerprint"))
+
+
+@query(f"WITH {_SHIP_CHECKED} SELECT row_number() OVER (ORDER BY shipment_id) AS place, shipment_id, codes AS reason_codes FROM checked WHERE codes <> ''")
+def quarantine_ordered(spark, d):
+    """Quarantine in its published order."""
+    from finlake.sources.delivery import numbered
+
+    rows = checks.quarantined(_reasons(spark, d, "shipments")).select("shipment_id", F.col("_reason_codes").alias("reason_codes"))
+    return numbered(rows, ["shipment_id"]).select(F.col("_source_row_number").alias("place"), "shipment_id", "reason_codes")
+
+
+_SIGNED = """(SELECT cost_id, CAST(split_part(cost_id, '-', 1) AS INTEGER) AS o, CAST(split_part(cost_id, '-', 2) AS INTEGER) AS l FROM operational_costs)"""
+
+
+def _odd_costs(spark, d, center, shipment):
+    """Costs of which some have `center` for a cost centre and some `shipment` for a shipment."""
+    c = analogue.frames(spark, d)["operational_costs"]
+    part = lambda i: F.split_part("cost_id", F.lit("-"), F.lit(i)).cast("int")
+    return c.withColumns({"cost_center_id": F.when(part(1) % 7 == 3, F.lit(center)).otherwise(F.col("cost_center_id")), "shipment_id": F.when(part(2) == 2, F.lit(shipment)).otherwise(F.col("shipment_id"))})
+
+
+@query(f"SELECT cost_id, o % 7 = 3 AS no_center, l = 2 AS no_shipment FROM {_SIGNED} WHERE o % 7 = 3 OR l = 2")
+def rule_missing_center_and_shipment(spark, d):
+    rules = dict(checks.own_rules(DATASETS["operational_costs"]))
+    out = _odd_costs(spark, d, " ", None).select("cost_id", rules["MISSING_COST_CENTER_ID"].alias("no_center"), rules["MISSING_SHIPMENT_ID"].alias("no_shipment"))
+    return out.where("no_center or no_shipment")
+
+
+@query(f"SELECT cost_id, o % 7 = 3 AS no_center, l = 2 AS no_shipment FROM {_SIGNED} WHERE o % 7 = 3 OR l = 2")
+def fk_unknown_center_and_shipment(spark, d):
+    s, spec = analogue.frames(spark, d), DATASETS["operational_costs"]
+    frame, rules = checks.with_references(_odd_costs(spark, d, "X-99", "0-0"), spec, {t: s[t] for t, _, _ in spec.refs.values()})
+    out = frame.withColumn("_reasons", expr.reasons(rules))
+    out = out.select("cost_id", F.array_contains("_reasons", "UNKNOWN_COST_CENTER_ID").alias("no_center"), F.array_contains("_reasons", "UNKNOWN_SHIPMENT_ID").alias("no_shipment"))
+    return out.where("no_center or no_shipment")
+
+
+@query(f"""WITH {_SHIP_CHECKED} SELECT 'shipments' AS name, count(*) FILTER (codes = '') - 1 AS trusted, count(*) FILTER (codes <> '') AS quarantined, false AS source_accounted, false AS batch_keys_match, true AS quarantine_matches, false AS rows_match FROM checked
+    UNION ALL SELECT 'complete', count(*) FILTER (codes = ''), count(*) FILTER (codes <> ''), true, true, true, true FROM checked
+    UNION ALL SELECT 'altered', count(*) FILTER (codes = ''), count(*) FILTER (codes <> ''), true, true, false, false FROM checked""")
+def key_recon(spark, d):
+    """Committed rows against meant ones: as they should be, with one row lost, and with altered quarantine."""
+    q = _reasons(spark, d, "shipments")
+    kept, away = checks.trusted(q), checks.quarantined(q)
+    least = kept.agg(F.min("shipment_id")).first()[0]
+    cases = {"complete": (kept, away), "shipments": (kept.where(F.col("shipment_id") != least), away), "altered": (kept, away.withColumn("_reason_codes", F.concat("_reason_codes", F.lit("|X"))))}
+    frames = []
+    for name, (silver, gone) in cases.items():
+        for what, f in (("source", q), ("meant_trusted", kept), ("meant_all", kept), ("meant_quarantine", away), ("trusted", silver), ("all", silver), ("quarantine", gone)):
+            frames.append(evidence.signature(f, name, what, ["shipment_id"], ["shipment_id", "_reason_codes"] if "quarantine" in what else None))
+    out = evidence.reconciled(reduce(DataFrame.unionByName, frames))
+    return out.select("name", F.col("trusted_rows").alias("trusted"), F.col("quarantine_rows").alias("quarantined"), "source_accounted", "batch_keys_match", "quarantine_matches", "rows_match")
 
 
 # Semantic layer
@@ -739,7 +895,7 @@ _MEASURE_SQL = {
 
 def _measure(name: str) -> None:
     def run(spark, d):
-        return semantic.query(semantic.flat_facts(_star(spark, d)), [name])
+        return semantic.query(semantic.Flat(_star(spark, d)), [name])
 
     run.__name__ = f"measure_{name}"
     query(f"WITH {_FI}, {_FC}, {_TOT} SELECT {_MEASURE_SQL[name]} AS {name} FROM tot")(run)
@@ -754,9 +910,10 @@ def measure_failed_quality_rows(spark, d):
     return semantic.query({"quality": _ship_quality(spark, d)}, ["failed_quality_rows"])
 
 
-@query("SELECT TIMESTAMP '2025-01-01 00:00:00' AS latest_successful_refresh")
+@query("SELECT max(ts) FILTER (event_type = 'click') AS latest_successful_refresh FROM events")
 def measure_latest_successful_refresh(spark, d):
-    return semantic.query({"quality": _ship_quality(spark, d)}, ["latest_successful_refresh"])
+    e = read(spark, d, "events").select(F.when(F.col("event_type") == "click", "PASS").otherwise("FAIL").alias("validation_status"), F.col("ts").alias("execution_timestamp"))
+    return semantic.query({"quality": e}, ["latest_successful_refresh"])
 
 
 def _sql_report(key: str, columns: str, frames: str = "fi fc", where: str = "") -> str:
@@ -766,42 +923,41 @@ def _sql_report(key: str, columns: str, frames: str = "fi fc", where: str = "")
 
 @query(_sql_report("m", "m AS month_start, r AS total_revenue, c AS total_operational_cost"))
 def report_trend(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "total_operational_cost"], ["month_start"])
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_revenue", "total_operational_cost"], ["month_start"])
 
 
 @query(_sql_report("country_code", "country_code, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit"))
 def report_country(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"])
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"])
 
 
 @query(_sql_report("country_code", "country_code, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit", where="WHERE m = DATE '1998-05-01'"))
 def report_country_filtered(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"], F.col("month_start") == F.lit("1998-05-01").cast("date"))
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_revenue", "gross_profit"], ["country_code"], {"month_start": MAY})
 
 
 @query(_sql_report("customer_id", f"customer_id, r AS total_revenue, CAST(r - c AS DECIMAL(20,2)) AS gross_profit, {sql_ratio('r - c', 'r')} AS gross_margin_pct") + " ORDER BY r DESC, customer_id LIMIT 20")
 def report_customer_ranked(spark, d):
-    out = semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "gross_profit", "gross_margin_pct"], ["customer_id"])
+    out = semantic.query(semantic.Flat(_star(spark, d)), ["total_revenue", "gross_profit", "gross_margin_pct"], ["customer_id"])
     return semantic.ranked(out, "total_revenue", ["customer_id"], 20)
 
 
 @query(f"""WITH {_FC}, x AS (SELECT route_id, sum(amount_eur) AS c FROM fc GROUP BY 1), n AS (SELECT s.route_id, count(DISTINCT shipment_id) AS s FROM ship s JOIN customers cu ON cu.customer_id = s.customer_id JOIN routes r ON r.route_id = s.route_id GROUP BY 1),
     ks AS (SELECT route_id FROM x UNION SELECT route_id FROM n) SELECT route_id, {sql_zero('c')} AS total_operational_cost, coalesce(s, 0) AS shipment_count FROM ks LEFT JOIN x USING (route_id) LEFT JOIN n USING (route_id)""")
 def report_route(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_operational_cost", "shipment_count"], ["route_id"])
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_operational_cost", "shipment_count"], ["route_id"])
 
 
 @query(f"""WITH {_FC}, p AS (SELECT cost_center_id, sum(amount_eur) AS b FROM bud GROUP BY 1), x AS (SELECT cost_center_id, sum(amount_eur) AS c FROM fc GROUP BY 1), ks AS (SELECT cost_center_id FROM p UNION SELECT cost_center_id FROM x),
     g AS (SELECT cost_center_id, {sql_zero('b')} AS b, {sql_zero('c')} AS c FROM ks LEFT JOIN p USING (cost_center_id) LEFT JOIN x USING (cost_center_id))
     SELECT cost_center_id, b AS budget_amount, c AS actual_cost, CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount FROM g""")
 def report_cost_center(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["budget_amount", "actual_cost", "budget_variance_amount"], ["cost_center_id"])
+    return semantic.query(semantic.Flat(_star(spark, d)), ["budget_amount", "actual_cost", "budget_variance_amount"], ["cost_center_id"])
 
 
 @query(f"WITH {_FC} SELECT cost_type, CAST(sum(amount_eur) AS DECIMAL(20,2)) AS total_operational_cost FROM fc GROUP BY 1")
 def report_cost_type(spark, d):
-    out = _star(spark, d)["fact_operational_cost"].groupBy("cost_type").agg(expr.total(F.col("amount_eur")).alias("total_operational_cost"))
-    return out
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_operational_cost"], ["cost_type"])
 
 
 @query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT 'b1' AS batch_id, 'shipments' AS affected_dataset, rule_name, 'FAIL' AS validation_status, n AS failed_quality_rows FROM by_rule")
@@ -812,13 +968,13 @@ def report_dq(spark, d):
 
 @query(f"WITH {_FI}, {_FC}, {_TOT} SELECT " + ", ".join(f"{_MEASURE_SQL[m]} AS {m}" for m in ("total_revenue", "total_operational_cost", "gross_profit", "gross_margin_pct", "shipment_count")) + " FROM tot")
 def report_executive_card(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d)), ["total_revenue", "total_operational_cost", "gross_profit", "gross_margin_pct", "shipment_count"])
+    return semantic.query(semantic.Flat(_star(spark, d)), ["total_revenue", "total_operational_cost", "gross_profit", "gross_margin_pct", "shipment_count"])
 
 
 @query(f"""WITH {_SHIP_CHECKED}, {_BY_RULE}, {_FC}, x AS (SELECT {sql_zero('(SELECT sum(amount_eur) FROM bud)')} AS b, {sql_zero('(SELECT sum(amount_eur) FROM fc)')} AS c)
     SELECT CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount, (SELECT CAST(sum(n) AS BIGINT) FROM by_rule) AS failed_quality_rows, TIMESTAMP '2025-01-01 00:00:00' AS latest_successful_refresh FROM x""")
 def report_status_card(spark, d):
-    return semantic.query(semantic.flat_facts(_star(spark, d), _ship_quality(spark, d)), ["budget_variance_amount", "failed_quality_rows", "latest_successful_refresh"])
+    return semantic.query(semantic.Flat(_star(spark, d), _ship_quality(spark, d)), ["budget_variance_amount", "failed_quality_rows", "latest_successful_refresh"])
 
 
 @query(f"""WITH {_FI} SELECT invoice_id, shipment_id, invoice_date AS calendar_date, fi.customer_id, fi.country_code, route_id, amount_eur FROM fi WHERE invoice_id = '7-1' OR (fi.country_code = 'N3' AND m = DATE '1998-05-01')""")
@@ -834,3 +990,32 @@ def source_row_numbers(spark, d):
     from finlake.sources.delivery import numbered
 
     return numbered(read(spark, d, "customer").select("c_custkey"), ["c_custkey"]).select(F.col("_source_row_number").alias("row"), "c_custkey")
+
+
+# Page cards: measures without grouping, under a page's filters
+
+
+def _sql_tot(fi: str = "true", fc: str = "true", shs: str = "true", bud: str = "true") -> str:
+    return f"""tot AS (SELECT {sql_zero(f'(SELECT sum(amount_eur) FROM fi WHERE {fi})')} AS r, {sql_zero(f'(SELECT sum(amount_eur) FROM fc WHERE {fc})')} AS c, (SELECT count(DISTINCT shipment_id) FROM shs WHERE {shs}) AS s,
+    {sql_zero(f'(SELECT sum(amount_eur) FROM bud WHERE {bud})')} AS b, {sql_zero(f'(SELECT sum(amount_eur - coalesce(open_eur, amount_eur)) FROM fi WHERE {fi})')} AS fx)"""
+
+
+def _card(name: str, measures: tuple[str, ...], where: dict, filtered: str, facts: tuple[str, ...] = ("fi", "fc", "shs", "bud")) -> None:
+    def run(spark, d):
+        return semantic.query(semantic.Flat(_star(spark, d)), measures, where=where)
+
+    run.__name__ = f"card_{name}"
+    query(f"WITH {_FI}, {_FC}, {_SHS}, {_sql_tot(**dict.fromkeys(facts, filtered))} SELECT " + ", ".join(f"{_MEASURE_SQL[m]} AS {m}" for m in measures) + " FROM tot")(run)
+
+
+_MONTH = "m = DATE '1998-05-01'"
+_card("country", ("total_revenue", "gross_profit", "gross_margin_pct"), {"country_code": ["N3", "N4"]}, "country_code IN ('N3', 'N4')", ("fi", "fc"))
+_card("customer_and_route", ("shipment_count", "revenue_per_shipment", "cost_per_shipment"), {"month_start": MAY}, _MONTH)
+_card("budget", ("budget_amount", "actual_cost", "budget_variance_amount", "budget_variance_pct"), {"month_start": MAY, "cost_center_id": ["1", "2", "3"]}, f"{_MONTH} AND cost_center_id IN ('1', '2', '3')")
+_card("cost_and_fx", ("total_operational_cost", "fx_impact"), {"month_start": MAY}, _MONTH)
+_card("drillthrough", ("total_revenue", "fx_impact"), {"customer_id": "7"}, "customer_id = '7'", ("fi",))
+
+
+@query(f"WITH {_SHIP_CHECKED}, {_BY_RULE} SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS failed_quality_rows FROM by_rule WHERE rule_name IN ('REQUIRED_IDENTIFIERS', 'EXCHANGE_RATE_EXISTS')")
+def card_data_quality(spark, d):
+    return semantic.query({"quality": _ship_quality(spark, d)}, ["failed_quality_rows"], where={"rule_name": ["REQUIRED_IDENTIFIERS", "EXCHANGE_RATE_EXISTS"]})

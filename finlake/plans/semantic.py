@@ -6,7 +6,7 @@ never multiply one another. Dimensions filter facts in one direction; a budget's
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,17 +48,53 @@ DERIVED: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
 MEASURES = (*BASE, *DERIVED)
 
 
-def query(facts: dict[str, DataFrame], measures: Sequence[str], by: Sequence[str] = (), where: Column | None = None) -> DataFrame:
-    """Measures by the columns of `by`, over flat facts (each with its dimensions' attributes). Facts that lack a
-    column of `by` can't be split by it and are left out of `measures` by the caller."""
+#: Attributes that reports group and filter by, and the dimension that has each. Others are the fact's own columns.
+ATTRIBUTES = {"country_code": "country", "customer_id": "customer", "route_id": "route", "cost_center_id": "cost_center", "month_start": "date"}
+
+
+class Flat:
+    """The star's facts, each joined with just those dimensions whose attributes are asked for."""
+
+    DATES = {"invoice": "invoice_date_key", "cost": "posting_date_key", "shipment": "shipment_date_key", "budget": "month_date_key"}
+    TABLES = {"invoice": "fact_invoice", "cost": "fact_operational_cost", "shipment": "fact_shipment", "budget": "fact_budget"}
+
+    def __init__(self, star: dict[str, DataFrame], quality: DataFrame | None = None):
+        self.star, self.quality = star, quality
+
+    def fact(self, name: str, attributes: Sequence[str]) -> DataFrame:
+        if name == "quality":
+            return self.quality
+        frame = self.star[self.TABLES[name]]
+        for a in dict.fromkeys(attributes):
+            dim = ATTRIBUTES.get(a)
+            if dim == "date":
+                dates = self.star["dim_date"].select(F.col("date_key").alias(self.DATES[name]), a)
+                frame = frame.join(dates, self.DATES[name], "left")
+            elif dim == "country" and name == "budget":  # a budget's country is its cost centre's
+                frame = frame.join(self.star["dim_cost_center"].select("cost_center_key", a), "cost_center_key", "left")
+            elif dim:
+                frame = frame.join(self.star[f"dim_{dim}"].select(f"{dim}_key", a), f"{dim}_key", "left")
+        return frame
+
+
+def query(facts: Flat | dict[str, DataFrame], measures: Sequence[str], by: Sequence[str] = (), where: Mapping[str, object] | None = None) -> DataFrame:
+    """Measures by the columns of `by`, for rows whose attributes have the values of `where` (one each, or a list). Facts that
+    lack a column of `by` can't be split by it and are left out of `measures` by the caller."""
     needed = list(dict.fromkeys(b for m in measures for b in (DERIVED[m][0] if m in DERIVED else (m,))))
+    where = where or {}
     frames = []
     for fact in dict.fromkeys(BASE[b].fact for b in needed):
-        frame = facts[fact] if where is None else facts[fact].where(where)
+        frame = facts.fact(fact, [*by, *where]) if isinstance(facts, Flat) else facts[fact]
+        for attribute, value in where.items():
+            frame = frame.where(F.col(attribute).isin(*value) if isinstance(value, list | tuple) else F.col(attribute) == F.lit(value))
         frames.append(frame.groupBy(*by).agg(*[BASE[b].column().alias(b) for b in needed if BASE[b].fact == fact]))
-    if by:
-        keys = reduce(DataFrame.unionByName, [f.select(*by) for f in frames]).distinct()
-        out = reduce(lambda a, f: a.join(f, list(by), "left"), frames, keys)
+    if by and len(frames) == 1:
+        out = frames[0]
+    elif by:
+        out = reduce(DataFrame.unionByName, [f.select(*by) for f in frames]).distinct()
+        for f in frames:  # rows without a value of a key are one group, too
+            f = f.withColumnsRenamed({k: f"_{k}" for k in by})
+            out = out.join(f, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]), "left").drop(*[f"_{k}" for k in by])
     else:
         out = reduce(lambda a, f: a.join(f, F.lit(True)), frames)  # one row each
     kinds = dict(out.dtypes)
@@ -70,24 +106,3 @@ def ranked(frame: DataFrame, measure: str, keys: Sequence[str], top: int | None
     """`frame` in the order of a measure, the largest first; the first `top` rows if wanted."""
     out = frame.orderBy(F.desc(measure), *keys)
     return out.limit(top) if top else out
-
-
-def flat_facts(star: dict[str, DataFrame], quality: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The star's facts with the attributes that reports filter and group by."""
-
-    def enrich(frame: DataFrame, date: str, *dims: str) -> DataFrame:
-        attributes = {"country": "country_code", "customer": "customer_id", "route": "route_id", "cost_center": "cost_center_id"}
-        for d in dims:
-            frame = frame.join(star[f"dim_{d}"].select(f"{d}_key", attributes[d]), f"{d}_key", "left")
-        dates = star["dim_date"].select(F.col("date_key").alias(date), "month_start")
-        return frame.join(dates, date, "left")
-
-    every = ("country", "customer", "route", "cost_center")
-    centers = star["dim_cost_center"].select("cost_center_key", "country_code")
-    out = {
-        "invoice": enrich(star["fact_invoice"], "invoice_date_key", *every),
-        "cost": enrich(star["fact_operational_cost"], "posting_date_key", *every),
-        "shipment": enrich(star["fact_shipment"], "shipment_date_key", *every),
-        "budget": enrich(star["fact_budget"], "month_date_key", "cost_center").join(centers, "cost_center_key", "left"),
-    }
-    return out | ({"quality": quality} if quality is not None else {})

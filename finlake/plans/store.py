@@ -12,9 +12,12 @@ import os
 import uuid
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from finlake.functions import expr
 from finlake.operators.evidence import attest
 
 
@@ -31,6 +34,19 @@ class ArtifactIntegrityError(RuntimeError):
 
 
 ALL = "_all"
+#: How errors about parts that are gone, or aren't whole Parquet files, begin.
+UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ", "UNABLE_TO_INFER", "_LEGACY_ERROR_TEMP_20")
+
+
+def read_json(path: Path) -> dict:
+    """A JSON object that the store wrote; anything else is a state that can't be used."""
+    try:
+        found = json.loads(path.read_text(encoding="utf-8"))
+    except (ValueError, OSError) as e:
+        raise StateIntegrityError(f"STATE_INVALID: {path.name} can't be read") from e
+    if not isinstance(found, dict):
+        raise StateIntegrityError(f"STATE_INVALID: {path.name} holds no object")
+    return found
 
 
 def write_json(path: Path, value: dict) -> None:
@@ -50,12 +66,17 @@ class Store:
         path = self.root / "CURRENT.json"
         if not path.exists():
             return {"version": 0, "tables": {}, "batches": {}, "watermark": None}
+        found = read_json(path)
         try:
-            found = json.loads(path.read_text(encoding="utf-8"))
+            old = [b for b in found["batches"].values() if "arrival" not in b]
+            if len(old) == len(found["batches"]) == 1:
+                old[0]["arrival"] = 1  # written before arrivals were kept: the only batch came first
+            elif old:
+                raise StateIntegrityError("STATE_MIGRATION_REQUIRED: batches without an arrival have no order; replay all deliveries in theirs into an empty store")
             arrivals = [b["arrival"] for b in found["batches"].values()]
             _ = found["version"], found["tables"], found["watermark"]
-        except (ValueError, KeyError, TypeError) as e:
-            raise StateIntegrityError("STATE_INVALID: CURRENT.json can't be read") from e
+        except (KeyError, TypeError, AttributeError) as e:
+            raise StateIntegrityError("STATE_INVALID: CURRENT.json lacks something") from e
         if any(not isinstance(a, int) or isinstance(a, bool) or a < 1 for a in arrivals) or len(set(arrivals)) != len(arrivals):
             raise StateIntegrityError("STATE_ARRIVAL_SEQUENCE_INVALID: arrivals aren't unique positive integers")
         return found
@@ -66,8 +87,14 @@ class Store:
         frame.write.parquet(str(path))
         back = self.spark.read.schema(frame.schema).parquet(str(path))
         state["tables"].setdefault(table, {})[part] = {"path": str(path.relative_to(self.root)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys).first().asDict()}
+        if "amount_eur" in back.columns:
+            state["tables"][table][part]["eur"] = str(back.agg(expr.zero(F.sum("amount_eur")).alias("v")).first()["v"])
         return back
 
+    def ordered(self, state: dict, table: str, keys: list[str]) -> DataFrame:
+        """A table in the order that it is shown in: by `keys`, which tell its rows apart."""
+        return self.read(state, table).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+
     def parts(self, state: dict, table: str, among: list[str] | None = None, without: list[str] | None = None) -> list[dict]:
         held = state["tables"].get(table, {})
         return [p for name, p in sorted(held.items()) if (among is None or name in among) and name not in (without or [])]
@@ -92,7 +119,9 @@ class Store:
             try:
                 frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(str(self.root / held["path"]))
                 now = attest(frame, held["keys"]).first().asDict()
-            except Exception:  # a part that can't be read is a wrong part, whatever the reader says of it
+            except PySparkException as e:
+                if not str(e.getCondition()).startswith(UNREADABLE):
+                    raise  # a machine's trouble says nothing about the part
                 now = {}
             if any(now.get(k) != held[k] for k in ("rows", "row_digest", "key_digest")):
                 wrong.append(table)
@@ -107,7 +136,12 @@ class Store:
 
     def inflight(self) -> dict | None:
         path = self.root / "inflight.json"
-        return json.loads(path.read_text(encoding="utf-8")) if path.exists() else None
+        if not path.exists():
+            return None
+        found = read_json(path)
+        if not {"batch_id", "fingerprint"} <= set(found):
+            raise StateIntegrityError("STATE_INVALID: inflight.json lacks something")
+        return found
 
     def mark(self, value: dict | None) -> None:
         path = self.root / "inflight.json"
