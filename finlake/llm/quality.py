@@ -35,9 +35,9 @@ MENU = {
     "fr": ("accueil", "rechercher", "connexion", "s'inscrire", "suivant", "précédent", "haut de page", "lire la suite", "partager", "à propos", "aide", "plan du site", "imprimer"),
     "es": ("inicio", "buscar", "iniciar sesión", "registrarse", "siguiente", "anterior", "volver arriba", "leer más", "compartir", "contacto", "acerca de", "ayuda", "mapa del sitio", "imprimir"),
 }
-_MENU_LINE = "^(?:" + "|".join(re.escape(x) for words in MENU.values() for x in words) + r")[ .:>»]*$"
+MENU_LINE = "^(?:" + "|".join(re.escape(x) for words in MENU.values() for x in words) + r")[ .:>»]*$"
 #: What opens a line of rights, and a word that is a link.
-_RIGHTS, _LINK = r"^\s*(?:©|\(c\)|&copy;|copyright\b)", r"(?:https?://|www\.)[^\x20\x09-\x0D]+"
+RIGHTS, _LINK = r"^\s*(?:©|\(c\)|&copy;|copyright\b)", r"(?:https?://|www\.)[^\x20\x09-\x0D]+"
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_bad_lines", "lost_chars", "clean_text", "kept")
 
 
@@ -114,7 +114,7 @@ def bad_line(x: Column, rules: LineRules) -> Column:
     links = (line.contains("://") | line.contains("www.")) & (F.regexp_count(line, F.lit(_LINK)) > rules.max_links * n)
 
     def furniture(lower: Column) -> Column:
-        out = ((size < 20) & F.trim(lower).rlike(_MENU_LINE)) | lower.rlike(_RIGHTS)
+        out = ((size < 20) & F.trim(lower).rlike(MENU_LINE)) | lower.rlike(RIGHTS)
         for phrases in BOILERPLATE.values():
             for phrase in phrases:
                 out = out | lower.contains(phrase)

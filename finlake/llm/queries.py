@@ -68,7 +68,34 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op3_mixing, op4_chat_format, op5_secret_scan, op6_language_id, op7_ngram_join, op8_bpe, op9_substring_dedup, op10_html_extract)}
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_BAD = f"""symbols > 0.1 * size OR letters < 0.4 * size OR (NOT regexp_matches(line, '[.!?…。！？]') AND len(ws) >= 12)
+    OR (({' OR '.join(f"contains(line, {_quoted(m)})" for m in '|»›•·')} OR contains(line, ' > ') OR contains(line, ' / ')) AND len(list_filter(ws, lambda w: regexp_full_match(w, '[|»›•·>/]+'))) > 0.2 * len(ws))
+    OR ((contains(line, '://') OR contains(line, 'www.')) AND len(regexp_extract_all(line, '(?:https?://|www\\.)[^\\x20\\x09-\\x0D]+')) > 0.5 * len(ws))
+    OR (size < 20 AND regexp_matches(trim(lower(line)), {_quoted(quality.MENU_LINE)})) OR regexp_matches(lower(line), {_quoted(quality.RIGHTS)})
+    OR {' OR '.join(f"contains(lower(line), {_quoted(x)})" for phrases in quality.BOILERPLATE.values() for x in phrases)}"""
+
 ORACLE_SQL = {
+    "op1_quality_rules": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, regexp_extract_all(t, {_WORDS}) AS ws FROM d),
+        windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+        again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+        repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(8) AS r(k) GROUP BY 1),
+        l AS (SELECT doc_id, line, regexp_extract_all(line, {_WORDS}) AS ws, regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g') AS dense FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+        m AS (SELECT doc_id, line, ws, length(dense) AS size, length(dense) - length(regexp_replace(dense, '[#*$%&|<>]', '', 'g')) AS symbols, length(regexp_replace(dense, '\\PL', '', 'g')) AS letters FROM l WHERE len(ws) > 0),
+        j AS (SELECT *, ({_BAD}) AS bad FROM m),
+        s AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, sum(size) AS word_chars, sum(symbols) AS n_symbols, count(*) FILTER (bad) AS n_bad_lines, coalesce(sum(size) FILTER (bad), 0) AS lost FROM j GROUP BY 1),
+        o AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_repeat_words, s.* EXCLUDE (doc_id), len(ws) < 20 OR 100 * coalesce(n, 0) > 30 * len(ws) AS failed FROM w LEFT JOIN repeated USING (doc_id) LEFT JOIN s USING (doc_id))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, CAST(coalesce(n_symbols, 0) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+               CAST(n_repeat_words AS BIGINT) AS n_repeat_words, failed AS base_failed, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_bad_lines, 0) AS BIGINT) AS n_bad_lines, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars,
+               NOT failed AND coalesce(lost, 0) <= 0.5 * coalesce(word_chars, 0) AS kept
+        FROM o
+    """,
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

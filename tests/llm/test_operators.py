@@ -858,3 +858,16 @@ def test_queries_have_the_contract_columns(spark, sf):
     found = queries.op2_exact_dedup(spark, sf)
     assert {"doc_id", "keep_id", "group_size", "kept", "text_sha256"} <= set(found.columns)
     assert as_dict(queries.op4_chat_format(spark, sf), "conv_id")[-7]["loss_chars"] == len("\\### Assistant: </turn> ok")
+
+
+@pytest.mark.parametrize("name", queries.QUERIES)
+def test_queries_run_with_generated_code(spark, sf, name):
+    """The other tests do without code generation, which clusters use."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    try:
+        rows = queries.QUERIES[name](spark, sf).count()
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    table = {"op4_chat_format": "conversations", "op10_html_extract": "pages"}.get(name, "documents")
+    source = spark.read.parquet(f"{sf}/{table}.parquet")
+    assert rows == (source.select("conv_id").distinct().count() + 1 if table == "conversations" else source.count())
