@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, FINANCIAL_MISMATCH, MIN_VOLUME_RATIO, PIPELINE_VERSION, READBACK_MISMATCH, RECONCILIATION_RULES, RULES
 from finlake.functions import expr
 from finlake.operators import checks, evidence, gold, merge, ownership, quality
-from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store, read_json, write_json
+from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store
 from finlake.sources import delivery
 
 RULES_VERSION = hashlib.sha256(json.dumps([RULES, EXPECTED_INVOICES_PER_COUNTRY, MIN_VOLUME_RATIO], sort_keys=True).encode()).hexdigest()
@@ -51,15 +51,15 @@ def _nothing(step: str) -> None:
     pass
 
 
-def _pending(store: Store, batch: str) -> Path:
-    return store.root / "pending" / f"{batch}.json"
+def _is_read(table: str) -> bool:
+    """Whether a run reads other deliveries' parts of the table: then their rows are verified, else their files."""
+    return table == "claims" or table == "quality" or table.startswith("silver_")
 
 
 def _resume(store: Store, batch: str, layer: str) -> dict:
-    path = _pending(store, batch)
-    if not path.exists():
+    if not store.exists("pending", f"{batch}.json"):
         raise StateIntegrityError(f"LAYER_MISSING: {batch} has no {layer} yet")
-    found = read_json(path)
+    found = store.json("pending", f"{batch}.json")
     if found.get("base") != store.state()["version"] or LAYERS.index(found["layer"]) < LAYERS.index(layer):
         raise StateIntegrityError(f"LAYER_MISSING: {batch} must be landed again, up to {layer}")
     return found
@@ -77,10 +77,10 @@ def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_st
         raise StateIntegrityError(f"INFLIGHT_RECOVERY_REQUIRED: run {mark['batch_id']} first")
     held = state["batches"].get(batch)
     for other in state["batches"]:
-        if wrong := store.verify(state, other) if other != batch else []:
+        if wrong := store.verify(state, other, _is_read) if other != batch else []:
             raise (ClaimsIntegrityError if "claims" in wrong else ArtifactIntegrityError)(f"PRIOR_ARTIFACT_INTEGRITY_FAILED: {other}: {', '.join(wrong)}")
     if held and held["fingerprint"] == fp and held["versions"] == VERSIONS and not store.verify(state, batch) and not store.verify(state, ALL):
-        return read_json(store.root / "runs" / f"{batch}.json") | {"status": "already_processed"}
+        return store.json("runs", f"{batch}.json") | {"status": "already_processed"}
 
     new = copy.deepcopy(state)
     arrivals = _arrivals(state, batch)
@@ -93,7 +93,7 @@ def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_st
     at_step("bronze")
     for n, f in source.items():
         store.stage(new, f"bronze_{n}", batch, f, list(DATASETS[n].key))
-    write_json(_pending(store, batch), {"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals})
+    store.write({"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "landed"}
 
 
@@ -126,7 +126,7 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
     store.stage(new, "silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"])
     store.stage(new, "quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])
     gone = not checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio).isEmpty()
-    write_json(_pending(store, batch), run | {"layer": "silver", "state": new, "countries_dropped": gone})
+    store.write(run | {"layer": "silver", "state": new, "countries_dropped": gone}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "checked"}
 
 
@@ -200,11 +200,11 @@ def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, a
     if status == "success":
         new["watermark"] = max(filter(None, [new["watermark"], found["generated_at"]]))
     at_step("summary")
-    write_json(store.root / "runs" / f"{batch}.json", summary)
+    store.write(summary, "runs", f"{batch}.json")
     at_step("state")
     store.commit(new)
     store.mark(None)
-    _pending(store, batch).unlink(missing_ok=True)
+    store.remove("pending", f"{batch}.json")
     return summary
 
 
@@ -273,5 +273,5 @@ def run_correction(spark: SparkSession, root: str | Path, folders: Sequence[str
     changed = [{k: str(v) if v is not None else None for k, v in r.asDict().items()} for r in correction_audit(products[0], products[-1]).orderBy("month_start", "country_code").limit(AUDITED + 1).collect()]
     state = store.state()
     audit = {"batch_id": summaries[-1]["batch_id"], "arrival": state["batches"][summaries[-1]["batch_id"]]["arrival"], "before": summaries[0]["euros"], "after": summaries[-1]["euros"], "changed": changed[:AUDITED], "more_changed": len(changed) > AUDITED}
-    write_json(store.root / "corrections" / f"{summaries[-1]['batch_id']}.json", audit)
+    store.write(audit, "corrections", f"{summaries[-1]['batch_id']}.json")
     return audit

@@ -8,8 +8,8 @@ touching those of others.
 from __future__ import annotations
 
 import json
-import os
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.errors import PySparkException
@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from finlake.functions import expr
 from finlake.operators.evidence import attest
+from finlake.sources.files import Files, LocalFiles, files_of
 
 
 class StateIntegrityError(RuntimeError):
@@ -38,35 +39,44 @@ ALL = "_all"
 UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ", "UNABLE_TO_INFER", "_LEGACY_ERROR_TEMP_20")
 
 
-def read_json(path: Path) -> dict:
-    """A JSON object that the store wrote; anything else is a state that can't be used."""
-    try:
-        found = json.loads(path.read_text(encoding="utf-8"))
-    except (ValueError, OSError) as e:
-        raise StateIntegrityError(f"STATE_INVALID: {path.name} can't be read") from e
-    if not isinstance(found, dict):
-        raise StateIntegrityError(f"STATE_INVALID: {path.name} holds no object")
-    return found
-
-
 def write_json(path: Path, value: dict) -> None:
-    """Whole or not at all."""
-    path.parent.mkdir(parents=True, exist_ok=True)
-    temporary = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-    temporary.write_text(json.dumps(value, indent=2, sort_keys=True), encoding="utf-8")
-    os.replace(temporary, path)
+    """Whole or not at all, on a local disk."""
+    LocalFiles().replace(str(path), json.dumps(value, indent=2, sort_keys=True))
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str | Path):
-        self.spark, self.root = spark, Path(root)
-        self.root.mkdir(parents=True, exist_ok=True)
+    """`root` is a folder that all machines mount under one path, or a URI that Spark and Hadoop reach."""
+
+    def __init__(self, spark: SparkSession, root: str | Path, files: Files | None = None):
+        self.spark, self.root = spark, str(root).rstrip("/")
+        self.files = files or files_of(spark, self.root)
+
+    def at(self, *names: str) -> str:
+        return "/".join([self.root, *names])
+
+    def exists(self, *names: str) -> bool:
+        return self.files.exists(self.at(*names))
+
+    def json(self, *names: str) -> dict:
+        """A JSON object that the store wrote; anything else is a state that can't be used."""
+        try:
+            found = json.loads(self.files.text(self.at(*names)))
+        except (ValueError, OSError) as e:
+            raise StateIntegrityError(f"STATE_INVALID: {names[-1]} can't be read") from e
+        if not isinstance(found, dict):
+            raise StateIntegrityError(f"STATE_INVALID: {names[-1]} holds no object")
+        return found
+
+    def write(self, value: dict, *names: str) -> None:
+        self.files.replace(self.at(*names), json.dumps(value, indent=2, sort_keys=True))
+
+    def remove(self, *names: str) -> None:
+        self.files.remove(self.at(*names))
 
     def state(self) -> dict:
-        path = self.root / "CURRENT.json"
-        if not path.exists():
+        if not self.exists("CURRENT.json"):
             return {"version": 0, "tables": {}, "batches": {}, "watermark": None}
-        found = read_json(path)
+        found = self.json("CURRENT.json")
         try:
             old = [b for b in found["batches"].values() if "arrival" not in b]
             if len(old) == len(found["batches"]) == 1:
@@ -83,10 +93,10 @@ class Store:
 
     def stage(self, state: dict, table: str, part: str, frame: DataFrame, keys: list[str]) -> DataFrame:
         """Writes a new part and records it, with its attestation as read back, in `state` (not yet published)."""
-        path = self.root / "parts" / table / f"{part}-{uuid.uuid4().hex}"
-        frame.write.parquet(str(path))
-        back = self.spark.read.schema(frame.schema).parquet(str(path))
-        state["tables"].setdefault(table, {})[part] = {"path": str(path.relative_to(self.root)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys).first().asDict()}
+        path = f"parts/{table}/{part}-{uuid.uuid4().hex}"
+        frame.write.parquet(self.at(path))
+        back = self.spark.read.schema(frame.schema).parquet(self.at(path))
+        state["tables"].setdefault(table, {})[part] = {"path": path, "files": self.files.listing(self.at(path)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys).first().asDict()}
         if "amount_eur" in back.columns:
             state["tables"][table][part]["eur"] = str(back.agg(expr.zero(F.sum("amount_eur")).alias("v")).first()["v"])
         return back
@@ -107,45 +117,42 @@ class Store:
                 raise KeyError(table)
             return self.spark.createDataFrame([], like.schema)
         schema = StructType.fromJson(found[0]["schema"])
-        return self.spark.read.schema(schema).parquet(*[str(self.root / p["path"]) for p in found])
+        return self.spark.read.schema(schema).parquet(*[self.at(p["path"]) for p in found])
 
-    def verify(self, state: dict, part: str, tables: list[str] | None = None) -> list[str]:
-        """Tables whose part of that name isn't what was recorded."""
+    def verify(self, state: dict, part: str, read: Callable[[str], bool] = lambda table: True) -> list[str]:
+        """Tables whose part of that name isn't what was recorded: by its files' names and sizes, and for tables that `read`
+        names (those that a run is going to read) by its rows."""
         wrong = []
         for table, parts in sorted(state["tables"].items()):
-            if part not in parts or (tables is not None and table not in tables):
-                continue
-            held = parts[part]
-            try:
-                frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(str(self.root / held["path"]))
-                now = attest(frame, held["keys"]).first().asDict()
-            except PySparkException as e:
-                if not str(e.getCondition()).startswith(UNREADABLE):
-                    raise  # a machine's trouble says nothing about the part
-                now = {}
-            if any(now.get(k) != held[k] for k in ("rows", "row_digest", "key_digest")):
+            held = parts.get(part)
+            if held and (("files" in held and self.files.listing(self.at(held["path"])) != held["files"]) or read(table) and not self._as_recorded(held)):
                 wrong.append(table)
         return wrong
 
+    def _as_recorded(self, held: dict) -> bool:
+        try:
+            frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(self.at(held["path"]))
+            now = attest(frame, held["keys"]).first().asDict()
+        except PySparkException as e:
+            if not str(e.getCondition()).startswith(UNREADABLE):
+                raise  # a machine's trouble says nothing about the part
+            return False
+        return all(now[k] == held[k] for k in ("rows", "row_digest", "key_digest"))
+
     def drop(self, state: dict, part: str) -> None:
         for parts in state["tables"].values():
             parts.pop(part, None)
 
     def commit(self, state: dict) -> None:
-        write_json(self.root / "CURRENT.json", state | {"version": state["version"] + 1})
+        self.write(state | {"version": state["version"] + 1}, "CURRENT.json")
 
     def inflight(self) -> dict | None:
-        path = self.root / "inflight.json"
-        if not path.exists():
+        if not self.exists("inflight.json"):
             return None
-        found = read_json(path)
+        found = self.json("inflight.json")
         if not {"batch_id", "fingerprint"} <= set(found):
             raise StateIntegrityError("STATE_INVALID: inflight.json lacks something")
         return found
 
     def mark(self, value: dict | None) -> None:
-        path = self.root / "inflight.json"
-        if value is None:
-            path.unlink(missing_ok=True)
-        else:
-            write_json(path, value)
+        self.remove("inflight.json") if value is None else self.write(value, "inflight.json")

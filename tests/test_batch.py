@@ -154,6 +154,27 @@ def test_states_of_before_and_broken_ones(spark, tmp_path):
                 read()
 
 
+def test_a_store_behind_a_uri(spark, tmp_path):
+    """The same store through Hadoop's file systems, which object stores are reached by."""
+    store = Store(spark, f"file://{tmp_path}/store")
+    assert store.state()["version"] == 0 and store.inflight() is None
+    state = store.state()
+    store.stage(state, "t", "p", spark.range(5).selectExpr("id", "cast(id as decimal(20,2)) as amount_eur"), ["id"])
+    store.commit(state)
+    store.mark({"batch_id": "b", "fingerprint": "f"})
+    store.commit(store.state())  # replaces the file that is there
+    local = Store(spark, tmp_path / "store")
+    assert local.state()["version"] == 2 and local.inflight()["batch_id"] == "b" and store.read(store.state(), "t").count() == 5
+    assert store.verify(store.state(), "p") == local.verify(local.state(), "p") == []
+    part = next((tmp_path / "store" / "parts" / "t").rglob("part-*.parquet"))
+    part.write_bytes(part.read_bytes() + b"x")
+    assert store.verify(store.state(), "p", lambda table: False) == local.verify(local.state(), "p", lambda table: False) == ["t"]
+    part.unlink()
+    assert local.verify(local.state(), "p") == ["t"]
+    store.mark(None)
+    assert local.inflight() is None
+
+
 def test_project_config(tmp_path, monkeypatch):
     monkeypatch.chdir(tmp_path)
     assert config.load_project_config() == config.ProjectConfig()
