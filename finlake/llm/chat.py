@@ -7,8 +7,9 @@ is a training target exactly once.
 A turn is written `### role: text</turn>` and a line break. In texts and roles a backslash goes before each backslash,
 `###` and `</turn>`, and in roles before each colon, so that `read_windows` gets every turn back.
 
-A conversation is cut into segments of SEGMENT tokens by distributed prefix sums, so that one that holds a third of all
-rows is many tasks' work. A segment gets the turns before it that its history may repeat, and the system turn.
+A conversation of more than SEGMENT tokens is cut into segments by distributed prefix sums, so that one that holds a third
+of all rows is many tasks' work. A segment gets the turns before it that its history may repeat, and the system turn.
+Other conversations are one row each, after one shuffle.
 
 Defined results: null texts and roles are empty; turns go by (turn, role, text), nulls first (texts that share their first
 200 characters go by a hash); repeated rows are turns of their own; rows with a null conversation id are one conversation;
@@ -32,8 +33,9 @@ from pyspark.sql.types import StructField, StructType
 
 from finlake.llm.common import WORD, cut, n_words_of, named, per_batch, placed
 
-#: Tokens of a segment.
-SEGMENT = 1 << 16
+#: Tokens of a segment, and long conversations up to which their ids are broadcast.
+SEGMENT, FEW = 1 << 16, 20_000
+WINDOW = "struct<text: string, history: int, loss: array<struct<start: int, end: int>>>"
 _TEXT, _ROLE = re.compile(r"\\|###|</turn>"), re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
 _TURN = re.compile(r"### ((?:[^\\:]|\\.)*+): ((?:[^\\<]|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
@@ -86,21 +88,27 @@ def windows(turns: list[tuple[str, str]], budget: Budget = Budget(), first: int
     return out
 
 
-def segments(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> DataFrame:
-    """conv_id, segment, and turns: (at, lead, role, text) in order, lead turns being those of segments before."""
+def _rows(df: DataFrame) -> DataFrame:
     text = F.coalesce(named("text"), F.lit(""))
-    rows = placed(df, named("conv_id").alias("conv_id"), named("turn").alias("turn"), F.coalesce(named("role"), F.lit("")).alias("role"), text.alias("text"), (n_words_of(text) + 4).alias("cost"))
+    return df.select(named("conv_id").alias("conv_id"), named("turn").alias("turn"), F.coalesce(named("role"), F.lit("")).alias("role"), text.alias("text"), (n_words_of(text) + 4).alias("cost"))
+
+
+def _long_segments(rows: DataFrame, budget: Budget, size: int) -> DataFrame:
+    """conv_id, segment, and turns: (at, lead, role, text) in order, lead turns being those of segments before."""
     order = ["conv_id", "turn", "role", F.substring("text", 1, 200), F.xxhash64("text"), "file", "row"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = placed(rows, *map(F.col, rows.columns)).repartitionByRange(*order).sortWithinPartitions(*order)
     rows = cut(rows.select("conv_id", "role", "text", "cost", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
 
-    parts = rows.groupBy("conv_id", "part").agg(F.sum("cost").alias("n"))
+    # Costs are added up within parts and then over them, without the texts.
+    costs = rows.select("conv_id", "part", "at", "cost")
+    parts = costs.groupBy("conv_id", "part").agg(F.sum("cost").alias("n"))
     parts = parts.select("conv_id", "part", (F.sum("n").over(Window.partitionBy("conv_id").orderBy("part")) - F.col("n")).alias("before"))
     inside = F.sum("cost").over(Window.partitionBy("conv_id", "part").orderBy("at")) - F.col("cost")
-    here = rows.withColumn("inside", inside).alias("r")
+    here = costs.withColumn("inside", inside).alias("r")
     same = F.col("r.conv_id").eqNullSafe(F.col("p.conv_id"))
     begin = F.col("before") + F.col("inside")
-    dealt = cut(here.join(parts.alias("p"), same & (F.col("r.part") == F.col("p.part"))).select("r.conv_id", "at", "role", "text", begin.alias("begin"), F.floor(begin / size).alias("segment")))
+    begins = here.join(parts.alias("p"), same & (F.col("r.part") == F.col("p.part"))).select("at", begin.alias("begin"), F.floor(begin / size).alias("segment"))
+    dealt = cut(rows.drop("part", "cost").join(begins, "at"))
 
     # Turns that the next segment's history may repeat, and the system turn for all segments after its own.
     tail = dealt.where(F.col("begin") >= (F.col("segment") + 1) * size - budget.history).withColumn("segment", F.col("segment") + 1)
@@ -115,29 +123,51 @@ def segments(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> D
     for more in (tail.select(*columns), lead.select(*columns)):
         every = every.unionByName(more.withColumn("lead", F.lit(True)))
     turns = F.sort_array(F.collect_list(F.struct("at", "lead", "role", "text")))
-    return every.groupBy("conv_id", "segment").agg(turns.alias("turns")).where(F.exists("turns", lambda x: ~x["lead"]))
+    found = every.groupBy("conv_id", "segment").agg(turns.alias("turns")).where(F.exists("turns", lambda x: ~x["lead"]))
+    return found.withColumn("turns", F.transform("turns", lambda x: F.struct(x["lead"].alias("lead"), x["role"].alias("role"), x["text"].alias("text"))))
 
 
-def chat_windows(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> DataFrame:
-    """One row per window: conv_id, segment and window (from 0, in order), text, history, loss."""
-    found = segments(df, budget, size)
-    schema = StructType([found.schema["conv_id"], *StructType.fromDDL("segment long, window int, text string, history int, loss array<struct<start: int, end: int>>").fields])
+def _windowed(found: DataFrame, budget: Budget) -> DataFrame:
+    """conv_id, segment and its windows, from turns."""
+    schema = StructType([found.schema["conv_id"], *StructType.fromDDL(f"segment long, windows array<{WINDOW}>").fields])
     kinds = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(len(batch)):
-                turns = batch.column(2)[k].as_py()
-                first = sum(t["lead"] for t in turns)
-                made = windows([(t["role"], t["text"]) for t in turns], budget, first)
-                of = pa.array([k] * len(made))
-                out = [batch.column(0).take(of), batch.column(1).take(of), pa.array(range(len(made)), pa.int32())]
-                out += [pa.array([w[c] for w in made], kinds.field(c).type) for c in ("text", "history", "loss")]
-                yield pa.RecordBatch.from_arrays(out, names=kinds.names)
+            for k in range(0, len(batch), 64):
+                part = batch.slice(k, 64)
+                made = []
+                for turns in part.column(2).to_pylist():
+                    made.append(windows([(t["role"], t["text"]) for t in turns], budget, sum(t["lead"] for t in turns)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(made, kinds.field("windows").type)], names=kinds.names)
 
     return per_batch(found, run, schema)
 
 
+def format_chat(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> tuple[DataFrame, DataFrame | None]:
+    """(whole, long): conv_id, segment and windows, in order. `whole` has a row for each conversation up to `size` tokens,
+    `long` the segments of longer ones, and is None where there are none."""
+    rows = _rows(df)
+    long = cut(rows.groupBy("conv_id").agg(F.sum("cost").alias("n")).where(F.col("n") > size).select(F.col("conv_id").alias("long_id")))
+    n_long = long.count()
+    short = rows
+    if n_long:
+        long = F.broadcast(long) if n_long <= FEW else long
+        same = F.col("conv_id").eqNullSafe(F.col("long_id"))
+        short, rest = rows.join(long, same, "left_anti"), rows.join(long, same, "left_semi")
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", F.substring("text", 1, 200).alias("head"), F.xxhash64("text").alias("hash"), "text")))
+    turns = F.transform(turns, lambda x: F.struct(F.lit(False).alias("lead"), x["role"].alias("role"), x["text"].alias("text")))
+    whole = short.groupBy("conv_id").agg(turns.alias("turns")).select("conv_id", F.lit(0).cast("long").alias("segment"), "turns")
+    return _windowed(whole, budget), _windowed(_long_segments(rest, budget, size), budget) if n_long else None
+
+
+def chat_windows(df: DataFrame, budget: Budget = Budget(), size: int = SEGMENT) -> DataFrame:
+    """One row per window: conv_id, segment and window (from 0, in order), text, history, loss."""
+    whole, long = format_chat(df, budget, size)
+    made = whole if long is None else whole.unionByName(long)
+    return made.select("conv_id", "segment", F.posexplode("windows").alias("window", "w")).select("conv_id", "segment", "window", "w.*")
+
+
 def read_windows(made: list[dict]) -> tuple[list[tuple[str, str]], list[str]]:
     """The turns and the learned texts that windows hold, each once."""
     turns, learned = [], []
@@ -167,30 +197,34 @@ class _Digests:
         self.n_windows += 1
 
 
-def read_back(made: DataFrame) -> DataFrame:
-    """Digests of what the windows of `chat_windows` hold, one row per conversation. A task holds one window at a time."""
-    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_windows"]
+def read_back(whole: DataFrame, long: DataFrame | None = None) -> DataFrame:
+    """Digests of what the windows of `format_chat` hold, one row per conversation. Those of a long conversation are read in
+    order by one task, since a digest of all its text is asked for; it holds a segment at a time."""
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-    schema = StructType([StructField("conv_id", made.schema["conv_id"].dataType), *StructType.fromDDL("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long").fields])
+    more = StructType.fromDDL("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+    schema = StructType([StructField("conv_id", whole.schema["conv_id"].dataType), *more.fields])
 
-    def row(conv: pa.Array, d: _Digests) -> pa.RecordBatch:
-        values = (d.n_turns, d.turns.hexdigest(), d.loss_chars, d.loss.hexdigest(), d.chars, d.n_windows)
-        return pa.RecordBatch.from_arrays([conv, *(pa.array([v], k) for v, k in zip(values, kinds, strict=True))], names=["conv_id", *names])
+    def rows(convs: list[pa.Array], held: list[_Digests]) -> pa.RecordBatch:
+        values = zip(*((d.n_turns, d.turns.hexdigest(), d.loss_chars, d.loss.hexdigest(), d.chars, d.n_windows) for d in held), strict=True)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(convs), *(pa.array(v, k) for v, k in zip(values, kinds, strict=True))], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, held, out = None, None, []
+        now, convs, held = None, [], []
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for k, i in enumerate(ids):
-                if held is None or i != conv_id:
-                    if held is not None:
-                        out.append(row(conv, held))
-                    conv_id, conv, held = i, batch.column(0).slice(k, 1), _Digests()
-                held.add({"text": batch.column(3)[k].as_py(), "history": batch.column(4)[k].as_py(), "loss": batch.column(5)[k].as_py()})
-            if out:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                out = []
-        if held is not None:
-            yield row(conv, held)
-
-    return per_batch(made.repartition("conv_id").sortWithinPartitions("conv_id", "segment", "window"), run, schema)
+            for k, i in enumerate(batch.column(0).to_pylist()):
+                if not held or i != now:
+                    if len(held) >= 256:
+                        yield rows(convs, held)
+                        convs, held = [], []
+                    now = i
+                    convs.append(batch.column(0).slice(k, 1))
+                    held.append(_Digests())
+                for window in batch.column(2)[k].as_py():
+                    held[-1].add(window)
+        if held:
+            yield rows(convs, held)
+
+    out = per_batch(whole, run, schema)
+    if long is None:
+        return out
+    return out.unionByName(per_batch(long.repartition("conv_id").sortWithinPartitions("conv_id", "segment"), run, schema))

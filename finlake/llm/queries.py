@@ -29,7 +29,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.read_back(chat.chat_windows(rows.select("conv_id", "turn", "role", "text").unionByName(extra)))
+    return chat.read_back(*chat.format_chat(rows.select("conv_id", "turn", "role", "text").unionByName(extra)))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

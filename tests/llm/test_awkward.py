@@ -73,7 +73,7 @@ def test_ids_and_columns_come_through(docs, name):
 
 def test_chat_ids(spark):
     frame = spark.createDataFrame([(i, 0, "user", f"hello {k}") for k, i in enumerate(IDS)], "conv_id long, turn long, role string, text string")
-    found = chat.read_back(chat.chat_windows(frame.withColumn("row", F.lit(1)).withColumn("at", F.lit("x"))))
+    found = chat.read_back(*chat.format_chat(frame.withColumn("row", F.lit(1)).withColumn("at", F.lit("x"))))
     assert {r["conv_id"]: r["n_turns"] for r in found.collect()} == {i: IDS.count(i) for i in IDS}
 
 
@@ -159,5 +159,5 @@ def test_very_long_texts(spark):
     pages = spark.createDataFrame([(1, "http://h/", deep), (2, "http://h/", "<p>" + "word " * 200_000), (3, "http://h/", None)], "doc_id long, url string, html string")
     assert sorted(r["n_chars"] for r in html_extract.extract_text(pages).collect())[0] == 0
     turns = spark.createDataFrame([(1, 0, "user", word), (1, 1, "assistant", "word " * 200_000), (1, 2, "user", None)], "conv_id long, turn long, role string, text string")
-    assert chat.read_back(chat.chat_windows(turns)).first()["n_turns"] == 3
+    assert chat.read_back(*chat.format_chat(turns)).first()["n_turns"] == 3
     assert time.time() - began < 300

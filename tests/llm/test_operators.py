@@ -308,12 +308,12 @@ def test_chat_frame(spark, size, budget):
     rows += [(7, t, "user" if t % 2 else "assistant", f"turn {t} " * 9) for t in range(60)] + [(7, 3, "system", "be kind")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"window": F.lit(1), "ROW": F.lit(2), "segment": F.lit("s")}).repartition(5)
     made = chat.chat_windows(frame, budget, size)
-    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(made).collect()}
+    found = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.read_back(*chat.format_chat(frame, budget, size)).collect()}
     assert found == turns_of(rows)
     kept = sorted((r["segment"], r["window"], r["text"]) for r in made.where("conv_id = 7").collect())
     if size == 300:
         assert kept[-1][0] > 1 and all(text.startswith("### system: be kind</turn>") for *_, text in kept[2:])
-    assert chat.chat_windows(frame.limit(0)).count() == chat.read_back(chat.chat_windows(frame.limit(0))).count() == 0
+    assert chat.chat_windows(frame.limit(0)).count() == chat.read_back(*chat.format_chat(frame.limit(0))).count() == 0
 
 
 # 5
