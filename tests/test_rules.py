@@ -75,32 +75,34 @@ def test_missing_and_unknown_references(spark):
     rows["invoices"][2]["shipment_id"] = ""
     rows["shipments"][3]["route_id"] = ""
     found = checks.check_batch(frames(spark, rows), expected=1)
-    assert codes(found["invoices"], "invoice_id") == {"INV-000000": "MISSING_CUSTOMER_ID", "INV-000001": "UNKNOWN_CUSTOMER_ID", "INV-000002": "UNKNOWN_SHIPMENT_ID"}
-    assert codes(found["shipments"], "shipment_id") == {"S-000003": "MISSING_ROUTE_ID|UNKNOWN_ROUTE_ID"}
+    first, shipment = [r["invoice_id"] for r in rows["invoices"]], rows["shipments"][3]["shipment_id"]
+    assert codes(found["invoices"], "invoice_id") == {first[0]: "MISSING_CUSTOMER_ID", first[1]: "UNKNOWN_CUSTOMER_ID", first[2]: "UNKNOWN_SHIPMENT_ID"}
+    assert codes(found["shipments"], "shipment_id") == {shipment: "MISSING_ROUTE_ID|UNKNOWN_ROUTE_ID"}
 
 
 def test_rates(spark):
-    rows = fixtures.datasets(months=1, per_month=3)
+    rows = fixtures.datasets(months=1, per_month=6)
     rates = rows["exchange_rates"]
-    day = next(r for r in rates if r["currency_code"] == "GBP" and r["rate_date"] == "2025-01-06")
-    rates.append(dict(day))
-    day = next(r for r in rates if r["currency_code"] == "GBP" and r["rate_date"] == "2025-01-07")
-    rates.append(day | {"rate_to_eur": "9.000000"})
-    day = next(r for r in rates if r["currency_code"] == "GBP" and r["rate_date"] == "2025-01-08")
-    day["rate_to_eur"] = "NaN"
+    used = sorted({r["invoice_date"] for r in rows["invoices"] if r["currency_code"] == "CHF"})
+    conflicting, invalid = used[:2]
+    unused = next(r["rate_date"] for r in rates if r["rate_date"] not in used)
+    of = lambda day: next(r for r in rates if r["currency_code"] == "CHF" and r["rate_date"] == day)
+    rates.append(dict(of(unused)))
+    rates.append(of(conflicting) | {"rate_to_eur": "9.000000"})
+    of(invalid)["rate_to_eur"] = "NaN"
     found = checks.check_batch(frames(spark, rows), expected=1)
     reasons = sorted(r[0] for r in checks.quarantined(found["exchange_rates"]).select("_reason_codes").collect())
     assert reasons == ["CONFLICTING_EXCHANGE_RATE"] * 2 + ["DUPLICATE_EXCHANGE_RATE", "INVALID_EXCHANGE_RATE"]
     dependants = {(str(r["invoice_date"]), r["_reason_codes"], r["amount_eur"]) for r in checks.quarantined(found["invoices"]).collect()}
-    assert dependants == {("2025-01-07", "CONFLICTING_EXCHANGE_RATE_REFERENCE", None), ("2025-01-08", "INVALID_EXCHANGE_RATE_REFERENCE", None)}
+    assert dependants == {(conflicting, "CONFLICTING_EXCHANGE_RATE_REFERENCE", None), (invalid, "INVALID_EXCHANGE_RATE_REFERENCE", None)}
 
 
 def test_volume_drop_counts_distinct_invoices_of_listed_countries(spark):
     rows = fixtures.datasets(months=1, per_month=4)
-    rows["invoices"] = [r for r in rows["invoices"] if r["country_code"] != "DE"] + [r for r in rows["invoices"] if r["country_code"] == "DE"][:1] * 4
+    rows["invoices"] = [r for r in rows["invoices"] if r["country_code"] != "PL"] + [r for r in rows["invoices"] if r["country_code"] == "PL"][:1] * 4
     found = frames(spark, rows)
     gone = checks.dropped_countries(found["invoices"], found["countries"], 4, "0.50")
-    assert [(r[0], r[1]) for r in gone.collect()] == [("DE", 1)]
+    assert [(r[0], r[1]) for r in gone.collect()] == [("PL", 1)]
 
 
 def claims(spark, rows):
