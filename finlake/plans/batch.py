@@ -91,8 +91,7 @@ def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_st
     source = delivery.bronze(spark, folder, found)
     delivery.check_counts(source, found)
     at_step("bronze")
-    for n, f in source.items():
-        store.stage(new, f"bronze_{n}", batch, f, list(DATASETS[n].key))
+    store.stage_all(new, [(f"bronze_{n}", batch, f, list(DATASETS[n].key)) for n, f in source.items()])
     store.write({"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "landed"}
 
@@ -111,7 +110,7 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
         checked[name] = ownership.own_records(checked[name], before, name)
     # Written once; everything below reads the parts.
     at_step("checked")
-    checked = {n: store.stage(new, f"checked_{n}", batch, f, list(DATASETS[n].key)) for n, f in checked.items()}
+    checked = dict(zip(checked, store.stage_all(new, [(f"checked_{n}", batch, f, list(DATASETS[n].key)) for n, f in checked.items()]), strict=True))
     store.mark({"batch_id": batch, "fingerprint": found["fingerprint"]})
 
     at_step("claims")
@@ -119,12 +118,10 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
     store.stage(new, "claims", batch, claims, ["invoice_id", "_source_row_number"])
     resolved = _resolved(store, new, arrivals, replaced)
     at_step("silver")
-    for n in DATASETS:
-        if n != "invoices":
-            store.stage(new, f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key))
-        store.stage(new, f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"])
-    store.stage(new, "silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"])
-    store.stage(new, "quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])
+    parts = [(f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key)) for n in DATASETS if n != "invoices"]
+    parts += [(f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"]) for n in DATASETS]
+    parts += [("silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"]), ("quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])]
+    store.stage_all(new, parts)
     gone = not checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio).isEmpty()
     store.write(run | {"layer": "silver", "state": new, "countries_dropped": gone}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "checked"}
@@ -189,7 +186,7 @@ def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, a
 
     at_step("gold")
     tables = silver_tables(store, new, [b for b in arrivals if b != replaced])
-    products = {name: store.stage(new, name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()}
+    products = dict(zip(gold.PRODUCTS, store.stage_all(new, [(name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()]), strict=True))
     store.stage(new, "gold_data_quality_summary", ALL, gold.data_quality_summary(store.read(new, "quality")), ["batch_id", "affected_dataset", "rule_name"])
     if bad := [r["control"] for r in gold.reconcile(joined_facts(tables), products).where("not matches").collect()]:
         raise ReconciliationError(f"Gold and Silver differ: {', '.join(bad)}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.errors import PySparkException
@@ -17,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from finlake.functions import expr
 from finlake.operators.evidence import attest
 from finlake.sources.files import Files, LocalFiles, files_of
 
@@ -35,6 +35,8 @@ class ArtifactIntegrityError(RuntimeError):
 
 
 ALL = "_all"
+#: Parts written at a time.
+AT_ONCE = 6
 #: How errors about parts that are gone, or aren't whole Parquet files, begin.
 UNREADABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ", "UNABLE_TO_INFER", "_LEGACY_ERROR_TEMP_20")
 
@@ -97,10 +99,13 @@ class Store:
         frame.write.parquet(self.at(path))
         back = self.spark.read.schema(frame.schema).parquet(self.at(path))
         state["tables"].setdefault(table, {})[part] = {"path": path, "files": self.files.listing(self.at(path)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys).first().asDict()}
-        if "amount_eur" in back.columns:
-            state["tables"][table][part]["eur"] = str(back.agg(expr.zero(F.sum("amount_eur")).alias("v")).first()["v"])
         return back
 
+    def stage_all(self, state: dict, parts: list[tuple[str, str, DataFrame, list[str]]]) -> list[DataFrame]:
+        """`stage` for parts that don't depend on one another, some at a time: the cluster is busy with all of them."""
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            return list(pool.map(lambda p: self.stage(state, *p), parts))
+
     def ordered(self, state: dict, table: str, keys: list[str]) -> DataFrame:
         """A table in the order that it is shown in: by `keys`, which tell its rows apart."""
         return self.read(state, table).orderBy(*[F.col(k).asc_nulls_first() for k in keys])

@@ -158,10 +158,13 @@ def load_package(spark: SparkSession, root: str | Path, folder: str | Path, expe
         before = store.read(state, "fact_data_quality_result") if "fact_data_quality_result" in state["tables"] else None
         built["fact_data_quality_result"] = serving.fact_data_quality(staged[QUALITY], before)
     new = copy.deepcopy(state)
-    back = {}
-    for name, frame in built.items():
-        keys = [c for c in QUALITY_KEY[1:]] if name == "fact_data_quality_result" else [frame.columns[0]] if name.startswith("fact_") else [next(c for c in frame.columns if c.endswith("_key"))]
-        back[name] = store.stage(new, name, ALL, frame, keys)
+
+    def keys(name: str, frame: DataFrame) -> list[str]:
+        if name == "fact_data_quality_result":
+            return ["source_batch_id", *QUALITY_KEY[1:]]
+        return [frame.columns[0]] if name.startswith("fact_") else [next(c for c in frame.columns if c.endswith("_key"))]
+
+    back = dict(zip(built, store.stage_all(new, [(name, ALL, frame, keys(name, frame)) for name, frame in built.items()]), strict=True))
     controls = serving.results(load, star.controls(back, expected or expectations(found), healthy_batch), began.strftime("%Y-%m-%d %H:%M:%S"))
     failed = serving.gate(controls) != "SUCCEEDED"
     out = copy.deepcopy(state) if failed else new
