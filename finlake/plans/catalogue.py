@@ -842,7 +842,7 @@ def _odd_costs(spark, d, center, shipment):
 @query(f"SELECT cost_id, o % 7 = 3 AS no_center, l = 2 AS no_shipment FROM {_SIGNED} WHERE o % 7 = 3 OR l = 2")
 def rule_missing_center_and_shipment(spark, d):
     rules = dict(checks.own_rules(DATASETS["operational_costs"]))
-    out = _odd_costs(spark, d, " ", None).select("cost_id", rules["MISSING_COST_CENTER_ID"].alias("no_center"), rules["MISSING_SHIPMENT_ID"].alias("no_shipment"))
+    out = _odd_costs(spark, d, "", None).select("cost_id", rules["MISSING_COST_CENTER_ID"].alias("no_center"), rules["MISSING_SHIPMENT_ID"].alias("no_shipment"))
     return out.where("no_center or no_shipment")
 
 
