@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.llm import bpe, chat, common, exact_dedup, html_extract, langid, mixing, ngram_join, quality, queries, secrets, substring_dedup
+from finlake.llm import bpe, byte_bpe, chat, common, exact_dedup, html_extract, importance, langid, mixing, ngram_join, quality, queries, runs, secrets, substring_dedup
 
 IDS = [None, None, 2**53 + 1, 2**53 + 2, 2**63 - 1, 1152921504606846977, 0, -5, 7, 7]
 #: Names that operators use inside, with values that must come through.
@@ -54,6 +54,10 @@ OPERATORS = {
     "8": lambda d: bpe.encode_texts(d, queries.VOCABULARY),
     "9": lambda d: substring_dedup.dedup_substrings(d),
     "10": lambda d: html_extract.extract_text(d.withColumnRenamed("source", "url"), html="text", url="url"),
+    "11": lambda d: runs.mark_runs(d),
+    "12": lambda d: importance.resample(d, d),
+    "12 draw": lambda d: importance.draw(d, d, percent=50),
+    "13": lambda d: byte_bpe.encode_texts(d, queries.BYTE_RANKS, queries.BYTE_PATTERN),
 }
 
 
@@ -62,12 +66,13 @@ def test_ids_and_columns_come_through(docs, name):
     found = OPERATORS[name](docs)
     left = ids_of(found)
     everything = sorted(IDS, key=lambda x: (x is None, x or 0))
-    if name in ("2 drop", "7 one", "3 texts"):
-        assert set(left) <= set(everything) and found.columns == docs.columns
+    if name in ("2 drop", "7 one", "3 texts", "12 draw"):
+        added = ["weight", "score", "rank"] if name == "12 draw" else []
+        assert set(left) <= set(everything) and found.columns == docs.columns + added
         passed(found, CLASH)
     else:
         assert left == everything
-    if name in ("1", "5", "6", "8", "10"):
+    if name in ("1", "5", "6", "8", "10", "11", "12", "13"):
         passed(found, [c for c in CLASH if c not in quality.ADDED])
 
 
@@ -90,7 +95,7 @@ def test_repeated_rows_and_unnamed_ones(spark):
     assert substring_dedup.dedup_substrings(long).where("n_removed = 200").count() == 6
 
 
-@pytest.mark.parametrize("name", ["2 drop", "3 texts", "7 one", "9", "10"])
+@pytest.mark.parametrize("name", ["2 drop", "3 texts", "7 one", "9", "10", "12 draw"])
 def test_rows_keep_their_texts_when_splits_change(spark, tmp_path, rows, name):
     """Files are split by how many cores there are when a pass is planned; that may change between passes."""
     rng = random.Random(2)
