@@ -5,7 +5,8 @@ UTF-8 bytes modulo `buckets`. The CRC of each word is computed once, for all wor
 at a time. No n-gram is ever made as a string: the CRC of A, a space and B is that of A moved on by the length of what follows,
 xor that of the rest; moving on by n bytes is a matrix over GF(2), and those of 1, 2, 4, ... bytes are kept as tables.
 
-Two passes over the rows: one counts buckets (a task sends its own sums, at most `buckets` of them), one weighs. The log ratio
+Passes over the rows: one counts buckets (a task sends its own sums, at most `buckets` of them), the others weigh, for the
+bounds of the ranking's parts and then for the parts; weighing is cheaper than storing. The log ratio
 of the target's and the corpus' share of a bucket is its gain, a text's weight is the sum of its features' gains, and weights
 with Gumbel noise from a hash of the id, ranked, draw without replacement in proportion to exp(weight). Ranks come from a range
 partitioning by score with offsets of its parts, so no task sees more than its part.
@@ -30,10 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from finlake.llm.common import arrow, cut, forget, named, no_clash, per_batch, placed, settled, whole
+from finlake.llm.common import arrow, cut, named, no_clash, per_batch, placed, settled, whole
 
 #: Longest feature in words, number of buckets, least words of a text that may be drawn, share drawn in percent.
 GRAMS, BUCKETS, LEAST, PERCENT, SEED = 1, 10_000, 20, 10, "2024"
+#: Parts of the ranking, each sorted on its own, that are written into one file.
+PARTS_A_FILE = 8
 #: The reflected polynomial of CRC-32, and the words whose CRC is computed byte by byte with all others.
 POLYNOMIAL, SHORT = 0xEDB88320, 64
 ADDED = "n_features long, n_words long, weight long"
@@ -193,8 +196,8 @@ def ranked(df: DataFrame, eligible: Column, score: Column, ties: list[Column], p
     spread = df.withColumns({"drawable": F.coalesce(eligible, F.lit(False)), "by": score})
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = spread.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    # Part and place of a row, settled by writing them.
-    kept = cut(ordered.withColumn("at", F.monotonically_increasing_id()))
+    # Part and place of a row, settled by writing them; rows are short, so several parts go into one file.
+    kept = cut(ordered.withColumn("at", F.monotonically_increasing_id()).coalesce(max(1, parts // PARTS_A_FILE)))
     part, place = F.shiftright("at", 33).cast("int"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = {r["part"]: r["n"] for r in kept.where("drawable").groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one row a part
     before, total = {}, 0
@@ -215,9 +218,8 @@ def resample(
     gain = fitted(df, target, text, target_text, grams, buckets)
     rest = no_clash(df, text, "n_features", "n_words", "weight", "score", "rank")
     frame = placed(df, named(doc_id).alias("id"), whole(rest), named(text).alias("body"))
-    scores = cut(weighed(frame, gain, "body", grams).withColumn("score", F.col("weight") + noise(F.col("id"), seed)))
+    scores = weighed(frame, gain, "body", grams).withColumn("score", F.col("weight") + noise(F.col("id"), seed))
     out = ranked(scores, F.col("n_words") >= least, F.col("score"), [F.col("id").asc_nulls_last(), F.col("file"), F.col("row")], percent)
-    forget(scores)
     return out.select("whole.*", "n_features", "n_words", "weight", "score", "rank")
 
 
