@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
             shown(summary)
             failed |= bool(set(summary["failed_rules"]) & (settings.critical_rules | set(batch.RECONCILIATION_RULES)))
     elif a.command == "land":
-        shown(batch.land_bronze(spark, a.output, a.batch_dir))
+        shown(batch.land_bronze(spark, a.output, a.batch_dir, **limits))
     elif a.command == "silver":
         shown(batch.build_silver(spark, a.output, a.batch, **limits))
     elif a.command == "gold":

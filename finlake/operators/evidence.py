@@ -14,12 +14,12 @@ def _as_number(digest: F.Column) -> F.Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
+def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None, euros: bool = False) -> DataFrame:
     """rows, row_digest and key_digest: sums of 60 bits of each row's SHA-256, so that parts can be added up; and the EUR of rows
-    that have any, unless split `by` something."""
+    that have any, unless split `by` something and not wanted."""
     columns = [F.col(c) for c in sorted(frame.columns) if c not in (by or [])]
     marked = frame.withColumns({"_row": _as_number(expr.payload(*columns)), "_key": _as_number(expr.payload(*[F.col(k) for k in keys]))})
-    euro = [expr.zero(F.sum("amount_eur")).cast("string").alias("eur")] if "amount_eur" in frame.columns and not by else []
+    euro = [expr.zero(F.sum("amount_eur")).cast("string").alias("eur")] if "amount_eur" in frame.columns and (euros or not by) else []
     sums = [F.count("*").alias("rows"), F.coalesce(F.sum("_row"), F.lit(0)).cast("string").alias("row_digest"), F.coalesce(F.sum("_key"), F.lit(0)).cast("string").alias("key_digest"), *euro]
     return marked.groupBy(*by).agg(*sums) if by else marked.agg(*sums)
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,3 +54,23 @@ def with_keys(target: DataFrame, rows: DataFrame, natural: str, surrogate: str)
     top = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("_top"))
     made = numbered.join(F.broadcast(offsets), "_part").join(F.broadcast(top), F.lit(True)).select(natural, (F.col("_top") + F.col("_before") + F.col("_nth")).cast("long").alias(surrogate))
     return target.select(natural, F.col(surrogate).cast("long").alias(surrogate)).unionByName(made)
+
+
+def merged(target: DataFrame, source: DataFrame, key: Sequence[str], delete: Column | bool = False) -> DataFrame:
+    """Both tables' rows by `key`, which is unique in each, with `_action`: updated (matched, with other contents), unchanged,
+    inserted (not matched), or, for target rows that the source lacks, deleted where `delete` holds (a condition on the target's
+    columns) and unchanged elsewhere."""
+    rest = [c for c in target.columns if c not in key]
+    new = source.select(*key, F.struct(*rest, F.lit(1).alias("_here")).alias("_new"))
+    gone = F.lit(delete) if isinstance(delete, bool) else F.coalesce(delete, F.lit(False))
+    old = target.select(*key, F.struct(*rest, gone.alias("_gone")).alias("_old"))
+    both = old.join(new, list(key), "full")
+    same = reduce(lambda a, b: a & b, [F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in rest], F.lit(True))
+    action = (
+        F.when(F.col("_old").isNull(), "inserted")
+        .when(F.col("_new").isNull(), F.when(F.col("_old._gone"), "deleted").otherwise("unchanged"))
+        .when(same, "unchanged")
+        .otherwise("updated")
+    )
+    pick = lambda c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
+    return both.select(*[F.col(c) if c in key else pick(c) for c in target.columns], action.alias("_action"))

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, FINANCIAL_MISMATCH, MIN_VOLUME_RATIO, PIPELINE_VERSION, READBACK_MISMATCH, RECONCILIATION_RULES, RULES
 from finlake.functions import expr
 from finlake.operators import checks, evidence, gold, merge, ownership, quality
+from finlake.plans import buckets, claims
 from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store
 from finlake.sources import delivery
 
-RULES_VERSION = hashlib.sha256(json.dumps([RULES, EXPECTED_INVOICES_PER_COUNTRY, MIN_VOLUME_RATIO], sort_keys=True).encode()).hexdigest()
-VERSIONS = {"pipeline": PIPELINE_VERSION, "contract": CONTRACT_VERSION, "rules": RULES_VERSION}
+#: Tables in buckets of the invoice id.
+BUCKETED = (claims.CLAIMS, claims.TRUSTED, claims.AWAY)
 OWNED = tuple(f for f in FACTS if f != "invoices")
 REFERENCES = tuple(n for n in DATASETS if n not in FACTS)
 LAYERS = ("bronze", "silver")
@@ -38,10 +39,10 @@ def _arrivals(state: dict, batch_id: str) -> dict[str, int]:
     return found | ({} if batch_id in found else {batch_id: max(found.values(), default=0) + 1})
 
 
-def _with_arrival(claims: DataFrame, arrivals: dict[str, int]) -> DataFrame:
-    """Batches are deliveries: a short list, held on the driver as the store's state."""
-    order = claims.sparkSession.createDataFrame(list(arrivals.items()), "_batch_id string, arrival int")
-    return claims.join(F.broadcast(order), "_batch_id")
+def versions_of(expected: int, ratio: str) -> dict[str, str]:
+    """What a run's result depends on besides its delivery: the code, the contract, and the rules with their thresholds in force."""
+    rules = hashlib.sha256(json.dumps([RULES, int(expected), str(Decimal(ratio).normalize())], sort_keys=True).encode()).hexdigest()
+    return {"pipeline": PIPELINE_VERSION, "contract": CONTRACT_VERSION, "rules": rules}
 
 
 Step = Callable[[str], None]
@@ -53,7 +54,7 @@ def _nothing(step: str) -> None:
 
 def _is_read(table: str) -> bool:
     """Whether a run reads other deliveries' parts of the table: then their rows are verified, else their files."""
-    return table == "claims" or table == "quality" or table.startswith("silver_")
+    return table == "quality" or table.startswith("silver_")
 
 
 def _resume(store: Store, batch: str, layer: str) -> dict:
@@ -65,10 +66,10 @@ def _resume(store: Store, batch: str, layer: str) -> dict:
     return found
 
 
-def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_step: Step = _nothing) -> dict:
+def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_step: Step = _nothing, expected: int = EXPECTED_INVOICES_PER_COUNTRY, ratio: str = MIN_VOLUME_RATIO) -> dict:
     """The first task: a delivery's rows as they are, after its manifest, header and counts were checked. Gives a summary if the
-    same versions have published the delivery already, else {"batch_id", "status": "landed"}."""
-    store, folder = Store(spark, root), Path(folder)
+    same versions, under the same thresholds, have published the delivery already, else {"batch_id", "status": "landed"}."""
+    store, folder, versions = Store(spark, root), Path(folder), versions_of(expected, ratio)
     found = delivery.manifest(folder)
     batch, fp, replaced = found["batch_id"], found["fingerprint"], found.get("supersedes_batch_id")
     state = store.state()
@@ -79,11 +80,16 @@ def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_st
     for other in state["batches"]:
         if wrong := store.verify(state, other, _is_read) if other != batch else []:
             raise (ClaimsIntegrityError if "claims" in wrong else ArtifactIntegrityError)(f"PRIOR_ARTIFACT_INTEGRITY_FAILED: {other}: {', '.join(wrong)}")
-    if held and held["fingerprint"] == fp and held["versions"] == VERSIONS and not store.verify(state, batch) and not store.verify(state, ALL):
-        return store.json("runs", f"{batch}.json") | {"status": "already_processed"}
+    if held and held["fingerprint"] == fp and held["versions"] == versions and not store.verify(state, batch) and not store.verify(state, ALL):
+        if not any(buckets.verify(store, state, t, None) for t in BUCKETED):
+            if mark:  # a run died between its commit and this
+                store.mark(None)
+                store.remove("pending", f"{batch}.json")
+            return store.json("runs", f"{batch}.json") | {"status": "already_processed"}
 
     new = copy.deepcopy(state)
     arrivals = _arrivals(state, batch)
+    gone = claims.held_by(state, batch, replaced)
     if replaced:
         store.drop(new, replaced)
         new["batches"].pop(replaced, None)
@@ -92,7 +98,7 @@ def land_bronze(spark: SparkSession, root: str | Path, folder: str | Path, at_st
     delivery.check_counts(source, found)
     at_step("bronze")
     store.stage_all(new, [(f"bronze_{n}", batch, f, list(DATASETS[n].key)) for n, f in source.items()])
-    store.write({"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals}, "pending", f"{batch}.json")
+    store.write({"layer": "bronze", "base": state["version"], "state": new, "manifest": found, "arrivals": arrivals, "claims_gone": gone, "versions": versions}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "landed"}
 
 
@@ -114,40 +120,40 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
     store.mark({"batch_id": batch, "fingerprint": found["fingerprint"]})
 
     at_step("claims")
-    claims = ownership.claim_hash(checks.trusted(checked["invoices"]))
-    store.stage(new, "claims", batch, claims, ["invoice_id", "_source_row_number"])
-    resolved = _resolved(store, new, arrivals, replaced)
+    rows = ownership.claim_hash(checks.trusted(checked["invoices"]))
+    touched, mine = claims.put(store, new, batch, rows, replaced, run["claims_gone"])
     at_step("silver")
+    claims.settle(store, new, _active(arrivals, replaced), touched)
     parts = [(f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key)) for n in DATASETS if n != "invoices"]
     parts += [(f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"]) for n in DATASETS]
-    parts += [("silver_invoices", ALL, checks.trusted(resolved), ["invoice_id"]), ("quarantine_invoice_claims", ALL, checks.quarantined(resolved), ["invoice_id", "_batch_id", "_source_row_number"])]
     store.stage_all(new, parts)
     gone = not checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio).isEmpty()
-    store.write(run | {"layer": "silver", "state": new, "countries_dropped": gone}, "pending", f"{batch}.json")
+    store.write(run | {"layer": "silver", "state": new, "versions": versions_of(expected, ratio), "countries_dropped": gone, "touched": touched, "claim_buckets": mine}, "pending", f"{batch}.json")
     return {"batch_id": batch, "status": "checked"}
 
 
-def _resolved(store: Store, state: dict, arrivals: dict[str, int], replaced: str | None) -> DataFrame:
-    mine = {b: a for b, a in arrivals.items() if b != replaced}
-    return ownership.resolve_claims(_with_arrival(store.read(state, "claims"), mine)).drop("claim_hash", "arrival")
+def _active(arrivals: dict[str, int], replaced: str | None) -> dict[str, int]:
+    return {b: a for b, a in arrivals.items() if b != replaced}
 
 
-def readback(store: Store, state: dict, batch: str, resolved: DataFrame) -> list[Row]:
+def readback(store: Store, state: dict, batch: str, resolved: DataFrame, touched: list[int]) -> list[Row]:
     """What is committed against what was meant, one row per dataset (`evidence.reconciled`): committed rows are read back
-    from the store, meant ones come from the checked rows, and other deliveries' from what was recorded for them."""
+    from the store, meant ones come from the checked rows, and other deliveries' from what was recorded for them. Of invoices
+    the touched buckets are compared; the others are the version before's."""
     frames, recorded = [], []
     for n, d in DATASETS.items():
         keys, marks = list(d.key), [*d.key, "_batch_id", "_source_row_number", "_reason_codes"]
         checked = store.read(state, f"checked_{n}", among=[batch])
         meant, away = checks.trusted(checked), checks.quarantined(checked)
-        kept, gone = store.read(state, f"silver_{n}", among=[batch, ALL]), store.read(state, f"quarantine_{n}", among=[batch])
+        gone = store.read(state, f"quarantine_{n}", among=[batch])
         if n == "invoices":
             here = F.col("_batch_id") == batch
-            meant_all, kept_all = checks.trusted(resolved), kept
-            meant, kept = meant_all.where(here), kept.where(here)
+            meant_all, kept_all = checks.trusted(resolved), buckets.read(store, state, claims.TRUSTED, touched)
+            meant, kept = meant_all.where(here), kept_all.where(here)
             away = away.unionByName(checks.quarantined(resolved).where(here).select(*away.columns))
-            gone = gone.unionByName(store.read(state, "quarantine_invoice_claims").where(here).select(*gone.columns))
+            gone = gone.unionByName(buckets.read(store, state, claims.AWAY, touched).where(here).select(*gone.columns))
         else:
+            kept = store.read(state, f"silver_{n}", among=[batch])
             meant_all, kept_all = meant, store.read(state, f"silver_{n}")
             recorded.append((n, [p for name, p in state["tables"][f"silver_{n}"].items() if name != batch]))
         frames += [evidence.signature(f, n, what, keys, marks if "quarantine" in what else None) for what, f in (("source", checked), ("trusted", kept), ("meant_trusted", meant), ("quarantine", gone), ("meant_quarantine", away), ("all", kept_all), ("meant_all", meant_all))]
@@ -167,12 +173,12 @@ def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, a
     run = _resume(store, batch, "silver")
     new, found, arrivals = run["state"], run["manifest"], run["arrivals"]
     replaced = found.get("supersedes_batch_id")
-    resolved = _resolved(store, new, arrivals, replaced)
+    resolved = claims.resolved(store, new, _active(arrivals, replaced), run["touched"])
     graded = {n: store.read(new, f"checked_{n}", among=[batch]) for n in DATASETS}
     columns = graded["invoices"].columns
     graded["invoices"] = graded["invoices"].where(F.size("_reasons") > 0).unionByName(resolved.where((F.col("_batch_id") == batch) & (F.size("_reasons") > 0)).select(*columns))
     results = quality.quality_results(spark, graded, batch, found["generated_at"], run["countries_dropped"])
-    rows = readback(store, new, batch, resolved)
+    rows = readback(store, new, batch, resolved, run["touched"])
     counts = {r["name"]: {"source": r["source_rows"], "trusted": r["trusted_rows"], "quarantined": r["quarantine_rows"], "matches": r["rows_match"], **{c: r[c] for c in ("source_accounted", "batch_keys_match", "global_keys_match", "quarantine_matches")}} for r in rows}
     euros = {r["name"]: {"source": str(r["source_eur"]), "trusted": str(r["trusted_eur"]), "quarantined": str(r["quarantine_eur"]), "matches": r["eur_matches"]} for r in rows if r["name"] in FACTS}
     checked = [(RECONCILIATION_RULES[0], r["name"], r["rows_match"], READBACK_MISMATCH, None) for r in rows]
@@ -193,13 +199,14 @@ def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, a
     revenue = products["gold_monthly_country_finance"].agg(expr.zero(F.sum("total_revenue_eur")).alias("v")).first()["v"]
     status = "quality_failed" if failed else "success"
     summary = {"batch_id": batch, "status": status, "failed_rules": failed, "counts": counts, "euros": euros, "revenue_eur": str(revenue), "rules": len(COVERAGE)}
-    new["batches"][batch] = {"arrival": arrivals[batch], "fingerprint": found["fingerprint"], "versions": VERSIONS, "status": status, "supersedes": replaced}
+    new["batches"][batch] = {"arrival": arrivals[batch], "fingerprint": found["fingerprint"], "versions": run["versions"], "status": status, "supersedes": replaced, "claim_buckets": run["claim_buckets"]}
     if status == "success":
         new["watermark"] = max(filter(None, [new["watermark"], found["generated_at"]]))
     at_step("summary")
     store.write(summary, "runs", f"{batch}.json")
     at_step("state")
     store.commit(new)
+    at_step("committed")
     store.mark(None)
     store.remove("pending", f"{batch}.json")
     return summary
@@ -211,7 +218,7 @@ def process_batch(spark: SparkSession, root: str | Path, folder: str | Path, exp
 
     `at_step` is called with a name before each step that changes the store; a test may raise there. Until the state is
     replaced, readers see the version before; running the same delivery again completes it."""
-    landed = land_bronze(spark, root, folder, at_step)
+    landed = land_bronze(spark, root, folder, at_step, expected, ratio)
     if landed["status"] != "landed":
         return landed
     build_silver(spark, root, landed["batch_id"], expected, ratio, at_step)
@@ -227,7 +234,7 @@ def silver_tables(store: Store, state: dict, active: list[str] | None = None) ->
     for n in DATASETS:
         frame = store.read(state, f"silver_{n}")
         if n in REFERENCES:
-            frame = merge.last_of_key(_with_arrival(frame, arrivals), DATASETS[n].key, ["arrival", "_source_row_number"]).drop("arrival")
+            frame = merge.last_of_key(claims.with_arrival(frame, arrivals), DATASETS[n].key, ["arrival", "_source_row_number"]).drop("arrival")
         out[n] = frame
     return out
 

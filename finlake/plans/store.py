@@ -127,22 +127,27 @@ class Store:
     def verify(self, state: dict, part: str, read: Callable[[str], bool] = lambda table: True) -> list[str]:
         """Tables whose part of that name isn't what was recorded: by its files' names and sizes, and for tables that `read`
         names (those that a run is going to read) by its rows."""
-        wrong = []
-        for table, parts in sorted(state["tables"].items()):
-            held = parts.get(part)
-            if held and (("files" in held and self.files.listing(self.at(held["path"])) != held["files"]) or read(table) and not self._as_recorded(held)):
-                wrong.append(table)
-        return wrong
+        return [table for table, parts in sorted(state["tables"].items()) if part in parts and self.verify_part(state, table, part, read(table))]
+
+    def verify_part(self, state: dict, table: str, part: str, rows: bool) -> bool:
+        """Whether a part isn't what was recorded, by its files and, if so wanted, by its rows."""
+        held = state["tables"][table][part]
+        return ("files" in held and self.files.listing(self.at(held["path"])) != held["files"]) or (rows and not self._as_recorded(held))
 
     def _as_recorded(self, held: dict) -> bool:
+        frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(self.at(held["path"]))
+        now = self.attempt(lambda: attest(frame, held["keys"]).first().asDict())
+        return now is not None and all(now[k] == held[k] for k in ("rows", "row_digest", "key_digest"))
+
+    @staticmethod
+    def attempt(read: Callable[[], dict]) -> dict | None:
+        """What `read` gives; None where parts are gone or aren't whole Parquet files."""
         try:
-            frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(self.at(held["path"]))
-            now = attest(frame, held["keys"]).first().asDict()
+            return read()
         except PySparkException as e:
             if not str(e.getCondition()).startswith(UNREADABLE):
                 raise  # a machine's trouble says nothing about the part
-            return False
-        return all(now[k] == held[k] for k in ("rows", "row_digest", "key_digest"))
+            return None
 
     def drop(self, state: dict, part: str) -> None:
         for parts in state["tables"].values():

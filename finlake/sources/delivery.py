@@ -6,13 +6,17 @@ import hashlib
 import json
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from finlake.contracts import DATASETS, PROVENANCE, source_schema
+from finlake.contracts import DATASETS, PROVENANCE
+from finlake.sources import csv_ranges
 
+#: Files whose ranges are counted at a time.
+AT_ONCE = 6
 SAFE_ID = re.compile(r"[A-Za-z0-9._-]+")
 
 
@@ -60,25 +64,26 @@ def numbered(frame: DataFrame, order: Sequence[str]) -> DataFrame:
     return parts.withColumn("_nth", nth).join(F.broadcast(before), "_part").withColumn("_source_row_number", F.col("_before") + F.col("_nth")).drop("_part", "_nth", "_n", "_before")
 
 
-def read_csv(spark: SparkSession, path: Path, dataset: str) -> DataFrame:
-    """All-string rows. The header must be the contract's; quotes and line breaks inside cells are kept."""
-    with path.open(encoding="utf-8") as f:
-        header = f.readline().rstrip("\r\n").split(",")
-    if header != list(DATASETS[dataset].fields):
-        raise ContractError(f"{path.name}: the header isn't the contract's")
-    options = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False, "mode": "FAILFAST", "nullValue": "\x00", "emptyValue": ""}
-    return spark.read.schema(source_schema(dataset)).options(**options).csv(str(path))
+def read_csv(spark: SparkSession, path: str | Path, dataset: str, numbered: str | None = None) -> DataFrame:
+    """All-string rows, with their number in the file if that is given a name. The header must be the contract's; quotes and line
+    breaks inside cells are kept. A long file is read in as many ranges as Spark makes of it."""
+    fields = list(DATASETS[dataset].fields)
+    if csv_ranges.header(spark, str(path)) != fields:
+        raise ContractError(f"{Path(path).name}: the header isn't the contract's")
+    return csv_ranges.read(spark, str(path), fields, numbered=numbered)
 
 
 def bronze(spark: SparkSession, folder: Path, found: dict) -> dict[str, DataFrame]:
-    """Source rows with provenance. A file is one split (cells may hold line breaks), so ids within it are file order."""
-    out = {}
-    for name in DATASETS:
+    """Source rows with provenance. The files' ranges are counted some files at a time."""
+
+    def made(name: str) -> DataFrame:
         path = folder / f"{name}.csv"
-        rows = read_csv(spark, path, name).withColumn("_source_row_number", (F.monotonically_increasing_id() + 1).cast("int"))
+        rows = read_csv(spark, path, name, "_source_row_number")
         rows = rows.withColumns({"_batch_id": F.lit(found["batch_id"]), "_source_file": F.lit(path.name), "_source_fingerprint": F.lit(found["fingerprint"]), "_ingested_at": F.to_timestamp(F.lit(found["generated_at"]))})
-        out[name] = rows.select(*DATASETS[name].fields, *PROVENANCE)
-    return out
+        return rows.select(*DATASETS[name].fields, *PROVENANCE)
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return dict(zip(DATASETS, pool.map(made, DATASETS), strict=True))
 
 
 def check_counts(frames: dict[str, DataFrame], found: dict) -> None:
