@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, FINANCIAL_MISMATCH, MIN_VOLUME_RATIO, PIPELINE_VERSION, READBACK_MISMATCH, RECONCILIATION_RULES, RULES
 from finlake.functions import expr
 from finlake.operators import checks, evidence, gold, merge, ownership, quality
-from finlake.plans import buckets, claims
+from finlake.plans import buckets, claims, records
 from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store
 from finlake.sources import delivery
 
@@ -54,7 +54,7 @@ def _nothing(step: str) -> None:
 
 def _is_read(table: str) -> bool:
     """Whether a run reads other deliveries' parts of the table: then their rows are verified, else their files."""
-    return table == "quality" or table.startswith("silver_")
+    return table in ("quality", records.TABLE) or table.startswith("silver_")
 
 
 def _resume(store: Store, batch: str, layer: str) -> dict:
@@ -111,8 +111,9 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
     typed = {n: checks.typed(store.read(new, f"bronze_{n}", among=[batch]), n) for n in DATASETS}
     checks.reject_bad_dates(typed)
     checked = checks.check_batch(typed, expected, ratio)
+    near = records.parts_to_read(store, new, batch, {n: typed[n] for n in OWNED})
     for name in OWNED:
-        before = store.read(new, f"silver_{name}", without=[batch], like=checks.trusted(checked[name]))
+        before = store.read(new, f"silver_{name}", among=near[name], like=checks.trusted(checked[name]))
         checked[name] = ownership.own_records(checked[name], before, name)
     # Written once; everything below reads the parts.
     at_step("checked")
@@ -121,11 +122,12 @@ def build_silver(spark: SparkSession, root: str | Path, batch: str, expected: in
 
     at_step("claims")
     rows = ownership.claim_hash(checks.trusted(checked["invoices"]))
-    touched, mine = claims.put(store, new, batch, rows, replaced, run["claims_gone"])
+    touched, mine = claims.put(store, new, batch, rows, replaced, sorted({*run["claims_gone"], *run.get("touched", [])}))
     at_step("silver")
     claims.settle(store, new, _active(arrivals, replaced), touched)
     parts = [(f"silver_{n}", batch, merge.last_of_key(checks.trusted(checked[n]), DATASETS[n].key, ["_source_row_number"]), list(DATASETS[n].key)) for n in DATASETS if n != "invoices"]
     parts += [(f"quarantine_{n}", batch, checks.quarantined(checked[n]), [*DATASETS[n].key, "_source_row_number"]) for n in DATASETS]
+    parts += [(records.TABLE, batch, records.filters({n: checks.trusted(checked[n]) for n in OWNED}, batch), records.KEYS)]
     store.stage_all(new, parts)
     gone = not checks.dropped_countries(typed["invoices"], typed["countries"], expected, ratio).isEmpty()
     store.write(run | {"layer": "silver", "state": new, "versions": versions_of(expected, ratio), "countries_dropped": gone, "touched": touched, "claim_buckets": mine}, "pending", f"{batch}.json")

@@ -20,7 +20,8 @@ from finlake.operators import merge
 from finlake.operators.evidence import attest
 from finlake.plans.store import Store
 
-BUCKETS = 64
+#: Buckets of a table for which its first change names no other number; stores of many deliveries take more.
+BUCKETS = 16
 #: The part that gives a table its schema while no bucket has rows.
 EMPTY = "empty"
 #: Actions of a merge, in the order of its counts.
@@ -99,14 +100,23 @@ def verify(store: Store, state: dict, table: str, rows_of: Iterable[int] | None
 
 def merge_into(store: Store, state: dict, table: str, source: DataFrame, key: Sequence[str], n: int = BUCKETS, delete: Column | bool = False) -> dict[str, int]:
     """Merges `source` into a table by `key`: rows of equal key are replaced where they differ, new ones inserted, and those that
-    `source` lacks deleted if `delete` says so (True: all; a condition: those that meet it). How many rows had which action.
+    `source` lacks deleted if `delete` says so (True: all; a condition: those that meet it). How many rows had which action. `n` is for a
+    table without buckets.
 
     Touched buckets are found without reading rows that stay: a bucket whose source rows have the digest that is recorded for
     it holds them already; with deletion only by condition, its columns are read. Keys must be unique in `source` and not null."""
-    key = list(key)
+    source = source.persist()  # read several times here, and by nobody else
+    try:
+        return _merged_into(store, state, table, source, list(key), n, delete)
+    finally:
+        source.unpersist()
+
+
+def _merged_into(store: Store, state: dict, table: str, source: DataFrame, key: list[str], n: int, delete: Column | bool) -> dict[str, int]:
     of_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     if not source.groupBy(*key).agg(F.count("*").alias("_n")).where((F.col("_n") > 1) | of_key).isEmpty():
         raise MergeError(f"{table}: the source has a key twice, or a null in a key")
+    n = next((p["n"] for p in state["tables"].get(table, {}).values() if "n" in p), n)
     older = others(state, table)
     held = state["tables"].get(table, {})
     target = read(store, state, table, like=source).select(*source.columns)

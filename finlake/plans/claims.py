@@ -8,6 +8,7 @@ and of those that it, or the delivery that it supersedes, had before, and only t
 from __future__ import annotations
 
 import copy
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +70,10 @@ def settle(store: Store, state: dict, arrivals: dict[str, int], touched: list[in
     """Resolves the touched buckets and stages what came of it; their resolved claims."""
     n = n_buckets(state)
     found = resolved(store, state, arrivals, touched)
-    for table, rows, keys in ((TRUSTED, checks.trusted(found), BY), (AWAY, checks.quarantined(found), CLAIM_KEYS)):
-        buckets.stage(store, state, table, rows, BY, n, touched, keys)
+    parts = ((TRUSTED, checks.trusted(found), BY), (AWAY, checks.quarantined(found), CLAIM_KEYS))
+    with ThreadPoolExecutor(len(parts)) as pool:  # neither depends on the other
+        list(pool.map(lambda p: buckets.stage(store, state, p[0], p[1], BY, n, touched, p[2]), parts))
+    for table, _, _ in parts:
         state["tables"][table].pop(ALL, None)
     return found
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions import expr
-from finlake.operators import ownership
+from finlake.operators import membership, ownership
 from finlake.plans import analogue, buckets, claims
 from finlake.plans.analogue import sql_zero
 from finlake.plans.catalogue import _CLAIM_SQL, query, read
@@ -23,6 +23,13 @@ def csv_splits(spark: SparkSession, d: str) -> DataFrame:
     return csv_ranges.read(spark, path, columns, null="\\N").select("doc_id", "source", F.length(text).cast("long").alias("n_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("text_sha256"))
 
 
+def _kept(frame: DataFrame) -> DataFrame:
+    """`frame` written once, as several deliveries are made of it."""
+    path = scratch.folder(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 #: Deliveries by name and arrival: which orders' invoices each holds (remainder of the order's number, and whether it is that or
 #: any other), and what it adds to their amount.
 DELIVERIES = {
@@ -43,7 +50,7 @@ _ACTIVE_SQL = " UNION ALL ".join(f"SELECT * REPLACE ('{b}' AS _batch_id, CAST(re
 def claims_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Four deliveries one after another, each settled in the buckets that it touches; the third supersedes the second."""
     store, state = Store(spark, scratch.folder(spark)), {"version": 0, "tables": {}, "batches": {}, "watermark": None}
-    base = analogue.silver(spark, d)["invoices"]
+    base = _kept(analogue.silver(spark, d)["invoices"])
     order = F.split_part("invoice_id", F.lit("-"), F.lit(1)).cast("long")
     arrivals: dict[str, int] = {}
     for batch, (arrival, parts) in DELIVERIES.items():
@@ -55,7 +62,7 @@ def claims_incremental(spark: SparkSession, d: str) -> DataFrame:
             some = base.where(rest == int(right) if is_equal else rest != int(right)).withColumn("revenue_amount", (F.col("revenue_amount") + more).cast(expr.MONEY))
             rows = some if rows is None else rows.unionByName(some)
         rows = ownership.claim_hash(rows.withColumn("_batch_id", F.lit(batch)))
-        rows = rows.withColumn("_source_row_number", F.row_number().over(Window.partitionBy("invoice_id").orderBy("claim_hash"))).withColumn("_reasons", F.lit(None).cast("array<string>"))
+        rows = _kept(rows.withColumn("_source_row_number", F.row_number().over(Window.partitionBy("invoice_id").orderBy("claim_hash"))).withColumn("_reasons", F.lit(None).cast("array<string>")))
         arrivals = {b: a for b, a in arrivals.items() if b != replaced} | {batch: arrival}
         touched, mine = claims.put(store, state, batch, rows, replaced)
         state["batches"].pop(replaced, None)
@@ -75,8 +82,19 @@ def fact_merge(spark: SparkSession, d: str) -> DataFrame:
     those of these months that it lacks deleted."""
     store, state = Store(spark, scratch.folder(spark)), {"version": 0, "tables": {}, "batches": {}, "watermark": None}
     key, late = F.col("shipment_id").cast("long"), F.col("shipment_date") >= F.lit("1996-01-01").cast("date")
-    fact = analogue.silver(spark, d)["shipments"].select("shipment_id", "shipment_date", "revenue_amount", "amount_eur")
+    fact = _kept(analogue.silver(spark, d)["shipments"].select("shipment_id", "shipment_date", "revenue_amount", "amount_eur"))
     buckets.merge_into(store, state, "fact_shipment", fact.where(key % 10 != 3), ["shipment_id"])
     changed = F.when(key % 5 == 1, F.col("amount_eur") + 1).otherwise(F.col("amount_eur")).cast(expr.MONEY)
     buckets.merge_into(store, state, "fact_shipment", fact.where((key % 7 != 2) & late).withColumn("amount_eur", changed), ["shipment_id"], delete=late)
     return store.read(state, "fact_shipment").select("shipment_id", F.col("revenue_amount").alias("original_amount"), "amount_eur")
+
+
+@query("""WITH held AS (SELECT DISTINCT year(o_orderdate) AS part, o_custkey FROM orders), asked AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 450000 AND o_orderdate >= DATE '1998-06-01')
+    SELECT CAST(part AS INTEGER) AS part, count(*) AS n FROM held JOIN asked USING (o_custkey) GROUP BY 1""")
+def collision_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """Customers that parts of earlier years hold already, looked for only in parts whose filter may hold one of them."""
+    held = read(spark, d, "orders").select(F.year("o_orderdate").alias("part"), "o_custkey", "o_totalprice", "o_orderdate")
+    asked = held.where((F.col("o_totalprice") > 450000) & (F.col("o_orderdate") >= F.lit("1998-06-01").cast("date"))).select("o_custkey").distinct()
+    rows = held.select("part", "o_custkey").distinct()
+    parts = membership.may_hold(membership.filters(rows, ["o_custkey"], ["part"]), asked, ["o_custkey"], ["part"])
+    return rows.join(parts, "part", "left_semi").join(asked, "o_custkey", "left_semi").groupBy("part").agg(F.count("*").alias("n"))

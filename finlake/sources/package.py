@@ -10,6 +10,7 @@ import copy
 import hashlib
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 from finlake.contracts import CONTRACT_VERSION, DATASETS
 from finlake.functions import expr
 from finlake.operators.gold import month_open, with_fx_impact
-from finlake.plans import serving, star
+from finlake.plans import buckets, serving, star
 from finlake.plans.store import ALL, Store, write_json
 from finlake.sources.delivery import SAFE_ID, file_digest
 
 TABLES = tuple(n for n in DATASETS if n != "exchange_rates")
 #: Exported beside them: quality results.
 QUALITY, QUALITY_KEY = "data_quality_results", ("batch_id", "affected_dataset", "rule_name")
+#: What tells a fact's rows apart.
+FACT_KEYS = {"fact_shipment": ["shipment_id"], "fact_invoice": ["invoice_id"], "fact_operational_cost": ["cost_id"], "fact_budget": ["month_date_key", "cost_center_key", "currency_key"]}
 
 
 class PackageError(ValueError):
@@ -133,6 +136,16 @@ def _run_row(spark: SparkSession, found: dict, status: str, began: datetime, err
     return spark.createDataFrame([(found["load_id"], found["contract_version"], found["fingerprint"], status, began, datetime.now(UTC), error)], serving.LOAD_RUN)
 
 
+def _put_fact(store: Store, state: dict, name: str, frame: DataFrame) -> None:
+    """Merges a fact as the package has it: rows that it lacks go. Where its keys aren't unique there is no merge; then all rows
+    are laid down for the controls, which refuse them."""
+    try:
+        buckets.merge_into(store, state, name, frame, FACT_KEYS[name], delete=True)
+    except buckets.MergeError:
+        state["tables"].pop(name, None)
+        store.stage(state, name, ALL, frame, FACT_KEYS[name])
+
+
 def load_package(spark: SparkSession, root: str | Path, folder: str | Path, expected: dict[str, str] | None = None, healthy_batch: str | None = None) -> str:
     """LOADED, or UNCHANGED if this package is what the serving store holds. Controls (by default against the manifest) gate
     the load: if one fails, the run and its results are recorded and nothing else changes."""
@@ -164,7 +177,13 @@ def load_package(spark: SparkSession, root: str | Path, folder: str | Path, expe
             return ["source_batch_id", *QUALITY_KEY[1:]]
         return [frame.columns[0]] if name.startswith("fact_") else [next(c for c in frame.columns if c.endswith("_key"))]
 
-    back = dict(zip(built, store.stage_all(new, [(name, ALL, frame, keys(name, frame)) for name, frame in built.items()]), strict=True))
+    # Facts are merged: buckets whose rows are what they were keep their files. Everything else is small and written anew.
+    merges = {n: f for n, f in built.items() if n in FACT_KEYS}
+    rest = {n: f for n, f in built.items() if n not in merges}
+    back = dict(zip(rest, store.stage_all(new, [(name, ALL, frame, keys(name, frame)) for name, frame in rest.items()]), strict=True))
+    with ThreadPoolExecutor(len(merges)) as pool:
+        list(pool.map(lambda n: _put_fact(store, new, n, merges[n]), merges))
+    back |= {n: store.read(new, n) for n in merges}
     controls = serving.results(load, star.controls(back, expected or expectations(found), healthy_batch), began.strftime("%Y-%m-%d %H:%M:%S"))
     failed = serving.gate(controls) != "SUCCEEDED"
     out = copy.deepcopy(state) if failed else new

@@ -7,10 +7,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators import merge, ownership
-from finlake.plans import batch, buckets, claims
+from finlake.operators import membership, merge, ownership
+from finlake.plans import batch, buckets, claims, records
 from finlake.plans.store import ClaimsIntegrityError, Store
-from finlake.sources import csv_ranges, fixtures
+from finlake.sources import csv_ranges, fixtures, package
 
 CELLS = ["", "a", "b,c", 'say "hi"', "line\nbreak", "\n", "\n\n", '"', '""', "é漢", "  sp ", "long " * 9, ",", "two\n\nlines,\n"]
 
@@ -232,21 +232,85 @@ def test_claims_of_before_are_laid_out_in_buckets(spark, tmp_path):
 # Runs that die late, and other thresholds
 
 
-def test_a_run_that_died_after_its_commit(spark, tmp_path):
-    first = fixtures.generate(tmp_path / "a", months=1, per_month=2)
+@pytest.fixture(scope="module")
+def died(spark, tmp_path_factory):
+    """A store whose run died between its commit and its last clearing up."""
+    base = tmp_path_factory.mktemp("died")
+    folder = fixtures.generate(base / "in", months=1, per_month=2)
 
     def stop(step):
         if step == "committed":
             raise RuntimeError("died")
 
-    root = tmp_path / "root"
     with pytest.raises(RuntimeError, match="died"):
-        batch.process_batch(spark, root, first, expected=2, at_step=stop)
+        batch.process_batch(spark, base / "root", folder, expected=2, at_step=stop)
+    return base / "root", folder
+
+
+def test_a_run_that_died_after_its_commit(spark, died):
+    root, folder = died
     store = Store(spark, root)
-    assert store.inflight() is not None
-    assert batch.process_batch(spark, root, first, expected=2)["status"] == "already_processed"
-    assert store.inflight() is None and not store.exists("pending", f"{store.json('runs', 'demo-healthy.json')['batch_id']}.json")
+    assert store.inflight() is not None and store.exists("pending", "demo-healthy.json")
+    assert batch.process_batch(spark, root, folder, expected=2)["status"] == "already_processed"
+    assert store.inflight() is None and not store.exists("pending", "demo-healthy.json")
+    assert batch.land_bronze(spark, root, folder, expected=2, ratio="0.5")["status"] == "already_processed"
     # Another threshold is another run.
-    again = batch.process_batch(spark, root, first, expected=2, ratio="0.10")
-    assert again["status"] == "success"
-    assert batch.process_batch(spark, root, first, expected=2, ratio="0.1")["status"] == "already_processed"
+    assert batch.land_bronze(spark, root, folder, expected=2, ratio="0.1")["status"] == "landed"
+
+
+def test_a_second_package_changes_only_what_it_must(spark, died, tmp_path):
+    store, serving_root = Store(spark, died[0]), tmp_path / "serving"
+    silver = batch.silver_tables(store, store.state())
+    package.build_package(silver, tmp_path / "p1", "load-1", "2026-01-06T00:00:00Z")
+    assert package.load_package(spark, serving_root, tmp_path / "p1") == "LOADED"
+    one = silver["operational_costs"].select(F.min("cost_id")).first()[0]
+    silver["operational_costs"] = silver["operational_costs"].withColumn("amount_eur", F.when(F.col("cost_id") == one, F.col("amount_eur") + 1).otherwise(F.col("amount_eur")).cast("decimal(20,2)"))
+    silver["budgets"] = silver["budgets"].orderBy("cost_center_id").limit(silver["budgets"].count() - 1)
+    package.build_package(silver, tmp_path / "p2", "load-2", "2026-01-07T00:00:00Z")
+    held = Store(spark, serving_root)
+    before = held.state()["tables"]
+    assert package.load_package(spark, serving_root, tmp_path / "p2") == "LOADED"
+    after = held.state()["tables"]
+    moved = {n: {p for p in {*before[n], *after[n]} if before[n].get(p, {}).get("path") != after[n].get(p, {}).get("path")} for n in package.FACT_KEYS}
+    assert {n: len(v) for n, v in moved.items()} == {"fact_shipment": 0, "fact_invoice": 0, "fact_operational_cost": 1, "fact_budget": 1}
+    assert held.read(held.state(), "fact_budget").count() == silver["budgets"].count()
+    # A package whose keys aren't unique is refused by the controls, and nothing changes.
+    silver["invoices"] = silver["invoices"].unionByName(silver["invoices"])
+    package.build_package(silver, tmp_path / "p3", "load-3", "2026-01-08T00:00:00Z")
+    with pytest.raises(package.PackageError, match="duplicate_invoice_ids"):
+        package.load_package(spark, serving_root, tmp_path / "p3")
+    assert held.state()["tables"]["fact_invoice"] == after["fact_invoice"]
+
+
+# Which parts a delivery's keys may be in
+
+
+def test_filters_miss_no_key(spark):
+    """Each part answers for every key of its own, and about one in a hundred others."""
+    n, size = 30, 300
+    held = spark.range(n * size).select((F.col("id") % n).alias("part"), F.concat(F.lit("k"), "id").alias("k"))
+    made = membership.filters(held, ["k"], ["part"]).cache()
+    assert [r["bits"] for r in made.select("bits").distinct().collect()] == [1 << 15]
+    for k in ("k0", "k29", "k8999"):
+        assert int(k[1:]) % n in {r["part"] for r in membership.may_hold(made, spark.createDataFrame([(k,)], "k string"), ["k"], ["part"]).collect()}
+    one = membership.filters(held.withColumn("part", F.lit(0)).repartition(3), ["k"], ["part"]).cache()
+    hits = sum(membership.may_hold(one, spark.createDataFrame([(f"x{i}",)], "k string"), ["k"], ["part"]).count() for i in range(12))
+    assert hits <= 2
+    assert membership.may_hold(made, spark.createDataFrame([], "k string"), ["k"], ["part"]).collect() == []
+
+
+def test_only_parts_that_may_hold_a_key_are_read(spark, tmp_path):
+    store, state = Store(spark, tmp_path), fresh()
+
+    def shipments(ids):
+        return spark.createDataFrame([(f"S{i}",) for i in ids], "shipment_id string")
+
+    for b in range(6):
+        frame = shipments(range(100 * b, 100 * b + 50))
+        store.stage(state, "silver_shipments", f"b{b}", frame, ["shipment_id"])
+        if b:
+            store.stage(state, records.TABLE, f"b{b}", records.filters({"shipments": frame}, f"b{b}"), records.KEYS)
+    # Parts without a filter, such as an older version's, are always read.
+    assert records.parts_to_read(store, state, "new", {"shipments": shipments([9999])}) == {"shipments": ["b0"]}
+    assert sorted(records.parts_to_read(store, state, "new", {"shipments": shipments([205, 9999, 410])})["shipments"]) == ["b0", "b2", "b4"]
+    assert records.parts_to_read(store, state, "b2", {"shipments": shipments([205])}) == {"shipments": ["b0"]}
