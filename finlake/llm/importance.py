@@ -205,9 +205,10 @@ def ranked(df: DataFrame, eligible: Column, score: Column, ties: list[Column], p
         before[p], total = total, total + counts[p]
     if not before:
         return kept.withColumn("rank", F.lit(None).cast("long")).drop("at", "drawable", "by")
-    offsets = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    rank = F.when(F.col("drawable"), offsets[part] + place + 1)
-    return kept.withColumn("rank", F.when(rank <= percent * total // 100, rank).cast("long")).drop("at", "drawable", "by")
+    offsets = F.broadcast(df.sparkSession.createDataFrame(list(before.items()), "part int, before long"))  # one row a part
+    rank = F.when(F.col("drawable"), F.col("before") + place + 1)
+    found = kept.withColumn("part", part).join(offsets, "part", "left")
+    return found.withColumn("rank", F.when(rank <= percent * total // 100, rank).cast("long")).drop("at", "drawable", "by", "part", "before")
 
 
 def resample(
