@@ -108,14 +108,13 @@ def _assembled(known: dict[tuple[int, int], tuple[int, int, int]]):
             columns, text = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)], batch.column(5)
             where = np.stack(columns[:3])
             edges = [0, *(np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            slow = []
             for a, b in zip(edges, edges[1:], strict=False):
                 if a == b:
                     continue
                 key = tuple(where[:2, a].tolist())
                 if key != here:
                     if opened:
-                        slow.append((here[0], opened[0], here[1], False, "\n".join(opened[1])))
+                        yield some([(here[0], opened[0], here[1], False, "\n".join(opened[1]))])
                     if key not in known or known[key][0] != int(where[2, a]):
                         raise RuntimeError("CSV_RANGES_CHANGED: the file's ranges aren't those of the first pass; run it again")
                     here = key
@@ -126,11 +125,9 @@ def _assembled(known: dict[tuple[int, int], tuple[int, int, int]]):
                 before = after ^ (odd & 1)
                 starts = (before == 0) & (blank == 0)
                 number = record + np.cumsum(starts) - 1
-                done = np.flatnonzero(starts & (after == 0))
-                if len(done):
-                    n = len(done)
-                    whole = [pa.array(np.full(n, here[0])), pa.array(number[done]), pa.array(np.full(n, here[1])), pa.array(np.ones(n, bool)), pc.take(text, pa.array(done + a)).cast(pa.string())]
-                    yield pa.RecordBatch.from_arrays(whole, names=names)
+                done, slow = np.flatnonzero(starts & (after == 0)), []
+                n = len(done)
+                whole = [pa.array(np.full(n, here[0])), pa.array(number[done]), pa.array(np.full(n, here[1])), pa.array(np.ones(n, bool)), pc.take(text, pa.array(done + a)).cast(pa.string())]
                 for i in np.flatnonzero((before == 1) | (after == 1)).tolist():
                     if starts[i]:
                         opened = (int(number[i]), [], True)
@@ -138,9 +135,12 @@ def _assembled(known: dict[tuple[int, int], tuple[int, int, int]]):
                     if not after[i]:
                         slow.append((here[0], opened[0], here[1], opened[2], "\n".join(opened[1])))
                         opened = None
+                if slow:  # in their places among the others
+                    whole = [pa.concat_arrays(pair) for pair in zip(whole, some(slow).columns, strict=True)]
+                    order = pa.array(np.argsort(whole[1].to_numpy(), kind="stable"))
+                    whole = [pc.take(c, order) for c in whole]
+                yield pa.RecordBatch.from_arrays(whole, names=names)
                 parity, record = int(after[-1]), int(record + starts.sum())
-            if slow:
-                yield some(slow)
         if opened:
             yield some([(here[0], opened[0], here[1], False, "\n".join(opened[1]))])
 
@@ -148,7 +148,7 @@ def _assembled(known: dict[tuple[int, int], tuple[int, int, int]]):
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """file, record (0, 1, ... in each file) and text of all records of the files at `path`."""
+    """file, record (0, 1, ... in each file) and text of all records of the files at `path`; those of a range are in its order."""
     found = lines(spark, path)
     known = ranges(found.drop("text").mapInArrow(_counted(), RANGES).collect())  # one row per range
     pieces = found.mapInArrow(_assembled(known), PIECES)
