@@ -271,10 +271,10 @@ def test_a_text_longer_than_a_batch(spark, library):
     """Over the eight megabytes of an Arrow batch."""
     rng = random.Random(8)
     some = [prose(rng, 1) for _ in range(3000)]
-    text = " ".join(rng.choices(some, k=1_700_000))
+    text = " ".join(rng.choices(some, k=1_900_000))
     frame = spark.createDataFrame([(1, text), (2, "short one")], "doc_id long, text string")
     assert len(text) > 9 << 20
     found = byte_bpe.encode_texts(frame, queries.BYTE_RANKS, queries.BYTE_PATTERN, keep_ids=False).where("doc_id = 1").first()
     assert found["n_tokens"] == len(library.encode_ordinary(text)) and found["decoded_sha256"] == sha(text)
-    assert runs.mark_runs(frame).where("doc_id = 1").select(F.size("runs"), "n_words").first() == (0, 1_700_000)
-    assert importance.resample(frame, frame).where("doc_id = 1").first()["n_features"] == 1_700_000
+    assert runs.mark_runs(frame).where("doc_id = 1").select(F.size("runs"), "n_words").first() == (0, 1_900_000)
+    assert importance.resample(frame, frame).where("doc_id = 1").first()["n_features"] == 1_900_000
