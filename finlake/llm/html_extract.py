@@ -7,8 +7,10 @@ article, or most of a page's running text, nor, inside an article, one that is o
 many articles share are theirs. On pages without an article the smallest element that holds most of the text stands for it.
 
 Of what is left, furniture goes by its element, or its class and id: what recurs too seldom to be counted, and what
-changes from page to page, such as adverts. No class or id removes the page's article or most of its text. Of pages whose
-articles hold half of the text that is left, or more, all articles stay and nothing else; of others all of that text.
+changes from page to page, such as adverts. No class or id removes the page's article or most of its text, and inside an
+article a name of several words ("related-work") removes only what is short or mostly links, unless a word of it stands for
+adverts, consent or reader comments alone. Hidden is what the attributes `hidden`, `aria-hidden` and `style` say; other attributes' values
+say nothing. Of pages whose articles hold half of the text that is left, or more, all articles stay and nothing else; of others all of that text.
 
 Defined results: null or empty html gives the empty text; a null url is a host of its own; an article in an
 article is part of it; formulas give their symbols, without the source beside them; repeated rows, and pages with the same
@@ -51,33 +53,51 @@ HINTS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert nav navbar navigation menu "
     "sidebar footer masthead topbar comment comments respond replies disqus discussion share sharing social related recommended newsletter subscribe signup popup modal overlay pagination pager widget toolbar skip".split()
 )
+#: Those of them that mean the same in names of several words.
+STRONG = frozenset("ad ads adv advert advertisement advertising adsense sponsor sponsored promo cookie cookies consent gdpr comment comments respond replies disqus newsletter subscribe signup".split())
+#: Characters outside links from which an element with prose isn't short.
+PASSAGE = 100
 #: What holds one of these, or is one, holds running text.
 RUNNING = PROSE - {"article", "main", "body", "html"}
 #: After these a class or id says what an element has, not what it is.
 MODIFIERS = frozenset("has no with without".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>""", re.DOTALL)
-_HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def furniture(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in FURNITURE or (tag == "header" and not in_article):
-        return True
-    return bool(attributes) and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
+def attributes_of(text: str) -> dict[str, str]:
+    """Values by lower-case name; of a name that comes twice the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
 
 
-def hinted(tag: str, attributes: str) -> bool:
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for m in _HINT.finditer(attributes):
-        for name in (m[1] or m[2] or m[3] or "").split():
-            for part in _PART.findall(name):
-                if part.lower() in MODIFIERS:
-                    break
-                if part.lower() in HINTS:
-                    return True
-    return False
+def hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(attributes.get("style", "")))
+
+
+def furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    if tag in FURNITURE or (tag == "header" and not in_article):
+        return True
+    return tag not in ("html", "body") and hidden(attributes)
+
+
+def hinted(tag: str, attributes: dict[str, str]) -> int:
+    """0 for no hint, 2 where a name is a hint as a whole or has a strong word, 1 where it has another word of the list."""
+    found = 0
+    if tag in ("html", "body", "article", "main"):
+        return found
+    for name in " ".join(attributes.get(a, "") for a in ("class", "id", "role")).split():
+        parts = [p.lower() for p in _PART.findall(name)]
+        for part in parts:
+            if part in MODIFIERS:
+                break
+            if part in HINTS:
+                found = max(found, 2 if len(parts) == 1 or part in STRONG else 1)
+    return found
 
 
 #: What a node may be: a template, hinted at, a main element, or one that holds an article.
@@ -88,12 +108,13 @@ _WRAP = 1 << 64
 
 
 class Element:
-    __slots__ = ("tag", "parent", "first", "last", "dropped", "article", "holds", "hint", "chars", "runs", "sum", "kids", "hash", "inside")
+    __slots__ = ("tag", "parent", "first", "last", "dropped", "article", "holds", "hint", "chars", "runs", "sum", "kids", "hash", "inside", "linked")
 
-    def __init__(self, tag: str, parent: Element | None, first: int, dropped: bool, article: int, hint: bool):
+    def __init__(self, tag: str, parent: Element | None, first: int, dropped: bool, article: int, hint: int):
         self.tag, self.parent, self.first, self.last = tag, parent, first, first
         self.dropped, self.article, self.holds, self.hint = dropped, article, False, hint
         self.chars, self.runs, self.sum, self.kids, self.hash, self.inside = 0, False, 0, [], 0, False
+        self.linked = 0
 
 
 def _signed(x: int) -> int:
@@ -107,8 +128,9 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
     stack: list[Element] = []
     open_: dict[str, int] = {}  # how many of a tag are open
     run: list[str] = []
-    articles = 0
+    articles = links = 0
     at, size = 0, len(page)
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         if run:
@@ -142,6 +164,8 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
         end = m.start() if m else size
         if end > at:
             run.append(page[at:end])
+            if links and stack:
+                stack[-1].linked += len(run[-1].strip())
         if not m:
             break
         at = m.end()
@@ -150,6 +174,7 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
         tag = m[2].lower()
         if m[1]:
             if tag in INLINE:
+                links -= tag == "a" and links > 0
                 continue
             if tag == "br" or tag == "p" and not open_.get("p"):
                 flush() if tag == "p" else run.append(" ")
@@ -164,8 +189,12 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
         if tag in INLINE:
             if tag in ("mtr", "mtd"):
                 run.append(" ")
-            if m[3] and _HIDDEN.search(m[3]):
-                at = _after(page, tag, at)
+            if m[3] and hidden(attributes_of(m[3])):
+                if tag not in ends:
+                    ends[tag] = _ends(page, tag, m.start())
+                at = ends[tag].get(at, at)
+            else:
+                links = 1 if tag == "a" else links  # a link ends where the next one begins
             continue
         if tag in VOID:
             if tag == "hr":
@@ -179,7 +208,8 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
             close(last.tag)
             last = stack[-1] if stack else None
         inside = last.article if last else 0
-        dropped = bool(last and last.dropped) or furniture(tag, m[3], bool(inside))
+        attributes = attributes_of(m[3]) if m[3] else {}
+        dropped = bool(last and last.dropped) or furniture(tag, attributes, bool(inside))
         if tag in ("article", "main") and not inside and not dropped:
             articles += 1
             inside = articles
@@ -188,7 +218,7 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
                     break
                 x.holds = True
         if not m[3].endswith("/"):
-            x = Element(tag, last, len(blocks), dropped, inside, not dropped and hinted(tag, m[3]))
+            x = Element(tag, last, len(blocks), dropped, inside, 0 if dropped else hinted(tag, attributes))
             stack.append(x)
             every.append(x)
             open_[tag] = open_.get(tag, 0) + 1
@@ -196,14 +226,17 @@ def elements_of(page: str) -> tuple[list[tuple[str, Element | None]], list[Eleme
     return blocks, every
 
 
-def _after(page: str, tag: str, at: int) -> int:
-    """Where an inline element that opened before `at` ends."""
-    depth = 1
+def _ends(page: str, tag: str, at: int) -> dict[int, int]:
+    """For each inline element of that tag that opens from `at` on and is closed: where its content begins, and where it ends."""
+    found: dict[int, int] = {}
+    open_: list[int] = []
     for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).finditer(page, at):
-        depth += -1 if m[1] else not m[0].endswith("/>")
-        if not depth:
-            return m.end()
-    return at
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                open_.append(m.end())
+        elif open_:
+            found[open_.pop()] = m.end()
+    return found
 
 
 def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
@@ -227,6 +260,7 @@ def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
         x.runs = x.last > x.first and (x.runs or x.tag in RUNNING)
         if x.parent:
             x.parent.chars += x.chars
+            x.parent.linked += x.linked
             x.parent.runs = x.parent.runs or x.runs
             x.parent.sum += x.sum
     most = lambda x: x.runs and 2 * x.chars > total
@@ -251,7 +285,9 @@ def parsed_page(page: str) -> tuple[list[dict], list[dict]]:
                 kind = PLAIN
         elif not most(x) and not (x.tag in RUNNING and inner is None and id(x) in bare):
             kind = PLAIN
-        node = kind | HINTED * x.hint | MAIN * (x.tag == "main") | HOLDING * x.holds
+        prose = x.chars - x.linked >= PASSAGE and 2 * x.linked <= x.chars
+        hint = x.hint > 1 or x.hint and not (x.article and prose)
+        node = kind | HINTED * bool(hint) | MAIN * (x.tag == "main") | HOLDING * x.holds
         if node & ~HOLDING:
             nodes.append({"first": x.first, "last": x.last, "kind": node, "article": x.article, "tree": _signed(x.hash), "others": _signed(everything - x.sum)})
     return [{"text": text, "article": x.article if x else 0, "dropped": not s} for (text, x), s in zip(blocks, shown, strict=True)], nodes

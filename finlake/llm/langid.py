@@ -18,11 +18,11 @@ pass through; columns that have the name of an added one are replaced.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from itertools import islice
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +35,8 @@ PASSES, BATCH, RATE, DECAY, MIXED = 3, 256, 0.2, 1e-5, 0.1
 #: Words whose scores a task remembers, words scored in one go, words of a run, characters of a long text, and numbers (a
 #: word's for each label) worked on in one go.
 CACHE, AT_ONCE, RUN, LONG, CELLS = 200_000, 200_000, 256, 1 << 20, 1 << 20
-#: Languages that are told apart, the commonest: the model's size and the driver's sample are in proportion to it.
-LABELS = 256
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters by category: fractions and Roman numerals are word characters, but no letters.
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -282,12 +281,13 @@ def _pairs(scores: np.ndarray, moves: np.ndarray, sizes: np.ndarray) -> tuple[np
     return total, int((sizes - 1).sum())
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE) -> Crf | None:
-    """A CRF from about `sample` rows of each of the LABELS commonest languages, chosen by a hash of their id and text among
+def train(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = SAMPLE, labels: int | None = None) -> Crf | None:
+    """A CRF from about `sample` rows of each language (of the `labels` commonest, if given), chosen by a hash of their id and text among
     rows that aren't held out; repeated rows are one. Of each, CHUNKS pieces spread over the text come to the driver."""
     body = named(text)
     usable = df.where(~held_out(named(doc_id)) & named(lang).isNotNull() & body.isNotNull())
-    counts = usable.groupBy(named(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LABELS).collect()
+    counts = usable.groupBy(named(lang).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    counts = (counts if labels is None else counts.limit(labels)).collect()  # one row a language
     if not counts:
         return None
     share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["n"])))]), named(lang))

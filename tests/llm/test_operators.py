@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import re
 import zlib
 from fractions import Fraction
@@ -871,3 +872,42 @@ def test_queries_run_with_generated_code(spark, sf, name):
     table = {"op4_chat_format": "conversations", "op10_html_extract": "pages"}.get(name, "documents")
     source = spark.read.parquet(f"{sf}/{table}.parquet")
     assert rows == (source.select("conv_id").distinct().count() + 1 if table == "conversations" else source.count())
+
+
+# What names and attributes say, and letters by category
+
+
+def main_text_of(page):
+    blocks, nodes = html_extract.parsed_page(page)
+    return html_extract.main_text(blocks, nodes, [False] * len(nodes))
+
+
+def test_html_attributes_say_what_is_hidden_only_by_name():
+    body = "The body of the article goes on for several sentences, so that it is its page's main text. " * 5
+    said = "Earlier work looked at many of the same questions, and found answers that we discuss below in some depth."
+    for mark in ('title="the hidden cost of x"', 'data-x="very hidden thing"', "data-hidden=1", 'data-style="display:none"', 'alt="display: none"', 'data-class="sidebar"'):
+        assert main_text_of(f"<article {mark}><p>{body}</p><p {mark}>{said}</p></article>") == f"{body.strip()}\n{said}"
+    for mark in ("hidden", "HIDDEN=''", 'aria-hidden="true"', 'style="color:red; display : none"'):
+        assert main_text_of(f"<article><p>{body}</p><p {mark}>{said}</p></article>") == body.strip()
+    for name, stays in (("related-work", True), ("social-history", True), ("notice-of-terms", True), ("related", False), ("sidebar", False), ("ad-slot", False), ("comments-area", False)):
+        assert (said in main_text_of(f'<article><p>{body}</p><section class="{name}"><p>{said}</p></section></article>')) == stays, name
+    assert main_text_of(f'<article><p>{body}</p><div class="related-posts"><a href="/x">{said}</a></div><div id=share-bar>Share</div></article>') == body.strip()
+
+
+def test_html_hidden_elements_that_are_never_closed():
+    page = "<article><p>" + "<span hidden>word " * 30000
+    start = time.monotonic()
+    assert main_text_of(page).split() == ["word"] * 30000
+    assert time.monotonic() - start < 5
+    assert main_text_of("<p>a<b hidden>x<b>y</b>z</b>c<b hidden>d</p>") == "acd"
+
+
+def test_language_of_texts_of_numbers_and_of_many_languages(spark):
+    model = langid.fit([("the cat sat on the mat", "en"), ("der hund und die katze", "de")])
+    assert model.predict(["½ ² ③ Ⅷ", "", "12 34"]) == [("und", 0.0)] * 3
+    rng = random.Random(3)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4)] for i in range(300)}
+    rows = [(4 * i + k, " ".join(rng.choice(w) for _ in range(8)), lang) for i, (lang, w) in enumerate(words.items()) for k in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.train(frame).labels) == 300
+    assert len(langid.train(frame, labels=5).labels) == 5
