@@ -47,17 +47,54 @@ def _zeros(frame: DataFrame, *columns: str) -> DataFrame:
     return frame.withColumns({c: expr.zero(F.col(c)) for c in columns})
 
 
-def monthly_country_finance(s: dict[str, DataFrame]) -> DataFrame:
-    keys, opening = ["month_start", "country_code"], month_open(s["exchange_rates"])
-    invoices = with_fx_impact(s["invoices"].join(s["shipments"].select("shipment_id"), "shipment_id"), "invoice_date", "revenue_amount", opening)
-    costs = with_fx_impact(s["operational_costs"].join(s["shipments"].select("shipment_id"), "shipment_id"), "posting_date", "amount", opening)
-    budgets = s["budgets"].withColumn("month_start", expr.month(F.col("month_start"))).join(s["cost_centers"].select("cost_center_id", "country_code"), "cost_center_id")
-    ships = s["shipments"].groupBy(expr.month(F.col("shipment_date")).alias("month_start"), "country_code").agg(F.countDistinct("shipment_id").alias("shipment_count"))
-    out = spine([_sum(invoices, keys, total_revenue_eur="amount_eur", fx_r="fx_impact_eur"), _sum(costs, keys, total_operational_cost_eur="amount_eur", fx_c="fx_impact_eur"), ships, _sum(budgets, keys, budget_amount_eur="amount_eur")], keys)
+KEYS = {
+    "gold_monthly_country_finance": ("month_start", "country_code"),
+    "gold_route_profitability": ("month_start", "route_id"),
+    "gold_customer_profitability": ("month_start", "customer_id"),
+    "gold_budget_vs_actual": ("month_start", "cost_center_id"),
+}
+
+
+def _rows(frame: DataFrame, key: str, **columns: str) -> DataFrame:
+    return frame.select("month_start", key, *[F.col(c).alias(name) for name, c in columns.items()])
+
+
+def _dated(frame: DataFrame, date: str) -> DataFrame:
+    return frame.withColumn("month_start", expr.month(F.col(date)))
+
+
+def _metrics(rows: dict[str, DataFrame], keys: Sequence[str]) -> list[DataFrame]:
+    """Each fact's rows by key: sums of its values; of shipments how many, and the least one's country if it is a value."""
+    out = []
+    for fact, frame in rows.items():
+        if fact == "shipments":
+            least = [F.min_by("country_code", "shipment_id").alias("country_code")] if "country_code" not in keys and "country_code" in frame.columns else []
+            out.append(frame.groupBy(*keys).agg(F.countDistinct("shipment_id").alias("shipment_count"), *least))
+        else:
+            out.append(_sum(frame, keys, **{c: c for c in frame.columns if c not in keys}))
+    return out
+
+
+def monthly_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What the product adds up, by fact: rows of its keys and values. The same for the other products."""
+    opening, ships = month_open(s["exchange_rates"]), s["shipments"].select("shipment_id")
+    invoices = with_fx_impact(s["invoices"].join(ships, "shipment_id"), "invoice_date", "revenue_amount", opening)
+    costs = with_fx_impact(s["operational_costs"].join(ships, "shipment_id"), "posting_date", "amount", opening)
+    budgets = _dated(s["budgets"], "month_start").join(s["cost_centers"].select("cost_center_id", "country_code"), "cost_center_id")
+    return {
+        "invoices": _rows(invoices, "country_code", total_revenue_eur="amount_eur", fx_r="fx_impact_eur"),
+        "operational_costs": _rows(costs, "country_code", total_operational_cost_eur="amount_eur", fx_c="fx_impact_eur"),
+        "shipments": _rows(_dated(s["shipments"], "shipment_date"), "country_code", shipment_id="shipment_id"),
+        "budgets": _rows(budgets, "country_code", budget_amount_eur="amount_eur"),
+    }
+
+
+def monthly_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+    """The product's rows from its sums. The same for the other products."""
     out = _zeros(out, "total_revenue_eur", "total_operational_cost_eur", "fx_r", "fx_c", "budget_amount_eur").fillna(0, ["shipment_count"])
     out = out.withColumns(margin()).withColumns(variance("budget_amount_eur", "total_operational_cost_eur"))
     return out.select(
-        *keys,
+        *KEYS["gold_monthly_country_finance"],
         "total_revenue_eur",
         "total_operational_cost_eur",
         "gross_profit_eur",
@@ -72,43 +109,73 @@ def monthly_country_finance(s: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _profitability(revenue: DataFrame, cost: DataFrame, ships: DataFrame, keys: list[str]) -> DataFrame:
-    out = spine([_sum(revenue, keys, total_revenue_eur="amount_eur"), _sum(cost, keys, allocated_operational_cost_eur="amount_eur"), ships], keys)
+def route_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Revenue through the shipment's route, cost through the cost row's own."""
+    revenue = _dated(s["invoices"], "invoice_date").join(s["shipments"].select("shipment_id", "route_id"), "shipment_id")
+    return {
+        "invoices": _rows(revenue, "route_id", total_revenue_eur="amount_eur"),
+        "operational_costs": _rows(_dated(s["operational_costs"], "posting_date"), "route_id", allocated_operational_cost_eur="amount_eur"),
+        "shipments": _rows(_dated(s["shipments"], "shipment_date"), "route_id", shipment_id="shipment_id"),
+    }
+
+
+def _profit(out: DataFrame) -> DataFrame:
     out = _zeros(out, "total_revenue_eur", "allocated_operational_cost_eur").fillna(0, ["shipment_count"])
     return out.withColumns(margin(cost="allocated_operational_cost_eur"))
 
 
+def route_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+    out = _profit(out).join(s["routes"].select("route_id", "origin_country_code", "destination_country_code", "transport_mode"), "route_id")
+    return out.select(*KEYS["gold_route_profitability"], "origin_country_code", "destination_country_code", "transport_mode", "shipment_count", "total_revenue_eur", "allocated_operational_cost_eur", "gross_profit_eur", "gross_margin_pct")
+
+
+def customer_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Revenue by the invoice's customer, cost by the shipment's."""
+    cost = _dated(s["operational_costs"], "posting_date").join(s["shipments"].select("shipment_id", "customer_id"), "shipment_id")
+    return {
+        "invoices": _rows(_dated(s["invoices"], "invoice_date"), "customer_id", total_revenue_eur="amount_eur"),
+        "operational_costs": _rows(cost, "customer_id", allocated_operational_cost_eur="amount_eur"),
+        "shipments": _rows(_dated(s["shipments"], "shipment_date"), "customer_id", shipment_id="shipment_id", country_code="country_code"),
+    }
+
+
+def customer_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+    return _profit(out).select(*KEYS["gold_customer_profitability"], "country_code", "shipment_count", "total_revenue_eur", "allocated_operational_cost_eur", "gross_profit_eur", "gross_margin_pct")
+
+
+def budget_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "budgets": _rows(_dated(s["budgets"], "month_start"), "cost_center_id", budget_amount_eur="amount_eur"),
+        "operational_costs": _rows(_dated(s["operational_costs"], "posting_date"), "cost_center_id", actual_cost_eur="amount_eur"),
+    }
+
+
+def budget_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
+    out = _zeros(out, "budget_amount_eur", "actual_cost_eur").withColumns(variance("budget_amount_eur", "actual_cost_eur"))
+    out = out.join(s["cost_centers"].select("cost_center_id", "country_code"), "cost_center_id")
+    return out.select(*KEYS["gold_budget_vs_actual"], "country_code", "budget_amount_eur", "actual_cost_eur", "budget_variance_amount_eur", "budget_variance_pct")
+
+
+def monthly_country_finance(s: dict[str, DataFrame]) -> DataFrame:
+    keys = KEYS["gold_monthly_country_finance"]
+    return monthly_finished(spine(_metrics(monthly_rows(s), keys), keys), s)
+
+
 def route_profitability(s: dict[str, DataFrame]) -> DataFrame:
-    """Revenue through the shipment's route, cost through the cost row's own."""
-    keys = ["month_start", "route_id"]
-    revenue = s["invoices"].withColumn("month_start", expr.month(F.col("invoice_date"))).join(s["shipments"].select("shipment_id", "route_id"), "shipment_id")
-    cost = s["operational_costs"].withColumn("month_start", expr.month(F.col("posting_date")))
-    ships = s["shipments"].groupBy(expr.month(F.col("shipment_date")).alias("month_start"), "route_id").agg(F.countDistinct("shipment_id").alias("shipment_count"))
-    out = _profitability(revenue, cost, ships, keys).join(s["routes"].select("route_id", "origin_country_code", "destination_country_code", "transport_mode"), "route_id")
-    return out.select(*keys, "origin_country_code", "destination_country_code", "transport_mode", "shipment_count", "total_revenue_eur", "allocated_operational_cost_eur", "gross_profit_eur", "gross_margin_pct")
+    keys = KEYS["gold_route_profitability"]
+    return route_finished(spine(_metrics(route_rows(s), keys), keys), s)
 
 
 def customer_profitability(s: dict[str, DataFrame]) -> DataFrame:
-    """Revenue by the invoice's customer, cost by the shipment's; country of the month's least shipment, if any."""
-    keys = ["month_start", "customer_id"]
-    revenue = s["invoices"].withColumn("month_start", expr.month(F.col("invoice_date")))
-    cost = s["operational_costs"].withColumn("month_start", expr.month(F.col("posting_date"))).join(s["shipments"].select("shipment_id", "customer_id"), "shipment_id")
-    ships = (
-        s["shipments"]
-        .groupBy(expr.month(F.col("shipment_date")).alias("month_start"), "customer_id")
-        .agg(F.countDistinct("shipment_id").alias("shipment_count"), F.min_by("country_code", "shipment_id").alias("country_code"))
-    )
-    out = _profitability(revenue, cost, ships, keys)
-    return out.select(*keys, "country_code", "shipment_count", "total_revenue_eur", "allocated_operational_cost_eur", "gross_profit_eur", "gross_margin_pct")
+    """Country of the month's least shipment, if any."""
+    keys = KEYS["gold_customer_profitability"]
+    return customer_finished(spine(_metrics(customer_rows(s), keys), keys), s)
 
 
 def budget_vs_actual(s: dict[str, DataFrame]) -> DataFrame:
-    keys = ["month_start", "cost_center_id"]
-    budgets = _sum(s["budgets"].withColumn("month_start", expr.month(F.col("month_start"))), keys, budget_amount_eur="amount_eur")
-    actual = _sum(s["operational_costs"].withColumn("month_start", expr.month(F.col("posting_date"))), keys, actual_cost_eur="amount_eur")
-    out = _zeros(budgets.join(actual, keys, "full"), "budget_amount_eur", "actual_cost_eur").withColumns(variance("budget_amount_eur", "actual_cost_eur"))
-    out = out.join(s["cost_centers"].select("cost_center_id", "country_code"), "cost_center_id")
-    return out.select(*keys, "country_code", "budget_amount_eur", "actual_cost_eur", "budget_variance_amount_eur", "budget_variance_pct")
+    keys = KEYS["gold_budget_vs_actual"]
+    budgets, actual = _metrics(budget_rows(s), keys)
+    return budget_finished(budgets.join(actual, list(keys), "full"), s)
 
 
 def data_quality_summary(quality: DataFrame) -> DataFrame:
@@ -121,6 +188,9 @@ PRODUCTS = {
     "gold_customer_profitability": customer_profitability,
     "gold_budget_vs_actual": budget_vs_actual,
 }
+#: By product, its rows by fact, and the product from its sums.
+ROWS = dict(zip(PRODUCTS, (monthly_rows, route_rows, customer_rows, budget_rows), strict=True))
+FINISHED = dict(zip(PRODUCTS, (monthly_finished, route_finished, customer_finished, budget_finished), strict=True))
 
 
 def reconcile(s: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:

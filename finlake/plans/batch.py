@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from finlake.contracts import CONTRACT_VERSION, COVERAGE, DATASETS, EXPECTED_INVOICES_PER_COUNTRY, FACTS, FINANCIAL_MISMATCH, MIN_VOLUME_RATIO, PIPELINE_VERSION, READBACK_MISMATCH, RECONCILIATION_RULES, RULES
 from finlake.functions import expr
 from finlake.operators import checks, evidence, gold, merge, ownership, quality
-from finlake.plans import buckets, claims, records
+from finlake.plans import buckets, claims, gold_deltas, records
 from finlake.plans.store import ALL, ArtifactIntegrityError, ClaimsIntegrityError, StateIntegrityError, Store
 from finlake.sources import delivery
 
@@ -27,7 +27,6 @@ REFERENCES = tuple(n for n in DATASETS if n not in FACTS)
 LAYERS = ("bronze", "silver")
 #: Changed months and countries that a correction's report lists; `correction_audit` has all of them.
 AUDITED = 1000
-GOLD_KEYS = {"gold_monthly_country_finance": ("month_start", "country_code"), "gold_route_profitability": ("month_start", "route_id"), "gold_customer_profitability": ("month_start", "customer_id"), "gold_budget_vs_actual": ("month_start", "cost_center_id")}
 
 
 class ReconciliationError(RuntimeError):
@@ -193,8 +192,9 @@ def build_gold_and_validate(spark: SparkSession, root: str | Path, batch: str, a
     failed = quality.failed_critical(results)
 
     at_step("gold")
-    tables = silver_tables(store, new, [b for b in arrivals if b != replaced])
-    products = dict(zip(gold.PRODUCTS, store.stage_all(new, [(name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()]), strict=True))
+    tables, old = silver_tables(store, new, [b for b in arrivals if b != replaced]), store.state()
+    made = gold_deltas.update(store, old, new, silver_tables(store, old) if old["batches"] else None, tables)
+    products = dict(zip(made, store.stage_all(new, [(name, ALL, f, list(gold.KEYS[name])) for name, f in made.items()]), strict=True))
     store.stage(new, "gold_data_quality_summary", ALL, gold.data_quality_summary(store.read(new, "quality")), ["batch_id", "affected_dataset", "rule_name"])
     if bad := [r["control"] for r in gold.reconcile(joined_facts(tables), products).where("not matches").collect()]:
         raise ReconciliationError(f"Gold and Silver differ: {', '.join(bad)}")
@@ -263,7 +263,7 @@ def publish_gold(spark: SparkSession, root: str | Path) -> dict[str, int]:
     state = store.state()
     new = copy.deepcopy(state)
     tables = silver_tables(store, state)
-    made = {name: store.stage(new, name, ALL, f(tables), list(GOLD_KEYS[name])) for name, f in gold.PRODUCTS.items()}
+    made = {name: store.stage(new, name, ALL, f(tables), list(gold.KEYS[name])) for name, f in gold.PRODUCTS.items()}
     if bad := [r["control"] for r in gold.reconcile(joined_facts(tables), made).where("not matches").collect()]:
         raise ReconciliationError(f"Gold and Silver differ: {', '.join(bad)}")
     store.commit(new)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions import expr
-from finlake.operators import membership, ownership
+from finlake.operators import bitmaps, deltas, membership, ownership
 from finlake.plans import analogue, buckets, claims
-from finlake.plans.analogue import sql_zero
-from finlake.plans.catalogue import _CLAIM_SQL, query, read
+from finlake.plans.analogue import sql_ratio, sql_zero
+from finlake.plans.catalogue import _CLAIM_SQL, _MONTHLY, _sql_per, query, read
 from finlake.plans.store import Store
 from finlake.sources import csv_ranges, scratch
 
@@ -98,3 +100,48 @@ def collision_pruned(spark: SparkSession, d: str) -> DataFrame:
     rows = held.select("part", "o_custkey").distinct()
     parts = membership.may_hold(membership.filters(rows, ["o_custkey"], ["part"]), asked, ["o_custkey"], ["part"])
     return rows.join(parts, "part", "left_semi").join(asked, "o_custkey", "left_semi").groupBy("part").agg(F.count("*").alias("n"))
+
+
+#: Distinct shipments by these, all from one stored aggregate.
+GROUPINGS = {"all": [], "month": ["month_start"], "country": ["country_code"], "month, country": ["month_start", "country_code"], "customer": ["customer_id"]}
+_STORED_BY = ["month_start", "country_code", "customer_id", "cost_center_id"]
+
+
+@query("WITH f AS (SELECT m AS month_start, country_code, customer_id, shipment_id FROM inv) " + " UNION ALL ".join(f"SELECT '{name}' AS by_what, concat_ws('/', {', '.join(f'CAST({c} AS VARCHAR)' for c in by) or chr(39) * 2}) AS of, count(DISTINCT shipment_id) AS shipments FROM f{' GROUP BY ALL' if by else ''}" for name, by in GROUPINGS.items()))
+def distinct_bitmap(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct invoiced shipments, stored once by month, country, customer and cost centre."""
+    facts = analogue.silver(spark, d)["invoices"].withColumn("month_start", expr.month(F.col("invoice_date")))
+    held = _kept(bitmaps.stored(facts, "shipment_id", _STORED_BY))
+    one = lambda name, by: bitmaps.counted(held, by, "shipments").select(F.lit(name).alias("by_what"), F.concat_ws("/", *[F.col(c).cast("string") for c in by]).alias("of"), "shipments")
+    return reduce(DataFrame.unionByName, [one(name, by) for name, by in GROUPINGS.items()])
+
+
+@query(f"""WITH {_MONTHLY} SELECT m AS month_start, country_code, r AS total_revenue_eur, c AS total_operational_cost_eur, CAST(r - c AS DECIMAL(20,2)) AS gross_profit_eur,
+    {sql_ratio('r - c', 'r')} AS gross_margin_pct, s AS shipment_count, {_sql_per('r')} AS revenue_per_shipment_eur, {_sql_per('c')} AS cost_per_shipment_eur, b AS budget_amount_eur,
+    CAST(b - c AS DECIMAL(20,2)) AS budget_variance_amount_eur, {sql_ratio('b - c', 'b')} AS budget_variance_pct, fx AS fx_impact_eur FROM g""")
+def gold_delta(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly product after two deliveries and a correction of the second, by signed rows alone: the second delivery has its
+    shipments' amounts and countries wrong, lacks a month's rates, and the correction sets that right."""
+    product = "gold_monthly_country_finance"
+    right = {n: _kept(f) for n, f in analogue.silver(spark, d).items() if n in ("shipments", "invoices", "operational_costs", "budgets", "cost_centers", "exchange_rates")}
+    late = {"shipments": F.col("shipment_id").cast("long") % 3 == 0, "invoices": F.crc32("invoice_id") % 3 == 0, "operational_costs": F.crc32("cost_id") % 3 == 0, "budgets": F.crc32("cost_center_id") % 3 == 0}
+    first, second = ({n: right[n].where(c if is_late else ~c) for n, c in late.items()} for is_late in (False, True))
+    wrong = {n: f.withColumn("amount_eur", (F.col("amount_eur") + 7).cast(expr.MONEY)) for n, f in second.items()}
+    wrong["shipments"] = wrong["shipments"].where(F.col("shipment_id").cast("long") % 2 == 0).withColumn("country_code", F.lit("N0"))
+    rates = right["exchange_rates"].where(F.dayofmonth("rate_date") > 1)
+    none = {n: f.limit(0) for n, f in right.items()}
+    centers = right["cost_centers"].withColumn("country_code", F.lit("N1"))
+
+    def step(kept: dict, minus: dict, plus: dict, references: tuple) -> dict[str, deltas.Change]:
+        facts = {n: deltas.Change(kept[n], minus[n], plus[n]) for n in late}
+        return facts | {n: deltas.Change(none[n], a, b) for n, (a, b) in zip(("exchange_rates", "cost_centers"), references, strict=True)}
+
+    steps = [
+        step(none, none, first, ((none["exchange_rates"], rates), (none["cost_centers"], centers))),
+        step(first, none, wrong, ((rates, rates), (centers, centers))),
+        step(first, wrong, second, ((rates, right["exchange_rates"]), (centers, right["cost_centers"]))),
+    ]
+    held = None
+    for changes in steps:
+        held = _kept(deltas.applied(product, held, deltas.signed(product, changes), changes))
+    return deltas.product_of(product, held, right)
