@@ -10,21 +10,24 @@ A token that passes is a discovery only if it couldn't be an ordinary identifier
 such a name (in camel case, with dashes, dates and numbers) has a letter that is rare in words (in hex: one of a to f), changes
 between words, cases and digits, and has two consonants in a row; each count has an exact binomial tail, and Fisher's method joins the
 three. Benjamini-Hochberg over all tokens of the table, with weights in proportion to length, then holds the share of
-ordinary names among the reported tokens at FDR: longer tokens carry more evidence and get more of the allowance. Its
-threshold comes from counts by evidence, of which there are LEVELS at most.
+ordinary names among the reported tokens at FDR: longer tokens carry more evidence and get more of the allowance. Tokens that a
+fixed pattern reports anyway are no candidates: they count neither as tests nor as discoveries, so FDR is the share among the spans
+that the battery adds. The threshold comes from counts by evidence, of which there are LEVELS at most.
 
 Spans count code points, end exclusive. Patterns are cut out with their positions by one anchored expression: each match
 takes the gap before it along.
 
 Defined results: null is the empty text, without spans; fixed patterns are matched row by row, and ties between kinds go in
 the order of KINDS; repeated rows and tokens count each time; an empty table, or one without tokens, has no threshold and
-reports fixed patterns only; a very long text or token takes time in proportion to its length; extra columns pass
-through, and one called `secrets` is replaced.
+reports fixed patterns only; a very long token takes time in proportion to its length, and so does a text of up to some ten thousand
+matches (from there on, the blocks of BLOCK matches that each match is held against show); extra columns pass through, and one
+called `secrets` is replaced.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +45,8 @@ GATE, FDR, LEVELS = 0.003, 0.01, 3000
 #: Under the null hypothesis, how often at most: a letter of a name is rare, or one of a to f; a pair of its characters is a
 #: change; a pair of letters is two consonants.
 RARE, LIKE_HEX, CHANGE, CONSONANTS = 0.09, 0.35, 0.18, 0.42
+#: Matches of a text that are placed, or looked through, together.
+BLOCK = 256
 _SPANS = "cast(array() as array<struct<start: int, end: int, kind: int, token: string>>)"
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Encoding: characters allowed, symbols in order of value, symbols a bin.
@@ -53,8 +58,15 @@ ENCODINGS = {
 }
 
 
+def in_blocks(items: Column, of: Callable[[Column], Column]) -> Column:
+    """`of` each BLOCK items, in order."""
+    count = F.ceil(F.size(items) / BLOCK).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.transform(numbers, lambda b: of(F.slice(items, b * BLOCK + 1, F.lit(BLOCK))))
+
+
 def located(text: Column, pattern: str, kind: str) -> Column:
-    """Spans of the leftmost non-overlapping matches, in order."""
+    """Spans of the leftmost non-overlapping matches, in order: placed within blocks of matches, which are then placed in the text."""
     anchored = F.lit(rf"(?s)\G(.*?)(?:{pattern})")
 
     def place(acc: Column, x: Column) -> Column:
@@ -63,12 +75,21 @@ def located(text: Column, pattern: str, kind: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(KINDS.index(kind)).alias("kind"), F.substr(x["whole"], x["gap"] + 1).alias("token"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
+    def shifted(block: Column, by: Column) -> Column:
+        return F.transform(block["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["kind"].alias("kind"), s["token"].alias("token")))
+
+    def joined(blocks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        begins = F.aggregate(blocks, none, lambda acc, b: F.struct((acc["at"] + b["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, begins, shifted))
+
     found = F.zip_with(
         F.regexp_extract_all(text, anchored, F.lit(0)),
         F.regexp_extract_all(text, anchored, F.lit(1)),
         lambda whole, gap: F.struct(whole.alias("whole"), F.length(gap).alias("gap")),
     )
-    spans = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.expr(_SPANS).alias("out")), place, lambda acc: acc["out"])
+    start = F.struct(F.lit(0).alias("at"), F.expr(_SPANS).alias("out"))
+    spans = let(found, lambda f: let(in_blocks(f, lambda block: F.aggregate(block, start, place)), joined))
     return F.when(text.rlike(pattern), spans).otherwise(F.expr(_SPANS))
 
 
@@ -161,15 +182,29 @@ def token_p(token: Column) -> Column:
     return out
 
 
-def tokens(text: Column) -> Column:
-    """Tokens as spans with p: their p-value as ordinary names over their length, or 1 for those that aren't random."""
-    mixed = F.filter(located(text, TOKEN, "random"), lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]"))
+def assigned(text: Column) -> Column:
+    """Spans of assignments whose value is long enough."""
+    return F.filter(located(text, ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= 6)
+
+
+def tokens(text: Column, assign: Column | None = None) -> Column:
+    """Candidates as spans with p: their p-value as ordinary names over their length, or 1 for those that aren't random. Tokens that
+    overlap a fixed pattern's span are none. An access or hex match is a part of one token, as all its characters are a token's;
+    assignments (`assign`, if at hand) are held against tokens by place."""
+    apart = lambda s: ~s["token"].rlike(ACCESS) & ~s["token"].rlike(HEX)
+    mixed = F.filter(located(text, TOKEN, "random"), lambda s: s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]") & apart(s))
 
     def judged(s: Column) -> Column:
         weighted = F.when(token_p(s["token"]) >= GATE, ordinary_p(s["token"]) / F.length(s["token"])).otherwise(F.lit(1.0))
         return F.struct(weighted.alias("p"), s.alias("s"))
 
-    return let(mixed, lambda spans: F.transform(spans, judged))
+    def left(blocks: Column) -> Column:
+        within = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        free = F.filter(mixed, lambda s: ~F.exists(blocks, lambda b: within(b, s) & F.exists(b["spans"], lambda x: within(x, s))))
+        return let(free, lambda spans: F.transform(spans, judged))
+
+    block = lambda spans: F.struct(F.element_at(spans, 1)["start"].alias("start"), F.element_at(spans, -1)["end"].alias("end"), spans.alias("spans"))
+    return let(assigned(text) if assign is None else assign, lambda a: let(in_blocks(a, block), left))
 
 
 def threshold(df: DataFrame, text: str = "text", fdr: float = FDR) -> float:
@@ -189,11 +224,11 @@ def threshold(df: DataFrame, text: str = "text", fdr: float = FDR) -> float:
     return best
 
 
-def random_tokens(text: Column, most: float) -> Column:
-    """Spans of tokens whose p over length is `most` or less."""
+def random_tokens(text: Column, most: float, assign: Column | None = None) -> Column:
+    """Spans of candidates whose p over length is `most` or less."""
     if most < 0:
         return F.expr(_SPANS)
-    return F.transform(F.filter(tokens(text), lambda x: x["p"] <= most), lambda x: x["s"])
+    return F.transform(F.filter(tokens(text, assign), lambda x: x["p"] <= most), lambda x: x["s"])
 
 
 def scan_secrets(df: DataFrame, text: str = "text", most: float | None = None) -> DataFrame:
@@ -201,15 +236,13 @@ def scan_secrets(df: DataFrame, text: str = "text", most: float | None = None) -
     to be used."""
     most = threshold(df, text) if most is None else most
     body = F.coalesce(named(text), F.lit(""))
-    assign = F.filter(located(body, ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["token"], ASSIGN, 2)) >= 6)
-    fixed = F.concat(assign, located(body, ACCESS, "access"), located(body, HEX, "hex"))
 
-    def joined(base: Column) -> Column:
-        other = F.filter(random_tokens(body, most), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        ordered = F.sort_array(F.transform(F.concat(base, other), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["token"].alias("token"))))
+    def joined(assign: Column) -> Column:
+        every = F.concat(assign, located(body, ACCESS, "access"), located(body, HEX, "hex"), random_tokens(body, most, assign))
+        ordered = F.sort_array(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["token"].alias("token"))))
         return F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1).alias("kind"), s["token"].alias("token")))
 
-    return no_clash(df, "secrets").withColumn("secrets", let(fixed, joined))
+    return no_clash(df, "secrets").withColumn("secrets", let(assigned(body), joined))
 
 
 def span_list(secrets: Column) -> Column:

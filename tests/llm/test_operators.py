@@ -5,8 +5,8 @@ import hashlib
 import itertools
 import math
 import random
-import time
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -427,6 +427,33 @@ def test_threshold_is_benjamini_hochberg(spark):
     assert secrets.threshold(frame.limit(0)) == -1 and secrets.scan_secrets(frame.limit(0)).count() == 0
 
 
+def test_fixed_patterns_are_no_discoveries(spark):
+    """Hex keys, access keys and assignments beside the same names change neither the threshold nor what the battery adds."""
+    rng = random.Random(32)
+    rows = [(i, f"{identifier(rng)} {''.join(rng.choices(BASE64, k=40)) if i % 5 == 0 else ''}") for i in range(200)]
+    made = [lambda: "%032x" % rng.getrandbits(128), lambda: "AKIA" + "".join(rng.choices(BASE64[:26] + BASE64[52:62], k=16)), lambda: "api_key=" + "".join(rng.choices(BASE64, k=40)), lambda: "mysecret: x9" + "".join(rng.choices(BASE64, k=30)) + "." + "".join(rng.choices(BASE64, k=30))]
+    based = [(1000 + i, f"see {rng.choice(made)()} {rng.choice(made)()}") for i in range(150)]
+    frame, more = (spark.createDataFrame(x, "doc_id long, text string") for x in (rows, rows + based))
+    assert secrets.threshold(frame) == secrets.threshold(more) > 0
+    assert secrets.threshold(more.where("doc_id >= 1000")) == -1
+    added = lambda f: {(k, x["start"]) for k, r in as_dict(secrets.scan_secrets(f)).items() for x in r["secrets"] if x["kind"] == "random"}
+    assert added(more) == added(frame) and all(k < 1000 for k, _ in added(more))
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans at the edges of blocks, and a text whose spans are many: a time that their square would not be."""
+    rng = random.Random(33)
+    made = [lambda: "%032x" % rng.getrandbits(128), lambda: "token=" + "".join(rng.choices(BASE64, k=9)), lambda: "aBcDeFgH0123456789xyz-" + str(rng.randint(10, 99))]
+    rows = {n: " ".join(rng.choice(made)() for _ in range(n)) for n in (1, 255, 256, 257, 511, 512, 513, 700)}
+    found = as_dict(secrets.scan_secrets(spark.createDataFrame(list(rows.items()), "doc_id long, text string")))
+    for n, t in rows.items():
+        assert ",".join(f"{x['kind']}:{x['start']}:{x['end']}" for x in found[n]["secrets"] if x["kind"] != "random") == base_spans(t)
+    long = " ".join("%032x token=%06x" % (rng.getrandbits(128), rng.getrandbits(24)) for _ in range(30000))
+    began = time.monotonic()
+    r = secrets.scan_secrets(spark.createDataFrame([(1, long)], "doc_id long, text string")).select(F.size("secrets").alias("n")).first()
+    assert r["n"] == 60000 and time.monotonic() - began < 30
+
+
 # 6
 
 
