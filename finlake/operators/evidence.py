@@ -4,26 +4,36 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from finlake.functions import expr
+from finlake.operators import multiset
+
+#: What an attestation is compared by; the last is lacking in records of before it was kept.
+COMPARED = ("rows", "row_digest", "key_digest", "set_digest")
 
 
 def _as_number(digest: F.Column) -> F.Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None, euros: bool = False) -> DataFrame:
+def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None, euros: bool = False, lanes: bool = False) -> DataFrame:
     """rows, row_digest and key_digest: sums of 60 bits of each row's SHA-256, so that parts can be added up; and the EUR of rows
-    that have any, unless split `by` something and not wanted."""
+    that have any, unless split `by` something and not wanted. lanes: set_digest, too, which nobody can meet by choice of rows."""
     columns = [F.col(c) for c in sorted(frame.columns) if c not in (by or [])]
+    more = [multiset.total(multiset.row_digest(*columns)).alias("set_digest")] if lanes else []
     marked = frame.withColumns({"_row": _as_number(expr.payload(*columns)), "_key": _as_number(expr.payload(*[F.col(k) for k in keys]))})
     euro = [expr.zero(F.sum("amount_eur")).cast("string").alias("eur")] if "amount_eur" in frame.columns and (euros or not by) else []
-    sums = [F.count("*").alias("rows"), F.coalesce(F.sum("_row"), F.lit(0)).cast("string").alias("row_digest"), F.coalesce(F.sum("_key"), F.lit(0)).cast("string").alias("key_digest"), *euro]
+    sums = [F.count("*").alias("rows"), F.coalesce(F.sum("_row"), F.lit(0)).cast("string").alias("row_digest"), F.coalesce(F.sum("_key"), F.lit(0)).cast("string").alias("key_digest"), *more, *euro]
     return marked.groupBy(*by).agg(*sums) if by else marked.agg(*sums)
 
 
+def is_recorded(now: Row | dict, held: dict) -> bool:
+    """Whether an attestation is the one that `held` records."""
+    return all(now[c] == held[c] for c in COMPARED if c in held)
+
+
 def signature(frame: DataFrame, name: str, what: str, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """One row: name, what, rows, key_digest, row_digest (of `columns`) and eur, whose digests can be added up."""
     euro = F.sum("amount_eur") if "amount_eur" in frame.columns else F.lit(None)

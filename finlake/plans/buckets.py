@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from finlake.operators import merge
-from finlake.operators.evidence import attest
+from finlake.operators import merge, multiset
+from finlake.operators.evidence import attest, is_recorded
 from finlake.plans.store import Store
 
 #: Buckets of a table for which its first change names no other number; stores of many deliveries take more.
@@ -62,7 +62,7 @@ def stage(store: Store, state: dict, table: str, frame: DataFrame, by: Sequence[
     # Rebalanced by bucket: a large bucket is written by several tasks, small ones share a task.
     frame.withColumn("_bucket", bucket_of(by, n)).hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(store.at(path))
     back = store.spark.read.option("basePath", store.at(path)).schema(StructType([*frame.schema.fields, StructField("_bucket", IntegerType())])).parquet(store.at(path))
-    found = {r["_bucket"]: r.asDict() for r in attest(back, keys, by=["_bucket"], euros=True).collect()}
+    found = {r["_bucket"]: r.asDict() for r in attest(back, keys, by=["_bucket"], euros=True, lanes=True).collect()}
     schema = json.loads(frame.schema.json())
     for k in touched:
         held.pop(name_of(k), None)
@@ -91,13 +91,32 @@ def verify(store: Store, state: dict, table: str, rows_of: Iterable[int] | None
     if asked and not wrong:
         by, n, keys = (held[asked[0]][c] for c in ("by", "n", "keys"))
         frame = store.read(state, table, among=asked).withColumn("_bucket", bucket_of(by, n))
-        now = store.attempt(lambda: {name_of(r["_bucket"]): r for r in attest(frame, keys, by=["_bucket"]).collect()})
+        now = store.attempt(lambda: {name_of(r["_bucket"]): r for r in attest(frame, keys, by=["_bucket"], lanes=True).collect()})
         if now is None:
             return asked
-        wrong = {p for p in asked if p not in now or any(now[p][c] != held[p][c] for c in ("rows", "row_digest", "key_digest"))} | (set(now) - set(asked))
+        wrong = {p for p in asked if p not in now or not is_recorded(now[p], held[p])} | (set(now) - set(asked))
     return sorted(wrong)
 
 
+def differing(table: str, one: dict, other: dict) -> list[int]:
+    """Buckets in which a table of two states differs, by their records alone."""
+    a, b = ({p: (v["rows"], v.get("set_digest"), v["n"]) for p, v in s["tables"].get(table, {}).items() if is_bucket(p)} for s in (one, other))
+    return sorted(int(p[-5:]) for p in a.keys() | b.keys() if a.get(p) != b.get(p) or a[p][1] is None)
+
+
+def altered(store: Store, one: dict, other: dict, table: str, keys: Sequence[str], other_store: Store | None = None) -> DataFrame:
+    """Which keys of a table differ between two states (versions, or copies in two stores), and how; see `multiset.altered`. Only
+    buckets whose records differ are read. Both must lie in the same number of buckets."""
+    near = differing(table, one, other)
+    sides = [read(s, state, table, near) for s, state in ((store, one), (other_store or store, other))]
+    if len(found := {v["n"] for s in (one, other) for v in s["tables"][table].values() if "n" in v}) > 1:
+        raise ValueError(f"{table}: the two lie in other numbers of buckets: {sorted(found)}")
+    n = max(found, default=1)
+    by = next((v["by"] for s in (one, other) for v in s["tables"][table].values() if "by" in v), list(keys))
+    where = store.spark.createDataFrame([(k,) for k in near], "node int")
+    return multiset.altered(*sides, keys, n, where, by)
+
+
 def merge_into(store: Store, state: dict, table: str, source: DataFrame, key: Sequence[str], n: int = BUCKETS, delete: Column | bool = False) -> dict[str, int]:
     """Merges `source` into a table by `key`: rows of equal key are replaced where they differ, new ones inserted, and those that
     `source` lacks deleted if `delete` says so (True: all; a condition: those that meet it). How many rows had which action. `n` is for a
@@ -120,8 +139,8 @@ def _merged_into(store: Store, state: dict, table: str, source: DataFrame, key:
     older = others(state, table)
     held = state["tables"].get(table, {})
     target = read(store, state, table, like=source).select(*source.columns)
-    now = {r["_bucket"]: r for r in attest(source.withColumn("_bucket", bucket_of(key, n)), key, by=["_bucket"]).collect()}
-    same = {k for k, r in now.items() if (p := held.get(name_of(k))) and all(p[c] == r[c] for c in ("rows", "row_digest"))}
+    now = {r["_bucket"]: r for r in attest(source.withColumn("_bucket", bucket_of(key, n)), key, by=["_bucket"], lanes=True).collect()}
+    same = {k for k, r in now.items() if (p := held.get(name_of(k))) and is_recorded(r, p)}
     if older:
         touched, same = set(range(n)), set()
     elif delete is True:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from finlake.operators.evidence import attest
+from finlake.operators.evidence import attest, is_recorded
 from finlake.sources.files import Files, LocalFiles, files_of
 
 
@@ -98,7 +98,7 @@ class Store:
         path = f"parts/{table}/{part}-{uuid.uuid4().hex}"
         frame.write.parquet(self.at(path))
         back = self.spark.read.schema(frame.schema).parquet(self.at(path))
-        state["tables"].setdefault(table, {})[part] = {"path": path, "files": self.files.listing(self.at(path)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys).first().asDict()}
+        state["tables"].setdefault(table, {})[part] = {"path": path, "files": self.files.listing(self.at(path)), "schema": json.loads(back.schema.json()), "keys": keys, **attest(back, keys, lanes=True).first().asDict()}
         return back
 
     def stage_all(self, state: dict, parts: list[tuple[str, str, DataFrame, list[str]]]) -> list[DataFrame]:
@@ -136,8 +136,8 @@ class Store:
 
     def _as_recorded(self, held: dict) -> bool:
         frame = self.spark.read.schema(StructType.fromJson(held["schema"])).parquet(self.at(held["path"]))
-        now = self.attempt(lambda: attest(frame, held["keys"]).first().asDict())
-        return now is not None and all(now[k] == held[k] for k in ("rows", "row_digest", "key_digest"))
+        now = self.attempt(lambda: attest(frame, held["keys"], lanes="set_digest" in held).first().asDict())
+        return now is not None and is_recorded(now, held)
 
     @staticmethod
     def attempt(read: Callable[[], dict]) -> dict | None:

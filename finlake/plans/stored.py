@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions import expr
-from finlake.operators import bitmaps, deltas, membership, ownership
+from finlake.operators import bitmaps, deltas, membership, multiset, ownership
 from finlake.plans import analogue, buckets, claims
 from finlake.plans.analogue import sql_ratio, sql_zero
-from finlake.plans.catalogue import _CLAIM_SQL, _MONTHLY, _sql_per, query, read
+from finlake.plans.catalogue import _CLAIM_SQL, _MONTHLY, _sql_payload, _sql_per, query, read
 from finlake.plans.store import Store
 from finlake.sources import csv_ranges, scratch
 
@@ -145,3 +145,33 @@ def gold_delta(spark: SparkSession, d: str) -> DataFrame:
     for changes in steps:
         held = _kept(deltas.applied(product, held, deltas.signed(product, changes), changes))
     return deltas.product_of(product, held, right)
+
+
+_ROW_SQL = " || ".join(f"sha256({_sql_payload('o_custkey', 'o_orderkey', 'o_orderpriority', 'o_orderstatus')} || '{i}')" for i in range(multiset.WIDTH // 64))
+_LANES_SQL = " || ".join(f"lpad(lower(printf('%x', CAST(sum(CAST(('0x' || substring(digest, {8 * i + 1}, 8)) AS HUGEINT) * {1 << 32} + CAST(('0x' || substring(digest, {8 * i + 9}, 8)) AS HUGEINT)) % {1 << 64} AS UBIGINT))), 16, '0')" for i in range(0, 2 * multiset.LANES, 2))
+
+
+@query(f"SELECT o_orderstatus, count(*) AS n, {_LANES_SQL} AS digest FROM (SELECT o_orderstatus, {_ROW_SQL} AS digest FROM orders) GROUP BY 1")
+def set_digests(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of sets of orders, each put together from those of its customers' buckets: no row is digested twice."""
+    rows = read(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    each = rows.select("o_orderstatus", (F.col("o_custkey") % 16).alias("part"), multiset.row_digest(*[F.col(c) for c in rows.columns]).alias("digest"))
+    parts = each.groupBy("o_orderstatus", "part").agg(F.count("*").alias("n"), multiset.total(F.col("digest")).alias("digest"))
+    return parts.groupBy("o_orderstatus").agg(F.sum("n").alias("n"), multiset.total(F.col("digest")).alias("digest"))
+
+
+#: Buckets of the two copies of orders.
+COMPARED_IN = 512
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 2003 = 7 THEN 'missing' WHEN o_orderkey % 1511 = 5 THEN 'added' ELSE 'changed' END AS what FROM orders
+    WHERE o_orderkey % 2003 = 7 OR o_orderkey % 1511 = 5 OR o_orderkey % 1009 = 3""")
+def attest_located(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and a copy that lacks some, has others only by itself and has the price of a third kind wrong: found by two stored trees,
+    from the root down, and then among the rows of the leaves that differ."""
+    key = F.col("o_orderkey")
+    orders = read(spark, d, "orders")
+    missing, added = key % 2003 == 7, (key % 1511 == 5) & (key % 2003 != 7)
+    one, other = orders.where(~added), orders.where(~missing).withColumn("o_totalprice", F.when(~added & (key % 1009 == 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast(orders.schema["o_totalprice"].dataType))
+    trees = [_kept(multiset.tree(multiset.leaves(x, ["o_orderkey"], COMPARED_IN), COMPARED_IN)) for x in (one, other)]
+    return multiset.altered(one, other, ["o_orderkey"], COMPARED_IN, multiset.differing(*trees, COMPARED_IN))
