@@ -11,9 +11,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from finlake.contracts import DATASETS, PROVENANCE
-from finlake.sources import csv_ranges
+from finlake.sources import csv_ranges, scratch
 
 #: Files whose ranges are counted at a time.
 AT_ONCE = 6
@@ -56,8 +57,12 @@ def manifest(folder: Path) -> dict:
 
 
 def numbered(frame: DataFrame, order: Sequence[str]) -> DataFrame:
-    """`frame` with _source_row_number from 1 in the order of `order`, numbered in range parts with offsets."""
-    parts = frame.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    """`frame` with _source_row_number from 1 in the order of `order`, numbered in range parts with offsets.
+
+    The parts are written once: a range shuffle samples its bounds, so parts that are made again to be counted are other parts."""
+    path = scratch.folder(frame.sparkSession)
+    frame.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    parts = frame.sparkSession.read.schema(StructType([*frame.schema.fields, StructField("_part", IntegerType())])).parquet(path)
     nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
