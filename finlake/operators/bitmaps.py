@@ -12,6 +12,7 @@ nulls in grouping columns are a group; keys should be dense (surrogate keys), el
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +33,14 @@ def stored(frame: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
 
 def counted(held: DataFrame, by: Sequence[str] = (), name: str = "n") -> DataFrame:
     """Distinct keys by some of the columns that `held` was stored by; without any, one row."""
-    few = held.where(F.col("places").isNotNull()).select(*by, "bucket", F.explode("places").alias("at"))
-    few = few.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("at").alias("bitmap"))
-    many = held.where(F.col("bitmap").isNotNull()).select(*by, "bucket", "bitmap")
-    sets = few.unionByName(many).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    count = F.coalesce(F.sum(F.bitmap_count("bitmap")), F.lit(0)).alias(name)
-    return sets.groupBy(*by).agg(count) if by else sets.agg(count)
+    few = held.where(F.col("places").isNotNull()).select(*by, "bucket", F.explode("places").alias("at")).distinct()
+    many = held.where(F.col("bitmap").isNotNull()).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    # Places get a bitmap of 4 kB only where their group and bucket have one already; others are counted as they are.
+    dense = many.select(*[F.col(c).alias(f"_{c}") for c in (*by, "bucket")], F.lit(True).alias("_dense"))
+    few = few.join(dense, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, "bucket")]), "left")
+    more = few.where("_dense").groupBy(*by, "bucket").agg(F.bitmap_construct_agg("at").alias("bitmap"))
+    sets = many.unionByName(more).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    alone = few.where(F.col("_dense").isNull()).groupBy(*by).agg(F.count("*").alias(name))
+    found = sets.select(*by, F.bitmap_count("bitmap").alias(name)).unionByName(alone)
+    count = F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return found.groupBy(*by).agg(count) if by else found.agg(count)
