@@ -11,10 +11,20 @@ from pyspark.sql import functions as F
 from finlake.functions import expr
 
 
+def together(metrics: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """All keys of all metric frames, with each frame's columns, which have different names; nulls in keys are a value. Frames have
+    one row per key, so nothing fans out, and each is computed once."""
+    types = {c: t for m in metrics for c, t in m.dtypes if c not in keys}
+    rows = [m.select(*keys, *[F.col(c) if c in m.columns else F.lit(None).cast(t).alias(c) for c, t in types.items()]) for m in metrics]
+    every = reduce(DataFrame.unionByName, rows)
+    return every.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in types]) if types else every.distinct()
+
+
 def spine(metrics: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """All keys of all metric frames, with each frame's columns. Frames have one row per key, so nothing fans out."""
-    every = reduce(DataFrame.unionByName, [m.select(*keys) for m in metrics]).distinct()
-    return reduce(lambda out, m: out.join(m, list(keys), "left"), metrics, every)
+    """`together`, but rows that lack a key are no group's: their keys are listed, without values."""
+    out = together(metrics, keys)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return out.select(*keys, *[F.when(whole, F.col(c)).alias(c) for c in out.columns if c not in keys])
 
 
 def month_open(rates: DataFrame) -> DataFrame:

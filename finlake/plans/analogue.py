@@ -61,13 +61,15 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _n("C", F.when(key % 89 == 4, 9).otherwise(key % 5)).alias("currency_code"),
         _dec(F.col("o_totalprice")).cast(expr.MONEY).alias("revenue_amount"),
     )
-    lines = t["lineitem"].join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    # Joined by the id that facts join their shipment by, so that they are shuffled by it once.
+    owners = t["orders"].select(key.cast("string").alias("shipment_id"), "o_custkey")
+    lines = t["lineitem"].withColumn("shipment_id", F.col("l_orderkey").cast("string")).join(owners, "shipment_id", "left")
     lines = lines.join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    line_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    line_id = F.concat_ws("-", "shipment_id", F.col("l_linenumber").cast("string"))
     day = F.col("l_shipdate").cast("date")
     out["invoices"] = lines.select(
         line_id.alias("invoice_id"),
-        F.col("l_orderkey").cast("string").alias("shipment_id"),
+        "shipment_id",
         day.alias("invoice_date"),
         _n("N", F.col("s_nationkey")).alias("country_code"),
         F.col("o_custkey").cast("string").alias("customer_id"),
@@ -79,7 +81,7 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     kind = F.concat("l_returnflag", "l_linestatus")
     out["operational_costs"] = lines.select(
         F.concat_ws("-", line_id, F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.date_format("l_shipdate", "yyyyMMdd")).alias("cost_id"),
-        F.col("l_orderkey").cast("string").alias("shipment_id"),
+        "shipment_id",
         F.col("l_partkey").cast("string").alias("route_id"),
         F.col("l_suppkey").cast("string").alias("cost_center_id"),
         _n("N", F.col("s_nationkey")).alias("country_code"),

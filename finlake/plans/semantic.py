@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions import expr
+from finlake.operators.gold import together
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ ATTRIBUTES = {"country_code": "country", "customer_id": "customer", "route_id":
 
 
 class Flat:
-    """The star's facts, each joined with just those dimensions whose attributes are asked for."""
+    """The star's facts, each joined with just those dimensions whose attributes are asked for and not carried by the fact."""
 
     DATES = {"invoice": "invoice_date_key", "cost": "posting_date_key", "shipment": "shipment_date_key", "budget": "month_date_key"}
     TABLES = {"invoice": "fact_invoice", "cost": "fact_operational_cost", "shipment": "fact_shipment", "budget": "fact_budget"}
@@ -66,7 +67,7 @@ class Flat:
             return self.quality
         frame = self.star[self.TABLES[name]]
         for a in dict.fromkeys(attributes):
-            dim = ATTRIBUTES.get(a)
+            dim = None if a in frame.columns else ATTRIBUTES.get(a)
             if dim == "date":
                 dates = self.star["dim_date"].select(F.col("date_key").alias(self.DATES[name]), a)
                 frame = frame.join(dates, self.DATES[name], "left")
@@ -91,10 +92,7 @@ def query(facts: Flat | dict[str, DataFrame], measures: Sequence[str], by: Seque
     if by and len(frames) == 1:
         out = frames[0]
     elif by:
-        out = reduce(DataFrame.unionByName, [f.select(*by) for f in frames]).distinct()
-        for f in frames:  # rows without a value of a key are one group, too
-            f = f.withColumnsRenamed({k: f"_{k}" for k in by})
-            out = out.join(f, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]), "left").drop(*[f"_{k}" for k in by])
+        out = together(frames, by)  # rows without a value of a key are one group, too
     else:
         out = reduce(lambda a, f: a.join(f, F.lit(True)), frames)  # one row each
     kinds = dict(out.dtypes)

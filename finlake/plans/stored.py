@@ -25,13 +25,6 @@ def csv_splits(spark: SparkSession, d: str) -> DataFrame:
     return csv_ranges.read(spark, path, columns, null="\\N").select("doc_id", "source", F.length(text).cast("long").alias("n_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("text_sha256"))
 
 
-def _kept(frame: DataFrame) -> DataFrame:
-    """`frame` written once, as several deliveries are made of it."""
-    path = scratch.folder(frame.sparkSession)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 #: Deliveries by name and arrival: which orders' invoices each holds (remainder of the order's number, and whether it is that or
 #: any other), and what it adds to their amount.
 DELIVERIES = {
@@ -52,7 +45,7 @@ _ACTIVE_SQL = " UNION ALL ".join(f"SELECT * REPLACE ('{b}' AS _batch_id, CAST(re
 def claims_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Four deliveries one after another, each settled in the buckets that it touches; the third supersedes the second."""
     store, state = Store(spark, scratch.folder(spark)), {"version": 0, "tables": {}, "batches": {}, "watermark": None}
-    base = _kept(analogue.silver(spark, d)["invoices"])
+    base = scratch.kept(analogue.silver(spark, d)["invoices"])
     order = F.split_part("invoice_id", F.lit("-"), F.lit(1)).cast("long")
     arrivals: dict[str, int] = {}
     for batch, (arrival, parts) in DELIVERIES.items():
@@ -64,7 +57,7 @@ def claims_incremental(spark: SparkSession, d: str) -> DataFrame:
             some = base.where(rest == int(right) if is_equal else rest != int(right)).withColumn("revenue_amount", (F.col("revenue_amount") + more).cast(expr.MONEY))
             rows = some if rows is None else rows.unionByName(some)
         rows = ownership.claim_hash(rows.withColumn("_batch_id", F.lit(batch)))
-        rows = _kept(rows.withColumn("_source_row_number", F.row_number().over(Window.partitionBy("invoice_id").orderBy("claim_hash"))).withColumn("_reasons", F.lit(None).cast("array<string>")))
+        rows = scratch.kept(rows.withColumn("_source_row_number", F.row_number().over(Window.partitionBy("invoice_id").orderBy("claim_hash"))).withColumn("_reasons", F.lit(None).cast("array<string>")))
         arrivals = {b: a for b, a in arrivals.items() if b != replaced} | {batch: arrival}
         touched, mine = claims.put(store, state, batch, rows, replaced)
         state["batches"].pop(replaced, None)
@@ -84,7 +77,7 @@ def fact_merge(spark: SparkSession, d: str) -> DataFrame:
     those of these months that it lacks deleted."""
     store, state = Store(spark, scratch.folder(spark)), {"version": 0, "tables": {}, "batches": {}, "watermark": None}
     key, late = F.col("shipment_id").cast("long"), F.col("shipment_date") >= F.lit("1996-01-01").cast("date")
-    fact = _kept(analogue.silver(spark, d)["shipments"].select("shipment_id", "shipment_date", "revenue_amount", "amount_eur"))
+    fact = scratch.kept(analogue.silver(spark, d)["shipments"].select("shipment_id", "shipment_date", "revenue_amount", "amount_eur"))
     buckets.merge_into(store, state, "fact_shipment", fact.where(key % 10 != 3), ["shipment_id"])
     changed = F.when(key % 5 == 1, F.col("amount_eur") + 1).otherwise(F.col("amount_eur")).cast(expr.MONEY)
     buckets.merge_into(store, state, "fact_shipment", fact.where((key % 7 != 2) & late).withColumn("amount_eur", changed), ["shipment_id"], delete=late)
@@ -111,7 +104,7 @@ _STORED_BY = ["month_start", "country_code", "customer_id", "cost_center_id"]
 def distinct_bitmap(spark: SparkSession, d: str) -> DataFrame:
     """Distinct invoiced shipments, stored once by month, country, customer and cost centre."""
     facts = analogue.silver(spark, d)["invoices"].withColumn("month_start", expr.month(F.col("invoice_date")))
-    held = _kept(bitmaps.stored(facts, "shipment_id", _STORED_BY))
+    held = scratch.kept(bitmaps.stored(facts, "shipment_id", _STORED_BY))
     one = lambda name, by: bitmaps.counted(held, by, "shipments").select(F.lit(name).alias("by_what"), F.concat_ws("/", *[F.col(c).cast("string") for c in by]).alias("of"), "shipments")
     return reduce(DataFrame.unionByName, [one(name, by) for name, by in GROUPINGS.items()])
 
@@ -123,7 +116,7 @@ def gold_delta(spark: SparkSession, d: str) -> DataFrame:
     """The monthly product after two deliveries and a correction of the second, by signed rows alone: the second delivery has its
     shipments' amounts and countries wrong, lacks a month's rates, and the correction sets that right."""
     product = "gold_monthly_country_finance"
-    right = {n: _kept(f) for n, f in analogue.silver(spark, d).items() if n in ("shipments", "invoices", "operational_costs", "budgets", "cost_centers", "exchange_rates")}
+    right = {n: scratch.kept(f) for n, f in analogue.silver(spark, d).items() if n in ("shipments", "invoices", "operational_costs", "budgets", "cost_centers", "exchange_rates")}
     late = {"shipments": F.col("shipment_id").cast("long") % 3 == 0, "invoices": F.crc32("invoice_id") % 3 == 0, "operational_costs": F.crc32("cost_id") % 3 == 0, "budgets": F.crc32("cost_center_id") % 3 == 0}
     first, second = ({n: right[n].where(c if is_late else ~c) for n, c in late.items()} for is_late in (False, True))
     wrong = {n: f.withColumn("amount_eur", (F.col("amount_eur") + 7).cast(expr.MONEY)) for n, f in second.items()}
@@ -143,7 +136,7 @@ def gold_delta(spark: SparkSession, d: str) -> DataFrame:
     ]
     held = None
     for changes in steps:
-        held = _kept(deltas.applied(product, held, deltas.signed(product, changes), changes))
+        held = scratch.kept(deltas.applied(product, held, deltas.signed(product, changes), changes))
     return deltas.product_of(product, held, right)
 
 
@@ -173,5 +166,5 @@ def attest_located(spark: SparkSession, d: str) -> DataFrame:
     orders = read(spark, d, "orders")
     missing, added = key % 2003 == 7, (key % 1511 == 5) & (key % 2003 != 7)
     one, other = orders.where(~added), orders.where(~missing).withColumn("o_totalprice", F.when(~added & (key % 1009 == 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast(orders.schema["o_totalprice"].dataType))
-    trees = [_kept(multiset.tree(multiset.leaves(x, ["o_orderkey"], COMPARED_IN), COMPARED_IN)) for x in (one, other)]
+    trees = [scratch.kept(multiset.tree(multiset.leaves(x, ["o_orderkey"], COMPARED_IN), COMPARED_IN)) for x in (one, other)]
     return multiset.altered(one, other, ["o_orderkey"], COMPARED_IN, multiset.differing(*trees, COMPARED_IN))

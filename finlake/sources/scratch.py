@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -27,6 +27,13 @@ def folder(spark: SparkSession) -> str:
     return path
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """`frame` written once, as several others are made of it."""
+    path = folder(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _clear() -> None:
     for spark, path in _made:
         with contextlib.suppress(Exception):  # the session may be gone, and its folder with it
