@@ -61,8 +61,8 @@ def _altered(change: Change, table: str, keys: tuple[str, ...], columns: tuple[s
         before, after = (gold.month_open(x).withColumnRenamed("month_start", "_month") for x in (change.old, change.new))
     else:
         before, after = change.minus, change.plus
-    before, after = (x.select(*keys, *columns) for x in (before, after))
-    return before.exceptAll(after).unionByName(after.exceptAll(before)).select(*keys).distinct()
+    both = reduce(DataFrame.unionByName, [x.select(*keys, *columns, F.lit(sign).alias("_sign")) for x, sign in ((before, -1), (after, 1))])
+    return both.groupBy(*keys, *columns).agg(F.sum("_sign").alias("_n")).where("_n <> 0").select(*keys).distinct()
 
 
 def _reached(kept: DataFrame, fact: str, joined: list, changes: dict[str, Change]) -> DataFrame:
@@ -88,8 +88,9 @@ def signed(product: str, changes: dict[str, Change]) -> DataFrame:
     parts = []
     for fact, joined in JOINED[product].items():
         near = _reached(changes[fact].kept, fact, joined, changes)
-        for sign, tables, rows in ((1, new, changes[fact].plus), (-1, old, changes[fact].minus)):
-            made = gold.ROWS[product](tables | {fact: rows.unionByName(near)})[fact]
+        # Rows that stay go on their own: they are shuffled once for what they reach and for both signs.
+        for sign, tables, rows in ((1, new, changes[fact].plus), (-1, old, changes[fact].minus), *([(1, new, near), (-1, old, near)] if joined else [])):
+            made = gold.ROWS[product](tables | {fact: rows})[fact]
             of = {v: (F.col(v) * sign if v in made.columns else F.lit(None)).cast(expr.MONEY) for v in values}
             parts.append(made.select(*keys, *[c.alias(v) for v, c in of.items()], F.lit(sign if fact == "shipments" else 0).alias("shipment_count"), F.lit(sign).alias("n")))
     out = _added(reduce(DataFrame.unionByName, parts), product)
