@@ -20,10 +20,11 @@ def claim_hash(frame: DataFrame) -> DataFrame:
     return frame.withColumn("claim_hash", expr.payload(*[F.col(c) for c in CLAIM_FIELDS]))
 
 
-def resolve_claims(claims: DataFrame) -> DataFrame:
+def resolve_claims(claims: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """Claims with `_reasons`. If an invoice's claims differ, none is trusted; else the earliest delivery's first row
-    owns it. One shuffle: every decision is a window over the invoice id. Needs claim_hash and arrival."""
-    same = Window.partitionBy("invoice_id")
+    owns it. One shuffle: every decision is a window over the invoice id. Needs claim_hash and arrival. `within` are columns
+    that an invoice's claims share, by which they are dealt already: then there is no shuffle here."""
+    same = Window.partitionBy(*within, "invoice_id")
     first = same.orderBy("arrival", "_batch_id", "_source_row_number")
     whole = first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     found = claims.withColumns({"_lo": F.min("claim_hash").over(same), "_hi": F.max("claim_hash").over(same), "_nth": F.row_number().over(first), "_owner": F.first("_batch_id").over(whole)})

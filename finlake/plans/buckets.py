@@ -49,21 +49,39 @@ def buckets_in(frame: DataFrame, keys: Sequence[str], n: int) -> set[int]:
     return {r["b"] for r in frame.select(bucket_of(keys, n).alias("b")).distinct().collect()}
 
 
-def stage(store: Store, state: dict, table: str, frame: DataFrame, by: Sequence[str], n: int, touched: Iterable[int], keys: Sequence[str] | None = None) -> None:
+def stage(store: Store, state: dict, table: str, frame: DataFrame, by: Sequence[str], n: int, touched: Iterable[int], keys: Sequence[str] | None = None, rebalanced: bool = True) -> None:
     """Puts `frame`, all rows of the buckets `touched` by columns `by`, in their place (in `state`, not yet published). One
-    write and one aggregation for all of them; rows are told apart by `keys`."""
-    keys, touched = list(keys or by), sorted(set(touched))
-    held = state["tables"].setdefault(table, {})
-    if EMPTY not in held:
-        store.stage(state, table, EMPTY, frame.limit(0), keys)
+    write and one aggregation for all of them; rows are told apart by `keys`. Without `rebalanced` nothing is shuffled, but each task
+    writes a file for each bucket that it has rows of."""
+    stage_apart(store, state, frame, {table: (F.lit(True), frame.columns, list(keys or by))}, by, n, touched, rebalanced)
+
+
+def stage_apart(store: Store, state: dict, frame: DataFrame, tables: dict[str, tuple[Column, Sequence[str], list[str]]], by: Sequence[str], n: int, touched: Iterable[int], rebalanced: bool = True) -> None:
+    """`stage` for several tables, which hold the rows of `frame` that meet their condition (a row meets one of them), with these columns
+    and keys: `frame` is computed once and written once."""
+    touched = sorted(set(touched))
+    for table, (_, columns, keys) in tables.items():
+        held = state["tables"].setdefault(table, {})
+        if EMPTY not in held:
+            store.stage(state, table, EMPTY, frame.select(*columns).limit(0), keys)
     if not touched:
         return
-    path = f"parts/{table}/buckets-{uuid.uuid4().hex}"
+    path = f"parts/{next(iter(tables))}/buckets-{uuid.uuid4().hex}"
+    of = reduce(lambda then, t: then.when(tables[t][0], t), tables, F)
+    rows = frame.withColumns({"_table": of, "_bucket": bucket_of(by, n)}).where("_table IS NOT NULL")
     # Rebalanced by bucket: a large bucket is written by several tasks, small ones share a task.
-    frame.withColumn("_bucket", bucket_of(by, n)).hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(store.at(path))
-    back = store.spark.read.option("basePath", store.at(path)).schema(StructType([*frame.schema.fields, StructField("_bucket", IntegerType())])).parquet(store.at(path))
-    found = {r["_bucket"]: r.asDict() for r in attest(back, keys, by=["_bucket"], euros=True, lanes=True).collect()}
-    schema = json.loads(frame.schema.json())
+    rows = rows.hint("rebalance", F.col("_bucket")) if rebalanced else rows
+    rows.write.partitionBy("_table", "_bucket").parquet(store.at(path))
+    for table, (_, columns, keys) in tables.items():
+        _record(store, state, table, f"{path}/_table={table}", frame.select(*columns).schema, by, n, touched, keys)
+
+
+def _record(store: Store, state: dict, table: str, path: str, fields: StructType, by: Sequence[str], n: int, touched: list[int], keys: list[str]) -> None:
+    """Records the buckets of a table that lie in a folder, with their attestations as read back."""
+    held, found, schema = state["tables"][table], {}, json.loads(fields.json())
+    if store.exists(path):  # a table of which no row was written has no folder
+        back = store.spark.read.option("basePath", store.at(path)).schema(StructType([*fields.fields, StructField("_bucket", IntegerType())])).parquet(store.at(path))
+        found = {r["_bucket"]: r.asDict() for r in attest(back, keys, by=["_bucket"], euros=True, lanes=True).collect()}
     for k in touched:
         held.pop(name_of(k), None)
         if k in found:

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from finlake.operators import bitmaps
-from finlake.plans import catalogue
+from finlake.plans import buckets, catalogue, claims
+from finlake.plans.store import Store
 from finlake.sources.delivery import numbered
 
 
@@ -39,3 +40,27 @@ def test_places_without_a_bitmap_are_counted_as_they_are(spark):
         found = bitmaps.counted(held, by)
         assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
     assert "_dense" in bitmaps.counted(held, ["g"])._jdf.queryExecution().analyzed().toString()
+
+
+def test_both_tables_of_settled_claims_come_of_one_pass(spark, tmp_path):
+    store, state = Store(spark, tmp_path), {"version": 0, "tables": {}, "batches": {}, "watermark": None}
+    claims.n_buckets(state, 4)
+    rows = spark.range(120).select(
+        (F.col("id") % 80).cast("string").alias("invoice_id"),
+        F.lit("d").alias("_batch_id"),
+        F.col("id").cast("int").alias("_source_row_number"),
+        F.when(F.col("id") == 90, "other").otherwise("same").alias("claim_hash"),
+        F.lit(None).cast("array<string>").alias("_reasons"),
+    )
+    touched, _ = claims.put(store, state, "d", rows, rebalanced=False)
+    claims.settle(store, state, {"d": 1}, touched)
+    folders = {v["path"].split("/_table=")[0] for t in (claims.TRUSTED, claims.AWAY) for v in buckets_of(state, t)}
+    assert len(folders) == 1
+    assert store.read(state, claims.TRUSTED).count() == 79 and store.read(state, claims.AWAY).count() == 41
+    assert "_reason_codes" not in store.read(state, claims.TRUSTED).columns
+    plan = claims.resolved(store, state, {"d": 1}, touched)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(") == 1
+
+
+def buckets_of(state, table):
+    return [v for p, v in state["tables"][table].items() if buckets.is_bucket(p)]
