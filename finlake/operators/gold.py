@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -65,6 +65,10 @@ KEYS = {
 }
 
 
+#: The column of facts that carry their shipments.
+CARRIED = "_shipments"
+
+
 def _rows(frame: DataFrame, key: str, **columns: str) -> DataFrame:
     return frame.select("month_start", key, *[F.col(c).alias(name) for name, c in columns.items()])
 
@@ -85,11 +89,30 @@ def _metrics(rows: dict[str, DataFrame], keys: Sequence[str]) -> list[DataFrame]
     return out
 
 
+def with_shipments(s: dict[str, DataFrame], keep: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Silver whose invoices and costs carry the shipments of their id as an array, for products that are all made at once: each fact is
+    joined with its shipments once, of which `keep` then holds what products read. Facts aren't multiplied or left out."""
+    of = s["shipments"].groupBy("shipment_id").agg(F.collect_list(F.struct("route_id", "customer_id")).alias(CARRIED))
+    columns = {
+        "invoices": ["invoice_date", "currency_code", "country_code", "customer_id", "revenue_amount", "amount_eur"],
+        "operational_costs": ["posting_date", "currency_code", "country_code", "route_id", "cost_center_id", "amount", "amount_eur"],
+    }
+    return s | {n: keep(s[n].join(of, "shipment_id", "left").select(*c, CARRIED)) for n, c in columns.items()}
+
+
+def _shipped(facts: DataFrame, s: dict[str, DataFrame], *columns: str) -> DataFrame:
+    """Facts whose shipment is in Silver, with columns of it."""
+    if CARRIED not in facts.columns:
+        return facts.join(s["shipments"].select("shipment_id", *columns), "shipment_id")
+    out = facts.select(*[c for c in facts.columns if c not in (CARRIED, *columns)], F.explode(CARRIED).alias("_shipment"))
+    return out.withColumns({c: F.col(f"_shipment.{c}") for c in columns}).drop("_shipment")
+
+
 def monthly_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What the product adds up, by fact: rows of its keys and values. The same for the other products."""
-    opening, ships = month_open(s["exchange_rates"]), s["shipments"].select("shipment_id")
-    invoices = with_fx_impact(s["invoices"].join(ships, "shipment_id"), "invoice_date", "revenue_amount", opening)
-    costs = with_fx_impact(s["operational_costs"].join(ships, "shipment_id"), "posting_date", "amount", opening)
+    opening = month_open(s["exchange_rates"])
+    invoices = with_fx_impact(_shipped(s["invoices"], s), "invoice_date", "revenue_amount", opening)
+    costs = with_fx_impact(_shipped(s["operational_costs"], s), "posting_date", "amount", opening)
     budgets = _dated(s["budgets"], "month_start").join(s["cost_centers"].select("cost_center_id", "country_code"), "cost_center_id")
     return {
         "invoices": _rows(invoices, "country_code", total_revenue_eur="amount_eur", fx_r="fx_impact_eur"),
@@ -121,7 +144,7 @@ def monthly_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
 
 def route_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Revenue through the shipment's route, cost through the cost row's own."""
-    revenue = _dated(s["invoices"], "invoice_date").join(s["shipments"].select("shipment_id", "route_id"), "shipment_id")
+    revenue = _shipped(_dated(s["invoices"], "invoice_date"), s, "route_id")
     return {
         "invoices": _rows(revenue, "route_id", total_revenue_eur="amount_eur"),
         "operational_costs": _rows(_dated(s["operational_costs"], "posting_date"), "route_id", allocated_operational_cost_eur="amount_eur"),
@@ -141,7 +164,7 @@ def route_finished(out: DataFrame, s: dict[str, DataFrame]) -> DataFrame:
 
 def customer_rows(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Revenue by the invoice's customer, cost by the shipment's."""
-    cost = _dated(s["operational_costs"], "posting_date").join(s["shipments"].select("shipment_id", "customer_id"), "shipment_id")
+    cost = _shipped(_dated(s["operational_costs"], "posting_date"), s, "customer_id")
     return {
         "invoices": _rows(_dated(s["invoices"], "invoice_date"), "customer_id", total_revenue_eur="amount_eur"),
         "operational_costs": _rows(cost, "customer_id", allocated_operational_cost_eur="amount_eur"),

@@ -1,9 +1,11 @@
 """What only larger tables show: sampled bounds, shuffles that grow with the facts."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from finlake.operators import bitmaps
+from finlake.operators import bitmaps, gold
 from finlake.plans import buckets, catalogue, claims
 from finlake.plans.store import Store
 from finlake.sources.delivery import numbered
@@ -64,3 +66,21 @@ def test_both_tables_of_settled_claims_come_of_one_pass(spark, tmp_path):
 
 def buckets_of(state, table):
     return [v for p, v in state["tables"][table].items() if buckets.is_bucket(p)]
+
+
+def test_facts_carry_their_shipments_without_more_or_fewer_rows(spark):
+    ships = spark.createDataFrame([("a", "r1", "c1"), ("b", "r2", None), ("b", "r3", "c3")], "shipment_id string, route_id string, customer_id string")
+    fields = "shipment_id string, invoice_date date, posting_date date, currency_code string, country_code string, customer_id string, route_id string, cost_center_id string, revenue_amount int, amount int, amount_eur int"
+    day = datetime.date(2025, 1, 2)
+    facts = spark.createDataFrame([(k, day, day, "C", "N", "x", "y", "z", i, i, i) for i, k in enumerate(["a", "b", "none", None])], fields)
+    s = {"shipments": ships, "invoices": facts.drop("route_id"), "operational_costs": facts.drop("customer_id")}
+    carried = gold.with_shipments(s, lambda f: f)
+    assert [carried[n].count() for n in ("invoices", "operational_costs")] == [4, 4]
+    for n, column, values in (("invoices", "route_id", ["r1", "r2", "r3"]), ("operational_costs", "customer_id", ["None", "c1", "c3"])):
+        plain, new = (sorted(str(r[column]) for r in gold._shipped(f[n], s, column).collect()) for f in (s, carried))
+        assert plain == new == values
+
+
+def test_reconciliation_makes_each_fact_once(spark, sf):
+    plan = catalogue.QUERIES["gold_recon"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [l_orderkey" not in plan
