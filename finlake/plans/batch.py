@@ -22,6 +22,7 @@ from finlake.sources import delivery
 
 #: Tables in buckets of the invoice id.
 BUCKETED = (claims.CLAIMS, claims.TRUSTED, claims.AWAY)
+GOLD_KEYS = gold.KEYS
 OWNED = tuple(f for f in FACTS if f != "invoices")
 REFERENCES = tuple(n for n in DATASETS if n not in FACTS)
 LAYERS = ("bronze", "silver")
