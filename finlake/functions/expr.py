@@ -79,7 +79,8 @@ def zero(c: Column) -> Column:
 
 
 def date_key(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd").cast("int")
+    """yyyymmdd as a number, without text on the way but for years before 0, whose sign goes before all digits."""
+    return F.when(F.year(c) >= 0, F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).otherwise(F.date_format(c, "yyyyMMdd").cast("int"))
 
 
 def reasons(rules: Iterable[tuple[str, Column]]) -> Column:

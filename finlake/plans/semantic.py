@@ -72,7 +72,8 @@ class Flat:
                 dates = self.star["dim_date"].select(F.col("date_key").alias(self.DATES[name]), a)
                 frame = frame.join(dates, self.DATES[name], "left")
             elif dim == "country" and name == "budget":  # a budget's country is its cost centre's
-                frame = frame.join(self.star["dim_cost_center"].select("cost_center_key", a), "cost_center_key", "left")
+                center = "cost_center_key" if "cost_center_key" in frame.columns else "cost_center_id"
+                frame = frame.join(self.star["dim_cost_center"].select(center, a), center, "left")
             elif dim:
                 frame = frame.join(self.star[f"dim_{dim}"].select(f"{dim}_key", a), f"{dim}_key", "left")
         return frame

@@ -5,8 +5,9 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from finlake.functions import expr
 from finlake.operators import bitmaps, gold
-from finlake.plans import buckets, catalogue, claims
+from finlake.plans import analogue, buckets, catalogue, claims, star
 from finlake.plans.store import Store
 from finlake.sources.delivery import numbered
 
@@ -84,3 +85,32 @@ def test_facts_carry_their_shipments_without_more_or_fewer_rows(spark):
 def test_reconciliation_makes_each_fact_once(spark, sf):
     plan = catalogue.QUERIES["gold_recon"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation [l_orderkey" not in plan
+
+
+REPORTS = ["report_customer_ranked", "view_monthly", "report_country_filtered", "report_trend", "report_drillthrough", "load_audit", "card_country", "card_cost_and_fx", "card_customer_and_route", "report_route", "report_executive_card", "measure_gross_profit"]
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_that_read_no_key_number_no_dimension(spark, sf, name):
+    plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(" not in plan and "row_number(" not in plan
+
+
+def test_facts_without_keys_have_the_same_rows(spark, sf):
+    s = analogue.silver(spark, sf)
+    # Routes whose country isn't a dimension's, rows without a name, and a name that comes twice.
+    s["countries"] = s["countries"].where("country_code <> 'N3'")
+    s["customers"] = s["customers"].where("customer_id % 7 <> 1").unionByName(s["customers"].limit(3)).unionByName(s["customers"].limit(2).withColumn("customer_id", F.lit(None).cast("string")))
+    keyed, plain = star.wide(s), star.wide(s, keys=False)
+    for fact in ("fact_shipment", "fact_invoice", "fact_operational_cost", "fact_budget"):
+        columns = plain[fact].columns
+        surrogate = [c for c in keyed[fact].columns if c.endswith("_key") and "date" not in c]
+        assert surrogate and set(columns) == set(keyed[fact].columns) - set(surrogate)
+        left, right = (f[fact].select(F.xxhash64(*columns).alias("h")).groupBy("h").count() for f in (keyed, plain))
+        assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty() and not right.isEmpty()
+
+
+def test_date_keys_are_the_digits_of_the_date(spark):
+    days = spark.sql("SELECT d FROM VALUES (DATE '1998-05-01'), (DATE '2024-02-29'), (DATE '0000-01-09'), (DATE '9999-12-31'), (DATE '-0004-03-01'), (CAST(NULL AS DATE)) AS t(d)")
+    rows = days.select(expr.date_key(F.col("d")).alias("new"), F.date_format("d", "yyyyMMdd").cast("int").alias("old"), star._month_key("old").alias("month"), (F.floor(F.col("old") / 100) * 100 + 1).cast("int").alias("plain")).collect()
+    assert [r["new"] for r in rows] == [r["old"] for r in rows] and [r["month"] for r in rows] == [r["plain"] for r in rows]
