@@ -26,8 +26,9 @@ def _n(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Typed datasets, before any rule."""
+def frames(spark: SparkSession, sf_dir: str, owned: bool = True) -> dict[str, DataFrame]:
+    """Typed datasets, before any rule. If not `owned`, the lines' orders are left for the reader to join: `owners` (shipment_id,
+    customer_id) has them, and invoices have no customer_id."""
     t = {n: _read(spark, sf_dir, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
     # Row counts come from file footers; they stand for the modulus of the invented references.
     n_parts, n_centers = t["part"].count(), t["supplier"].count()
@@ -64,7 +65,11 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     # Joined by the id that facts join their shipment by, so that they are shuffled by it once.
     # What depends on the order or the supplier alone is made there, not for every line.
     owners = t["orders"].select(key.cast("string").alias("shipment_id"), F.col("o_custkey").cast("string").alias("customer_id"))
-    lines = t["lineitem"].withColumn("shipment_id", F.col("l_orderkey").cast("string")).join(owners, "shipment_id", "left")
+    lines = t["lineitem"].withColumn("shipment_id", F.col("l_orderkey").cast("string"))
+    if owned:
+        lines = lines.join(owners, "shipment_id", "left")
+    else:
+        out["owners"] = owners
     lines = lines.join(t["supplier"].select("s_suppkey", _n("N", F.col("s_nationkey")).alias("country_code")), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     line_id = F.concat_ws("-", "shipment_id", F.col("l_linenumber").cast("string"))
     day = F.col("l_shipdate").cast("date")
@@ -73,7 +78,7 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "shipment_id",
         day.alias("invoice_date"),
         "country_code",
-        "customer_id",
+        *(["customer_id"] if owned else []),
         F.col("l_suppkey").cast("string").alias("cost_center_id"),
         _n("C", F.col("l_partkey") % 5).alias("currency_code"),
         _dec(F.col("l_extendedprice")).cast(expr.MONEY).alias("revenue_amount"),
@@ -147,9 +152,9 @@ CTE |= {
 }
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Datasets with EUR amounts; facts without a rate are left out, no other rule applied."""
-    out = frames(spark, sf_dir)
+def silver(spark: SparkSession, sf_dir: str, owned: bool = True) -> dict[str, DataFrame]:
+    """Datasets with EUR amounts; facts without a rate are left out, no other rule applied. `owned` as in `frames`."""
+    out = frames(spark, sf_dir, owned)
     rates = out["exchange_rates"].select("rate_date", "currency_code", "rate_to_eur")
     for name, date, amount in (("shipments", "shipment_date", "revenue_amount"), ("invoices", "invoice_date", "revenue_amount"), ("operational_costs", "posting_date", "amount"), ("budgets", "month_start", "budget_amount")):
         joined = out[name].join(rates.withColumnRenamed("rate_date", date).withColumnRenamed("rate_to_eur", "fx_rate_to_eur"), [date, "currency_code"])

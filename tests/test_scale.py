@@ -1,6 +1,7 @@
 """What only larger tables show: sampled bounds, shuffles that grow with the facts."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +115,37 @@ def test_date_keys_are_the_digits_of_the_date(spark):
     days = spark.sql("SELECT d FROM VALUES (DATE '1998-05-01'), (DATE '2024-02-29'), (DATE '0000-01-09'), (DATE '9999-12-31'), (DATE '-0004-03-01'), (CAST(NULL AS DATE)) AS t(d)")
     rows = days.select(expr.date_key(F.col("d")).alias("new"), F.date_format("d", "yyyyMMdd").cast("int").alias("old"), star._month_key("old").alias("month"), (F.floor(F.col("old") / 100) * 100 + 1).cast("int").alias("plain")).collect()
     assert [r["new"] for r in rows] == [r["old"] for r in rows] and [r["month"] for r in rows] == [r["plain"] for r in rows]
+
+
+def _shuffled(frame):
+    """What each exchange of the plan by hash is given."""
+    plan = frame.sparkSession._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning", plan)
+
+
+@pytest.mark.parametrize("name", ["report_country_filtered", "load_audit", "fact_invoice_star", "card_customer_and_route", "report_route", "report_executive_card"])
+def test_lines_are_shuffled_as_facts(spark, sf, name, monkeypatch):
+    monkeypatch.setattr(star, "FEW", 1000)  # suppliers are few, customers and parts too many
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        given = _shuffled(catalogue.QUERIES[name](spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert given and not [g for g in given if re.search(r"\bl_(suppkey|partkey|shipdate|extendedprice|discount)#", g)]
+
+
+def test_owners_beside_the_facts_give_the_same_star(spark, sf):
+    one, two = analogue.silver(spark, sf), analogue.silver(spark, sf, owned=False)
+    orders = one["shipments"].select("shipment_id").where("shipment_id % 3 = 0")
+    for s in (one, two):
+        s["customers"] = s["customers"].where("customer_id % 7 <> 1").unionByName(s["customers"].where("customer_id % 5 = 2"))
+    # Orders that come twice, and orders that aren't there.
+    two["owners"] = two["owners"].where("shipment_id % 4 <> 1").unionByName(two["owners"].join(orders, "shipment_id"))
+    for n in ("invoices", "operational_costs"):
+        one[n] = two[n].join(two["owners"] if n == "invoices" else two["owners"].select("shipment_id"), "shipment_id", "left")
+    one, two = star.wide(one, keys=False), star.wide(two, keys=False)
+    for fact in ("fact_invoice", "fact_operational_cost"):
+        columns = sorted(one[fact].columns)
+        assert columns == sorted(two[fact].columns)
+        left, right = (f[fact].select(F.xxhash64(*columns).alias("h")).groupBy("h").count() for f in (one, two))
+        assert left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty() and not right.isEmpty()
