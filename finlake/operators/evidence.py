@@ -22,12 +22,19 @@ def attest(frame: DataFrame, keys: list[str], by: list[str] | None = None, euros
     """rows, row_digest and key_digest: sums of 60 bits of each row's SHA-256, so that parts can be added up; and the EUR of rows
     that have any, unless split `by` something and not wanted. lanes: set_digest, too, which nobody can meet by choice of rows."""
     columns = [F.col(c) for c in sorted(frame.columns) if c not in (by or [])]
-    marked = frame.withColumns({"_row": _as_number(expr.payload(*columns)), "_key": _as_number(expr.payload(*[F.col(k) for k in keys]))})
-    more = [multiset.total(F.col("_set")).alias("set_digest")] if lanes else []
-    if lanes:  # a column first, as each lane's sum would digest the row again
-        marked = marked.withColumn("_set", multiset.row_digest(*columns))
-    euro = [expr.zero(F.sum("amount_eur")).cast("string").alias("eur")] if "amount_eur" in frame.columns and (euros or not by) else []
-    sums = [F.count("*").alias("rows"), F.coalesce(F.sum("_row"), F.lit(0)).cast("string").alias("row_digest"), F.coalesce(F.sum("_key"), F.lit(0)).cast("string").alias("key_digest"), *more, *euro]
+    row, key = expr.payload(*columns), expr.payload(*[F.col(k) for k in keys])
+    with_eur = "amount_eur" in frame.columns and (euros or not by)
+    if lanes:
+        # 60 bits of a digest are 15 hex digits.
+        # A column first, so that a row is digested once and each step's code is small enough to be compiled.
+        marked = frame.withColumns({"_row": row, "_key": key})
+        words = F.concat(F.lit("0"), F.substring("_row", 1, 15), F.lit("0"), F.substring("_key", 1, 15), *multiset.lengthened(F.col("_row")))
+        found = multiset.sums(marked, by or [], words, ["row_digest", "key_digest"], "amount_eur" if with_eur else None)
+        euro = [expr.zero(F.col("amount")).cast("string").alias("eur")] if with_eur else []
+        return found.select(*(by or []), "rows", "row_digest", "key_digest", F.col("digest").alias("set_digest"), *euro)
+    marked = frame.withColumns({"_row": _as_number(row), "_key": _as_number(key)})
+    euro = [expr.zero(F.sum("amount_eur")).cast("string").alias("eur")] if with_eur else []
+    sums = [F.count("*").alias("rows"), F.coalesce(F.sum("_row"), F.lit(0)).cast("string").alias("row_digest"), F.coalesce(F.sum("_key"), F.lit(0)).cast("string").alias("key_digest"), *euro]
     return marked.groupBy(*by).agg(*sums) if by else marked.agg(*sums)
 
 

@@ -13,14 +13,19 @@ leaf; a group's rows must be fewer than 2^31 (the sum overflows with an error be
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DecimalType, LongType, StringType, StructField, StructType
 
 from finlake.functions import expr
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 #: Numbers of 64 bits in a digest, as so many hex characters; children of a node.
 LANES, WIDTH, FAN = 16, 256, 16
 _LOW = (1 << 32) - 1
@@ -28,8 +33,12 @@ _LOW = (1 << 32) - 1
 
 def row_digest(*columns: Column) -> Column:
     """A row's digest: WIDTH hex characters."""
-    once = expr.payload(*columns)
-    return F.concat(*[F.sha2(F.concat(once, F.lit(str(i))), 256) for i in range(WIDTH // 64)])
+    return F.concat(*lengthened(expr.payload(*columns)))
+
+
+def lengthened(once: Column) -> list[Column]:
+    """The pieces of a row's digest, of the payload of its columns."""
+    return [F.sha2(F.concat(once, F.lit(str(i))), 256) for i in range(WIDTH // 64)]
 
 
 def total(digest: Column, times: Column | None = None) -> Column:
@@ -47,6 +56,70 @@ def total(digest: Column, times: Column | None = None) -> Column:
     return F.lower(F.concat(*[lane(i) for i in range(LANES)]))
 
 
+def sums(frame: DataFrame, by: Sequence[str], words: Column, short: Sequence[str], amount: str | None = None) -> DataFrame:
+    """Of each group: rows, then for each number of 64 bits whose hex digits `words` has: its sum in decimal digits, named by `short`, and of the
+    LANES after these the `digest` that `total` gives; and the sum of `amount` (a decimal or whole number; null where there is none). `total` takes
+    digits apart one number at a time, which costs a row more than its hashes, and its many columns cost a plan seconds; here Arrow batches are
+    added up as arrays, and only their sums come back. Without `by` there is a row of zeros if there are none."""
+    n, kind = len(short) + LANES, frame.schema[amount].dataType if amount else None
+    wide = DecimalType(min(38, kind.precision + 10), kind.scale) if isinstance(kind, DecimalType) else DecimalType(38, 2)
+    given = frame.select(*by, F.unhex(words).alias("_words"), (F.col(amount) if amount else F.lit(None)).cast(wide).alias("_amount"))
+    groups, end = given.select(*by).schema.fields, StructField("amount", wide)
+    part = given.mapInArrow(_summed(list(by), n), StructType([*groups, StructField("rows", LongType()), StructField("sums", BinaryType()), end]))
+    if not by:
+        part = part.unionByName(frame.sparkSession.range(1).select(F.lit(0).cast("long").alias("rows"), F.lit(bytes(16 * n)).alias("sums"), F.lit(None).cast(wide).alias("amount")))
+    texts = [StructField(c, StringType()) for c in (*short, "digest")]
+    return part.groupBy(*by).applyInArrow(_added(list(by), list(short), n), StructType([*groups, StructField("rows", LongType()), *texts, end]))
+
+
+def _summed(by: list[str], n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each batch and group: rows, the sums of the numbers' high halves and of their low halves, and of the amounts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = np.zeros(batch.num_rows, np.int64)
+            for c in by:  # numbered anew after each column, so that codes stay below rows squared
+                found = batch.column(c).dictionary_encode(null_encoding="encode")
+                code = np.unique(code * len(found.dictionary) + found.indices.to_numpy(), return_inverse=True)[1]
+            order = np.argsort(code, kind="stable")
+            starts = np.flatnonzero(np.diff(code[order], prepend=-1))
+            held = batch.column("_words").cast(pa.binary(8 * n))
+            words = np.frombuffer(held.buffers()[1], ">u8", n * len(held), 8 * n * held.offset).reshape(-1, n).astype(np.uint64)[order]
+            halves = np.hstack([np.add.reduceat(x, starts, axis=0) for x in (words >> np.uint64(32), words & np.uint64(_LOW))])
+            rows, amounts = np.diff(starts, append=len(order)), batch.column("_amount").take(pa.array(order))
+            amount = [pc.sum(amounts.slice(a, k)).as_py() for a, k in zip(starts.tolist(), rows.tolist(), strict=True)]
+            columns = [*[batch.column(c).take(pa.array(order[starts])) for c in by], pa.array(rows, pa.int64()), pa.array([x.tobytes() for x in halves], pa.binary()), pa.array(amount, amounts.type)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*by, "rows", "sums", "amount"])
+
+    return run
+
+
+def _added(by: list[str], short: list[str], n: int) -> Callable[[pa.Table], pa.Table]:
+    """A group's sums, as Python's whole numbers and texts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        totals = [0] * 2 * n
+        for x in table.column("sums").to_pylist():
+            totals = [a + b for a, b in zip(totals, np.frombuffer(x, np.uint64).tolist(), strict=True)]
+        numbers = [(high << 32) + low for high, low in zip(totals[:n], totals[n:], strict=True)]
+        texts = [*map(str, numbers[: len(short)]), "".join(f"{x % (1 << 64):016x}" for x in numbers[len(short) :])]
+        amount = table.column("amount")
+        columns = [*[table.column(c).slice(0, 1) for c in by], pa.array([pc.sum(table.column("rows")).as_py()], pa.int64()), *[pa.array([t]) for t in texts], pa.array([pc.sum(amount).as_py()], amount.type)]
+        return pa.Table.from_arrays(columns, names=[*by, "rows", *short, "digest", "amount"])
+
+    return run
+
+
 def leaves(frame: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """node (a bucket of `keys`), rows and digest (the set's) of each bucket that has rows."""
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
